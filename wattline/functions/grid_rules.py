@@ -7,14 +7,17 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from wattline.operators.frames import ref
+
 NUMERIC_SHARE = 0.8
 MIN_GAP, MAX_GAP = 0.35, 0.65
 SIDE_FULL, SIDE_EMPTY = 0.9, 0.1
+NUMBER = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$|^[+-]?[iI]nf(inity)?$"
 
 
 def alternating(c: str, pos: str = "pos") -> Column:
     """Aggregate: is the column missing on every other row of the file."""
-    gap = F.col(c).isNull().cast("double")
+    gap = ref(c).isNull().cast("double")
     share = F.avg(gap)
     even = F.avg(F.when(F.col(pos) % 2 == 0, gap))
     odd = F.avg(F.when(F.col(pos) % 2 == 1, gap))
@@ -29,9 +32,50 @@ def alternating_columns(df: DataFrame, columns: Sequence[str], keys: Sequence[st
 
 def parsed(c: Column) -> Column:
     """Number from text with a decimal comma, null when it is not one."""
-    return F.nanvl(F.trim(F.replace(c, F.lit(","), F.lit("."))).try_cast("double"), F.lit(None))
+    text = F.trim(F.replace(c, F.lit(","), F.lit(".")))
+    return F.when(text.rlike(NUMBER), text.try_cast("double"))
 
 
 def numeric_enough(c: str) -> Column:
     """Aggregate: at least 80 % of the non-null cells parse as numbers."""
-    return F.try_divide(F.count(parsed(F.col(c))), F.count(c)) >= NUMERIC_SHARE
+    return F.try_divide(F.count(parsed(ref(c))), F.count(ref(c))) >= NUMERIC_SHARE
+
+
+def drop_empty_columns(df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """Drop columns that are null on every row: one counting job, then a projection."""
+    counts = df.agg(*[F.count(ref(c)).alias(c) for c in df.columns]).first()
+    return df.select(*[ref(c) for c in df.columns if c in keep or counts[c] > 0])
+
+
+def drop_empty_rows(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    return df.dropna(how="all", subset=[f"`{c}`" for c in columns])
+
+
+def typing_plan(df: DataFrame, columns: Sequence[str]) -> list[str]:
+    """The columns that are mostly numeric; one statistics job for all of them."""
+    flags = df.agg(*[numeric_enough(c).alias(c) for c in columns]).first()
+    return [c for c in columns if flags[c]]
+
+
+def coerce_mostly_numeric(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Turn mostly-numeric text columns into doubles, failures into nulls."""
+    return df.withColumns({c: parsed(ref(c)) for c in typing_plan(df, columns)})
+
+
+def coerce_per_file(df: DataFrame, columns: Sequence[str], file: str) -> DataFrame:
+    """The typing rule decided file by file.
+
+    A column that is numeric in one file and text in another stays text here;
+    in files where the rule holds its text is the parsed number's.
+    """
+    flags = df.groupBy(file).agg(*[numeric_enough(c).alias(f"__num_{c}") for c in columns])
+    every = flags.agg(*[F.bool_and(F.coalesce(ref(f"__num_{c}"), F.lit(True))).alias(c) for c in columns]).first()
+    some = flags.agg(*[F.bool_or(ref(f"__num_{c}")).alias(c) for c in columns]).first()
+    out = df.join(flags, file)
+    for c in columns:
+        flag = ref(f"__num_{c}")
+        if every[c] and some[c]:
+            out = out.withColumn(c, parsed(ref(c)))
+        elif some[c]:
+            out = out.withColumn(c, F.when(flag, parsed(ref(c)).cast("string")).otherwise(ref(c)))
+    return out.drop(*[f"__num_{c}" for c in columns])

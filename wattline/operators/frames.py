@@ -8,6 +8,11 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 
+def ref(name: str) -> Column:
+    """Column by its exact name, dots included ("Ech. physiques")."""
+    return F.col(f"`{name}`")
+
+
 def by_date(keys: Sequence[str] = (), date: str = "date") -> WindowSpec:
     """Window over one daily series.
 

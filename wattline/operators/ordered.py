@@ -13,6 +13,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from wattline.operators.frames import ref
+
 CHUNK_ROWS = 1 << 18
 
 
@@ -53,16 +55,16 @@ def fill(
     back = direction == "backward"
     edge = F.min_by if back else F.max_by
     summary = df.groupBy(*keys, chunk).agg(
-        *[edge(c, F.when(F.col(c).isNotNull(), F.col(order))).alias(f"__edge_{c}") for c in columns]
+        *[edge(ref(c), F.when(ref(c).isNotNull(), F.col(order))).alias(f"__edge_{c}") for c in columns]
     )
     across = Window.partitionBy(*keys).orderBy(F.desc(chunk) if back else F.asc(chunk))
     beyond = across.rowsBetween(Window.unboundedPreceding, -1)
     carried = summary.select(
-        *keys, chunk, *[F.last(f"__edge_{c}", True).over(beyond).alias(f"__edge_{c}") for c in columns]
+        *keys, chunk, *[F.last(ref(f"__edge_{c}"), True).over(beyond).alias(f"__edge_{c}") for c in columns]
     )
     inside = Window.partitionBy(*keys, chunk).orderBy(F.desc(order) if back else F.asc(order))
     seen = inside.rowsBetween(Window.unboundedPreceding, 0)
-    filled = {c: F.coalesce(F.last(c, True).over(seen), F.col(f"__edge_{c}")) for c in columns}
+    filled = {c: F.coalesce(F.last(ref(c), True).over(seen), ref(f"__edge_{c}")) for c in columns}
     return (
         df.join(carried, [*keys, chunk], "left")
         .withColumns(filled)
@@ -77,5 +79,5 @@ def keep_last(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataF
     reaches the reducer as one row per task.
     """
     rest = [c for c in df.columns if c not in keys]
-    last = F.max_by(F.struct(*rest), F.struct(*order)).alias("__row")
-    return df.groupBy(*keys).agg(last).select(*keys, "__row.*").select(*df.columns)
+    last = F.max_by(F.struct(*[ref(c) for c in rest]), F.struct(*order)).alias("__row")
+    return df.groupBy(*keys).agg(last).select(*keys, "__row.*").select(*[ref(c) for c in df.columns])
