@@ -84,6 +84,17 @@ FUELS = [
 ]
 SILENT = "(l_returnflag = 'R' AND l_linestatus = 'O')"
 
+# Contexts below 28 rows fall back to the threshold of the whole key.
+PEAKS = """
+SELECT *, actual >= peak_threshold AS is_peak FROM (
+  SELECT *, CASE WHEN context_count >= 28 THEN threshold_context ELSE threshold_global END AS peak_threshold FROM (
+    SELECT *, CAST(month(date) AS INTEGER) AS month, CAST(isodow(date) - 1 AS INTEGER) AS dow,
+      count(actual) OVER (PARTITION BY {k}, month(date), isodow(date)) AS context_count,
+      quantile_cont(actual, 0.9) OVER (PARTITION BY {k}, month(date), isodow(date)) AS threshold_context,
+      quantile_cont(actual, 0.9) OVER (PARTITION BY {k}) AS threshold_global
+    FROM {t}) AS a) AS b
+"""
+
 # name -> (views it needs, body)
 VIEWS: dict[str, tuple[str, str]] = {
     "daily": (
@@ -116,9 +127,9 @@ VIEWS: dict[str, tuple[str, str]] = {
     ),
     "grid": (
         "",
-        'SELECT CAST(l_shipdate AS DATE) AS "Nature", l_extendedprice AS "Consommation",'
-        ' l_extendedprice * (1.0::DOUBLE - l_discount) AS "Prévision J-1",'
-        ' l_extendedprice * (1.0::DOUBLE + l_tax) AS "Prévision J", '
+        'SELECT CAST(l_shipdate AS DATE) AS "Nature", round(l_extendedprice * 100) AS "Consommation",'
+        ' floor(round(l_extendedprice * 100) * (100 - round(l_discount * 100)) / 100) AS "Prévision J-1",'
+        ' floor(round(l_extendedprice * 100) * (100 + round(l_tax * 100)) / 100) AS "Prévision J", '
         + ", ".join(
             f'CASE WHEN NOT {SILENT} AND l_suppkey % 10 <> {i} THEN l_quantity * {i + 1}.0::DOUBLE END AS "{c}"'
             for i, c in enumerate(FUELS)
@@ -224,4 +235,19 @@ VIEWS: dict[str, tuple[str, str]] = {
         " round(sqrt(se / n), 2) AS rmse, round(pe / n * 100, 4) AS mape, round(ll, 2) AS llf,"
         " round(-2 * ll + 4, 2) AS aic, round(-2 * ll + 2 * ln(n), 2) AS bic FROM run_llf",
     ),
+    "fc_peaks": (
+        "fc",
+        PEAKS.format(k="horizon", t="fc"),
+    ),
+    "model_peaks": (
+        "flog",
+        PEAKS.format(k="model, horizon", t="flog"),
+    ),
+    "fc_rolled": (
+        "fc",
+        "SELECT horizon, date, CASE WHEN c >= 15 THEN ae END AS rolling_mae, CASE WHEN c >= 15 THEN sqrt(se) END AS rolling_rmse"
+        " FROM (SELECT horizon, date, count(abs_error) OVER w AS c, avg(abs_error) OVER w AS ae, avg(sq_error) OVER w AS se,"
+        " row_number() OVER (PARTITION BY horizon ORDER BY date) AS rn FROM fc"
+        " WINDOW w AS (PARTITION BY horizon ORDER BY date ROWS BETWEEN 29 PRECEDING AND CURRENT ROW)) AS r WHERE rn > 30",
+    ),
 }

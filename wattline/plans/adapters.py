@@ -34,6 +34,10 @@ def cents(c: str) -> Column:
     return F.rint(F.col(c) * 100).cast("long")
 
 
+def whole(c: Column) -> Column:
+    return F.floor(c).cast("double")
+
+
 def mean_of_cents(total: str, count: str) -> Column:
     return F.col(total).cast("double") / F.lit(100.0) / F.col(count)
 
@@ -79,8 +83,11 @@ def stations(spark: SparkSession, sf_dir: str, area: str = "nation") -> DataFram
 
 
 def grid(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Sub-daily grid readings: one lineitem is one interval."""
-    price, qty = F.col("l_extendedprice"), F.col("l_quantity")
+    """Sub-daily grid readings: one lineitem is one interval.
+
+    Power is a whole number of units, so daily sums are exact in any order.
+    """
+    power, qty = F.rint(F.col("l_extendedprice") * 100), F.col("l_quantity")
     silent = (F.col("l_returnflag") == "R") & (F.col("l_linestatus") == "O")
     fuels = [
         F.when(~silent & (F.col("l_suppkey") % 10 != i), qty * F.lit(i + 1.0)).alias(c)
@@ -88,9 +95,9 @@ def grid(spark: SparkSession, sf_dir: str) -> DataFrame:
     ]
     return table(spark, sf_dir, "lineitem").select(
         F.col("l_shipdate").cast("date").alias("Nature"),
-        price.alias("Consommation"),
-        (price * (F.lit(1.0) - F.col("l_discount"))).alias("Prévision J-1"),
-        (price * (F.lit(1.0) + F.col("l_tax"))).alias("Prévision J"),
+        power.alias("Consommation"),
+        whole(power * (100 - F.rint(F.col("l_discount") * 100)) / 100).alias("Prévision J-1"),
+        whole(power * (100 + F.rint(F.col("l_tax") * 100)) / 100).alias("Prévision J"),
         *fuels,
     )
 
