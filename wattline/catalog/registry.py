@@ -250,4 +250,12 @@ VIEWS: dict[str, tuple[str, str]] = {
         " row_number() OVER (PARTITION BY horizon ORDER BY date) AS rn FROM fc"
         " WINDOW w AS (PARTITION BY horizon ORDER BY date ROWS BETWEEN 29 PRECEDING AND CURRENT ROW)) AS r WHERE rn > 30",
     ),
+    "requests": (
+        "region_days prod",
+        "SELECT date, temp_min_avg, temp_max_avg, production_mw_lag1, CASE WHEN day(date) % 3 = 0 THEN NULL"
+        " WHEN day(date) % 7 = 0 THEN 'no_such_run'"
+        " ELSE strftime(last_day(make_date(year(date), CASE WHEN month(date) <= 6 THEN 6 ELSE 12 END, 1)), '%Y%m%d') || 'T000000Z' END AS run_id"
+        " FROM (SELECT date, min(TN) AS temp_min_avg, min(TX) AS temp_max_avg FROM region_days GROUP BY 1) AS t"
+        " JOIN (SELECT date, lag(production) OVER (ORDER BY date) AS production_mw_lag1 FROM prod) AS p USING (date)",
+    ),
 }

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wattline.operators.checkpoints import expanding
+from wattline.operators.checkpoints import expanding, half_year_end
 from wattline.operators.gaps import densify, interpolate_time, lagged
 
 FIRST_CHECKPOINT = "1996-12-31"
@@ -215,3 +215,18 @@ def runs(spark: SparkSession, sf_dir: str, first: str = FIRST_CHECKPOINT) -> Dat
         F.round(-2 * llf + 2 * 2, 2).alias("aic"),
         F.round(-2 * llf + 2 * F.log(n), 2).alias("bic"),
     )
+
+
+def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scoring requests: one per day, naming a run, no run, or one that does not exist."""
+    day = F.dayofmonth("date")
+    asked = F.concat(F.date_format(half_year_end(F.col("date")), "yyyyMMdd"), F.lit("T000000Z"))
+    pairs = stations(spark, sf_dir, "region").groupBy("date").pivot("variable", ["TN", "TX"]).agg(F.min("value"))
+    before = prod(spark, sf_dir).withColumn("production_mw_lag1", lagged("production", 1)).drop("production")
+    return pairs.join(before, "date").select(
+        "date",
+        F.col("TN").alias("temp_min_avg"),
+        F.col("TX").alias("temp_max_avg"),
+        "production_mw_lag1",
+        F.when(day % 3 == 0, F.lit(None)).when(day % 7 == 0, "no_such_run").otherwise(asked).alias("run_id"),
+    )
