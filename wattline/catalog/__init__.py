@@ -1,6 +1,6 @@
 """One runnable query per operator, with the SQL that checks it where SQL can."""
 
-from wattline.catalog import aggregates, cleaning, gaps, relational, windows  # noqa: F401
+from wattline.catalog import aggregates, cleaning, gaps, ingest, relational, windows  # noqa: F401
 from wattline.catalog.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]

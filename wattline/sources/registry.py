@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from wattline.functions.columns import model_name, order_text
+
 REGISTRY_CAP = 20
 BACKFILL_CAP = 50
 
@@ -20,3 +22,104 @@ def capped(runs: DataFrame, cap: int = REGISTRY_CAP, order: str = "trained_at")
             "n_runs": F.count(F.lit(1)).over(everything),
         }
     )
+
+
+# The registry document and the per-run document, as the writers lay them out.
+MODEL = (
+    "struct<model_file: string, scaler_file: string, metadata_file: string, report_file: string, "
+    "insample_metrics: struct<insample_MAE_MW: double, insample_RMSE_MW: double, insample_MAPE_pct: double>, "
+    "goodness_of_fit: struct<aic: double, bic: double, log_likelihood: double>>"
+)
+RUN = (
+    "struct<run_id: string, run_dir: string, trained_at: string, training_start: string, training_end: string, "
+    "n_training_days: int, features: array<string>, order: array<int>, seasonal_order: array<int>, "
+    f"model: {MODEL}, models: map<string, {MODEL}>>"
+)
+REGISTRY = f"latest_run_id string, n_runs int, runs array<{RUN}>"
+
+
+def read_registry(spark: SparkSession, path: str) -> DataFrame:
+    """One row per run of a registry document, with its place in the list."""
+    doc = spark.read.schema(REGISTRY).option("multiLine", True).json(path)
+    return doc.select("latest_run_id", F.posexplode("runs").alias("seq", "run")).select(
+        "latest_run_id", "seq", "run.*"
+    )
+
+
+def registry_document(runs: DataFrame, cap: int = REGISTRY_CAP) -> DataFrame:
+    """The registry as one JSON document; the cap bounds its size."""
+    kept = capped(runs, cap).drop("latest_run_id", "n_runs")
+    listed = kept.agg(
+        F.max_by("run_id", "trained_at").alias("latest_run_id"),
+        F.count(F.lit(1)).cast("int").alias("n_runs"),
+        F.collect_list(F.struct("*")).alias("__runs"),
+    )
+    runs_in_order = F.array_sort(
+        "__runs",
+        lambda a, b: F.when(a["trained_at"] < b["trained_at"], -1).when(a["trained_at"] > b["trained_at"], 1).otherwise(0),
+    )
+    return listed.select(
+        F.to_json(F.struct("latest_run_id", "n_runs", runs_in_order.alias("runs"))).alias("value")
+    )
+
+
+def resolved_model(model: Column, models: Column) -> Column:
+    """Model entry of either layout: ``model``, else ``models.h1``, else the first one."""
+    return F.coalesce(
+        model, F.try_element_at(models, F.lit("h1")), F.try_element_at(F.map_values(models), F.lit(1))
+    )
+
+
+def flatten_runs(runs: DataFrame) -> DataFrame:
+    """One flat row per run, newest first."""
+    entry = resolved_model(F.col("model"), F.col("models"))
+    m, g = entry["insample_metrics"], entry["goodness_of_fit"]
+    trained = F.coalesce(
+        F.try_to_timestamp("trained_at", F.lit("yyyy-MM-dd'T'HH:mm:ssXXX")),
+        F.try_to_timestamp("trained_at", F.lit("yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX")),
+    )
+    return runs.select(
+        "run_id",
+        trained.alias("trained_at"),
+        m["insample_MAE_MW"].alias("mae"),
+        m["insample_RMSE_MW"].alias("rmse"),
+        m["insample_MAPE_pct"].alias("mape"),
+        g["aic"].alias("aic"),
+        g["bic"].alias("bic"),
+        "n_training_days",
+        "training_start",
+        "training_end",
+        F.concat_ws(", ", "features").alias("features"),
+        order_text(F.col("order")).alias("order"),
+        order_text(F.col("seasonal_order")).alias("seasonal_order"),
+    ).orderBy(F.desc("trained_at"))
+
+
+def with_defaults(meta: DataFrame, registry: DataFrame) -> DataFrame:
+    """Per-run metadata whose empty lists fall back to the registry's entry."""
+    both = meta.alias("m").join(registry.alias("r"), "run_id", "right")
+
+    def pick(c: str) -> Column:
+        return F.when(F.size(F.coalesce(F.col(f"m.{c}"), F.array())) > 0, F.col(f"m.{c}")).otherwise(
+            F.col(f"r.{c}")
+        )
+
+    filled = both.select("run_id", *[pick(c).alias(c) for c in ("features", "order", "seasonal_order")])
+    scaled = F.filter("features", lambda f: f.startswith("temp_pc_") | (f == "production_mw_lag1"))
+    return filled.withColumn("scale_columns", scaled)
+
+
+def latest_status(runs: DataFrame, artefacts: DataFrame) -> DataFrame:
+    """Health of the latest run: ok when its artefacts exist, else degraded."""
+    latest = runs.agg(
+        F.max_by(F.struct("run_id", "order", "seasonal_order"), "trained_at").alias("l")
+    ).select("l.*")
+    loaded = artefacts.select("run_id").distinct().withColumn("model_loaded", F.lit(True))
+    joined = latest.join(loaded, "run_id", "left")
+    ok = F.coalesce("model_loaded", F.lit(False))
+    return joined.select(
+        F.when(ok, "ok").otherwise("degraded").alias("status"),
+        ok.alias("model_loaded"),
+        F.col("run_id").alias("latest_run_id"),
+        F.when(ok, model_name(F.col("order"), F.col("seasonal_order"))).alias("model_name"),
+    )
