@@ -3,11 +3,18 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Window
+import numpy as np
+from pyspark.ml.feature import PCA
+from pyspark.ml.functions import array_to_vector
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from wattline.operators.frames import by_date
+from wattline.operators.frames import attach, by_date, ref
+from wattline.operators.gaps import fill_both, on_shared_dates
+from wattline.operators.joins import wide_by_station
+from wattline.session import cut
 
 
 def with_cumulative(explained: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
@@ -24,3 +31,133 @@ def components_needed(explained: DataFrame, thresholds: Sequence[float], keys: S
     return rows.groupBy(*keys, "threshold").agg(
         F.coalesce(enough, F.max("component")).alias("components_needed")
     )
+
+
+@dataclass
+class Components:
+    """A fitted reduction as three small tables, one row per station column or component."""
+
+    scaler: DataFrame  # column, mean, std
+    loadings: DataFrame  # component, column, loading
+    explained: DataFrame  # component, ratio, cumulative
+
+
+def column_stats(long: DataFrame, keys: Sequence[str], value: str = "value") -> DataFrame:
+    """Mean and population std per column; a constant column gets divisor 1."""
+    std = F.stddev_pop(value)
+    return long.groupBy(*keys).agg(F.avg(value).alias("mean"), F.when(std > 0, std).otherwise(1.0).alias("std"))
+
+
+def standardise(long: DataFrame, scaler: DataFrame, keys: Sequence[str], value: str = "value") -> DataFrame:
+    """Apply a stored scaler; the scaler is one row per column, so Spark may broadcast it."""
+    z = (F.col(value) - F.col("mean")) / F.col("std")
+    return long.join(scaler, list(keys)).withColumn(value, z).drop("mean", "std")
+
+
+def impute_columns(long: DataFrame) -> DataFrame:
+    """Forward then backward fill of every column over the dates any column has.
+
+    A column without a single value cannot be filled and drops out.
+    """
+    dense = on_shared_dates(long, "column", "value")
+    return fill_both(dense, ["value"], ["column"]).where(F.col("value").isNotNull())
+
+
+def station_columns(stations: DataFrame, variables: Sequence[str] = ("TN", "TX")) -> DataFrame:
+    """Long ``date, column, value`` with columns named ``TN_<id>`` and ``TX_<id>``."""
+    rows = stations.where(F.col("variable").isin(*variables))
+    name = F.concat_ws("_", "variable", "station").alias("column")
+    return rows.select("date", name, F.col("value").cast("double").alias("value"))
+
+
+def fit_components(filled: DataFrame, k: int | None = None) -> Components:
+    """Principal components of standardised columns.
+
+    The standardised days are cut to a table because the fit passes over them more
+    than once. The covariance is summed by the executors; what reaches the driver is one
+    matrix of station columns squared, bounded by the station list.
+    """
+    spark = filled.sparkSession
+    scaler = column_stats(filled, ["column"])
+    names = [r["column"] for r in scaler.select("column").orderBy("column").collect()]
+    k = len(names) if k is None else min(k, len(names))
+    z = standardise(filled, scaler, ["column"])
+    wide = wide_by_station(z, names, F.col("column")).select(F.array(*[ref(n) for n in names]).alias("v"))
+    vectors = cut(wide, "standardised").select(array_to_vector("v").alias("v"))
+    model = PCA(k=k, inputCol="v", outputCol="s").fit(vectors)
+    pc = model.pc.toArray()
+    flip = np.where(pc[np.abs(pc).argmax(axis=0), np.arange(k)] < 0, -1.0, 1.0)
+    rows = [
+        (j + 1, name, float(pc[i, j] * flip[j])) for j in range(k) for i, name in enumerate(names)
+    ]
+    loadings = spark.createDataFrame(rows, "component int, column string, loading double")
+    ratios = [(j + 1, float(r)) for j, r in enumerate(model.explainedVariance.toArray())]
+    explained = spark.createDataFrame(ratios, "component int, ratio double")
+    return Components(scaler, loadings, with_cumulative(explained))
+
+
+def component_scores(filled: DataFrame, fit: Components) -> DataFrame:
+    """Scores in long form ``date, component, score``: a weighted sum per day, no pivot.
+
+    Rows carry one loading array, not one row per component.
+    """
+    weights = fit.loadings.groupBy("column").agg(
+        F.sort_array(F.collect_list(F.struct("component", "loading"))).alias("w")
+    )
+    z = standardise(filled, fit.scaler, ["column"]).join(weights, "column")
+    terms = z.select("date", F.col("value").alias("z"), F.inline("w"))
+    return terms.groupBy("date", "component").agg(F.sum(F.col("z") * F.col("loading")).alias("score"))
+
+
+def component_features(scores: DataFrame, k: int, prefix: str = "temp_pc_") -> DataFrame:
+    """Wide ``temp_pc_01…`` columns per day."""
+    wide = scores.groupBy("date").pivot("component", list(range(1, k + 1))).agg(F.first("score"))
+    return wide.select("date", *[F.col(str(j)).alias(f"{prefix}{j:02d}") for j in range(1, k + 1)])
+
+
+def national_projection(fit: Components) -> DataFrame:
+    """One row per component: weights of the national minimum and maximum, and an offset.
+
+    Putting one value on all TN columns and one on all TX columns makes the score a
+    linear form of two numbers, so a request needs three constants, not a matrix.
+    """
+    w = F.col("loading") / F.col("std")
+    name = F.col("column")
+    low, high = name.startswith("TN_"), name.startswith("TX_")
+    return (
+        fit.loadings.join(fit.scaler, "column")
+        .groupBy("component")
+        .agg(
+            F.sum(F.when(low, w).otherwise(0.0)).alias("per_min"),
+            F.sum(F.when(high, w).otherwise(0.0)).alias("per_max"),
+            (-F.sum(w * F.col("mean"))).alias("offset"),
+        )
+    )
+
+
+def project_requests(requests: DataFrame, projection: DataFrame | None, k: int = 3) -> DataFrame:
+    """Add ``pca_components``; without a stored fit the list is empty."""
+    if projection is None:
+        return requests.withColumn("pca_components", F.array().cast("array<double>"))
+    forms = F.sort_array(F.collect_list(F.struct("component", "per_min", "per_max", "offset")))
+    rows = attach(requests, projection.agg(forms.alias("__forms")))
+    score = F.transform(
+        F.slice("__forms", 1, k),
+        lambda c: c["per_min"] * F.col("temp_min_avg") + c["per_max"] * F.col("temp_max_avg") + c["offset"],
+    )
+    return rows.withColumn("pca_components", score).drop("__forms")
+
+
+def save_components(fit: Components, path: str) -> None:
+    """The fitted tables under one folder; runs refer to it instead of copying it."""
+    for name in ("scaler", "loadings", "explained"):
+        getattr(fit, name).write.mode("overwrite").parquet(f"{path}/{name}")
+
+
+def load_components(spark: SparkSession, path: str) -> Components:
+    return Components(*[spark.read.parquet(f"{path}/{n}") for n in ("scaler", "loadings", "explained")])
+
+
+def choose_components(explained: DataFrame, threshold: float) -> int:
+    """Smallest k whose cumulative ratio reaches the threshold."""
+    return components_needed(explained, [threshold]).first()["components_needed"]

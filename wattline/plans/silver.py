@@ -7,7 +7,19 @@ from pyspark.sql import functions as F
 
 from wattline.functions.columns import require_columns, total_or_null
 from wattline.operators.frames import one_of_each, ref
+from wattline.operators.joins import within_span
+from wattline.operators.reduction import (
+    Components,
+    component_features,
+    component_scores,
+    fit_components,
+    impute_columns,
+    load_components,
+    save_components,
+    station_columns,
+)
 from wattline.plans.adapters import DAILY_MEANS, PRODUCTION
+from wattline.session import cut, work_path
 
 
 def daily_grid(grid: DataFrame, day: str = "Nature") -> DataFrame:
@@ -32,3 +44,25 @@ def daily_grid(grid: DataFrame, day: str = "Nature") -> DataFrame:
 def join_one_to_one(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
     """Inner join that fails when a key repeats on either side."""
     return one_of_each(left, keys, "left").join(one_of_each(right, keys, "right"), keys)
+
+
+def temperature_features(stations: DataFrame, dates: DataFrame, k: int = 3) -> tuple[DataFrame, Components]:
+    """Components of the station temperatures inside the grid's span of dates.
+
+    The fit is cut to tables, so scoring does not repeat it and later runs can
+    refer to it.
+    """
+    spark = stations.sparkSession
+    inside = within_span(station_columns(stations.where(F.col("date").isNotNull())), dates)
+    filled = cut(impute_columns(inside), "station-columns")
+    path = work_path(spark, "components")
+    save_components(fit_components(filled, k), path)
+    fit = load_components(spark, path)
+    return component_features(component_scores(filled, fit), k), fit
+
+
+def build_silver(grid: DataFrame, stations: DataFrame, k: int = 3) -> tuple[DataFrame, Components]:
+    """Daily grid features joined one-to-one with temperature components."""
+    daily = daily_grid(grid)
+    features, fit = temperature_features(stations, daily, k)
+    return join_one_to_one(daily, features, ["date"]), fit
