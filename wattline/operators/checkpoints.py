@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -14,7 +16,9 @@ def half_year_end(date: Column) -> Column:
     return F.last_day(F.make_date(F.year(date), month, F.lit(1)))
 
 
-def half_year_ends(bounds: DataFrame, last: str, first: str = "2013-12-31") -> DataFrame:
+def half_year_ends(
+    bounds: DataFrame, last: str, first: str = "2013-12-31", keys: Sequence[str] = ()
+) -> DataFrame:
     """Every half-year end from ``first`` to the ``last`` column of a bounds frame."""
     months = F.sequence(
         F.trunc(F.lit(first).cast("date"), "month"),
@@ -23,7 +27,7 @@ def half_year_ends(bounds: DataFrame, last: str, first: str = "2013-12-31") -> D
     )
     ends = F.filter(F.transform(months, lambda x: F.last_day(x)), lambda x: x <= F.col(last))
     reached = bounds.where(F.col(last) >= F.lit(first).cast("date"))
-    return reached.select(F.explode(ends).alias("checkpoint"))
+    return reached.select(*keys, F.explode(ends).alias("checkpoint"))
 
 
 def expanding(df: DataFrame, date: str, first: str, sums: dict[str, Column]) -> DataFrame:
