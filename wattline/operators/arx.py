@@ -163,7 +163,8 @@ def fit(sums: DataFrame, specs: dict[str, Spec], keys: Sequence[str] = ()) -> Da
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             out = []
-            for key, n, g in zip(batch[keys].itertuples(index=False), batch["n"], batch["g"]):
+            for i, (n, g) in enumerate(zip(batch["n"], batch["g"])):
+                key = tuple(batch[c].iloc[i] for c in keys)
                 gram = np.asarray(g).reshape(len(names), len(names))
                 for model, spec in specs.items():
                     e = estimate(gram, int(n), names, spec)

@@ -57,3 +57,15 @@ def one_of_each(df: DataFrame, keys: Sequence[str], label: str) -> DataFrame:
         F.raise_error(F.lit(f"{label}: key is not unique")).cast(checked.schema["__row"].dataType),
     ).otherwise(F.col("__row"))
     return checked.select(*keys, guard.alias("__row")).select(*keys, "__row.*")
+
+
+def all_present(columns: Sequence[str]) -> Column:
+    """Every column has a value, as one conjunct per column.
+
+    ``dropna`` builds a single predicate over all columns, which the optimizer
+    rewrites once per subset of computed columns; conjuncts stay linear.
+    """
+    out = F.lit(True)
+    for c in columns:
+        out = out & ref(c).isNotNull()
+    return out

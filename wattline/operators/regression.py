@@ -16,7 +16,7 @@ from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from wattline.operators.frames import ref
+from wattline.operators.frames import all_present, ref
 
 ONE = "__one"
 
@@ -34,9 +34,8 @@ def cross_products(df: DataFrame, keys: Sequence[str], names: Sequence[str]) ->
     any of the names are left out.
     """
     keys, names = list(keys), list(names)
-    rows = df.select(*keys, *[ref(c).cast("double").alias(c) for c in names]).dropna(
-        subset=[f"`{c}`" for c in names]
-    )
+    known = df.where(all_present(names))
+    rows = known.select(*keys, *[ref(c).cast("double").alias(c) for c in names])
 
     def partial(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:

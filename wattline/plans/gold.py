@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wattline.functions.columns import cyclicals, guard_leakage, with_prefix, without_forbidden
+from wattline.operators.frames import all_present
 from wattline.operators.gaps import densify, interpolate_time, lagged
 from wattline.operators.joins import training_window
 
@@ -44,7 +45,7 @@ def model_ready(
     full = full.withColumns(cyclicals(F.col("date"))).withColumn(LAG, lagged("production_mw", 1, keys))
     features = [*components, *CALENDAR, LAG]
     guard_leakage(features)
-    table = full.select(*keys, "date", TARGET, *features).dropna(subset=features)
+    table = full.select(*keys, "date", TARGET, *features).where(all_present(features))
     if train_start is not None or train_end is not None:
         table = training_window(table, train_start, train_end)
     return ModelReady(table, features, [*components, LAG])

@@ -78,14 +78,19 @@ def clean_header(header: str) -> list[str]:
 
 
 def parse_layout(body: DataFrame, columns: list[str]) -> DataFrame:
-    """Split lines into named text cells; null tokens become null, empty rows go."""
+    """Split lines into named text cells; null tokens become null.
+
+    Rows of null tokens only are dropped on the line itself, before it is parsed.
+    """
     schema = ", ".join(f"`{i}` string" for i in range(len(columns)))
     cells = F.from_csv("line", schema, {"sep": "\t", "quote": '"', "mode": "PERMISSIVE"})
     tokens = GRID_NULLS + READER_NULLS
-    rows = body.withColumn("__c", cells).select(
-        *PLACE, *[null_tokens(F.col("__c")[str(i)], tokens).alias(c) for i, c in enumerate(columns)]
+    some = F.exists(F.split("line", "\t"), lambda c: ~F.replace(c, F.lit('"'), F.lit("")).isin(tokens))
+    return (
+        body.where(some)
+        .withColumn("__c", cells)
+        .select(*PLACE, *[null_tokens(F.col("__c")[str(i)], tokens).alias(c) for i, c in enumerate(columns)])
     )
-    return rows.dropna(how="all", subset=[f"`{c}`" for c in columns])
 
 
 def drop_place(df: DataFrame, keep: tuple[str, ...] = ("source_year",)) -> DataFrame:
