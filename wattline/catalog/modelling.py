@@ -240,7 +240,7 @@ def m09(spark, sf):
     )
     parts = reg.cross_products(rows, ["step"], ["one", "x", "y"]).withColumn("all", F.lit(0))
     sums = backtest.running_sums(parts, ["all"], "step", 3)
-    g = F.col("g")
+    g = F.col("products")
     n, sx, sy, sxx, sxy = g[0], g[1], g[2], g[4], g[5]
     slope = (n * sxy - sx * sy) / (n * sxx - sx * sx)
     return sums.select(

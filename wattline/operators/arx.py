@@ -163,7 +163,7 @@ def fit(sums: DataFrame, specs: dict[str, Spec], keys: Sequence[str] = ()) -> Da
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             out = []
-            for i, (n, g) in enumerate(zip(batch["n"], batch["g"])):
+            for i, (n, g) in enumerate(zip(batch["n"], batch["products"])):
                 key = tuple(batch[c].iloc[i] for c in keys)
                 gram = np.asarray(g).reshape(len(names), len(names))
                 for model, spec in specs.items():
@@ -175,7 +175,7 @@ def fit(sums: DataFrame, specs: dict[str, Spec], keys: Sequence[str] = ()) -> Da
                     )
             yield pd.DataFrame(out, columns=columns)
 
-    return sums.select(*keys, "n", "g").mapInPandas(run, key_schema(sums, keys) + FIT_SCHEMA)
+    return sums.select(*keys, "n", "products").mapInPandas(run, key_schema(sums, keys) + FIT_SCHEMA)
 
 
 def dot(names: Sequence[str], weights: str) -> Column:

@@ -29,15 +29,15 @@ def running_sums(parts: DataFrame, keys: Sequence[str], step: str, size: int) ->
     def grow(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(step)
         n, g, out = 0, np.zeros(size * size), []
-        for row_n, row_g in zip(pdf["n"], pdf["g"]):
+        for row_n, row_g in zip(pdf["n"], pdf["products"]):
             if row_g is not None:
                 n, g = n + int(row_n), g + np.asarray(row_g)
             out.append((n, g.copy()))
-        pdf["n"], pdf["g"] = [o[0] for o in out], [o[1] for o in out]
-        return pdf[pdf["n"] > 0][[*keys, step, "n", "g"]]
+        pdf["n"], pdf["products"] = [o[0] for o in out], [o[1] for o in out]
+        return pdf[pdf["n"] > 0][[*keys, step, "n", "products"]]
 
-    schema = key_schema(parts, [*keys, step]) + "n long, g array<double>"
-    rows = parts.select(*keys, step, "n", "g")
+    schema = key_schema(parts, [*keys, step]) + "n long, products array<double>"
+    rows = parts.select(*keys, step, "n", "products")
     return rows.groupBy(*keys).applyInPandas(grow, schema)
 
 

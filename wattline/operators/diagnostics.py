@@ -121,7 +121,7 @@ def adf(df: DataFrame, value: str, keys: Sequence[str] = ()) -> DataFrame:
         for batch in batches:
             out = []
             for row in batch.to_dict("records"):
-                gram = np.asarray(row["g"]).reshape(len(names), len(names))
+                gram = np.asarray(row["products"]).reshape(len(names), len(names))
                 n, top, y = int(row["n"]), int(row["max_lag"]), np.asarray(row["head"])
                 target = len(names) - 1
 
@@ -141,7 +141,7 @@ def adf(df: DataFrame, value: str, keys: Sequence[str] = ()) -> DataFrame:
             yield pd.DataFrame(out, columns=[*keys, "statistic", "p", "lags", "n"])
 
     schema = key_schema(df, keys) + "statistic double, p double, lags int, n long"
-    found = sums.select(*keys, "n", "g", "max_lag", "head").mapInPandas(test, schema)
+    found = sums.select(*keys, "n", "products", "max_lag", "head").mapInPandas(test, schema)
     return found.withColumn("stationary", F.col("p") < 0.05)
 
 

@@ -1,10 +1,9 @@
-"""Exact quantiles with linear interpolation.
+"""Exact quantiles with linear interpolation, for groups of any size.
 
-``exact_quantiles`` serves groups of unbounded size. A first pass brackets every
-requested quantile with a mergeable sketch whose rank error is guaranteed; the
-second pass keeps values only inside the brackets and collapses the rest onto the
-next bracket edge, so ranks stay exact while a group shrinks to a few
-ten-thousandths of its rows before anything is sorted.
+A mergeable sketch proposes cut values around each requested quantile. Rows are
+then counted exactly between the cuts, which tells for certain which narrow slice
+holds each wanted rank; only those slices are sorted. The sketch's error changes
+how thin a slice is, never the answer.
 """
 
 from __future__ import annotations
@@ -17,49 +16,54 @@ from pyspark.sql import functions as F
 from wattline.operators.frames import attach, grouped
 
 ACCURACY = 10_000
+OFFSETS = (2, 20, 200)
 
 
 def exact_quantiles(
     df: DataFrame, keys: Sequence[str], value: str, probs: Sequence[float], name: str = "q"
 ) -> DataFrame:
     """One row per key with ``name``: array of quantiles in the order of ``probs``."""
-    slack = 3.0 / ACCURACY
-    edges = [max(0.0, p - slack) for p in probs] + [min(1.0, p + slack) for p in probs]
+    keys = list(keys)
+    around = [p + side * o / ACCURACY for p in probs for o in OFFSETS for side in (-1, 1)]
+    cuts = sorted({min(1.0, max(0.0, p)) for p in around})
     rows = df.select(*keys, F.col(value).cast("double").alias("__v")).where(F.col("__v").isNotNull())
-    brackets = grouped(
-        rows,
-        keys,
-        F.percentile_approx("__v", edges, ACCURACY).alias("__edges"),
-        F.count("__v").alias("__total"),
+    sketch = grouped(rows, keys, F.percentile_approx("__v", cuts, ACCURACY).alias("__cuts"))
+    edges = [F.col("__cuts")[i] for i in range(len(cuts))]
+    above = [(F.col("__v") > e).cast("int") for e in edges]
+    slice_no = above[0]
+    for a in above[1:]:
+        slice_no = slice_no + a
+    sliced = attach(rows, sketch, keys).select(*keys, "__v", slice_no.alias("__slice"))
+
+    order = Window.partitionBy(*keys).orderBy("__slice")
+    counts = sliced.groupBy(*keys, "__slice").agg(F.count(F.lit(1)).alias("__n"))
+    placed = counts.select(
+        *keys,
+        "__slice",
+        "__n",
+        (F.sum("__n").over(order) - F.col("__n")).alias("__before"),
+        F.sum("__n").over(Window.partitionBy(*keys)).alias("__total"),
     )
-    m = len(probs)
-    v = F.col("__v")
-    low = [F.col("__edges")[i] for i in range(m)]
-    high = [F.col("__edges")[m + i] for i in range(m)]
-    inside = F.lit(False)
-    for lo, hi in zip(low, high):
-        inside = inside | v.between(lo, hi)
-    above = [F.when(lo > v, lo) for lo in low]
-    next_edge = F.least(*above) if m > 1 else above[0]
-    collapsed = F.when(inside, v).otherwise(F.coalesce(next_edge, F.lit(float("inf"))))
-    freq = (
-        attach(rows, brackets, keys)
-        .withColumn("__v", collapsed)
-        .groupBy(*keys, "__v")
-        .agg(F.count(F.lit(1)).alias("__n"), F.first("__total").alias("__total"))
+    at = [F.lit(float(p)) * (F.col("__total") - 1) for p in probs]
+    ranks = [f(a).cast("long") for a in at for f in (F.floor, F.ceil)]
+    holds = F.lit(False)
+    for r in ranks:
+        holds = holds | ((F.col("__before") <= r) & (r < F.col("__before") + F.col("__n")))
+    needed = placed.where(holds).select(*keys, "__slice", "__before", "__total")
+
+    values = sliced.join(needed, [*keys, "__slice"])
+    freq = values.groupBy(*keys, "__slice", "__v").agg(
+        F.count(F.lit(1)).alias("__n"), F.first("__before").alias("__before"), F.first("__total").alias("__total")
     )
-    order = Window.partitionBy(*keys).orderBy("__v")
-    ranked = freq.withColumn("__upto", F.sum("__n").over(order.rowsBetween(Window.unboundedPreceding, 0)))
+    inside = Window.partitionBy(*keys, "__slice").orderBy("__v").rowsBetween(Window.unboundedPreceding, 0)
+    ranked = freq.withColumn("__upto", F.col("__before") + F.sum("__n").over(inside))
     picks = []
-    for i, p in enumerate(probs):
-        at = F.lit(float(p)) * (F.col("__total") - 1)
-        for side, rank in (("l", F.floor(at)), ("h", F.ceil(at))):
-            hit = (F.col("__upto") > rank) & (F.col("__upto") - F.col("__n") <= rank)
-            picks.append(F.max(F.when(hit, F.col("__v"))).alias(f"__{side}{i}"))
+    for i, r in enumerate(ranks):
+        hit = (F.col("__upto") > r) & (F.col("__upto") - F.col("__n") <= r)
+        picks.append(F.max(F.when(hit, F.col("__v"))).alias(f"__r{i}"))
     found = grouped(ranked, keys, F.max("__total").alias("__total"), *picks)
     out = []
-    for i, p in enumerate(probs):
-        at = F.lit(float(p)) * (F.col("__total") - 1)
-        lo, hi = F.col(f"__l{i}"), F.col(f"__h{i}")
-        out.append(lo + (hi - lo) * (at - F.floor(at)))
+    for i, a in enumerate(at):
+        lo, hi = F.col(f"__r{2 * i}"), F.col(f"__r{2 * i + 1}")
+        out.append(lo + (hi - lo) * (a - F.floor(a)))
     return found.select(*keys, F.array(*out).alias(name))

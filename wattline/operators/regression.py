@@ -27,7 +27,7 @@ def key_schema(df: DataFrame, keys: Sequence[str]) -> str:
 
 
 def cross_products(df: DataFrame, keys: Sequence[str], names: Sequence[str]) -> DataFrame:
-    """One row per key: ``n`` and ``g``, the flattened matrix of sums over ``names``.
+    """One row per key: ``n`` and ``products``, the flattened matrix of sums over ``names``.
 
     Each Arrow batch gives one partial sum per key it holds, so a key with a third
     of all rows sends one small array per batch to the merge. Rows with a null in
@@ -46,10 +46,10 @@ def cross_products(df: DataFrame, keys: Sequence[str], names: Sequence[str]) ->
             for key, part in groups:
                 x = part[names].to_numpy(dtype=float)
                 out.append((*key, len(x), (x.T @ x).ravel()))
-            yield pd.DataFrame(out, columns=[*keys, "n", "g"])
+            yield pd.DataFrame(out, columns=[*keys, "n", "products"])
 
-    sums = rows.mapInPandas(partial, key_schema(df, keys) + "n long, g array<double>")
-    merged = [F.sum("n").alias("n"), vector_to_array(Summarizer.sum(array_to_vector("g"))).alias("g")]
+    sums = rows.mapInPandas(partial, key_schema(df, keys) + "n long, products array<double>")
+    merged = [F.sum("n").alias("n"), vector_to_array(Summarizer.sum(array_to_vector("products"))).alias("products")]
     return sums.groupBy(*keys).agg(*merged) if keys else sums.agg(*merged).where(F.col("n") > 0)
 
 
@@ -91,7 +91,7 @@ def least_squares(
         for batch in batches:
             out = []
             for row in batch.itertuples(index=False):
-                gram = np.asarray(row.g).reshape(len(names), len(names))
+                gram = np.asarray(row.products).reshape(len(names), len(names))
                 s = solve(gram, row.n, list(range(len(terms))), len(names) - 1)
                 for i, term in enumerate(terms):
                     b, se = float(s["coef"][i]), float(s["se"][i])
@@ -101,14 +101,14 @@ def least_squares(
             yield pd.DataFrame(out, columns=[*keys, "term", "coef", "se", "z", "p", "rss", "rank", "n"])
 
     schema = key_schema(df, keys) + "term string, coef double, se double, z double, p double, rss double, rank int, n long"
-    return sums.select(*keys, "n", "g").mapInPandas(reorder(fit, keys), schema)
+    return sums.select(*keys, "n", "products").mapInPandas(reorder(fit, keys), schema)
 
 
 def reorder(fn, keys: Sequence[str]):
-    """Feed ``fn`` batches whose columns are the keys, then n and g."""
+    """Feed ``fn`` batches whose columns are the keys, then n and products."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        return fn(b[[*keys, "n", "g"]] for b in batches)
+        return fn(b[[*keys, "n", "products"]] for b in batches)
 
     return run
 
