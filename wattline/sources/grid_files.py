@@ -10,13 +10,8 @@ from pyspark.sql import functions as F
 from wattline.functions.columns import GRID_NULLS, READER_NULLS, null_tokens
 from wattline.operators.frames import ref
 from wattline.operators.joins import union_all_columns
-from wattline.sources.lines import (
-    decode_files,
-    fail_when_all_rejected,
-    read_lines,
-    split_rejects,
-    with_line_number,
-)
+from wattline.session import cut
+from wattline.sources.lines import decoded, describe_files, fail_when_all_rejected, read_lines
 
 YEAR_IN_NAME = r"(\d{4})\.xls$"
 PLACE = ["path", "source_file", "chunk", "row", "source_year"]
@@ -39,24 +34,27 @@ def read_grid_text(
 ) -> GridText:
     """Read every file of a folder, skipping the unreadable ones.
 
-    Files that share a header line are parsed together, so the plan has one
+    One pass describes the files (encoding, header, verdict) and is kept as a small
+    table; one more parses the lines. Files that share a header line are parsed together, so the plan has one
     branch per layout, not per file.
     """
-    lines = with_line_number(decode_files(read_lines(spark, path, glob)).where(F.col("line") != ""))
+    raw = read_lines(spark, path, glob)
     year = F.regexp_extract("path", year_pattern, 1).try_cast("int")
-    headers = (
-        lines.groupBy("path", "source_file")
-        .agg(F.min_by("line", "line_no").alias("header"))
-        .withColumn("source_year", year)
-    )
     reason = F.when(F.col("source_year").isNull(), "no year in file name").when(
         ~F.col("header").contains("\t"), "fewer than two columns"
     )
-    verdict = headers.withColumn("reason", reason)
-    fail_when_all_rejected(verdict, "yearly grid")
-    good, rejects = split_rejects(verdict, verdict)
+    files = cut(
+        describe_files(raw).withColumn("source_year", year).withColumn("reason", reason), "grid-files"
+    )
+    fail_when_all_rejected(files, "yearly grid")
+    good, rejects = files.where(F.col("reason").isNull()), files.where(F.col("reason").isNotNull())
     layouts = [r.header for r in good.select("header").distinct().collect()]
-    body = lines.where(F.col("line_no") > 0).join(good.select("path", "source_year", "header"), "path")
+    after_header = F.struct("chunk", "row") > F.struct("first.chunk", "first.row")
+    body = (
+        raw.join(good.drop("source_file", "reason"), "path")
+        .where(after_header & (F.col("line") != ""))
+        .withColumn("line", decoded(F.col("line")))
+    )
     frames, names = [], []
     for header in sorted(layouts):
         columns = clean_header(header)

@@ -58,16 +58,28 @@ def cp1252(raw: Column) -> Column:
     return F.translate(latin1(raw), "".join(map(chr, CP1252_BYTES)), CP1252_CHARS)
 
 
-def decode_files(lines: DataFrame) -> DataFrame:
-    """Decode each file as UTF-8, else windows-1252, else Latin-1, by all its lines."""
-    checks = lines.groupBy("path").agg(
-        F.bool_and(F.is_valid_utf8("line")).alias("__utf8"),
-        F.bool_or(latin1(F.col("line")).rlike(UNDEFINED)).alias("__odd"),
+def decoded(raw: Column) -> Column:
+    """Text of a line by its file's encoding flags ``utf8`` and ``odd``."""
+    text = F.when(F.col("utf8"), raw).when(F.col("odd"), latin1(raw)).otherwise(cp1252(raw))
+    return F.regexp_replace(text, "^\ufeff|\r$", "")
+
+
+def describe_files(lines: DataFrame) -> DataFrame:
+    """One row per file: its encoding flags and its first line that is not empty.
+
+    A file is UTF-8 when every line is, else windows-1252 unless it uses a byte
+    that encoding leaves undefined, else Latin-1. All of it is one aggregate with
+    map-side combine, so a huge file is described by many tasks.
+    """
+    place = F.when(F.col("line") != "", F.struct("chunk", "row", "line"))
+    files = lines.groupBy("path", "source_file").agg(
+        F.bool_and(F.is_valid_utf8("line")).alias("utf8"),
+        F.bool_or(latin1(F.col("line")).rlike(UNDEFINED)).alias("odd"),
+        F.min(place).alias("first"),
+    )
+    return files.withColumn("header", decoded(F.col("first.line"))).withColumn(
+        "first", F.struct("first.chunk", "first.row")
     )
-    line = F.col("line")
-    text = F.when(F.col("__utf8"), line).when(F.col("__odd"), latin1(line)).otherwise(cp1252(line))
-    clean = F.regexp_replace(text, "^\ufeff|\r$", "")
-    return lines.join(checks, "path").withColumn("line", clean).drop("__utf8", "__odd")
 
 
 def split_rejects(rows: DataFrame, verdict: DataFrame, key: str = "path") -> tuple[DataFrame, DataFrame]:

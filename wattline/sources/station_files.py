@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from wattline.functions.columns import STATION_NULLS, null_tokens
 from wattline.functions.grid_rules import NUMBER
 from wattline.operators.ordered import keep_last
+from wattline.session import cut
 from wattline.sources.lines import (
     fail_when_all_rejected,
     read_lines,
@@ -67,7 +68,7 @@ def read_station_files(
     bad = body.groupBy("path").agg(F.bool_or("bad").alias("bad"))
     station = F.regexp_extract("path", station_pattern, 1)
     names = F.split("header", ";")
-    verdict = headers.join(bad, "path", "left").select(
+    judged = headers.join(bad, "path", "left").select(
         "path",
         station.alias("station"),
         F.when(station == "", "no station id in file name")
@@ -75,6 +76,7 @@ def read_station_files(
         .when(F.col("bad"), "value is not a number")
         .alias("reason"),
     )
+    verdict = cut(judged, "station-files")
     fail_when_all_rejected(verdict, "station")
     good, rejects = split_rejects(verdict, verdict)
     dated = body.where(F.col("date").isNotNull()).join(good.select("path"), "path", "left_semi")
