@@ -33,7 +33,7 @@ def gold(spark, sf) -> ModelReady:
         .join(temperature, "date")
         .select("date", F.col("y").alias(TARGET), F.col("production").alias("production_mw"), "temp_pc_01")
     )
-    return model_ready(silver)
+    return model_ready(cut(silver, "silver"))
 
 
 def base_spec() -> arx.Spec:
@@ -306,7 +306,7 @@ def m14(spark, sf):
 @query("m15_batch_scoring")
 def m15(spark, sf):
     """Requests of every day scored by the run they name."""
-    silver, fit = build_silver(src.grid(spark, sf), src.stations(spark, sf, "region"))
+    silver, fit = build_silver(src.grid(spark, sf), cut(src.stations(spark, sf, "region"), "stations"))
     table = model_ready(cut(silver, "silver"))
     spec = training.default_spec()
     _, fits, rows = training.historical_runs(table, spec, src.FIRST_CHECKPOINT)

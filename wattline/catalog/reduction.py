@@ -34,7 +34,7 @@ VIEWS["region_z"] = (
 
 
 def region_columns(spark, sf):
-    return red.impute_columns(red.station_columns(src.stations(spark, sf, "region")))
+    return red.impute_columns(cut(red.station_columns(src.stations(spark, sf, "region")), "region"))
 
 
 @query("p01_standardise", 'SELECT date, col AS "column", round(z, 6) + 0.0 AS value FROM region_z', "region_z")
@@ -62,7 +62,7 @@ def p02(spark, sf):
 
 @query("p03_components")
 def p03(spark, sf):
-    features, _ = temperature_features(src.stations(spark, sf), src.daily(spark, sf))
+    features, _ = temperature_features(cut(src.stations(spark, sf), "stations"), src.daily(spark, sf))
     return features
 
 
@@ -150,7 +150,7 @@ def x03_join(spark, sf):
 
 @query("x03_silver")
 def x03(spark, sf):
-    silver, _ = build_silver(src.grid(spark, sf), src.stations(spark, sf))
+    silver, _ = build_silver(src.grid(spark, sf), cut(src.stations(spark, sf), "stations"))
     return silver
 
 
@@ -179,6 +179,6 @@ def x04(spark, sf):
     low = src.stations(spark, sf, "region").where(F.col("variable") == "TN")
     temperature = low.groupBy("date").agg(F.min("value").alias("temp_pc_01"))
     silver = daily_grid(src.grid(spark, sf)).join(temperature, "date").where(F.dayofmonth("date") != 17)
-    gold = model_ready(silver, "1996-01-01", "2000-12-31")
+    gold = model_ready(cut(silver, "silver"), "1996-01-01", "2000-12-31")
     names = ["consommation_mw", "temp_pc_01", "dow_sin", "production_mw_lag1"]
     return rounded(gold.table, 6, *names).select("date", *names, "is_weekend")

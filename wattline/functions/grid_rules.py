@@ -62,20 +62,31 @@ def coerce_mostly_numeric(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.withColumns({c: parsed(ref(c)) for c in typing_plan(df, columns)})
 
 
-def coerce_per_file(df: DataFrame, columns: Sequence[str], file: str) -> DataFrame:
-    """The typing rule decided file by file.
+def column_facts(df: DataFrame, columns: Sequence[str], file: str) -> DataFrame:
+    """Per file and column: does it hold a value, and is it mostly numeric; one pass."""
+    facts = [(F.count(ref(c)) > 0).alias(f"__has_{c}") for c in columns]
+    facts += [F.coalesce(numeric_enough(c), F.lit(False)).alias(f"__num_{c}") for c in columns]
+    return df.groupBy(file).agg(*facts)
+
+
+def coerce_per_file(df: DataFrame, facts: DataFrame, columns: Sequence[str], file: str) -> DataFrame:
+    """Drop the columns no file fills and apply the typing rule decided file by file.
 
     A column that is numeric in one file and text in another stays text here;
     in files where the rule holds its text is the parsed number's.
     """
-    flags = df.groupBy(file).agg(*[numeric_enough(c).alias(f"__num_{c}") for c in columns])
-    every = flags.agg(*[F.bool_and(F.coalesce(ref(f"__num_{c}"), F.lit(True))).alias(c) for c in columns]).first()
-    some = flags.agg(*[F.bool_or(ref(f"__num_{c}")).alias(c) for c in columns]).first()
-    out = df.join(flags, file)
-    for c in columns:
-        flag = ref(f"__num_{c}")
-        if every[c] and some[c]:
-            out = out.withColumn(c, parsed(ref(c)))
-        elif some[c]:
-            out = out.withColumn(c, F.when(flag, parsed(ref(c)).cast("string")).otherwise(ref(c)))
-    return out.drop(*[f"__num_{c}" for c in columns])
+    has, num = (lambda c: ref(f"__has_{c}")), (lambda c: ref(f"__num_{c}"))
+    found = facts.agg(
+        *[F.bool_or(has(c)).alias(f"any_{c}") for c in columns],
+        *[F.bool_or(num(c)).alias(f"some_{c}") for c in columns],
+        *[F.bool_and(num(c) | ~has(c)).alias(f"every_{c}") for c in columns],
+    ).first()
+    kept = [c for c in columns if found[f"any_{c}"]]
+    typed = {c: parsed(ref(c)) for c in kept if found[f"every_{c}"]}
+    mixed = [c for c in kept if found[f"some_{c}"] and c not in typed]
+    out = df.drop(*[c for c in columns if c not in kept]).withColumns(typed)
+    if not mixed:
+        return out
+    joined = out.join(facts.select(file, *[num(c) for c in mixed]), file)
+    text = {c: F.when(num(c), parsed(ref(c)).cast("string")).otherwise(ref(c)) for c in mixed}
+    return joined.withColumns(text).drop(*[f"__num_{c}" for c in mixed])

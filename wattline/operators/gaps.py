@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from wattline.operators.frames import by_date, grouped
+from wattline.operators.frames import by_date, grouped, ref
 
 
 def calendar(df: DataFrame, keys: Sequence[str] = (), date: str = "date") -> DataFrame:
@@ -21,14 +21,35 @@ def calendar(df: DataFrame, keys: Sequence[str] = (), date: str = "date") -> Dat
     return span.where(F.col("__lo").isNotNull()).select(*keys, days)
 
 
+def days_until_next(keys: Sequence[str] = (), date: str = "date") -> Column:
+    """Last day before the next row of the series, or the row's own day at the end."""
+    return F.coalesce(F.date_sub(F.lead(date).over(by_date(keys, date)), 1), F.col(date))
+
+
 def densify(df: DataFrame, keys: Sequence[str] = (), date: str = "date") -> DataFrame:
-    """One row per calendar day; new days are null."""
-    return calendar(df, keys, date).join(df, [*keys, date], "left").select(*df.columns)
+    """One row per calendar day; new days are null.
+
+    Each row opens the days up to the next row itself, so the input is read once
+    and shuffled once, on the key the windows that follow need as well.
+    """
+    known = df.where(F.col(date).isNotNull())
+    ends = known.withColumn("__end", days_until_next(keys, date))
+    days = F.explode(F.sequence(F.col(date), F.greatest("__end", date))).alias("__day")
+    rows = ends.select("*", days)
+    own = F.col("__day") == F.col(date)
+    cells = [
+        F.col("__day").alias(c) if c == date else ref(c) if c in keys else F.when(own, ref(c)).alias(c)
+        for c in df.columns
+    ]
+    return rows.select(*cells)
 
 
 def missing_dates(df: DataFrame, keys: Sequence[str] = (), date: str = "date") -> DataFrame:
     """Calendar days of the covered span that have no row."""
-    return calendar(df, keys, date).join(df.select(*keys, date), [*keys, date], "left_anti")
+    known = df.where(F.col(date).isNotNull()).select(*keys, date)
+    ends = known.withColumn("__end", days_until_next(keys, date)).where(F.col("__end") > F.col(date))
+    gap = F.explode(F.sequence(F.date_add(date, 1), F.col("__end"))).alias(date)
+    return ends.select(*keys, gap)
 
 
 def interpolate_time(

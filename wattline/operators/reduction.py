@@ -78,7 +78,7 @@ def fit_components(filled: DataFrame, k: int | None = None) -> Components:
     matrix of station columns squared, bounded by the station list.
     """
     spark = filled.sparkSession
-    scaler = column_stats(filled, ["column"])
+    scaler = cut(column_stats(filled, ["column"]), "scaler")
     names = [r["column"] for r in scaler.select("column").orderBy("column").collect()]
     k = len(names) if k is None else min(k, len(names))
     z = standardise(filled, scaler, ["column"])

@@ -6,18 +6,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wattline.functions.columns import build_stamp
-from wattline.functions.grid_rules import alternating, coerce_per_file, drop_empty_columns
+from wattline.functions.grid_rules import alternating, coerce_per_file, column_facts
 from wattline.operators.frames import ref
 from wattline.operators.joins import wide_by_station
 from wattline.operators.ordered import fill, positions
 from wattline.session import cut
-from wattline.sources.grid_files import PLACE, GridText, drop_place
+from wattline.sources.grid_files import GridText, drop_place
 
 
 def backfill_alternating(df: DataFrame, columns: list[str], file: str = "path") -> DataFrame:
     """Backward fill, file by file, of the columns missing on every other row of that file."""
     placed = positions(df, [file], "chunk", "row")
-    flags = placed.groupBy(file).agg(*[alternating(f"{c}").alias(f"__alt_{c}") for c in columns])
+    flags = cut(placed.groupBy(file).agg(*[alternating(c).alias(f"__alt_{c}") for c in columns]), "gap-flags")
     anywhere = flags.agg(*[F.bool_or(ref(f"__alt_{c}")).alias(c) for c in columns]).first()
     chosen = [c for c in columns if anywhere[c]]
     if not chosen:
@@ -33,14 +33,13 @@ def backfill_alternating(df: DataFrame, columns: list[str], file: str = "path")
 def grid_bronze(text: GridText) -> DataFrame:
     """Typed, back-filled, stamped and de-duplicated grid rows of all years.
 
-    Three statistics jobs choose columns from the data, so the parsed text is cut
+    Two statistics jobs choose columns from the data, so the parsed text is cut
     to a table first and read from there.
     """
     cells = cut(text.cells, "grid-cells")
-    cells = drop_empty_columns(cells, keep=PLACE)
-    columns = [c for c in text.columns if c in cells.columns]
-    typed = coerce_per_file(cells, columns, "path")
-    filled = backfill_alternating(typed, columns)
+    facts = cut(column_facts(cells, text.columns, "path"), "column-facts")
+    typed = coerce_per_file(cells, facts, text.columns, "path")
+    filled = backfill_alternating(typed, [c for c in text.columns if c in typed.columns])
     stamped = build_stamp(filled)
     return drop_place(stamped).dropDuplicates()
 
