@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from wattline.catalog.aggregates import rounded
-from wattline.catalog.registry import query
+from wattline.catalog.registry import VIEWS, query
 from wattline.functions.columns import cyclicals
 from wattline.operators import arx, backtest, diagnostics, peaks, rolling
 from wattline.operators import regression as reg
@@ -344,3 +344,142 @@ def x06(spark, sf):
     insample = cut(run.insample, "insample")
     log, _ = backtest.recursive_evaluation(run.rows, run.fits, base_spec())
     return monitoring_report(insample, cut(run.run, "run"), cut(log, "recursive"))
+
+
+# One feature and no lag terms: small enough for SQL to solve, so the same code
+# paths as above are checked value by value.
+VIEWS["mx"] = (
+    "filled prod",
+    "SELECT f.date, f.y, p.x, row_number() OVER (ORDER BY f.date) - 1 AS pos, count(*) OVER () AS n FROM filled f"
+    " JOIN (SELECT date, lag(production) OVER (ORDER BY date) AS x FROM prod) p ON p.date = f.date WHERE x IS NOT NULL",
+)
+VIEWS["md"] = (
+    "mx",
+    "SELECT *, y - lag(y, 7) OVER (ORDER BY date) AS w, x - lag(x, 7) OVER (ORDER BY date) AS z FROM mx",
+)
+VIEWS["mb"] = ("md", "SELECT sum(z * w) / sum(z * z) AS b FROM md WHERE pos >= 8")
+VIEWS["mruns"] = (
+    "half_years md",
+    "SELECT checkpoint, strftime(checkpoint, '%Y%m%d') || 'T000000Z' AS run_id, sum(z * w) / sum(z * z) AS b FROM half_years"
+    " JOIN md ON md.date <= checkpoint AND pos >= 8 WHERE checkpoint <= (SELECT max(date) FROM md) GROUP BY 1, 2",
+)
+LINE = arx.Spec(order=(0, 0, 0), seasonal=(0, 1, 0, 7), features=("production_mw_lag1",), long_ar=1)
+
+
+def line_gold(spark, sf) -> ModelReady:
+    made = interpolate_time(densify(src.prod(spark, sf)), ["production"])
+    x = made.select("date", lagged("production", 1).alias("production_mw_lag1")).where("production_mw_lag1 is not null")
+    table = src.filled(spark, sf).withColumnRenamed("y", TARGET).join(x, "date")
+    return ModelReady(cut(table, "line"), ["production_mw_lag1"], ["production_mw_lag1"])
+
+
+def line_run(spark, sf):
+    return training.train(line_gold(spark, sf), LINE, "20010801T000000Z")
+
+
+@query(
+    "m03_fit_line",
+    "SELECT count(*) AS n, round(any_value(b), 8) AS coef, round(sqrt(sum((w - b * z) * (w - b * z)) / count(*)), 3) AS sigma FROM md, mb WHERE pos >= 8",
+    "md mb",
+)
+def m03_line(spark, sf):
+    sigma = F.sqrt(F.col("rss") / F.col("n"))
+    return line_run(spark, sf).fits.select(
+        "n", F.round(F.col("coef")[0], 8).alias("coef"), F.round(sigma, 3).alias("sigma")
+    )
+
+
+@query(
+    "m05_fitted_line",
+    "SELECT date, y AS actual, round(y - w + b * z, 4) AS fitted FROM md, mb WHERE pos >= 7",
+    "md mb",
+)
+def m05_line(spark, sf):
+    return rounded(line_run(spark, sf).insample.select("date", "actual", "fitted"), 4, "fitted")
+
+
+@query(
+    "m06_recursive_line",
+    """
+SELECT o.date AS start_date, CAST(h AS INTEGER) AS horizon, t.y AS actual, round(t.y - t.w + b * t.z, 4) AS predicted
+FROM md o, generate_series(1, 7) AS g(h), mb, md t
+WHERE t.pos = o.pos + h AND o.pos >= greatest(0, o.n - 365 - 7) AND o.pos < o.n - 7 AND (o.pos - greatest(0, o.n - 365 - 7)) % 14 = 0
+""",
+    "md mb",
+)
+def m06_line(spark, sf):
+    run = line_run(spark, sf)
+    log, _ = backtest.recursive_evaluation(run.rows, run.fits, LINE, horizon=7)
+    return rounded(log.select("start_date", "horizon", "actual", "predicted"), 4, "predicted")
+
+
+@query(
+    "m07_walk_forward_line",
+    """
+, plan AS (SELECT pos, date, y, w, z, greatest(730, n - 1000) AS first, (pos - greatest(730, n - 1000)) // 30 AS step FROM md),
+refits AS (SELECT s.step, sum(t.z * t.w) / sum(t.z * t.z) AS b FROM (SELECT DISTINCT step, first FROM plan WHERE pos >= first) s
+  JOIN md t ON t.pos >= 8 AND t.pos < s.first + 30 * s.step GROUP BY 1)
+SELECT date AS target_date, y AS actual, round(y - w + b * z, 4) AS predicted FROM plan JOIN refits USING (step) WHERE pos >= first
+""",
+    "md",
+)
+def m07_line(spark, sf):
+    rows = training.design_table(line_gold(spark, sf), LINE)
+    log = backtest.walk_forward(rows, LINE, {"line": LINE}, horizons=(1,))
+    return rounded(log.select("target_date", "actual", "predicted"), 4, "predicted")
+
+
+@query(
+    "m11_backfill_line",
+    """
+SELECT run_id, count(*) AS n_training_days, round(avg(abs(e)), 2) AS mae, round(sqrt(avg(e * e)), 2) AS rmse, round(avg(abs(e) / y) * 100, 4) AS mape,
+  min(date) AS training_start, max(date) AS training_end
+FROM (SELECT run_id, date, y, b * z - w AS e FROM mruns JOIN md ON md.date <= checkpoint AND pos >= 7) AS r GROUP BY 1
+""",
+    "mruns md",
+)
+def m11_line(spark, sf):
+    found, _, _ = training.historical_runs(line_gold(spark, sf), LINE, src.FIRST_CHECKPOINT)
+    return found.select("run_id", "n_training_days", "mae", "rmse", "mape", "training_start", "training_end")
+
+
+@query(
+    "m15_batch_scoring_line",
+    """
+, asked AS (SELECT date, production_mw_lag1 AS x, coalesce(run_id, (SELECT max(run_id) FROM mruns)) AS run_id FROM requests)
+SELECT a.date, a.run_id, round(p.y - p.w + b * (a.x - (p.x - p.z)), 4) AS prediction,
+  CASE WHEN r.run_id IS NULL THEN 'run not found: ' || a.run_id WHEN a.x IS NULL THEN 'features not supplied: production_mw_lag1' END AS error
+FROM asked a LEFT JOIN mruns r ON r.run_id = a.run_id LEFT JOIN md p ON p.date = r.checkpoint + 1
+""",
+    "requests mruns md",
+)
+def m15_line(spark, sf):
+    table = line_gold(spark, sf)
+    _, fits, rows = training.historical_runs(table, LINE, src.FIRST_CHECKPOINT)
+    runs = cut(training.with_scaler(training.scoring_state(rows, fits, LINE), table.table, LINE), "scoring-state")
+    out = training.score_requests(src.requests(spark, sf), runs, None)
+    return rounded(out.select("date", "run_id", "prediction", "error"), 4, "prediction")
+
+
+VIEWS["kx"] = (
+    "keyed_filled",
+    "SELECT series, row_number() OVER (PARTITION BY series ORDER BY date) AS pos, count(*) OVER (PARTITION BY series) AS n,"
+    " y - avg(y) OVER (PARTITION BY series) AS v FROM keyed_filled",
+)
+KPSS_SQL = """
+, ac AS (SELECT a.series, k, any_value(a.n) AS n, sum(a.v * b.v) AS s FROM kx a, generate_series(0, 120) AS g(k), kx b
+  WHERE b.series = a.series AND b.pos = a.pos + k GROUP BY 1, 2),
+raw AS (SELECT series, any_value(n) AS n, sum(CASE WHEN k = 0 THEN s ELSE 2 * s END) AS s0, sum(2 * k * s) AS s1 FROM ac WHERE k <= floor(pow(n, 2 / 9)) GROUP BY 1),
+pick AS (SELECT series, CAST(least(floor(1.1447::DOUBLE * pow(pow(s1 / s0, 2), 1 / 3) * pow(n, 1 / 3)), n - 1) AS INTEGER) AS lags FROM raw),
+var AS (SELECT ac.series, any_value(lags) AS lags, any_value(n) AS n, sum(CASE WHEN k = 0 THEN s ELSE 2 * s * (1 - k / (lags + 1)) END) / any_value(n) AS v
+  FROM ac JOIN pick ON pick.series = ac.series WHERE k <= lags GROUP BY 1),
+cum AS (SELECT series, sum(v) OVER (PARTITION BY series ORDER BY pos) AS c FROM kx)
+SELECT cum.series, any_value(lags) AS lags, any_value(n) AS n, round(sum(c * c) / any_value(n) / any_value(n) / any_value(v), 6) AS statistic
+FROM cum JOIN var ON var.series = cum.series GROUP BY 1
+"""
+
+
+@query("d04_kpss_statistic", KPSS_SQL, "kx")
+def d04_statistic(spark, sf):
+    out = diagnostics.kpss(cut(keyed_filled(spark, sf), "series"), "y", ["series"])
+    return rounded(out.select("series", "lags", "n", "statistic"), 6, "statistic")

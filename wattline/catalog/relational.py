@@ -18,7 +18,9 @@ from wattline.plans.silver import join_one_to_one
     "prod daily",
 )
 def f01(spark, sf):
-    return joins.within_span(src.prod(spark, sf), src.daily(spark, sf))
+    orders = src.table(spark, sf, "orders").select(F.col("o_orderdate").cast("date").alias("date"))
+    rows = joins.within_days(src.table(spark, sf, "lineitem"), "l_shipdate", orders)
+    return src.production_per_day(rows)
 
 
 @query(

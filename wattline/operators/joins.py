@@ -20,6 +20,17 @@ def within_span(df: DataFrame, other: DataFrame, date: str = "date") -> DataFram
     return df.where(F.col(date).between(span["lo"], span["hi"]))
 
 
+def within_days(df: DataFrame, stamp: str, other: DataFrame, date: str = "date") -> DataFrame:
+    """Rows whose timestamp lies on a day inside the span of ``other``.
+
+    The bare timestamp is compared, not its date, so row groups can be skipped.
+    """
+    ends = F.struct(F.min(date).alias("lo"), F.date_add(F.max(date), 1).alias("hi"))
+    span = other.agg(ends.alias("s")).scalar()
+    kind = df.schema[stamp].dataType
+    return df.where((F.col(stamp) >= span["lo"].cast(kind)) & (F.col(stamp) < span["hi"].cast(kind)))
+
+
 def training_window(
     df: DataFrame, start: str | None = None, end: str | None = None, date: str = "date"
 ) -> DataFrame:

@@ -52,13 +52,15 @@ def daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def production_per_day(lineitem: DataFrame) -> DataFrame:
+    return lineitem.groupBy(F.col("l_shipdate").cast("date").alias("date")).agg(
+        (F.sum(cents("l_extendedprice")).cast("double") / 100.0).alias("production")
+    )
+
+
 def prod(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Shipped value per day: the production series."""
-    return (
-        table(spark, sf_dir, "lineitem")
-        .groupBy(F.col("l_shipdate").cast("date").alias("date"))
-        .agg((F.sum(cents("l_extendedprice")).cast("double") / 100.0).alias("production"))
-    )
+    return production_per_day(table(spark, sf_dir, "lineitem"))
 
 
 def stations(spark: SparkSession, sf_dir: str, area: str = "nation") -> DataFrame:
