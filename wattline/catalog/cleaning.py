@@ -12,9 +12,9 @@ from wattline.operators.metrics import residual_statistics
 from wattline.plans import adapters as src
 
 
-@query("t01_clean_names", 'SELECT r_regionkey AS "region key", r_name AS name FROM region')
+@query("t01_clean_names", 'SELECT c_custkey AS "customer key", c_name AS name FROM customer')
 def t01(spark, sf):
-    raw = src.table(spark, sf, "region").toDF(" region\nkey ", "name\n")
+    raw = src.table(spark, sf, "customer").select("c_custkey", "c_name").toDF(" customer\nkey ", "name\n")
     return col.clean_names(raw)
 
 
@@ -135,13 +135,14 @@ def t10(spark, sf):
 @query(
     "t11_parse_list",
     """
-SELECT r_regionkey, list_filter(list_transform(string_split(' temp, ,' || r_name || ', lag ', ','), lambda x: trim(x)), lambda x: x <> '') AS parts FROM region
-""".replace("list_filter(", "array_to_string(list_filter(").replace("x <> '')", "x <> ''), '|')"),
+SELECT c_custkey, array_to_string(list_filter(list_transform(string_split(' temp, ,' || c_mktsegment || ', lag ', ','),
+  lambda x: trim(x)), lambda x: x <> ''), '|') AS parts FROM customer
+""",
 )
 def t11(spark, sf):
-    raw = F.concat(F.lit(" temp, ,"), F.col("r_name"), F.lit(", lag "))
-    return src.table(spark, sf, "region").select(
-        "r_regionkey", F.concat_ws("|", col.parse_list_column(raw)).alias("parts")
+    raw = F.concat(F.lit(" temp, ,"), F.col("c_mktsegment"), F.lit(", lag "))
+    return src.table(spark, sf, "customer").select(
+        "c_custkey", F.concat_ws("|", col.parse_list_column(raw)).alias("parts")
     )
 
 

@@ -85,10 +85,10 @@ def s02(spark, sf):
     return both_variables(spark, sf).withColumn("value", F.col("value").cast("double"))
 
 
-@query("s03_input_files", "SELECT CAST(count(*) AS BIGINT) AS n_lines FROM region")
+@query("s03_input_files", "SELECT CAST(count(*) AS BIGINT) AS n_lines FROM customer")
 def s03(spark, sf):
-    path = work_path(spark, "regions")
-    src.table(spark, sf, "region").select("r_name").write.text(path)
+    path = work_path(spark, "names")
+    src.table(spark, sf, "customer").select("c_name").write.text(path)
     return read_lines(spark, path, "*.txt").agg(F.count(F.lit(1)).alias("n_lines"))
 
 

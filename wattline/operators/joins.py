@@ -40,7 +40,7 @@ def training_window(
     if end is not None:
         df = df.where(F.col(date) <= F.lit(end).cast("date"))
     if df.isEmpty():
-        raise ValueError(f"No training data in the requested range [{start}, {end}]")
+        raise ValueError(f"the training window from {start} to {end} holds no rows")
     return df
 
 

@@ -33,10 +33,11 @@ def shared_root(spark: SparkSession) -> str:
     setting gets a fresh temporary folder, since driver and executors then share
     one machine; anywhere else a missing setting is an error.
     """
-    root = spark.conf.get(CHECKPOINT_KEY, None) or spark.sparkContext.getConf().get(CHECKPOINT_KEY)
+    context = spark.sparkContext
+    root = spark.conf.get(CHECKPOINT_KEY, None) or context.getConf().get(CHECKPOINT_KEY)
     if root:
         return root
-    if not spark.sparkContext.master.startswith("local"):
+    if not context.master.startswith("local"):
         raise ValueError(f"{CHECKPOINT_KEY} must name a shared folder on a cluster")
     root = tempfile.mkdtemp(prefix="wattline-")
     spark.conf.set(CHECKPOINT_KEY, root)

@@ -12,9 +12,12 @@ BACKFILL_CAP = 50
 
 
 def capped(runs: DataFrame, cap: int = REGISTRY_CAP, order: str = "trained_at") -> DataFrame:
-    """Last ``cap`` runs in append order, with the latest id and the count kept."""
-    newest = F.row_number().over(Window.orderBy(F.desc(order)))
-    kept = runs.withColumn("__n", newest).where(F.col("__n") <= cap).drop("__n")
+    """Last ``cap`` runs in append order, with the latest id and the count kept.
+
+    Each task keeps ``cap`` rows at most before they meet, so the window that
+    follows sees no more than the cap.
+    """
+    kept = runs.orderBy(F.desc(order)).limit(cap)
     everything = Window.partitionBy()
     return kept.withColumns(
         {
