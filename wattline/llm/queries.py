@@ -4,15 +4,76 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wattline.llm import decontamination, sharding, tokens
+from wattline.llm import decontamination, mixing, pii, quality, secret_scan, sharding, tokens
 from wattline.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mixing.mix(table(spark, sf_dir, "documents"), mixing.cycle_weights((5, 2, 1)), share=1.0)
+    return mixed.select("doc_id", "size", "source_size", "target", "taken")
+
+
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = quality.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return judged.select(
+        "doc_id",
+        "n_words",
+        "word_chars",
+        "n_symbols",
+        "n_dup_lines",
+        "n_repeat_words",
+        "base_failed",
+        "kept",
+    )
+
+
+def digest(base: list[str], spans: list[str]) -> list[Column]:
+    """Checksum of the base spans and the list of all spans."""
+    return [
+        F.sha2(pii.listed(F.concat(*base)), 256).alias("base_sha256"),
+        pii.listed(F.concat(*spans)).alias("spans"),
+    ]
+
+
+def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # A source is taken for an owner, its documents of one language for a repository.
+    found = secret_scan.scan_secrets(
+        table(spark, sf_dir, "documents"),
+        owner=F.col("source"),
+        repository=F.concat_ws("/", F.coalesce("source", F.lit("")), F.coalesce("lang", F.lit(""))),
+    )
+    base = [k.name for k in secret_scan.BASE]
+    every = [k.name for k in secret_scan.BASE + secret_scan.ADDED]
+    span = "array<struct<start:int,place:int,end:int,kind:string>>"
+    places = [
+        F.transform(c, lambda s: F.struct(s["start"], s["place"], s["end"], s["kind"])).cast(span).alias(c)
+        for c in every
+    ]
+    plain = found.select("doc_id", *places, secret_scan.LIVE, "candidates", "copied")
+    return plain.select(
+        "doc_id",
+        *[F.size(c).cast("long").alias(f"n_{c}") for c in base],
+        *digest(base, [*every, secret_scan.LIVE]),
+        "candidates",
+        "copied",
+    )
+
+
+def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find_pii(table(spark, sf_dir, "documents"))
+    base = [k.name for k in pii.BASE]
+    return found.select(
+        "doc_id",
+        *[F.size(c).cast("long").alias(f"n_{c}") for c in base],
+        *digest(base, [k.name for k in pii.BASE + pii.ADDED]),
+    )
+
+
 def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return sharding.shuffle_into_shards(docs).select(
@@ -46,7 +107,11 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_mixing": op1_mixing,
+    "op3_quality": op3_quality,
+    "op4_secret_scan": op4_secret_scan,
     "op6_sharding": op6_sharding,
+    "op7_pii": op7_pii,
     "op8_decontamination": op8_decontamination,
     "op10_token_counts": op10_token_counts,
 }
