@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wattline.llm import decontamination, mixing, pii, quality, secret_scan, sharding, tokens
+from wattline.llm import decontamination, mixing, pii, quality, secret_scan, sharding, simhash, tokens
 from wattline.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -74,6 +74,11 @@ def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=4, distance=4)
+    return found.select("doc_id", F.lower(F.hex("fp")).alias("fingerprint"), "component_id")
+
+
 def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return sharding.shuffle_into_shards(docs).select(
@@ -110,6 +115,7 @@ QUERIES: dict[str, Query] = {
     "op1_mixing": op1_mixing,
     "op3_quality": op3_quality,
     "op4_secret_scan": op4_secret_scan,
+    "op5_simhash": op5_simhash,
     "op6_sharding": op6_sharding,
     "op7_pii": op7_pii,
     "op8_decontamination": op8_decontamination,
