@@ -106,9 +106,12 @@ def mix(
     id_col: str = "doc_id",
     text_col: str = "text",
     source_col: str = "source",
+    carry: dict[str, Column] | None = None,
 ) -> DataFrame:
     """How many words of each document the mix takes.
 
+    ``carry`` names further small columns to return with each row.
+
     Returns doc_id, source, size, source_size, target and taken, one row per input row.
     ``taken`` counts repeats and is at most ``max_repeats`` times the size. A null or empty
     text has size 0 and is never taken; a null source is a source of its own, last in
@@ -117,8 +120,10 @@ def mix(
     """
     weigh = weigh or cycle_weights((5, 2, 1))
     text, doc_id = F.col(f"`{text_col}`"), F.col(f"`{id_col}`")
+    carry = carry or {}
     sized = cut(
         docs.select(
+            F.struct(F.lit(0).alias("_"), *[c.alias(n) for n, c in carry.items()]).alias("carried"),
             doc_id.alias("doc_id"),
             F.col(f"`{source_col}`").alias("source"),
             F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long").alias("size"),
@@ -179,7 +184,19 @@ def mix(
     words = F.least("end", (F.col("block") + 1) * block_words) - F.greatest("start", F.col("block") * block_words)
     return (
         pieces.withColumn("times", F.when(F.col("block").isNotNull(), times))
-        .groupBy("source", "shard", "place", "doc_id", "size", "source_size", "target")
+        .groupBy("source", "shard", "place", "doc_id", "size", "source_size", "target", "carried")
         .agg(F.coalesce(F.sum(F.col("times") * words), F.lit(0)).cast("long").alias("taken"))
-        .select("doc_id", "source", "size", "source_size", "target", "taken")
+        .select("doc_id", "source", "size", "source_size", "target", "taken", *[f"carried.{n}" for n in carry])
     )
+
+
+def copies(seed: str = SEED) -> Column:
+    """Whole copies of a document that stand for its ``taken`` words.
+
+    The remainder of ``taken`` by ``size`` becomes one more copy with that probability, by
+    a seeded hash of the id, so a source's copies come to its taken words on average.
+    """
+    draw = F.md5(F.concat_ws(":", F.lit(seed), F.lit("copy"), F.col("doc_id").cast("string")).cast("binary"))
+    chance = F.conv(F.substring(draw, 1, 8), 16, 10).cast("double") / float(1 << 32)
+    part = F.try_divide(F.col("taken"), F.col("size"))
+    return F.coalesce(F.floor(part) + (chance < part - F.floor(part)).cast("long"), F.lit(0))

@@ -169,9 +169,12 @@ def judge(
     label_col: str = "quality",
     alpha: float = ALPHA,
     delta: float = DELTA,
+    carry: list[str] | None = None,
 ) -> DataFrame:
     """Statistics and verdict of every row: base_failed, the rules it breaks, kept.
 
+    With ``carry`` those columns come along in the struct ``record``.
+
     ``labels`` says which ids are good (1) or bad (0); labels that are null or name no
     document are ignored, an id with several labels counts as bad if any is 0. Without
     enough labels no cutoff can be certified and only the base rule rejects. A null
@@ -180,6 +183,8 @@ def judge(
     gives an empty result.
     """
     keys = {"doc_id": F.col(f"`{id_col}`"), "stratum": F.col(f"`{stratum_col}`")}
+    if carry:
+        keys["record"] = F.struct(*[F.col(f"`{c}`") for c in carry])
     rows = text_statistics(docs, keys, F.col(f"`{text_col}`")).withColumn("base_failed", base_failed())
     rows = cut(rows, "quality")
     known = (
@@ -188,7 +193,7 @@ def judge(
         .groupBy("doc_id")
         .agg((F.min("label") > 0).alias("good"))
     )
-    labelled = rows.where(~F.col("base_failed")).join(known, "doc_id")
+    labelled = rows.drop("record").where(~F.col("base_failed")).join(known, "doc_id")
     cutoffs = cut(certified_cutoffs(labelled, alpha, delta), "cutoffs").withColumnRenamed("stratum", "of")
     broken = F.filter(
         F.array(

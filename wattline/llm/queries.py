@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wattline.llm import decontamination, mixing, pii, quality, secret_scan, sharding, simhash, tokens
+from wattline.llm import decontamination, html_text, mixing, pii, quality, secret_scan, sharding, simhash, tokens
 from wattline.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -107,6 +107,10 @@ def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract_text(table(spark, sf_dir, "pages"))
+
+
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.count_tokens(table(spark, sf_dir, "documents"), tokens.default_model())
 
@@ -119,6 +123,7 @@ QUERIES: dict[str, Query] = {
     "op6_sharding": op6_sharding,
     "op7_pii": op7_pii,
     "op8_decontamination": op8_decontamination,
+    "op9_html_text": op9_html_text,
     "op10_token_counts": op10_token_counts,
 }
 ORACLES: dict[str, str] = {}

@@ -17,7 +17,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wattline.session import cut
@@ -316,10 +316,12 @@ def near_duplicates(
     id_col: str = "doc_id",
     text_col: str = "text",
 ) -> DataFrame:
-    """doc_id, fp (big-endian bytes) and component_id of every row.
+    """doc_id, text_key (MD5 of the text), fp (big-endian bytes), component_id, keeper of every row.
 
     Texts link if their fingerprints of ``64 * words`` bits differ in at most ``distance``
-    bits; ``component_id`` is the smallest id that links reach. Letters A-Z are lower-cased.
+    bits; ``component_id`` is the smallest id that links reach. ``keeper`` is true for the
+    one (id, text) of the component that stays in a deduplicated corpus: the smallest id,
+    then the smallest text_key. Letters A-Z are lower-cased.
     A text with fewer words than a shingle is one shingle; null, empty and blank texts have
     the fingerprint zero, which links like any other. Rows with a null id take part but
     give no component its id; a component without any id has a null one. Repeated rows are
@@ -331,15 +333,39 @@ def near_duplicates(
         for texts in batches:
             yield pd.Series([fingerprint(t, shingle, words) for t in texts])
 
+    text = F.col(f"`{text_col}`")
     rows = cut(
-        docs.select(F.col(f"`{id_col}`").alias("doc_id"), fingerprints(F.col(f"`{text_col}`")).alias("fp")), "simhash"
+        docs.select(
+            F.col(f"`{id_col}`").alias("doc_id"), text_key(text).alias("text_key"), fingerprints(text).alias("fp")
+        ),
+        "simhash",
     )
-    first = cut(rows.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "fingerprints")
+    place = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "text_key")
+    first = cut(rows.groupBy("fp").agg(F.min(place).alias("first")), "fingerprints")
     roots = components(links(first, distance, words, segments, entry_rows))
     rooted = first.join(roots, F.col("fp") == F.col("node"), "left").select(
-        "fp", "first_id", F.coalesce("root", "fp").alias("root")
+        "fp", "first", F.coalesce("root", "fp").alias("root")
     )
-    # One row per fingerprint: its component's smallest id.
-    least = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    named = rooted.join(least, "root").select("fp", "component_id")
-    return rows.join(named, "fp").select("doc_id", "fp", "component_id")
+    # One row per fingerprint: its component's first row.
+    least = rooted.groupBy("root").agg(F.min("first").alias("head"))
+    named = rooted.join(least, "root").select("fp", "head")
+    return rows.join(named, "fp").select(
+        "doc_id",
+        "text_key",
+        "fp",
+        F.col("head.doc_id").alias("component_id"),
+        place.eqNullSafe(F.col("head")).alias("keeper"),
+    )
+
+
+def text_key(text: Column) -> Column:
+    """Tells texts apart where ids are missing or repeated; null for a null text."""
+    return F.unhex(F.md5(text.cast("binary")))
+
+
+def similarity_distance(similarity: float, bits: int) -> int:
+    """Differing bits expected between texts whose shingle sets have this Jaccard similarity.
+
+    Sets of similarity s have cosine 2s / (1 + s); a bit differs with the angle over pi.
+    """
+    return round(bits * math.acos(2 * similarity / (1 + similarity)) / math.pi)
