@@ -33,8 +33,8 @@ from pyspark.sql import functions as F
 LENGTH = 50
 GRAM = 16
 PICKS = LENGTH - GRAM + 1
-CHUNK_BYTES = 8 << 20
-BUCKET_BYTES = 16 << 20
+CHUNK_BYTES = 2 << 20
+BUCKET_BYTES = 4 << 20
 #: Stretches of one anchor beyond which its windows travel one by one: in a chunk, in a bucket.
 CHUNK_STRETCHES = 16
 BUCKET_STRETCHES = 1000
