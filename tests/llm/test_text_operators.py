@@ -208,7 +208,7 @@ SECRETS = [
 PRIVATE = [
     "mail a.b+c@x-y.example.com, a@b.c_d@e.f foo@bar@baz.com @x.y z@",
     "ip 1.2.3.4.5.6.7.8 256.1.1.1 010.0.0.1 999999999999999999999.1.1.1 1.2.3",
-    "card 4111 1111 1111 1111 4111111111111112 1-2-3 4111-1111 1111-1111  4111",
+    "card 4111 1111 1111 1111, 4111111111111112 1-2-3 4111-1111 1111-1111  4111",
     "call +1 (555) 010-9999 or +49.30.1234567890123456 +4 +44 20 7946 0958.",
     "IBAN DE89 3704 0044 0532 0130 00 and DE89370400440532013001",
     "my ssn: 123-45-6789" + " " * 50 + "order 123-45-6789",

@@ -20,7 +20,7 @@ from wattline.session import cut
 SEED = "mix-1"
 BLOCK_WORDS = 64
 #: Words in one shard of a source; a hot source has more shards, not larger ones.
-SHARD_WORDS = 4 << 20
+SHARD_WORDS = 1 << 18
 MAX_REPEATS = 3
 
 
