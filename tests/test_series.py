@@ -159,7 +159,6 @@ def test_one_to_one_guard(spark):
 
 def test_feature_selection_fixture(spark):
     df = spark.createDataFrame([(1.0, 100.0, 0.0), (2.0, 110.0, 0.5)], "temp_pc_01 double, production_mw_lag1 double, dow_sin double")
-    assert col.parse_list(" temp_pc_01, ,production_mw_lag1, dow_sin ") == ["temp_pc_01", "production_mw_lag1", "dow_sin"]
     assert col.select_features(df, ["dow_sin", "temp_pc_01"], ()).columns == ["dow_sin", "temp_pc_01"]
     with pytest.raises(ValueError, match="nope"):
         col.select_features(df, ["nope"], ())

@@ -276,6 +276,24 @@ def a19(spark, sf):
     return metrics.best_and_worst(src.runs(spark, sf), RUN_METRICS)
 
 
+@query(
+    "a19_same_day_ties",
+    """
+SELECT 'mae' AS metric, first(run_id ORDER BY value, trained_at, run_id) AS best_run, min(value) AS best_value,
+  first(run_id ORDER BY value DESC, trained_at, run_id) AS worst_run, max(value) AS worst_value
+FROM (SELECT CAST(event_id AS VARCHAR) AS run_id, ts AS trained_at, CAST(event_id % 3 AS DOUBLE) AS value FROM events) AS e
+""",
+)
+def a19_ties(spark, sf):
+    """Many runs of one day with equal metrics: the time of day decides, then the id."""
+    runs = src.table(spark, sf, "events").select(
+        F.col("event_id").cast("string").alias("run_id"),
+        F.col("ts").alias("trained_at"),
+        (F.col("event_id") % 3).cast("double").alias("mae"),
+    )
+    return metrics.best_and_worst(runs, ["mae"])
+
+
 @query(
     "a20_linear_trend",
     f"""

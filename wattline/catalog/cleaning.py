@@ -106,15 +106,23 @@ SELECT row_pos, strftime(try_strptime("Date" || ' ' || trim("Heures"), '%d/%m/%Y
     "raw_text",
 )
 def t08(spark, sf):
-    out = col.build_stamp(src.raw_text(spark, sf))
+    out = col.build_stamp(src.raw_text(spark, sf), "Date", "Heures")
     return out.select("row_pos", F.date_format("timestamp", "yyyy-MM-dd HH:mm").alias("stamp"))
 
 
-@query("t09_require_columns", 'SELECT "Nature", "Consommation" FROM grid', "grid")
+@query(
+    "t09_require_columns",
+    """SELECT "Nature", "Consommation", 'grid bronze: Nature is date, not string; Absent is missing' AS complaint FROM grid""",
+    "grid",
+)
 def t09(spark, sf):
     g = src.grid(spark, sf)
-    col.require_columns(g, ["Nature", *src.DAILY_MEANS, *src.PRODUCTION], "grid bronze")
-    return g.select("Nature", "Consommation")
+    col.check_schema(g, {"Nature": "date"} | dict.fromkeys([*src.DAILY_MEANS, *src.PRODUCTION], "double"), "grid bronze")
+    try:
+        col.check_schema(g, {"Nature": "string", "Absent": None}, "grid bronze")
+    except ValueError as error:
+        text = str(error)
+    return g.select("Nature", "Consommation", F.lit(text).alias("complaint"))
 
 
 CALENDAR_SQL = """

@@ -203,7 +203,7 @@ def run_structs(spark, sf):
 
 def registry_rows(spark, sf, cap=8):
     path = work_path(spark, "registry")
-    registry.registry_document(run_structs(spark, sf), cap).write.text(path)
+    registry.registry_document(run_structs(spark, sf).withColumn(registry.APPENDED, F.col("trained_at")), cap).write.text(path)
     return registry.read_registry(spark, path)
 
 

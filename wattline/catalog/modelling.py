@@ -119,6 +119,22 @@ def m01(spark, sf):
     return rounded(out.select("station", "term", "coef", "se", "n"), 6, "coef", "se")
 
 
+@query(
+    "m01_far_from_zero",
+    """
+SELECT l_returnflag, 'x' AS term, round(regr_slope(y, x), 6) AS coef, count(*) AS n FROM (SELECT l_returnflag,
+  CAST(l_quantity AS DOUBLE) AS x, CAST(l_extendedprice AS DOUBLE) AS y FROM lineitem) AS t GROUP BY 1
+""",
+)
+def m01_far(spark, sf):
+    """A predictor ten million away from zero has the slope it has at zero."""
+    rows = src.table(spark, sf, "lineitem").select(
+        "l_returnflag", (F.col("l_quantity").cast("double") + 1e7).alias("x"), F.col("l_extendedprice").alias("y")
+    )
+    out = reg.least_squares(rows, ["l_returnflag"], ["x"], "y").where("term = 'x'")
+    return rounded(out.select("l_returnflag", "term", "coef", "n"), 6, "coef")
+
+
 @query(
     "m02_lag_design",
     """

@@ -105,13 +105,12 @@ def calibration(log: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
 
 
 def best_and_worst(runs: DataFrame, metrics: Sequence[str], run: str = "run_id", at: str = "trained_at") -> DataFrame:
-    """Best and worst run per metric, the earliest on ties."""
+    """Best and worst run per metric; ties go to the earliest, then to the smallest id."""
     long = runs.unpivot([run, at], list(metrics), "metric", "value").where(F.col("value").isNotNull())
-    age = F.datediff(F.col(at), F.lit("1970-01-01").cast("date"))
     return long.groupBy("metric").agg(
-        F.min_by(run, F.struct("value", age)).alias("best_run"),
+        F.min_by(run, F.struct("value", at, run)).alias("best_run"),
         F.min("value").alias("best_value"),
-        F.max_by(run, F.struct("value", -age)).alias("worst_run"),
+        F.min_by(run, F.struct(-F.col("value"), at, run)).alias("worst_run"),
         F.max("value").alias("worst_value"),
     )
 

@@ -80,6 +80,8 @@ def fit_components(filled: DataFrame, k: int | None = None) -> Components:
     spark = filled.sparkSession
     scaler = cut(column_stats(filled, ["column"]), "scaler")
     names = [r["column"] for r in scaler.select("column").orderBy("column").collect()]
+    if not names:
+        raise ValueError("no station has a value on the dates of the grid")
     k = len(names) if k is None else min(k, len(names))
     z = standardise(filled, scaler, ["column"])
     wide = wide_by_station(z, names, F.col("column")).select(F.array(*[ref(n) for n in names]).alias("v"))
@@ -135,14 +137,14 @@ def national_projection(fit: Components) -> DataFrame:
     )
 
 
-def project_requests(requests: DataFrame, projection: DataFrame | None, k: int = 3) -> DataFrame:
-    """Add ``pca_components``; without a stored fit the list is empty."""
+def project_requests(requests: DataFrame, projection: DataFrame | None) -> DataFrame:
+    """Add ``pca_components``, one per component of the fit; without a stored fit the list is empty."""
     if projection is None:
         return requests.withColumn("pca_components", F.array().cast("array<double>"))
     forms = F.sort_array(F.collect_list(F.struct("component", "per_min", "per_max", "offset")))
     rows = attach(requests, projection.agg(forms.alias("__forms")))
     score = F.transform(
-        F.slice("__forms", 1, k),
+        "__forms",
         lambda c: c["per_min"] * F.col("temp_min_avg") + c["per_max"] * F.col("temp_max_avg") + c["offset"],
     )
     return rows.withColumn("pca_components", score).drop("__forms")

@@ -40,7 +40,8 @@ def grid_bronze(text: GridText) -> DataFrame:
     facts = cut(column_facts(cells, text.columns, "path"), "column-facts")
     typed = coerce_per_file(cells, facts, text.columns, "path")
     filled = backfill_alternating(typed, [c for c in text.columns if c in typed.columns])
-    stamped = build_stamp(filled)
+    present = set(filled.columns)
+    stamped = build_stamp(filled, *(c if c in present else None for c in (text.day, text.hour)))
     return drop_place(stamped).dropDuplicates()
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wattline.functions.columns import require_columns, total_or_null
+from wattline.functions.columns import check_schema, day_of, total_or_null
 from wattline.operators.frames import one_of_each, ref
 from wattline.operators.joins import within_span
 from wattline.operators.reduction import (
@@ -23,9 +23,9 @@ from wattline.session import cut, work_path
 
 
 def daily_grid(grid: DataFrame, day: str = "Nature") -> DataFrame:
-    """Daily means of consumption, its two forecasts and total production."""
-    require_columns(grid, [day, *DAILY_MEANS, *PRODUCTION], "grid bronze")
-    date = ref(day).cast("date")
+    """Daily means of consumption, its two forecasts and total production; rows without a valid day drop out."""
+    check_schema(grid, dict.fromkeys([day, *DAILY_MEANS, *PRODUCTION]), "grid bronze")
+    date = day_of(ref(day))
     numbers = {c: ref(c).try_cast("double") for c in (*DAILY_MEANS, *PRODUCTION)}
     use, ahead, same = (ref(c) for c in DAILY_MEANS)
     return (

@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wattline.functions.columns import DEFAULT_FEATURES, EPSILON, cyclicals, model_name, require_columns
+from wattline.functions.columns import DEFAULT_FEATURES, EPSILON, check_schema, cyclicals, model_name
 from wattline.operators import arx
 from wattline.operators.backtest import backfill_runs, run_metrics
 from wattline.operators.frames import attach, by_date
@@ -36,7 +36,7 @@ def default_spec(features: list[str] | None = None) -> arx.Spec:
 
 def design_table(gold: ModelReady, spec: arx.Spec, keys: tuple[str, ...] = ()) -> DataFrame:
     """The lag design cut to a table: fits, fitted values and forecasts all read it."""
-    require_columns(gold.table, spec.wide_features, "model-ready table")
+    check_schema(gold.table, dict.fromkeys(spec.wide_features, "double"), "model-ready table")
     return cut(arx.design(gold.table, TARGET, spec, keys), "design")
 
 
@@ -87,7 +87,7 @@ def run_row(insample: DataFrame, fits: DataFrame, spec: arx.Spec, run_id: str) -
 def register(run: DataFrame, path: str) -> DataFrame:
     """Append a run to the runs table and read the table; concurrent appends keep every run."""
     run.write.mode("append").partitionBy("run_id").parquet(path)
-    return run.sparkSession.read.parquet(path).withColumn("run_id", F.col("run_id").cast("string"))
+    return run.sparkSession.read.schema(run.schema).parquet(path)
 
 
 def residual_report(insample: DataFrame, warmup: int = 60) -> DataFrame:
@@ -161,24 +161,30 @@ def with_scaler(state: DataFrame, table: DataFrame, spec: arx.Spec) -> DataFrame
     return state.join(scaler, "run_id").withColumns({"state": F.col("state") + shift, "weights": scaled})
 
 
-def score_requests(requests: DataFrame, runs: DataFrame, projection: DataFrame | None, k: int = 3) -> DataFrame:
+def score_requests(requests: DataFrame, runs: DataFrame, projection: DataFrame | None) -> DataFrame:
     """Batch scoring: resolve the run, project temperatures, scale, and add up.
 
-    Components are matched to features by their number. An unknown run, or a
+    Components are matched to features by their number, as many as the projection has;
+    without a projection they count as 0. An unknown run, or a
     feature nobody supplied, gives a row with an ``error`` and no prediction. Like
     the stored state, the forecast is for the day after the run's training window.
     """
-    asked = project_requests(resolve_runs(requests, runs), projection, k)
-    have_pca = F.size("pca_components") > 0
-    pairs: list[Column] = []
-    for i in range(1, k + 1):
-        value = F.when(have_pca, F.try_element_at("pca_components", F.lit(i))).otherwise(0.0)
-        pairs.append(F.struct(F.lit(f"temp_pc_{i:02d}").alias("key"), value.alias("value")))
-    pairs.append(F.struct(F.lit("production_mw_lag1").alias("key"), F.col("production_mw_lag1").alias("value")))
+    asked = project_requests(resolve_runs(requests, runs), projection)
+    none = F.size("pca_components") == 0
+    pairs: list[Column] = [
+        F.struct(F.lit("production_mw_lag1").alias("key"), F.col("production_mw_lag1").alias("value"))
+    ]
     if "date" in requests.columns:
         pairs += [F.struct(F.lit(n).alias("key"), c.alias("value")) for n, c in cyclicals(F.col("date")).items()]
-    supplied = asked.withColumn("__have", F.map_from_entries(F.array(*pairs)))
-    x = F.transform("features", lambda f: F.try_element_at(F.col("__have"), f))
+    components = F.transform(
+        "pca_components",
+        lambda v, i: F.struct(F.format_string("temp_pc_%02d", i + 1).alias("key"), v.alias("value")),
+    )
+    supplied = asked.withColumn("__have", F.map_from_entries(F.concat(F.array(*pairs), components)))
+    x = F.transform(
+        "features",
+        lambda f: F.when(none & f.rlike("^temp_pc_[0-9]+$"), 0.0).otherwise(F.try_element_at(F.col("__have"), f)),
+    )
     rows = supplied.withColumn("__x", x)
     z = F.zip_with(F.zip_with("__x", "means", lambda v, m: v - m), "stds", lambda v, s: v / s)
     total = F.aggregate(F.zip_with(z, "weights", lambda v, w: v * w), F.col("state"), lambda a, t: a + t)

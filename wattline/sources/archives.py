@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import io
 import zipfile
+import zlib
 from collections.abc import Iterator
 
 import pandas as pd
@@ -20,8 +21,9 @@ def read_archives(spark: SparkSession, path: str, glob: str = "*.zip") -> DataFr
 def expand_archives(archives: DataFrame) -> DataFrame:
     """One row per member, flattened to base names; folders are skipped.
 
-    An archive that is empty or unreadable gives one row with an ``error``. Input
-    columns are ``path`` and ``content``; archives spread over tasks.
+    An archive that is empty or unreadable gives one row with an ``error``; a damaged or
+    encrypted member gives such a row with its name, and the other members are read.
+    Input columns are ``path`` and ``content``; archives spread over tasks.
     """
 
     def expand(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -35,11 +37,18 @@ def expand_archives(archives: DataFrame) -> DataFrame:
                             if info.is_dir() or not base:
                                 continue
                             found += 1
-                            yield pd.DataFrame([(path, base, z.read(info), None)], columns=names)
+                            data, error = read_member(z, info)
+                            yield pd.DataFrame([(path, base, data, error)], columns=names)
                     if not found:
                         yield pd.DataFrame([(path, None, None, "empty archive")], columns=names)
                 except zipfile.BadZipFile as error:
                     yield pd.DataFrame([(path, None, None, str(error))], columns=names)
 
+    def read_member(z: zipfile.ZipFile, info: zipfile.ZipInfo) -> tuple[bytes | None, str | None]:
+        try:
+            return z.read(info), None
+        except (zipfile.BadZipFile, zlib.error, EOFError, RuntimeError, NotImplementedError) as error:
+            return None, f"{type(error).__name__}: {error}"
+
     names = ["archive", "member", "content", "error"]
     return archives.select("path", "content").mapInPandas(expand, MEMBER_SCHEMA)

@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wattline.functions.columns import GRID_NULLS, READER_NULLS, null_tokens
+from wattline.functions.columns import GRID_NULLS, READER_NULLS, clean_name, null_tokens
 from wattline.operators.frames import ref
 from wattline.operators.joins import union_all_columns
 from wattline.session import cut
@@ -24,6 +24,8 @@ class GridText:
     cells: DataFrame
     columns: list[str]
     rejects: DataFrame
+    day: str | None = None
+    hour: str | None = None
 
 
 def read_grid_text(
@@ -60,7 +62,9 @@ def read_grid_text(
         columns = clean_header(header)
         frames.append(parse_layout(body.where(F.col("header") == F.lit(header)), columns))
         names += [c for c in columns if c not in names]
-    return GridText(union_all_columns(frames), names, rejects.select("path", "source_file", "reason"))
+    day = next((c for c in names if "date" in c.lower()), None)
+    hour = next((c for c in names if "heure" in c.lower() or "hour" in c.lower()), None)
+    return GridText(union_all_columns(frames), names, rejects.select("path", "source_file", "reason"), day, hour)
 
 
 def clean_header(header: str) -> list[str]:
@@ -68,7 +72,7 @@ def clean_header(header: str) -> list[str]:
     seen: dict[str, int] = {}
     out = []
     for i, cell in enumerate(header.split("\t")):
-        name = cell.strip().strip('"').strip() or f"Unnamed: {i}"
+        name = clean_name(clean_name(cell).strip('"')) or f"Unnamed: {i}"
         n = seen.get(name, 0)
         seen[name] = n + 1
         out.append(name if n == 0 else f"{name}.{n}")

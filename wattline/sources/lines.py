@@ -17,9 +17,11 @@ CP1252_CHARS = "€‚ƒ„…†‡ˆ‰Š‹ŒŽ‘’“”•–—˜™š
 UNDEFINED = "[\u0081\u008d\u008f\u0090\u009d]"
 
 
-def read_lines(spark: SparkSession, path: str | list[str], glob: str | None = None) -> DataFrame:
-    """``path, source_file, chunk, row, line``; an empty match is an error."""
-    reader = spark.read.option("recursiveFileLookup", "true")
+def read_lines(
+    spark: SparkSession, path: str | list[str], glob: str | None = None, recursive: bool = False
+) -> DataFrame:
+    """``path, source_file, chunk, row, line``; sub-folders only if asked for; an empty match is an error."""
+    reader = spark.read.option("recursiveFileLookup", str(recursive).lower())
     if glob:
         reader = reader.option("pathGlobFilter", glob)
     raw = reader.text(path)

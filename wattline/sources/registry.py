@@ -7,21 +7,22 @@ from pyspark.sql import functions as F
 
 from wattline.functions.columns import model_name, order_text
 
-REGISTRY_CAP = 20
-BACKFILL_CAP = 50
+#: A run's place in the registry: when it was appended, then its id.
+APPENDED = "appended_at"
 
 
-def capped(runs: DataFrame, cap: int = REGISTRY_CAP, order: str = "trained_at") -> DataFrame:
-    """Last ``cap`` runs in append order, with the latest id and the count kept.
+def capped(runs: DataFrame, cap: int) -> DataFrame:
+    """The ``cap`` runs appended last, with the latest id and the count kept.
 
+    A backfilled run of an old window counts as new, whatever its training date.
     Each task keeps ``cap`` rows at most before they meet, so the window that
     follows sees no more than the cap.
     """
-    kept = runs.orderBy(F.desc(order)).limit(cap)
+    kept = runs.orderBy(F.desc(APPENDED), F.desc("run_id")).limit(cap)
     everything = Window.partitionBy()
     return kept.withColumns(
         {
-            "latest_run_id": F.max_by("run_id", order).over(everything),
+            "latest_run_id": F.max_by("run_id", F.struct(APPENDED, "run_id")).over(everything),
             "n_runs": F.count(F.lit(1)).over(everything),
         }
     )
@@ -49,18 +50,18 @@ def read_registry(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def registry_document(runs: DataFrame, cap: int = REGISTRY_CAP) -> DataFrame:
-    """The registry as one JSON document; the cap bounds its size."""
+def registry_document(runs: DataFrame, cap: int) -> DataFrame:
+    """The registry as one JSON document, runs in append order; the cap bounds its size."""
     kept = capped(runs, cap).drop("latest_run_id", "n_runs")
+    run = F.struct(*[c for c in kept.columns if c != APPENDED])
     listed = kept.agg(
-        F.max_by("run_id", "trained_at").alias("latest_run_id"),
+        F.max_by("run_id", F.struct(APPENDED, "run_id")).alias("latest_run_id"),
         F.count(F.lit(1)).cast("int").alias("n_runs"),
-        F.collect_list(F.struct("*")).alias("__runs"),
-    )
-    runs_in_order = F.array_sort(
-        "__runs",
-        lambda a, b: F.when(a["trained_at"] < b["trained_at"], -1).when(a["trained_at"] > b["trained_at"], 1).otherwise(0),
+        # Place and id are unique, so sorting the pairs never compares the runs.
+        F.sort_array(F.collect_list(F.struct(F.col(APPENDED), "run_id"))).alias("__order"),
+        F.map_from_entries(F.collect_list(F.struct(F.col("run_id").alias("k"), run.alias("v")))).alias("__runs"),
     )
+    runs_in_order = F.transform("__order", lambda o: F.try_element_at(F.col("__runs"), o["run_id"]))
     return listed.select(
         F.to_json(F.struct("latest_run_id", "n_runs", runs_in_order.alias("runs"))).alias("value")
     )
@@ -112,6 +113,13 @@ def with_defaults(meta: DataFrame, registry: DataFrame) -> DataFrame:
     return filled.withColumn("scale_columns", scaled)
 
 
+def run_metadata(runs: DataFrame, run_id: str | None = None) -> DataFrame:
+    """The row of one run, the latest one where no id is given; an unknown id gives no row."""
+    if run_id is not None:
+        return runs.where(F.col("run_id") == run_id)
+    return runs.orderBy(F.desc("trained_at"), F.desc("run_id")).limit(1)
+
+
 def latest_status(runs: DataFrame, artefacts: DataFrame) -> DataFrame:
     """Health of the latest run: ok when its artefacts exist, else degraded."""
     latest = runs.agg(
