@@ -386,14 +386,43 @@ def a24(spark, sf):
     return rounded(rounded(out, 4, "x"), 12, "density")
 
 
-@query("a25_normal_qq")
+def horner(coefficients, x):
+    """A polynomial as SQL, lowest power first."""
+    out = f"{coefficients[-1]!r}::DOUBLE"
+    for c in reversed(coefficients[:-1]):
+        out = f"({out} * {x} + {c!r}::DOUBLE)"
+    return out
+
+
+def quotient(parts, x):
+    return f"{horner(parts[0], x)} / {horner(parts[1], x)}"
+
+
+QQ_SQL = f"""
+, o AS (SELECT error AS observed, CAST(row_number() OVER (ORDER BY error) AS INTEGER) AS i, count(*) OVER () AS n FROM fc1),
+p AS (SELECT *, CASE WHEN i = n THEN pow(0.5::DOUBLE, 1.0::DOUBLE / n) WHEN i = 1 THEN 1 - pow(0.5::DOUBLE, 1.0::DOUBLE / n)
+  ELSE (i - 0.3175::DOUBLE) / (n + 0.365::DOUBLE) END AS p FROM o),
+t AS (SELECT *, p - 0.5::DOUBLE AS q, sqrt(-ln(least(p, 1 - p))) AS r FROM p),
+z AS (SELECT i, observed, CASE WHEN abs(q) <= 0.425 THEN q * {quotient(distribution.MIDDLE, "(0.180625::DOUBLE - q * q)")}
+  ELSE sign(q) * CASE WHEN r <= 5 THEN {quotient(distribution.NEAR, "(r - 1.6::DOUBLE)")} ELSE {quotient(distribution.FAR, "(r - 5.0::DOUBLE)")} END END AS theoretical FROM t)
+"""
+
+
+@query("a25_normal_qq", QQ_SQL + "SELECT i, round(theoretical, 9) AS theoretical, observed FROM z", "fc1")
 def a25(spark, sf):
-    return distribution.normal_qq(src.fc1(spark, sf), "error")
+    return rounded(distribution.normal_qq(src.fc1(spark, sf), "error"), 9, "theoretical")
 
 
-@query("a25_normal_qq_line")
+@query(
+    "a25_normal_qq_line",
+    QQ_SQL
+    + "SELECT round(regr_slope(observed, theoretical), 4) AS slope, round(regr_intercept(observed, theoretical), 4) AS intercept,"
+    " round(corr(observed, theoretical), 9) AS r FROM z",
+    "fc1",
+)
 def a25_line(spark, sf):
-    return distribution.qq_line(distribution.normal_qq(src.fc1(spark, sf), "error"))
+    line = distribution.qq_line(distribution.normal_qq(src.fc1(spark, sf), "error"))
+    return rounded(rounded(line, 4, "slope", "intercept"), 9, "r")
 
 
 @query(

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from wattline.catalog.registry import query
 from wattline.functions import columns as col
 from wattline.plans import adapters as src
-from wattline.plans import bronze
+from wattline.plans import bronze, jobs
 from wattline.session import work_path
 from wattline.sources import archives, manifest, registry, tables
 from wattline.sources.grid_files import read_grid_text
@@ -29,8 +29,8 @@ def text_folder(spark, sf, frame, name):
     return path
 
 
-def raw_files(spark, sf):
-    raw = src.raw_text(spark, sf).withColumn("year", F.lit(2024)).drop("source_file")
+def raw_files(spark, sf, *without):
+    raw = src.raw_text(spark, sf).withColumn("year", F.lit(2024)).drop("source_file", *without)
     return text_folder(spark, sf, raw, "grid-text")
 
 
@@ -330,16 +330,44 @@ def m17(spark, sf):
     return registry.latest_status(runs, runs.select("run_id"))
 
 
+GRID_COLUMNS = ["Consommation", "Prévision J-1", "Prévision J", *src.PRODUCTION]
+
+
 @query(
     "x01_grid_bronze",
-    'SELECT DISTINCT strftime("Nature", \'%Y-%m-%d\') AS "Nature", "Consommation", "Fioul", "Ech. physiques", CAST(year("Nature") AS INTEGER) AS source_year FROM grid',
+    "SELECT DISTINCT strftime(\"Nature\", '%Y-%m-%d') AS \"Nature\", "
+    + ", ".join(f'"{c}"' for c in GRID_COLUMNS)
+    + ', CAST(year("Nature") AS INTEGER) AS source_year FROM grid',
     "grid",
 )
 def x01(spark, sf):
+    """All columns of the grid files, from their folder to the written table."""
     g = src.grid(spark, sf).withColumn("year", F.year("Nature"))
-    g = g.select("Nature", "Consommation", "Fioul", "`Ech. physiques`", "year")
-    text = read_grid_text(spark, text_folder(spark, sf, g, "grid-years"), "*.csv", YEAR_DIR)
-    return bronze.grid_bronze(text)
+    written, _ = jobs.bronze_grid(
+        spark, text_folder(spark, sf, g, "grid-years"), work_path(spark, "bronze"), "*.csv", YEAR_DIR
+    )
+    return written.select("Nature", *[F.col(f"`{c}`") for c in GRID_COLUMNS], "source_year")
+
+
+STAMPED = """
+SELECT DISTINCT "Date", trim("Heures") AS "Heures", fuel, strftime(try_strptime("Date" || ' ' || trim("Heures"), '%d/%m/%Y %H:%M'), '%Y-%m-%d %H:%M') AS stamp,
+  CASE WHEN i % 17 <> 0 THEN CAST(replace(amount, ',', '.') AS DOUBLE) END AS power, 2024::INTEGER AS source_year
+FROM (SELECT * FROM raw_text JOIN raw_amount ON row_pos = i) AS r WHERE row_pos % 13 <> 0
+"""
+
+
+@query("x01_stamped_bronze", STAMPED, "raw_text")
+def x01_stamped(spark, sf):
+    """Files with a date and an hour column, null tokens and empty lines, through the job."""
+    written, _ = jobs.bronze_grid(spark, raw_files(spark, sf, "row_pos"), work_path(spark, "bronze"), "*.csv", YEAR_DIR)
+    return written.select(
+        "Date",
+        F.trim("Heures").alias("Heures"),
+        "fuel",
+        F.date_format("timestamp", "yyyy-MM-dd HH:mm").alias("stamp"),
+        "power",
+        "source_year",
+    ).distinct()
 
 
 @query(

@@ -3,12 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from statistics import NormalDist
+from functools import reduce
 
-import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from wattline.operators.frames import attach, grouped
 from wattline.operators.quantiles import exact_quantiles
@@ -107,9 +105,40 @@ def normal_overlay(df: DataFrame, value: str, points: int = 200, keys: Sequence[
     return stats.select("*", _points(points)).select(*keys, "i", x.alias("x"), pdf.alias("density"))
 
 
-@F.pandas_udf(T.DoubleType())
-def inverse_normal(p: pd.Series) -> pd.Series:
-    return p.map(NormalDist().inv_cdf)
+# Numerator and denominator of the rational approximations of the normal
+# quantile (algorithm AS 241), lowest power first, for the middle, the near and the far tail.
+MIDDLE = (
+    [3.3871328727963666080, 133.14166789178437745, 1971.5909503065514427, 13731.693765509461125,
+     45921.953931549871457, 67265.770927008700853, 33430.575583588128105, 2509.0809287301226727],
+    [1.0, 42.313330701600911252, 687.18700749205790830, 5394.1960214247511077,
+     21213.794301586595867, 39307.895800092710610, 28729.085735721942674, 5226.4952788528545610],
+)
+NEAR = (
+    [1.42343711074968357734, 4.63033784615654529590, 5.76949722146069140550, 3.64784832476320460504,
+     1.27045825245236838258, 0.241780725177450611770, 0.0227238449892691845833, 0.000774545014278341407640],
+    [1.0, 2.05319162663775882187, 1.67638483018380384940, 0.689767334985100004550,
+     0.148103976427480074590, 0.0151986665636164571966, 0.000547593808499534494600, 1.05075007164441684324e-9],
+)
+FAR = (
+    [6.65790464350110377720, 5.46378491116411436990, 1.78482653991729133580, 0.296560571828504891230,
+     0.0265321895265761230930, 0.00124266094738807843860, 2.71155556874348757815e-5, 2.01033439929228813265e-7],
+    [1.0, 0.599832206555887937690, 0.136929880922735805310, 0.0148753612908506148525,
+     0.000786869131145613259100, 1.84631831751005468180e-5, 1.42151175831644588870e-7, 2.04426310338993978564e-15],
+)
+
+
+def inverse_normal(p: Column) -> Column:
+    """Standard normal quantile of a probability strictly between 0 and 1."""
+
+    def ratio(parts: tuple[list[float], list[float]], x: Column) -> Column:
+        top, bottom = (reduce(lambda acc, c: acc * x + c, reversed(c[:-1]), F.lit(c[-1])) for c in parts)
+        return top / bottom
+
+    q = p - 0.5
+    tail = F.sqrt(-F.log(F.least(p, 1 - p)))
+    size = F.when(tail <= 5.0, ratio(NEAR, tail - 1.6)).otherwise(ratio(FAR, tail - 5.0))
+    middle = q * ratio(MIDDLE, 0.180625 - q * q)
+    return F.when(F.abs(q) <= 0.425, middle).otherwise(F.when(q < 0, -size).otherwise(size))
 
 
 def normal_qq(df: DataFrame, value: str, keys: Sequence[str] = ()) -> DataFrame:

@@ -165,8 +165,18 @@ def complete_days(df: DataFrame, station: str, value: str = "value", date: str =
 
 
 def unseen_days(df: DataFrame, station: str, date: str = "date") -> DataFrame:
-    """(station, date) pairs without a row inside the span covered by any station."""
+    """(station, date) pairs without a row inside the span covered by any station.
+
+    Each row opens the days up to the station's next row; the first row also opens the
+    days from the start of the span, the last one those to its end.
+    """
     span = df.agg(F.struct(F.min(date).alias("lo"), F.max(date).alias("hi")).alias("s")).scalar()
-    days = F.explode(F.sequence(span["lo"], span["hi"])).alias(date)
     seen = df.select(station, date).distinct()
-    return seen.select(station).distinct().select(station, days).join(seen, [station, date], "left_anti")
+    w = by_date([station], date)
+    after = F.date_sub(F.coalesce(F.lead(date).over(w), F.date_add(span["hi"], 1)), 1)
+    first = F.lag(date).over(w).isNull()
+    none = F.array().cast("array<date>")
+    rest = F.when(F.col("__to") > F.col(date), F.sequence(F.date_add(date, 1), "__to")).otherwise(none)
+    bounded = seen.withColumns({"__lo": span["lo"], "__to": after, "__first": first})
+    head = F.when(F.col("__first") & (F.col("__lo") < F.col(date)), F.sequence("__lo", F.date_sub(date, 1)))
+    return bounded.select(station, F.explode(F.concat(F.coalesce(head, none), rest)).alias(date))

@@ -4,12 +4,11 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wattline.functions.columns import GRID_NULLS, READER_NULLS, clean_name, null_tokens
 from wattline.operators.frames import ref
-from wattline.operators.joins import union_all_columns
 from wattline.session import cut
 from wattline.sources.lines import decoded, describe_files, fail_when_all_rejected, read_lines
 
@@ -36,11 +35,11 @@ def read_grid_text(
 ) -> GridText:
     """Read every file of a folder, skipping the unreadable ones.
 
-    One pass describes the files (encoding, header, verdict) and is kept as a small
-    table; one more parses the lines. Files that share a header line are parsed together, so the plan has one
-    branch per layout, not per file.
+    The text is read once, into a table of lines. One pass over that table describes the
+    files (encoding, header, verdict), one more parses all layouts together: each line is
+    split once, and a column takes its cell from the place that its file's header gives it.
     """
-    raw = read_lines(spark, path, glob)
+    raw = cut(read_lines(spark, path, glob), "grid-lines")
     year = F.regexp_extract("path", year_pattern, 1).try_cast("int")
     reason = F.when(F.col("source_year").isNull(), "no year in file name").when(
         ~F.col("header").contains("\t"), "fewer than two columns"
@@ -57,14 +56,11 @@ def read_grid_text(
         .where(after_header & (F.col("line") != ""))
         .withColumn("line", decoded(F.col("line")))
     )
-    frames, names = [], []
-    for header in sorted(layouts):
-        columns = clean_header(header)
-        frames.append(parse_layout(body.where(F.col("header") == F.lit(header)), columns))
-        names += [c for c in columns if c not in names]
+    columns = {header: clean_header(header) for header in sorted(layouts)}
+    names = list(dict.fromkeys(c for listed in columns.values() for c in listed))
     day = next((c for c in names if "date" in c.lower()), None)
     hour = next((c for c in names if "heure" in c.lower() or "hour" in c.lower()), None)
-    return GridText(union_all_columns(frames), names, rejects.select("path", "source_file", "reason"), day, hour)
+    return GridText(parse_layouts(body, columns, names), names, rejects.select("path", "source_file", "reason"), day, hour)
 
 
 def clean_header(header: str) -> list[str]:
@@ -79,19 +75,31 @@ def clean_header(header: str) -> list[str]:
     return out
 
 
-def parse_layout(body: DataFrame, columns: list[str]) -> DataFrame:
-    """Split lines into named text cells; null tokens become null.
+def parse_layouts(body: DataFrame, layouts: dict[str, list[str]], names: list[str]) -> DataFrame:
+    """Lines of all layouts as named text cells; null tokens become null.
 
     Rows of null tokens only are dropped on the line itself, before it is parsed.
     """
-    schema = ", ".join(f"`{i}` string" for i in range(len(columns)))
+    width = max(map(len, layouts.values()))
+    schema = ", ".join(f"`{i}` string" for i in range(width))
     cells = F.from_csv("line", schema, {"sep": "\t", "quote": '"', "mode": "PERMISSIVE"})
     tokens = GRID_NULLS + READER_NULLS
     some = F.exists(F.split("line", "\t"), lambda c: ~F.replace(c, F.lit('"'), F.lit("")).isin(tokens))
+    number = F.create_map(*[F.lit(x) for i, h in enumerate(layouts) for x in (h, i)])
+
+    def cell(name: str) -> Column:
+        """The cell at each layout's place for the name; layouts with the same place share a case."""
+        places: dict[int, list[int]] = {}
+        for i, columns in enumerate(layouts.values()):
+            if name in columns:
+                places.setdefault(columns.index(name), []).append(i)
+        found = [F.when(F.col("__layout").isin(who), F.col("__c")[str(at)]) for at, who in places.items()]
+        return null_tokens(F.coalesce(*found), tokens).alias(name)
+
     return (
         body.where(some)
-        .withColumn("__c", cells)
-        .select(*PLACE, *[null_tokens(F.col("__c")[str(i)], tokens).alias(c) for i, c in enumerate(columns)])
+        .withColumns({"__c": cells, "__layout": F.element_at(number, F.col("header"))})
+        .select(*PLACE, *[cell(c) for c in names])
     )
 
 

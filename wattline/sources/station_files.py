@@ -43,10 +43,13 @@ def read_station_files(
     glob: str | None = None,
     station_pattern: str = STATION_IN_NAME,
 ) -> StationRows:
-    """Read one variable's folder; a file with a bad name, header or value is skipped whole."""
-    lines = with_line_number(read_lines(spark, path, glob))
+    """Read one variable's folder; a file with a bad name, header or value is skipped whole.
+
+    The text is read once, into a table of lines that numbering, verdict and rows share.
+    """
+    raw = cut(read_lines(spark, path, glob), "station-lines")
     line = F.regexp_replace("line", "\r$", "")
-    lines = lines.withColumn("line", line).where(F.col("line_no") >= METADATA_LINES)
+    lines = with_line_number(raw).withColumn("line", line).where(F.col("line_no") >= METADATA_LINES)
     header = F.max(F.when(F.col("line_no") == METADATA_LINES, F.col("line"))).alias("header")
     headers = lines.groupBy("path").agg(header)
     number = null_tokens(F.col("value_text"), STATION_NULLS)
