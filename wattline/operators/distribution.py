@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from wattline.operators.frames import attach, grouped
+from wattline.operators.frames import attach_stats, grouped
 from wattline.operators.quantiles import exact_quantiles
 
 
@@ -26,7 +26,7 @@ def histogram(df: DataFrame, value: str, bins: int, keys: Sequence[str] = ()) ->
     place = F.floor(F.try_divide(F.col("__v") - F.col("lo"), F.col("width")))
     bin_no = F.least(F.coalesce(place, F.lit(0)), F.lit(bins - 1)).cast("int")
     counts = (
-        attach(rows, ends, keys)
+        attach_stats(rows, ends, keys)
         .groupBy(*keys, bin_no.alias("bin"))
         .agg(F.count(F.lit(1)).alias("n"))
     )
@@ -52,7 +52,7 @@ def box_statistics(df: DataFrame, value: str, keys: Sequence[str]) -> DataFrame:
     reach = (F.col("q3") - F.col("q1")) * 1.5
     v = F.col(value)
     inside = v.between(F.col("q1") - reach, F.col("q3") + reach)
-    rows = attach(df.select(*keys, value).where(v.isNotNull()), q, keys)
+    rows = attach_stats(df.select(*keys, value).where(v.isNotNull()), q, keys)
     return rows.groupBy(*keys).agg(
         F.first("q1").alias("q1"),
         F.first("median").alias("median"),
@@ -83,7 +83,7 @@ def kernel_density(df: DataFrame, value: str, points: int = 200, keys: Sequence[
         (F.stddev_samp("__v") * F.pow(F.count(F.lit(1)), F.lit(-0.2))).alias("__h"),
     )
     grid = F.col("__lo") + (F.col("__hi") - F.col("__lo")) * F.col("i") / (points - 1)
-    spread = attach(rows, stats, keys).select("*", _points(points))
+    spread = attach_stats(rows, stats, keys).select("*", _points(points))
     u = (grid - F.col("__v")) / F.col("__h")
     one = F.exp(-u * u / 2) / (F.col("__n") * F.col("__h") * F.sqrt(2 * F.pi()))
     return spread.groupBy(*keys, "i").agg(F.first(grid).alias("x"), F.sum(one).alias("density"))

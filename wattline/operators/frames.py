@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
+from wattline.session import cut
+
 
 def ref(name: str) -> Column:
     """Column by its exact name, dots included ("Ech. physiques")."""
@@ -37,6 +39,15 @@ def attach(df: DataFrame, stats: DataFrame, keys: Sequence[str] = ()) -> DataFra
     )
 
 
+def attach_stats(df: DataFrame, stats: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
+    """``attach`` for statistics of a table too large to shuffle.
+
+    The statistics are written first, so the planner knows their size when it plans the
+    join: below its broadcast limit no row of ``df`` moves, above it they meet by key.
+    """
+    return attach(df, cut(stats, "statistics"), keys)
+
+
 def grouped(df: DataFrame, keys: Sequence[str], *aggs: Column) -> DataFrame:
     """Aggregate by keys, or over the whole frame when there are none."""
     return df.groupBy(*keys).agg(*aggs) if keys else df.agg(*aggs)

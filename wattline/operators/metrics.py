@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wattline.functions.columns import EPSILON, health_text
-from wattline.operators.frames import attach, grouped
+from wattline.operators.frames import attach, attach_stats, grouped
 
 
 def mae(error: str = "error") -> Column:
@@ -71,7 +71,7 @@ def residual_statistics(
     )
     size = F.abs("__r")
     within = grouped(
-        attach(r, moments.select(*keys, F.col("std").alias("__sd")), keys),
+        attach_stats(r, moments.select(*keys, F.col("std").alias("__sd")), keys),
         keys,
         *[
             (F.avg((size <= k * F.col("__sd")).cast("double")) * 100).alias(f"within_{k}sigma_pct")

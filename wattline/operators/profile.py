@@ -42,20 +42,18 @@ def table_summary(df: DataFrame, date: str = "date") -> DataFrame:
 
 def describe(df: DataFrame, value: str, keys: Sequence[str] = ()) -> DataFrame:
     """Count, mean, std, min, exact quartiles and max for groups of any size."""
-    base = grouped(
+    both = exact_quantiles(
         df,
         keys,
+        value,
+        [0.25, 0.5, 0.75],
+        "__q",
         F.count(value).alias("count"),
         F.avg(value).alias("mean"),
         F.stddev_samp(value).alias("std"),
         F.min(value).alias("min"),
         F.max(value).alias("max"),
     )
-    q = exact_quantiles(df, keys, value, [0.25, 0.5, 0.75], "__q")
-    if keys:
-        both = base.join(q, list(keys), "left")
-    else:
-        both = base.withColumn("__q", q.scalar())
     quart = [F.col("__q")[i].alias(n) for i, n in enumerate(("q25", "q50", "q75"))]
     return both.select(*keys, "count", "mean", "std", "min", *quart, "max")
 

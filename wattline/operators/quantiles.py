@@ -10,24 +10,32 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from wattline.operators.frames import attach, grouped
+from wattline.session import cut
 
 ACCURACY = 10_000
 OFFSETS = (2, 20, 200)
 
 
 def exact_quantiles(
-    df: DataFrame, keys: Sequence[str], value: str, probs: Sequence[float], name: str = "q"
+    df: DataFrame, keys: Sequence[str], value: str, probs: Sequence[float], name: str = "q", *more: Column
 ) -> DataFrame:
-    """One row per key with ``name``: array of quantiles in the order of ``probs``."""
+    """One row per key with ``name``: array of quantiles in the order of ``probs``.
+
+    ``more`` aggregates of ``df`` come out of the sketch's own pass. The sketch and the
+    wanted slices are written, so the planner knows their size: while they are small, no
+    row of ``df`` is shuffled outside the slices. ``df`` is read three times.
+    """
     keys = list(keys)
     around = [p + side * o / ACCURACY for p in probs for o in OFFSETS for side in (-1, 1)]
     cuts = sorted({min(1.0, max(0.0, p)) for p in around})
-    rows = df.select(*keys, F.col(value).cast("double").alias("__v")).where(F.col("__v").isNotNull())
-    sketch = grouped(rows, keys, F.percentile_approx("__v", cuts, ACCURACY).alias("__cuts"))
+    number = F.col(value).cast("double")
+    base = cut(grouped(df, keys, F.percentile_approx(number, cuts, ACCURACY).alias("__cuts"), *more), "sketch")
+    rows = df.select(*keys, number.alias("__v")).where(F.col("__v").isNotNull())
+    sketch = base.select(*keys, "__cuts")
     edges = [F.col("__cuts")[i] for i in range(len(cuts))]
     above = [(F.col("__v") > e).cast("int") for e in edges]
     slice_no = above[0]
@@ -49,7 +57,7 @@ def exact_quantiles(
     holds = F.lit(False)
     for r in ranks:
         holds = holds | ((F.col("__before") <= r) & (r < F.col("__before") + F.col("__n")))
-    needed = placed.where(holds).select(*keys, "__slice", "__before", "__total")
+    needed = cut(placed.where(holds).select(*keys, "__slice", "__before", "__total"), "slices")
 
     values = sliced.join(needed, [*keys, "__slice"])
     freq = values.groupBy(*keys, "__slice", "__v").agg(
@@ -66,4 +74,10 @@ def exact_quantiles(
     for i, a in enumerate(at):
         lo, hi = F.col(f"__r{2 * i}"), F.col(f"__r{2 * i + 1}")
         out.append(lo + (hi - lo) * (a - F.floor(a)))
-    return found.select(*keys, F.array(*out).alias(name))
+    quantiles = found.select(*keys, F.array(*out).alias(name))
+    if not more:
+        return quantiles
+    own = base.drop("__cuts")
+    if keys:
+        return own.join(quantiles, keys, "left")
+    return own.withColumn(name, quantiles.select(name).scalar())
