@@ -62,9 +62,23 @@ def d01(spark, sf):
     return rounded(diagnostics.acf(src.filled(spark, sf), "y", 40), 6, "acf", "band")
 
 
-@query("d02_pacf")
+@query(
+    "d02_pacf",
+    ACF_SQL
+    + """, rl AS (SELECT list(acf ORDER BY lag) AS r, any_value(n) AS n FROM r)
+SELECT CAST(lag AS INTEGER) AS lag, round(pacf, 6) + 0.0 AS pacf, CASE WHEN lag = 0 THEN 0 ELSE round(1.959963984540054::DOUBLE / sqrt(n), 6) END AS band FROM (
+  WITH RECURSIVE dl AS (
+    SELECT 1 AS k, [r[2]] AS phi, r[2] AS top, r, n FROM rl
+    UNION ALL
+    SELECT k + 1, list_append(list_transform(phi, lambda x, j: x - nxt * phi[k + 1 - j]), nxt), nxt, r, n FROM (
+      SELECT *, (r[k + 2] - list_sum(list_transform(phi, lambda x, j: x * r[k + 2 - j])))
+        / (1 - list_sum(list_transform(phi, lambda x, j: x * r[j + 1]))) AS nxt FROM dl WHERE k < 40) AS s)
+  SELECT k AS lag, top AS pacf, n FROM dl UNION ALL SELECT 0, 1.0, n FROM rl) AS p
+""",
+    "filled",
+)
 def d02(spark, sf):
-    return diagnostics.pacf(src.filled(spark, sf), "y", 40)
+    return rounded(diagnostics.pacf(src.filled(spark, sf), "y", 40), 6, "pacf", "band")
 
 
 def keyed_filled(spark, sf):
@@ -429,6 +443,96 @@ def m06_line(spark, sf):
     return rounded(log.select("start_date", "horizon", "actual", "predicted"), 4, "predicted")
 
 
+# One feature and one lag: a system of two equations, and a forecast that recurses.
+VIEWS["ma"] = ("md", "SELECT *, lag(w) OVER (ORDER BY date) AS v FROM md")
+VIEWS["mab"] = (
+    "ma",
+    "SELECT (szw * svv - svw * szv) / (szz * svv - szv * szv) AS b, (svw * szz - szw * szv) / (szz * svv - szv * szv) AS a FROM"
+    " (SELECT sum(z * z) AS szz, sum(z * v) AS szv, sum(v * v) AS svv, sum(z * w) AS szw, sum(v * w) AS svw FROM ma WHERE pos >= 8) AS s",
+)
+LAGGED = arx.Spec(order=(1, 0, 0), seasonal=(0, 1, 0, 7), features=("production_mw_lag1",), long_ar=1)
+
+
+def lagged_run(spark, sf):
+    return training.train(line_gold(spark, sf), LAGGED, "20010801T000000Z")
+
+
+@query(
+    "m03_fit_lagged",
+    "SELECT count(*) AS n, round(any_value(b), 8) AS b, round(any_value(a), 8) AS a, round(sqrt(avg((w - b * z - a * v) * (w - b * z - a * v))), 3) AS sigma"
+    " FROM ma, mab WHERE pos >= 8",
+    "ma mab",
+)
+def m03_lagged(spark, sf):
+    sigma = F.sqrt(F.col("rss") / F.col("n"))
+    b, a = (F.round(F.col("coef")[i], 8).alias(c) for i, c in enumerate("ba"))
+    return lagged_run(spark, sf).fits.select("n", b, a, F.round(sigma, 3).alias("sigma"))
+
+
+@query(
+    "m05_fitted_lagged",
+    "SELECT date, y AS actual, round(y - w + b * z + a * v, 4) AS fitted FROM ma, mab WHERE pos >= 8",
+    "ma mab",
+)
+def m05_lagged(spark, sf):
+    return rounded(lagged_run(spark, sf).insample.select("date", "actual", "fitted"), 4, "fitted")
+
+
+@query(
+    "m06_recursive_lagged",
+    """
+, o AS (SELECT date, pos, w AS w0 FROM ma WHERE pos >= greatest(0, n - 365 - 14) AND pos < n - 14 AND (pos - greatest(0, n - 365 - 14)) % 14 = 0),
+wh AS (SELECT o.date, o.pos, o.w0, CAST(g.h AS INTEGER) AS h, any_value(pow(a, g.h) * o.w0) + sum(pow(a, g.h - t.pos + o.pos) * b * t.z) AS what
+  FROM o, generate_series(1, 14) AS g(h), mab, ma t WHERE t.pos > o.pos AND t.pos <= o.pos + g.h GROUP BY o.date, o.pos, o.w0, g.h)
+SELECT x.date AS start_date, x.h AS horizon, t.y AS actual, round(x.what + CASE WHEN x.h > 7 THEN e.what + u.y ELSE t.y - t.w END, 4) AS predicted
+FROM wh x JOIN ma t ON t.pos = x.pos + x.h LEFT JOIN wh e ON e.pos = x.pos AND e.h = x.h - 7 LEFT JOIN ma u ON u.pos = x.pos + x.h - 14
+""",
+    "ma mab",
+)
+def m06_lagged(spark, sf):
+    """Fourteen days ahead: each day builds on the one before and on the week before."""
+    run = lagged_run(spark, sf)
+    log, _ = backtest.recursive_evaluation(run.rows, run.fits, LAGGED, horizon=14)
+    return rounded(log.select("start_date", "horizon", "actual", "predicted"), 4, "predicted")
+
+
+@query(
+    "m14_run_row_lagged",
+    """
+SELECT '20010801T000000Z' AS run_id, 'SARIMAX(1, 0, 0)x(0, 1, 0, 7)' AS model_name, min(date) AS training_start, max(date) AS training_end,
+  count(*) AS n_training_days, round(avg(abs(e)), 2) AS mae, round(sqrt(avg(e * e)), 2) AS rmse, round(avg(abs(e) / y) * 100, 4) AS mape,
+  round(-2 * (-count(*) / 2.0 * (ln(2 * pi()) + ln(sum(e * e) / count(*)) + 1)) + 6, 3) AS aic
+FROM (SELECT date, y, b * z + a * v - w AS e FROM ma, mab WHERE pos >= 8) AS r
+""",
+    "ma mab",
+)
+def m14_lagged(spark, sf):
+    run = lagged_run(spark, sf).run.select(
+        "run_id", "model_name", "training_start", "training_end", "n_training_days", "mae", "rmse", "mape", "aic"
+    )
+    return rounded(run, 3, "aic")
+
+
+@query(
+    "x05_registered_runs",
+    """
+, w AS (SELECT '20001231T000000Z' AS run_id, DATE '2000-12-31' AS until UNION ALL SELECT '0012', DATE '1999-12-31'),
+c AS (SELECT run_id, until, (szw * svv - svw * szv) / (szz * svv - szv * szv) AS b, (svw * szz - szw * szv) / (szz * svv - szv * szv) AS a FROM
+  (SELECT run_id, until, sum(z * z) AS szz, sum(z * v) AS szv, sum(v * v) AS svv, sum(z * w.w) AS szw, sum(v * w.w) AS svw
+   FROM (SELECT * FROM ma WHERE pos >= 8) AS w JOIN w AS r ON date <= until GROUP BY 1, 2) AS s)
+SELECT run_id, count(*) AS n_training_days, round(sqrt(avg(e * e)), 2) AS rmse FROM
+  (SELECT run_id, b * z + a * v - ma.w AS e FROM c JOIN ma ON date <= until AND pos >= 8) AS r GROUP BY 1
+""",
+    "ma",
+)
+def x05_registered(spark, sf):
+    """Two runs trained and appended to the runs table; ids come back as they were written."""
+    path, table = work_path(spark, "runs"), line_gold(spark, sf)
+    for run_id, end in (("20001231T000000Z", "2000-12-31"), ("0012", "1999-12-31")):
+        out = training.register(training.train(model_ready_until(table, end), LAGGED, run_id).run, path)
+    return out.select("run_id", "n_training_days", "rmse")
+
+
 @query(
     "m07_walk_forward_line",
     """

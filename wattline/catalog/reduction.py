@@ -97,6 +97,96 @@ def p04(spark, sf):
     return needed.orderBy("experiment", "threshold")
 
 
+# Two columns have a closed form: the components are their sum and their difference.
+VIEWS["pair_z"] = (
+    "station_days",
+    "SELECT date, (lo - avg(lo) OVER ()) / stddev_pop(lo) OVER () AS z1, (hi - avg(hi) OVER ()) / stddev_pop(hi) OVER () AS z2, lo, hi FROM"
+    " (SELECT date, min(TN) AS lo, max(TX) AS hi FROM station_days GROUP BY 1) AS d",
+)
+VIEWS["pair_r"] = (
+    "pair_z",
+    "SELECT corr(z1, z2) AS r, sign(corr(z1, z2)) AS s, avg(lo) AS m1, stddev_pop(lo) AS s1, avg(hi) AS m2, stddev_pop(hi) AS s2 FROM pair_z",
+)
+
+
+def pair_columns(spark, sf):
+    value = F.when(F.col("variable") == "TN", F.min("value")).otherwise(F.max("value"))
+    per_day = src.stations(spark, sf).groupBy("date", "variable").agg(value.alias("value"))
+    return cut(per_day.select("date", F.concat("variable", F.lit("_000000000")).alias("column"), "value"), "pair")
+
+
+@query(
+    "p03_two_columns",
+    "SELECT date, round(abs(z1 + s * z2) / sqrt(2), 6) AS first, round(abs(z1 - s * z2) / sqrt(2), 6) AS second FROM pair_z, pair_r",
+    "pair_z pair_r",
+)
+def p03_pair(spark, sf):
+    """Scores up to sign: both loadings of a component are equally large."""
+    filled = pair_columns(spark, sf)
+    scores = red.component_features(red.component_scores(filled, red.fit_components(filled)), 2, "c")
+    return scores.select("date", F.round(F.abs("c01"), 6).alias("first"), F.round(F.abs("c02"), 6).alias("second"))
+
+
+@query(
+    "p04_components_needed",
+    "SELECT CAST(t AS DOUBLE) AS threshold, CASE WHEN (1 + abs(r)) / 2 >= t THEN 1 ELSE 2 END AS components_needed"
+    " FROM pair_r, (SELECT unnest([0.5, 0.55, 0.8, 0.999]) AS t) AS x",
+    "pair_r",
+)
+def p04_needed(spark, sf):
+    explained = red.fit_components(pair_columns(spark, sf)).explained
+    return red.components_needed(explained, [0.5, 0.55, 0.8, 0.999])
+
+
+@query(
+    "p05_chosen_pair",
+    "SELECT CASE WHEN (1 + abs(r)) / 2 >= 0.9 THEN 1 ELSE 2 END AS k, round((1 + abs(r)) / 2, 9) AS ratio FROM pair_r",
+    "pair_r",
+)
+def p05_pair(spark, sf):
+    explained = red.fit_components(pair_columns(spark, sf)).explained
+    k = red.choose_components(explained, 0.9)
+    return explained.where("component = 1").select(F.lit(k).alias("k"), F.round("ratio", 9).alias("ratio"))
+
+
+@query(
+    "p06_stored_pair",
+    """
+SELECT c AS component, n || '_000000000' AS "column", round(1 / sqrt(2::DOUBLE), 9) AS loading, round(CASE WHEN n = 'TN' THEN m1 ELSE m2 END, 4) AS mean,
+  round((1 + (3 - 2 * c) * abs(r)) / 2, 9) AS ratio FROM pair_r, (SELECT unnest([1, 2]) AS c) AS x, (SELECT unnest(['TN', 'TX']) AS n) AS y
+""",
+    "pair_r",
+)
+def p06_pair(spark, sf):
+    path = work_path(spark, "components")
+    red.save_components(red.fit_components(pair_columns(spark, sf)), path)
+    fit = red.load_components(spark, path)
+    stored = fit.loadings.join(fit.scaler, "column").join(fit.explained, "component")
+    return stored.select(
+        "component",
+        "column",
+        F.round(F.abs("loading"), 9).alias("loading"),
+        F.round("mean", 4).alias("mean"),
+        F.round("ratio", 9).alias("ratio"),
+    )
+
+
+@query(
+    "p07_projected_pair",
+    """
+SELECT date, round(abs((temp_min_avg - m1) / s1 + s * (temp_max_avg - m2) / s2) / sqrt(2), 6) AS first,
+  round(abs((temp_min_avg - m1) / s1 - s * (temp_max_avg - m2) / s2) / sqrt(2), 6) AS second FROM requests, pair_r
+""",
+    "requests pair_r",
+)
+def p07_pair(spark, sf):
+    """Every component of the fit is projected, here two."""
+    fit = red.fit_components(pair_columns(spark, sf))
+    asked = red.project_requests(src.requests(spark, sf), red.national_projection(fit))
+    c = F.transform("pca_components", lambda v: F.round(F.abs(v), 6))
+    return asked.select("date", c[0].alias("first"), c[1].alias("second"))
+
+
 @query(
     "p04_total_variance",
     """SELECT 'region' AS experiment, 10::INTEGER AS n_components, 1.0::DOUBLE AS total FROM region_z LIMIT 1""",

@@ -65,7 +65,7 @@ def run_row(insample: DataFrame, fits: DataFrame, spec: arx.Spec, run_id: str) -
     return attach(metrics, quality).select(
         F.lit(run_id).alias("run_id"),
         F.lit(run_id).alias("run_dir"),
-        F.to_timestamp(F.lit(run_id), "yyyyMMdd'T'HHmmss'Z'").alias("trained_at"),
+        F.try_to_timestamp(F.lit(run_id), F.lit("yyyyMMdd'T'HHmmss'Z'")).alias("trained_at"),
         order.alias("order"),
         seasonal.alias("seasonal_order"),
         model_name(order, seasonal).alias("model_name"),
