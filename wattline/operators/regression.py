@@ -110,7 +110,8 @@ def centred_products(df: DataFrame, keys: Sequence[str], names: Sequence[str]) -
         F.sum("n").alias("__n"),
         vector_to_array(Summarizer.sum(array_to_vector(totals))).alias("__sums"),
     ]
-    levels = parts.groupBy(*keys).agg(*level) if keys else parts.agg(*level).where(F.col("__n") > 0)
+    # A constant key where there is none: no rows then give no row instead of an empty sum.
+    levels = parts.groupBy(*(keys or [F.lit(0).alias("__all")])).agg(*level)
     levels = levels.select(*keys, F.col("__n"), F.transform("__sums", lambda t: t / F.col("__n")).alias("__means"))
 
     @F.pandas_udf("array<double>")

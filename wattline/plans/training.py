@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from wattline.functions.columns import DEFAULT_FEATURES, EPSILON, check_schema, cyclicals, model_name
@@ -146,19 +146,33 @@ def scoring_state(rows: DataFrame, fits: DataFrame, spec: arx.Spec) -> DataFrame
 def with_scaler(state: DataFrame, table: DataFrame, spec: arx.Spec) -> DataFrame:
     """Put a run's feature weights on the standardised scale, with the scaler it was trained with.
 
-    Sums are taken per run over its own window; a feature without spread gets divisor 1.
+    Each day is summed in the stretch between two runs' ends, and a run's window is the
+    running total of the stretches; no day is copied per run. Sums are taken about the
+    table's means, so they lose no digits. A feature without spread gets divisor 1.
     """
-    listed = state.agg(F.collect_list(F.struct("run_id", "trained_at")).alias("__runs"))
-    pairs = attach(table, listed).select(*spec.features, "date", F.inline("__runs"))
-    used = pairs.where(F.col("date") <= F.col("trained_at"))
-    sd = [F.stddev_pop(f) for f in spec.features]
-    scaler = used.groupBy("run_id").agg(
-        F.array(*[F.avg(f) for f in spec.features]).alias("means"),
-        F.array(*[F.when(s > 0, s).otherwise(1.0) for s in sd]).alias("stds"),
+    names = list(spec.features)
+    level = cut(table.agg(*[F.avg(f).alias(f) for f in names]), "levels")
+    ends = state.select(F.col("trained_at").alias("__end")).distinct()
+    stops = ends.agg(F.sort_array(F.collect_list("__end")).alias("__stops"))
+    centred = attach(table.select("date", *names), level.select(*[F.col(f).alias(f"__m_{f}") for f in names]))
+    stretch = F.get(F.filter("__stops", lambda e: e >= F.col("date")), 0)
+    moved = attach(centred, stops).where(F.col("date") <= F.array_max("__stops")).select(
+        stretch.alias("__end"), *[(F.col(f) - F.col(f"__m_{f}")).alias(f) for f in names]
+    )
+    sums = {f"__s{i}": F.col(f) for i, f in enumerate(names)} | {f"__q{i}": F.col(f) * F.col(f) for i, f in enumerate(names)}
+    parts = moved.groupBy("__end").agg(F.count(F.lit(1)).alias("__n"), *[F.sum(c).alias(n) for n, c in sums.items()])
+    so_far = by_date((), "__end").rowsBetween(Window.unboundedPreceding, 0)
+    grown = ends.join(parts, "__end", "left").select("__end", *[F.sum(c).over(so_far).alias(c) for c in ("__n", *sums)])
+    mean = [F.col(f"__s{i}") / F.col("__n") for i in range(len(names))]
+    spread = [F.sqrt(F.greatest(F.col(f"__q{i}") / F.col("__n") - m * m, F.lit(0.0))) for i, m in enumerate(mean)]
+    scaler = attach(grown, level).select(
+        F.col("__end").alias("trained_at"),
+        F.array(*[m + F.col(f) for m, f in zip(mean, names)]).alias("means"),
+        F.array(*[F.when(s > 0, s).otherwise(1.0) for s in spread]).alias("stds"),
     )
     shift = F.aggregate(F.zip_with("weights", "means", lambda w, m: w * m), F.lit(0.0), lambda a, t: a + t)
     scaled = F.zip_with("weights", "stds", lambda w, s: w * s)
-    return state.join(scaler, "run_id").withColumns({"state": F.col("state") + shift, "weights": scaled})
+    return state.join(scaler, "trained_at").withColumns({"state": F.col("state") + shift, "weights": scaled})
 
 
 def score_requests(requests: DataFrame, runs: DataFrame, projection: DataFrame | None) -> DataFrame:
