@@ -20,19 +20,12 @@ from wattline.plans.monitoring import monitoring_report
 from wattline.plans.silver import build_silver
 from wattline.session import cut, work_path
 
-FEATURES = ["temp_pc_01", "production_mw_lag1"]
+FEATURES = ["temp_pc_01", "temp_pc_02", "temp_pc_03", "production_mw_lag1"]
 
 
 def gold(spark, sf) -> ModelReady:
-    """Model-ready table from the order series, regional temperature and production."""
-    low = src.stations(spark, sf, "region").where(F.col("variable") == "TN")
-    temperature = low.groupBy("date").agg(F.avg("value").alias("temp_pc_01"))
-    silver = (
-        src.daily(spark, sf)
-        .join(src.prod(spark, sf), "date")
-        .join(temperature, "date")
-        .select("date", F.col("y").alias(TARGET), F.col("production").alias("production_mw"), "temp_pc_01")
-    )
+    """Model-ready table from the silver layer: grid, both temperature variables, three components."""
+    silver, _ = build_silver(src.grid(spark, sf), cut(src.stations(spark, sf, "region"), "stations"))
     return model_ready(cut(silver, "silver"))
 
 

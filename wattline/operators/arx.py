@@ -180,11 +180,11 @@ def fit(sums: DataFrame, specs: dict[str, Spec], keys: Sequence[str] = ()) -> Da
 
 def dot(names: Sequence[str], weights: str) -> Column:
     """Design row times a coefficient array; unknown cells count only when their weight is zero."""
-    terms = F.zip_with(
-        F.array(*[F.col(c) for c in names]),
-        F.col(weights),
-        lambda v, b: F.when(b == 0.0, 0.0).otherwise(v * b),
-    )
+    return weighted(F.array(*[F.col(c) for c in names]), F.col(weights))
+
+
+def weighted(cells: Column, weights: Column) -> Column:
+    terms = F.zip_with(cells, weights, lambda v, b: F.when(b == 0.0, 0.0).otherwise(v * b))
     return F.aggregate(terms, F.lit(0.0), lambda a, t: a + t)
 
 

@@ -133,16 +133,29 @@ def backfill_runs(
 def run_metrics(rows: DataFrame, runs: DataFrame, spec: arx.Spec, keys: Sequence[str] = ()) -> DataFrame:
     """In-sample metrics of every run over its own window.
 
-    Each day meets the runs that were trained on it; the run list per key is
-    capped by the registry, so the fan-out is bounded, and errors are summed
-    before they are shuffled.
+    Runs are half-years, so a key's list is bounded by the calendar. Each day computes
+    the predictions of all runs that were trained on it in its own row; only (run,
+    prediction) pairs leave the row, without the design, and errors are summed before
+    they are shuffled.
     """
     keys = list(keys)
     listed = grouped(runs, keys, F.collect_list(F.struct("run_id", "checkpoint", "predictor")).alias("__runs"))
-    pairs = attach(rows, listed, keys).select(*rows.columns, F.inline("__runs"))
-    used = pairs.where(F.col("date") <= F.col("checkpoint")).select(
-        *keys, "run_id", "date", F.col("y").alias("actual"), arx.one_step(rows, spec).alias("predicted")
+    days = rows.select(
+        *keys,
+        "date",
+        F.col("y").alias("actual"),
+        (F.col("y") - F.col("w0")).alias("__base"),
+        F.array(*[F.col(c) for c in spec.names]).alias("__design"),
     )
+    own = F.filter("__runs", lambda r: r["checkpoint"] >= F.col("date"))
+    fits = F.transform(
+        own,
+        lambda r: F.struct(
+            r["run_id"].alias("run_id"),
+            (F.col("__base") + arx.weighted(F.col("__design"), r["predictor"])).alias("predicted"),
+        ),
+    )
+    used = attach(days, listed, keys).select(*keys, "date", "actual", F.inline(fits))
     found = error_metrics(used, [*keys, "run_id"], count="n_training_days")
     spans = used.where(F.col("predicted").isNotNull()).groupBy(*keys, "run_id")
     return found.join(
