@@ -190,3 +190,15 @@ def test_layers_are_written_and_read_back(spark, tmp_path):
     assert silver.count() == 10 and "temp_pc_02" in silver.columns
     gold = jobs.gold(spark, out("silver"), out("gold"), "2023-01-01", "2023-01-05")
     assert gold.table.count() == 4 and gold.features[:2] == ["temp_pc_01", "temp_pc_02"]
+
+
+def test_a_scope_removes_its_tables(spark):
+    from pathlib import Path
+
+    from wattline.session import cut, shared_root, work_scope
+
+    outer = shared_root(spark)
+    with work_scope(spark) as folder:
+        assert cut(spark.range(5)).count() == 5
+        assert any(Path(folder.removeprefix("file:")).iterdir())
+    assert shared_root(spark) == outer and not Path(folder.removeprefix("file:")).exists()

@@ -4,14 +4,18 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_KEY = "spark.checkpoint.dir"
+#: Set by ``work_scope`` while it is open, and once for a local session without a work folder.
+SCOPE_KEY = "wattline.work.dir"
 
 
-def local_session(app: str = "wattline", cpus: int | str = "*") -> SparkSession:
-    """Session for tests and the bench; on a cluster the caller brings its own."""
+def local_session(app: str = "wattline", cpus: int | str = "*", work: str | None = None) -> SparkSession:
+    """Session for tests and the bench, with a work folder; on a cluster the caller brings its own."""
     return (
         SparkSession.builder.master(f"local[{cpus}]")
         .appName(app)
@@ -20,6 +24,7 @@ def local_session(app: str = "wattline", cpus: int | str = "*") -> SparkSession:
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.driver.memory", "12g")
+        .config(CHECKPOINT_KEY, work or tempfile.mkdtemp(prefix="wattline-"))
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
@@ -34,13 +39,13 @@ def shared_root(spark: SparkSession) -> str:
     one machine; anywhere else a missing setting is an error.
     """
     context = spark.sparkContext
-    root = spark.conf.get(CHECKPOINT_KEY, None) or context.getConf().get(CHECKPOINT_KEY)
+    root = spark.conf.get(SCOPE_KEY, None) or spark.conf.get(CHECKPOINT_KEY, None) or context.getConf().get(CHECKPOINT_KEY)
     if root:
         return root
     if not context.master.startswith("local"):
         raise ValueError(f"{CHECKPOINT_KEY} must name a shared folder on a cluster")
     root = tempfile.mkdtemp(prefix="wattline-")
-    spark.conf.set(CHECKPOINT_KEY, root)
+    spark.conf.set(SCOPE_KEY, root)
     return root
 
 
@@ -49,6 +54,26 @@ def work_path(spark: SparkSession, name: str) -> str:
     return f"{shared_root(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+@contextmanager
+def work_scope(spark: SparkSession) -> Iterator[str]:
+    """Tables cut inside the scope go to a folder of their own, which is removed at its end.
+
+    Frames made inside read those tables, so write or collect them before the scope closes.
+    """
+    outer = spark.conf.get(SCOPE_KEY, None)
+    inner = work_path(spark, "scope")
+    spark.conf.set(SCOPE_KEY, inner)
+    try:
+        yield inner
+    finally:
+        if outer:
+            spark.conf.set(SCOPE_KEY, outer)
+        else:
+            spark.conf.unset(SCOPE_KEY)
+        folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(inner)
+        folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def cut(df: DataFrame, name: str = "cut") -> DataFrame:
     """Materialise ``df`` as a parquet table in the shared folder and read it back.
 
