@@ -1,4 +1,7 @@
-"""One query per operator, over whole tables with production parameters."""
+"""One query per operator, over whole tables with production parameters.
+
+``ORACLES`` has the SQL of those that SQL can express.
+"""
 
 from __future__ import annotations
 
@@ -9,6 +12,7 @@ from pyspark.sql import functions as F
 
 from wattline.llm import decontamination, html_text, mixing, pii, quality, repeats, secret_scan, sharding, simhash, tokens
 from wattline.llm.common import table
+from wattline.llm.oracles import ORACLES
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -139,4 +143,5 @@ QUERIES: dict[str, Query] = {
     "op9_html_text": op9_html_text,
     "op10_token_counts": op10_token_counts,
 }
-ORACLES: dict[str, str] = {}
+
+__all__ = ["ORACLES", "QUERIES"]
