@@ -15,7 +15,7 @@ from wattline.plans import bronze, jobs
 from wattline.session import work_path
 from wattline.sources import archives, manifest, registry, tables
 from wattline.sources.grid_files import read_grid_text
-from wattline.sources.lines import read_lines, split_rejects
+from wattline.sources.lines import list_files, read_lines, split_rejects
 from wattline.sources.station_files import read_station_files
 
 YEAR_DIR = r"year=(\d{4})/"
@@ -85,11 +85,23 @@ def s02(spark, sf):
     return both_variables(spark, sf).withColumn("value", F.col("value").cast("double"))
 
 
-@query("s03_input_files", "SELECT CAST(count(*) AS BIGINT) AS n_lines FROM customer")
+@query(
+    "s03_input_files",
+    """
+SELECT CAST(row_number() OVER (ORDER BY source_file) - 1 AS INTEGER) AS seq, source_file, n_lines FROM
+  (SELECT 'place=' || lpad(CAST(c_nationkey AS VARCHAR), 2, '0') AS source_file, count(*) AS n_lines FROM customer GROUP BY 1) AS f
+""",
+)
 def s03(spark, sf):
+    """The sorted listing of a folder, and the lines of each file in it."""
     path = work_path(spark, "names")
-    src.table(spark, sf, "customer").select("c_name").write.text(path)
-    return read_lines(spark, path, "*.txt").agg(F.count(F.lit(1)).alias("n_lines"))
+    rows = src.table(spark, sf, "customer")
+    place = F.lpad(F.col("c_nationkey").cast("string"), 2, "0").alias("place")
+    rows.select("c_name", place).repartition("place").write.partitionBy("place").text(path)
+    name = F.regexp_extract("path", "(place=[0-9]+)/", 1).alias("source_file")
+    files = list_files(spark, path, "*.txt").select("seq", name)
+    counts = read_lines(spark, path, "*.txt").groupBy(name).agg(F.count(F.lit(1)).alias("n_lines"))
+    return files.join(counts, "source_file").select("seq", "source_file", "n_lines")
 
 
 @query(
@@ -330,6 +342,35 @@ def m17(spark, sf):
     return registry.latest_status(runs, runs.select("run_id"))
 
 
+@query(
+    "m17_degraded_status",
+    "SELECT 'degraded' AS status, false AS model_loaded, max(run_id) AS latest_run_id, CAST(NULL AS VARCHAR) AS model_name FROM runs",
+    "runs",
+)
+def m17_degraded(spark, sf):
+    """The latest run's artefacts are gone; those of the runs before it don't help."""
+    runs = run_structs(spark, sf)
+    stored = runs.orderBy(F.desc("run_id")).offset(1)
+    return registry.latest_status(runs, stored.select("run_id"))
+
+
+@query(
+    "m16_default_run",
+    """
+SELECT 'default' AS asked, run_id, n_training_days::INTEGER AS n_training_days FROM runs WHERE run_id = (SELECT max(run_id) FROM runs)
+UNION ALL SELECT 'named', run_id, n_training_days::INTEGER FROM runs WHERE run_id = '19991231T000000Z'
+""",
+    "runs",
+)
+def m16_default(spark, sf):
+    """Metadata of the latest run where none is named, of one run by its id, and none for an unknown id."""
+    runs = run_structs(spark, sf)
+    asked = {"default": None, "named": "19991231T000000Z", "unknown": "no_such_run"}
+    parts = [registry.run_metadata(runs, i).withColumn("asked", F.lit(a)) for a, i in asked.items()]
+    both = parts[0].unionByName(parts[1]).unionByName(parts[2])
+    return both.select("asked", "run_id", "n_training_days")
+
+
 GRID_COLUMNS = ["Consommation", "Prévision J-1", "Prévision J", *src.PRODUCTION]
 
 

@@ -189,7 +189,8 @@ def p07_pair(spark, sf):
 
 @query(
     "p04_total_variance",
-    """SELECT 'region' AS experiment, 10::INTEGER AS n_components, 1.0::DOUBLE AS total FROM region_z LIMIT 1""",
+    """SELECT 'region' AS experiment, CAST(count(DISTINCT col) AS INTEGER) AS n_components,
+  round(sum(z * z) / (count(DISTINCT date) * count(DISTINCT col)), 9) AS total FROM region_z""",
     "region_z",
 )
 def p04_total(spark, sf):

@@ -36,6 +36,15 @@ def read_lines(
     )
 
 
+def list_files(spark: SparkSession, path: str, glob: str | None = None, recursive: bool = False) -> DataFrame:
+    """``seq, path`` of the files of a folder, sorted by path; contents are not read."""
+    reader = spark.read.format("binaryFile").option("recursiveFileLookup", str(recursive).lower())
+    if glob:
+        reader = reader.option("pathGlobFilter", glob)
+    order = Window.orderBy("path")
+    return reader.load(path).select((F.row_number().over(order) - 1).alias("seq"), "path")
+
+
 def with_line_number(lines: DataFrame) -> DataFrame:
     """0-based line number in the file.
 
