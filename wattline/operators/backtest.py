@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 from itertools import product
 
 import numpy as np
 import pandas as pd
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -15,6 +18,7 @@ from wattline.operators.checkpoints import half_year_end, half_year_ends
 from wattline.operators.frames import attach, grouped
 from wattline.operators.metrics import error_metrics
 from wattline.operators.regression import cross_products, fit_quality, key_schema
+from wattline.session import cut
 
 
 def running_sums(parts: DataFrame, keys: Sequence[str], step: str, size: int) -> DataFrame:
@@ -53,34 +57,39 @@ def walk_forward(
 ) -> DataFrame:
     """Rolling-origin backtest: train on all days before an origin, refit every 30.
 
-    A day is summed into the refit step it first belongs to; refits are running
-    sums of those steps, and an origin uses the latest refit at or before it. So
-    the history is read once, however many refits, horizons and models there are.
-    ``rows`` is a design table and is read twice: pass it materialised.
+    A day is summed once, in the cell of refit steps (one for each lead) it first belongs
+    to; a lead's refits are running sums of its steps, and an origin uses the latest refit
+    at or before it. So the history is read once, however many refits, leads and models
+    there are, and each lead forecasts no further than it needs.
+    ``rows`` is a design table that every lead reads: pass it materialised.
     """
     keys = list(keys)
     size = grouped(rows, keys, (F.max("pos") + 1).alias("n_days"))
-    lead = F.explode(F.array(*[F.lit(h) for h in horizons])).alias("lead")
-    plan = size.select(*keys, "n_days", lead).withColumn(
-        "first", F.greatest(F.lit(initial), F.col("n_days") - F.col("lead") + 1 - last)
+    first = {h: F.greatest(F.lit(initial), F.col("n_days") - h + 1 - last) for h in horizons}
+    step = {
+        h: F.when(F.col("pos") < f, 0).otherwise(F.floor((F.col("pos") - f) / every) + 1) for h, f in first.items()
+    }
+    cells = {f"__step{h}": s for h, s in step.items()}
+    placed = attach(rows, size, keys).withColumns(cells)
+    parts = cross_products(placed, [*keys, *cells], spec.names)
+    leads = F.array(*[F.struct(F.lit(h).alias("lead"), F.col(f"__step{h}").alias("step")) for h in horizons])
+    by_lead = (
+        parts.select(*keys, F.inline(leads), "n", "products")
+        .groupBy(*keys, "lead", "step")
+        .agg(F.sum("n").alias("n"), vector_to_array(Summarizer.sum(array_to_vector("products"))).alias("products"))
     )
-    plans = grouped(plan, keys, F.collect_list(F.struct("lead", "n_days", "first")).alias("plans"))
-    step = F.floor((F.col("pos") - F.col("first")) / every)
-
-    def planned(df: DataFrame) -> DataFrame:
-        return attach(df, plans, keys).select(*df.columns, F.inline("plans"))
-
-    train = planned(rows).withColumn("step", F.when(F.col("pos") < F.col("first"), 0).otherwise(step + 1))
-    sums = running_sums(
-        cross_products(train, [*keys, "lead", "step"], spec.names), [*keys, "lead"], "step", len(spec.names)
-    )
-    fits = arx.fit(sums, specs, [*keys, "lead", "step"])
-    starts = planned(arx.origin_rows(rows, spec, max(horizons), keys))
-    use = (F.col("pos") + 1 >= F.col("first")) & (F.col("pos") + F.col("lead") < F.col("n_days"))
-    starts = starts.where(use).withColumn("step", F.floor((F.col("pos") + 1 - F.col("first")) / every))
-    joined = starts.join(fits.select(*keys, "lead", "step", "model", "coef", "innovation"), [*keys, "lead", "step"])
-    out = arx.forecast(joined, spec, max(horizons), specs, [*keys, "lead"])
-    return out.where(F.col("horizon") == F.col("lead")).drop("lead")
+    sums = running_sums(by_lead, [*keys, "lead"], "step", len(spec.names))
+    fits = cut(arx.fit(sums, specs, [*keys, "lead", "step"]), "refits")
+
+    logs = []
+    for h, f in first.items():
+        starts = attach(arx.origin_rows(rows, spec, h, keys), size, keys)
+        use = (F.col("pos") + 1 >= f) & (F.col("pos") + h < F.col("n_days"))
+        starts = starts.where(use).withColumn("step", F.floor((F.col("pos") + 1 - f) / every))
+        mine = fits.where(F.col("lead") == h).select(*keys, "step", "model", "coef", "innovation")
+        log = arx.forecast(starts.join(mine, [*keys, "step"]), spec, h, specs, keys)
+        logs.append(log.where(F.col("horizon") == h))
+    return reduce(DataFrame.unionByName, logs)
 
 
 def order_grid(spec: arx.Spec, p: int = 3, q: int = 3, sp: int = 2, sq: int = 2) -> tuple[arx.Spec, dict[str, arx.Spec]]:
