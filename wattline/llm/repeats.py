@@ -35,6 +35,8 @@ GRAM = 16
 PICKS = LENGTH - GRAM + 1
 CHUNK_BYTES = 2 << 20
 BUCKET_BYTES = 4 << 20
+#: Buckets of stretches for each bucket of hashes: a stretch's suffixes take far more memory than its hash.
+FINER = 4
 #: Stretches of one anchor beyond which its windows travel one by one: in a chunk, in a bucket.
 CHUNK_STRETCHES = 16
 BUCKET_STRETCHES = 1000
@@ -272,12 +274,18 @@ def repeated_windows(data: np.ndarray, start: np.ndarray, size: np.ndarray, doc:
     record = np.repeat(np.arange(len(start)), count)
     offset = within(count)
     at = start[record] + offset
-    # Only suffixes whose first LENGTH bytes occur again can share an interval that deep.
+    # Only suffixes whose first LENGTH bytes occur in two documents can share an interval that counts.
     grams = gram_hashes(data)
     offsets = [*range(0, LENGTH - GRAM, GRAM), LENGTH - GRAM]
     hashes = combined(grams, [at + o for o in offsets], np.zeros(len(at)))
-    _, back, times = np.unique(hashes, return_inverse=True, return_counts=True)
-    kept = np.flatnonzero(times[back] > 1)
+    by_hash = np.argsort(hashes, kind="stable")
+    ordered, owner = hashes[by_hash], doc[record[by_hash]]
+    begins = np.flatnonzero(np.append(True, ordered[1:] != ordered[:-1])) if len(ordered) else by_hash
+    if not len(begins):
+        return np.zeros(len(start), np.uint64)
+    shared = np.minimum.reduceat(owner, begins) != np.maximum.reduceat(owner, begins)
+    kept = np.sort(by_hash[np.repeat(shared, np.diff(np.append(begins, len(ordered))))])
+    del grams, hashes, by_hash, ordered, owner
     if not len(kept):
         return np.zeros(len(start), np.uint64)
     record, offset, at = record[kept], offset[kept], at[kept]
@@ -285,6 +293,7 @@ def repeated_windows(data: np.ndarray, start: np.ndarray, size: np.ndarray, doc:
     raw = data.tobytes()
     suffixes = [raw[a : a + n] for a, n in zip(at.tolist(), length.tolist())]
     order = np.array(sorted(range(len(suffixes)), key=suffixes.__getitem__))
+    del raw, suffixes
     record, offset, at, length = record[order], offset[order], at[order], length[order]
     left = np.where(offset > 0, data[at - 1].astype(np.int64), -1 - np.arange(len(at))).tolist()
     docs = doc[record].tolist()
@@ -320,9 +329,10 @@ def common_prefixes(data: np.ndarray, at: np.ndarray, length: np.ndarray) -> np.
     """Bytes that each sorted suffix shares with the next one."""
     out = np.zeros(max(0, len(at) - 1), np.int64)
     reach = np.arange(LENGTH + PICKS)
-    for s in range(0, len(out), BLOCK):
-        a, b = at[s : s + BLOCK + 1][:-1], at[s + 1 : s + BLOCK + 1]
-        most = np.minimum(length[s : s + BLOCK + 1][:-1], length[s + 1 : s + BLOCK + 1])
+    block = BLOCK // 8
+    for s in range(0, len(out), block):
+        a, b = at[s : s + block + 1][:-1], at[s + 1 : s + block + 1]
+        most = np.minimum(length[s : s + block + 1][:-1], length[s + 1 : s + block + 1])
         inside = reach[None, :] < most[:, None]
         top = len(data) - 1
         same = (
@@ -449,7 +459,7 @@ def remove_repeats(
             return blobs(0, [])
         chunk, _, _, rec = revisit(table, told)
         parts = []
-        for b, s in by_bucket(bucket_of(rec.key, buckets)):
+        for b, s in by_bucket(bucket_of(rec.key, buckets * FINER)):
             size, start = rec.size[s], rec.start[s]
             body = chunk.data[np.repeat(start, size) + within(size)]
             head = np.array([len(size)], "<u8").tobytes()

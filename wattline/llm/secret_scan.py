@@ -38,7 +38,7 @@ BASE = [
 ]
 ADDED = [
     Kind("private_key", r"-----BEGIN [A-Z ]{0,20}PRIVATE KEY-----"),
-    Kind("signed_token", r"eyJ[A-Za-z0-9_-]{8,}+\.[A-Za-z0-9_-]{8,}+\.[A-Za-z0-9_-]{8,}+"),
+    Kind("signed_token", r"(?<![A-Za-z0-9_-])eyJ[A-Za-z0-9_-]{8,}+\.[A-Za-z0-9_-]{8,}+\.[A-Za-z0-9_-]{8,}+"),
     Kind("prefixed", r"(?:gh[pousr]_[A-Za-z0-9]{36,}+|xox[abprs]-[A-Za-z0-9-]{10,}+|sk_live_[A-Za-z0-9]{16,}+)"),
 ]
 LIVE = "live"
