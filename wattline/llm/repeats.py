@@ -145,7 +145,8 @@ class Chunk:
         first, last = at[run], at[np.append(run[1:], len(at))[: len(run)] - 1] if len(run) else at[:0]
         place = chosen[run]
         doc = self.ids[np.searchsorted(self.ends, first, "right")]
-        anchor = self.grams[place] >> np.uint64(16)
+        # Anchors are the smallest hashes around, so they are mixed once more to spread evenly.
+        anchor = mixed(self.grams[place] * MULTIPLIERS[6]) >> np.uint64(16)
         end = last + LENGTH - GRAM
         parts = [np.minimum(first + GRAM * j, end) for j in range(math.ceil((LENGTH + PICKS) / GRAM))] + [end]
         content = combined(self.grams, parts, ((place - first) << 8) + (end - first))
