@@ -156,7 +156,9 @@ def kpss(df: DataFrame, value: str, keys: Sequence[str] = ()) -> DataFrame:
     lag0 = F.col("lag") == 0
     s0 = F.sum(F.when(lag0, F.col("autocov")).when(near, 2 * F.col("autocov")))
     s1 = F.sum(F.when(near, 2 * F.col("lag") * F.col("autocov")))
-    ratio = F.pow((F.col("s1") / F.col("s0")) * (F.col("s1") / F.col("s0")), F.lit(1 / 3))
+    # A constant series has no variance: no lag and no statistic.
+    share = F.coalesce(F.try_divide("s1", "s0"), F.lit(0.0))
+    ratio = F.pow(share * share, F.lit(1 / 3))
     auto = F.floor(1.1447 * ratio * F.pow("n", F.lit(1 / 3)))
     chosen = grouped(short, keys, F.max("n").alias("n"), s0.alias("s0"), s1.alias("s1")).select(
         *keys, F.least(auto, F.col("n") - 1).cast("int").alias("lags")
@@ -172,9 +174,10 @@ def kpss(df: DataFrame, value: str, keys: Sequence[str] = ()) -> DataFrame:
         partial, keys, F.sum(F.col("__s") * F.col("__s")).alias("__e"), F.count(F.lit(1)).alias("n")
     )
     both = attach(spread, variance, keys)
-    stat = F.col("__e") / (F.col("n") * F.col("n")) / F.col("variance")
+    stat = F.try_divide(F.col("__e") / (F.col("n") * F.col("n")), F.col("variance"))
     out = both.select(*keys, stat.alias("statistic"), "lags", "n")
-    return out.withColumn("p", interpolated("statistic", KPSS_STAT, KPSS_P)).withColumn(
+    p = F.when(F.col("statistic").isNotNull(), interpolated("statistic", KPSS_STAT, KPSS_P))
+    return out.withColumn("p", p).withColumn(
         "stationary", F.col("p") >= 0.05
     )
 

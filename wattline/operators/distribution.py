@@ -162,5 +162,8 @@ def qq_line(points: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
         keys,
         F.regr_slope("observed", "theoretical").alias("slope"),
         F.regr_intercept("observed", "theoretical").alias("intercept"),
-        F.corr("observed", "theoretical").alias("r"),
+        # Null for a constant sample, where F.corr divides by zero.
+        F.try_divide(
+            F.covar_samp("observed", "theoretical"), F.stddev_samp("observed") * F.stddev_samp("theoretical")
+        ).alias("r"),
     )
