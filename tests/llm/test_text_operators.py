@@ -503,7 +503,7 @@ def test_page_layout():
     assert html_text.render(page).split("\n") == [
         "ab c", "d", "", "e", "", "f", "", "- x", "- y", "  3. 1", "  4. 2", "  z", "",
         "Name         N", "Al           10000", "wide cell here", "Longer name  5", "",
-        "  k", "   l", "", "t", "u", "", "v", "", "&",
+        "  k", "   l", "", "t", "u", "", "v&",
     ]
 
 
