@@ -254,6 +254,20 @@ def test_secret_spans_match_brute_force(spark, none):
     assert secret_scan.scan_secrets(none, F.col("source"), F.col("lang")).count() == 0
 
 
+def test_copies_of_a_text_are_no_spread_of_a_secret(spark):
+    key = lambda i: f"sk_live_{i}a4B5c6D7e8F9g0H1"
+    data = [(i, f"only text with {key(1)}", "en", f"src{i}") for i in range(5)]
+    data += [(10 + i, f"text {i} with {key(2)}", "en", f"src{i}") for i in range(3)]
+    data += [(20 + i, f"text {i} with {key(3)}", f"lang{i}", "hot") for i in range(4)]
+    data += [(30 + i, f"text {i} with {key(4)}", f"lang{i}", "hot") for i in range(3)]
+    repository = F.concat_ws("/", "source", "lang")
+    found = secret_scan.scan_secrets(edge.table(spark, data), F.col("source"), repository).collect()
+    got = {r.doc_id: (len(r.live), r.copied, [(s.owners, s.repositories) for s in r.spread]) for r in found}
+    want = {i: (1, 0, [(1, 1)]) for i in range(5)} | {10 + i: (0, 1, [(3, 3)]) for i in range(3)}
+    want |= {20 + i: (0, 1, [(1, 4)]) for i in range(4)} | {30 + i: (1, 0, [(1, 3)]) for i in range(3)}
+    assert got == want
+
+
 def luhn(digits):
     back = [int(c) for c in digits][::-1]
     return sum(d if i % 2 == 0 else sum(divmod(2 * d, 10)) for i, d in enumerate(back)) % 10 == 0

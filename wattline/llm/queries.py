@@ -70,13 +70,15 @@ def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.transform(c, lambda s: F.struct(s["start"], s["place"], s["end"], s["kind"])).cast(span).alias(c)
         for c in every
     ]
-    plain = found.select("doc_id", *places, secret_scan.LIVE, "candidates", "copied")
+    plain = found.select("doc_id", *places, secret_scan.LIVE, "candidates", "copied", "spread")
     return plain.select(
         "doc_id",
         *[F.size(c).cast("long").alias(f"n_{c}") for c in base],
         *digest(base, [*every, secret_scan.LIVE]),
         "candidates",
         "copied",
+        F.transform("spread", lambda s: s["owners"]).alias("owners"),
+        F.transform("spread", lambda s: s["repositories"]).alias("repositories"),
     )
 
 
