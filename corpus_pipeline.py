@@ -58,17 +58,29 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents by target weights of their sources; over-weighted ones repeat, at most three times."""
-    mixed = mixing.mix(docs, carry={"text_key": simhash.text_key(F.col("text"))})
-    copies = mixed.select(
-        F.col("doc_id").alias("mixed_id"), F.col("text_key").alias("mixed_text"), mixing.copies().alias("copies")
-    ).where("copies > 0")
-    same = F.col("doc_id").eqNullSafe(F.col("mixed_id")) & F.col("text_key").eqNullSafe(F.col("mixed_text"))
-    return (
-        docs.withColumn("text_key", simhash.text_key(F.col("text")))
-        .join(copies, same)
-        .withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), "copies")))
-        .select(*docs.columns)
+    # Rows that agree in all columns are one record with the copies of all of them.
+    others = [F.col(f"`{c}`") for c in docs.columns if c not in ("doc_id", "text")]
+    key = {"text_key": simhash.text_key(F.col("text")), "row_key": F.xxhash64(F.lit(0), *others)}
+    mixed = mixing.mix(docs, carry=key)
+    copies = (
+        mixed.withColumn("copies", mixing.copies())
+        .groupBy(F.col("doc_id").alias("mixed_id"), F.col("text_key").alias("mixed_text"), F.col("row_key").alias("mixed_row"))
+        .agg(F.sum("copies").alias("copies"), F.count("*").alias("equal"))
+        .where("copies > 0")
+    )
+    copies = cut(copies, "mix-copies")
+    same = (
+        F.col("doc_id").eqNullSafe(F.col("mixed_id"))
+        & F.col("text_key").eqNullSafe(F.col("mixed_text"))
+        & (F.col("row_key") == F.col("mixed_row"))
     )
+    records = docs.select("*", *[c.alias(n) for n, c in key.items()])
+    found = records.join(copies.where("equal = 1"), same)
+    # Only repeated records have to be brought together.
+    if not copies.where("equal > 1").isEmpty():
+        repeated = records.join(copies.where("equal > 1"), same).dropDuplicates(["doc_id", *key])
+        found = found.union(repeated)
+    return found.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), "copies"))).select(*docs.columns)
 
 
 def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -67,6 +67,17 @@ def test_contaminated_documents_go(spark, documents):
         assert (r.doc_id in kept) == (not hit)
 
 
+def test_repeated_rows_are_mixed_once_each(spark):
+    text = " ".join(f"w{i}" for i in range(640))
+    data = [(None if i % 2 else 7, text, "en", "a") for i in range(40)]
+    data += [(100 + i, f"{i} {text}", "en", "b") for i in range(40)]
+    docs = spark.createDataFrame(data, "doc_id long, text string, lang string, source string")
+    out = Counter((r.doc_id, r.source) for r in STAGE["mixing sources to target weights"](spark, docs, SF).collect())
+    repeated = sum(n for (_, s), n in out.items() if s == "a")
+    # Target weights 5 : 2 of two sources of one size: 57 of 80 rows are due, never more than 3 * 40.
+    assert 40 <= repeated <= 75 and all(n <= 3 * (20 if s == "a" else 1) for (_, s), n in out.items())
+
+
 def test_stages_in_a_row(spark, documents):
     docs = documents
     for name, stage in corpus_pipeline.STAGES:
