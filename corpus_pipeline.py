@@ -19,6 +19,8 @@ from wattline.session import cut
 #: Near copies: word shingles, similarity of their sets, fingerprint of 64-bit words.
 SHINGLE = 5
 SIMILARITY = 0.8
+#: Standard errors of the bits beyond their expected number at which a link is still proposed.
+ERRORS = 3
 FINGERPRINT_WORDS = 4
 #: Six segments of 16 bits, each filed under its ball of radius 1: pairs that differ in at
 #: most two bits of any segment meet.
@@ -32,13 +34,18 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies: the one with the smallest id."""
+    """One document of each group of near copies: the one with the smallest id.
+
+    Fingerprints propose groups; two texts are near copies if the sets of their shingles are
+    exactly that similar.
+    """
     found = simhash.near_duplicates(
         docs,
         shingle=SHINGLE,
-        distance=simhash.similarity_distance(SIMILARITY, 64 * FINGERPRINT_WORDS),
+        distance=simhash.similarity_distance(SIMILARITY, 64 * FINGERPRINT_WORDS, ERRORS),
         words=FINGERPRINT_WORDS,
         segments=SEGMENTS,
+        similarity=SIMILARITY,
     )
     keepers = found.where("keeper").select(F.col("doc_id").alias("keeper_id"), F.col("text_key").alias("keeper_text"))
     same = F.col("doc_id").eqNullSafe(F.col("keeper_id")) & F.col("text_key").eqNullSafe(F.col("keeper_text"))

@@ -1,5 +1,6 @@
 """Each stage on its own input against brute force, then the stages in a row."""
 
+import random
 import re
 import sys
 from collections import Counter
@@ -11,6 +12,7 @@ sys.path.insert(0, str(Path(__file__).parent))
 import edge  # noqa: E402
 
 import corpus_pipeline  # noqa: E402
+from wattline.llm import simhash  # noqa: E402
 from wattline.session import cut  # noqa: E402
 
 SF = "/root/testdata/sf0.001"
@@ -54,6 +56,45 @@ def test_one_of_each_group_of_copies_stays(spark, documents):
             assert a not in kept
 
 
+def test_a_repeated_phrase_makes_no_near_copy(spark):
+    rng = random.Random(5)
+    fresh = lambda n: [f"w{rng.randrange(10**9)}" for _ in range(n)]
+    phrase, data = fresh(5), []
+    for i in range(6):
+        a = fresh(1000)
+        data += [(4 * i, a), (4 * i + 1, a[:500] + ["x"] + a[501:])]
+        # Otherwise different texts, each with one phrase 39 times in a row.
+        data += [(4 * i + k, fresh(400) + phrase * 39 + fresh(405)) for k in (2, 3)]
+    docs = spark.createDataFrame([(i, " ".join(w), "en", "s") for i, w in data], "doc_id long, text string, lang string, source string")
+    kept = set(ids(STAGE["SimHash near-dedup"](spark, docs, SF)))
+    assert kept == {i for i, _ in data if i % 4 != 1}
+
+
+@pytest.mark.parametrize("block_texts", [3, 40, 1000])
+def test_links_of_texts_match_brute_force(spark, block_texts):
+    rng = random.Random(6)
+    data = []
+    for g in range(4):
+        base = [f"w{g}-{i}" for i in range(40)]
+        for i in range((2, 3, 30, 60)[g]):
+            words = list(base)
+            for _ in range(rng.randrange(4)):
+                words[rng.randrange(40)] = f"v{rng.randrange(3)}"
+            data.append((f"{g}-{i}".encode(), bytes([g]), " ".join(words)))
+    data += [(b"", b"e", None), (b"e1", b"e", " "), (b"e2", b"e", "a word")]
+    texts = spark.createDataFrame([(bytearray(u), bytearray(g), t) for u, g, t in data], "unit binary, group binary, text string")
+    roots = simhash.components(simhash.text_links(texts, 5, 0.8, block_texts=block_texts)).collect()
+    got = {bytes(r.node): bytes(r.root) for r in roots}
+    want = {u: u for u, _, _ in data}
+    for u, g, t in data:
+        for v, h, s in data:
+            a, b = shingles(t), shingles(s)
+            if g == h and (len(a & b) >= 0.8 * len(a | b)) and want[u] != want[v]:
+                low, high = sorted((want[u], want[v]))
+                want = {k: low if r == high else r for k, r in want.items()}
+    assert {u: got.get(u, u) for u in want} == want
+
+
 def test_contaminated_documents_go(spark, documents):
     kept = ids(STAGE["benchmark decontamination"](spark, documents, SF))
     norm = lambda t: re.findall("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+", re.sub("[A-Z]", lambda m: m[0].lower(), t or ""))

@@ -5,6 +5,8 @@ Fingerprints are cut into segments. Each one is filed under every value within a
 Hamming ball of each of its segments, so that two fingerprints close enough in some segment
 meet in a table entry; there their complete distance is verified. Links become components
 by alternating star contraction. Equal fingerprints are merged before anything is compared.
+Where a similarity is asked for, these components are only proposals: within them the
+shingle sets of the texts themselves are compared.
 """
 
 from __future__ import annotations
@@ -30,6 +32,9 @@ SMALL_ENTRY = 48
 #: Rows for which a comparison of two fingerprints costs as much as filing one.
 COMPARE_COST = 1 / 30
 GOLDEN = 0x9E3779B97F4A7C15
+#: Texts, and their bytes, of one group that are compared in one task; larger groups are split into such blocks.
+BLOCK_TEXTS = 1000
+BLOCK_BYTES = 4 << 20
 
 
 def votes(hashes: np.ndarray, words: int) -> np.ndarray:
@@ -47,16 +52,28 @@ def votes(hashes: np.ndarray, words: int) -> np.ndarray:
     return out
 
 
-def fingerprint(text: str | None, shingle: int, words: int = 1) -> bytes:
-    """Big-endian bytes of the fingerprint; zero for a text without words."""
+def shingle_hashes(text: str | None, shingle: int) -> np.ndarray:
+    """Hash of every shingle in order; a text with fewer words than a shingle is one shingle."""
     tokens = text.encode().lower().split() if text else []
     if not tokens:
-        return bytes(8 * words)
+        return np.zeros(0, "<u8")
     joined = b" ".join(tokens)
     ends = list(accumulate(len(t) + 1 for t in tokens))
     k = min(shingle, len(tokens))
     digest = xxhash.xxh64_intdigest
-    hashes = np.array([digest(joined[a : b - 1], SEED) for a, b in zip([0, *ends], ends[k - 1 :])], "<u8")
+    return np.array([digest(joined[a : b - 1], SEED) for a, b in zip([0, *ends], ends[k - 1 :])], "<u8")
+
+
+def fingerprint(text: str | None, shingle: int, words: int = 1, distinct: bool = False) -> bytes:
+    """Big-endian bytes of the fingerprint; zero for a text without words.
+
+    With ``distinct`` every distinct shingle votes once, however often the text repeats it.
+    """
+    hashes = shingle_hashes(text, shingle)
+    if distinct:
+        hashes = np.unique(hashes)
+    if not len(hashes):
+        return bytes(8 * words)
     return votes(hashes, words).astype(">u8").tobytes()
 
 
@@ -306,6 +323,141 @@ def components(edges: DataFrame) -> DataFrame:
     return edges.select(F.col("b").alias("node"), F.col("a").alias("root"))
 
 
+def set_links(sets: list[np.ndarray], similarity: float, joined: np.ndarray) -> list[tuple[int, int]]:
+    """Links that connect the sets whose Jaccard similarity reaches ``similarity``.
+
+    A search that visits each set once, as ``spanning_links`` does; ``joined`` sets are known
+    to be connected and get no link among themselves. Two empty sets are equal.
+    """
+    sizes = np.array([len(s) for s in sets], np.int64)
+    values, ids = np.unique(np.concatenate(sets), return_inverse=True)
+    starts = np.cumsum(sizes) - sizes
+    owner = np.repeat(np.arange(len(sets)), sizes)
+    mark = np.zeros(len(values), bool)
+    left, queue, links = ~joined, np.flatnonzero(joined).tolist(), []
+    # Only sets not reached yet are searched; their shingles are picked anew as these become fewer.
+    live_ids, live_owner, held = ids, owner, len(sets)
+    while (n := int(left.sum())) > 0:
+        if 2 * n <= held:
+            keep = left[live_owner]
+            live_ids, live_owner, held = live_ids[keep], live_owner[keep], n
+        if queue:
+            at = queue.pop()
+        else:
+            at = int(left.argmax())
+            left[at] = False
+        mine = ids[starts[at] : starts[at] + sizes[at]]
+        mark[mine] = True
+        common = np.bincount(live_owner[mark[live_ids]], minlength=len(sets))
+        mark[mine] = False
+        union = sizes + sizes[at] - common
+        alike = np.where(union > 0, common / np.maximum(union, 1), 1.0) >= similarity
+        near = np.flatnonzero(left & alike).tolist()
+        links += [(at, x) for x in near]
+        queue += near
+        left[near] = False
+    return links
+
+
+def text_links(
+    texts: DataFrame, shingle: int, similarity: float, block_texts: int = BLOCK_TEXTS, block_bytes: int = BLOCK_BYTES
+) -> DataFrame:
+    """Links (a, b), a < b, that connect the texts of a group whose shingle sets reach ``similarity``.
+
+    ``texts`` has ``unit`` (names a text), ``group`` and ``text``, one row per unit. A group of one
+    block is searched in one task. A larger one is first compared with its smallest unit,
+    block by block. What that one reaches is connected; only the others are then
+    compared with every block, so a dense group costs little more than its rows.
+    """
+    size = F.coalesce(F.octet_length("text"), F.lit(0)).cast("long") + 1
+
+    def blocks(n: Column, nbytes: Column) -> Column:
+        return F.greatest(F.ceil(n / block_texts), F.ceil(nbytes / block_bytes), F.lit(1))
+
+    def block(n: str) -> Column:
+        return F.pmod(F.xxhash64("unit", F.lit(SEED)), F.col(n))
+
+    def found(rows: DataFrame, against_pivot: bool) -> DataFrame:
+        """Links within each ``task``, whose rows may be of several groups."""
+
+        def run(table: pa.Table) -> pa.Table:
+            a, b, of = [], [], {}
+            units, texts_, joined = (table[c].to_pylist() for c in ("unit", "text", "joined"))
+            for i, g in enumerate(table["group"].to_pylist()):
+                of.setdefault(g, []).append(i)
+            for at in of.values():
+                sets = [np.unique(shingle_hashes(texts_[i], shingle)) for i in at]
+                known = np.array([joined[i] for i in at], bool)
+                if against_pivot and known.any():
+                    pivot = int(known.argmax())
+                    pairs = [
+                        (pivot, x) for x in range(len(at)) if x != pivot
+                        and set_links([sets[pivot], sets[x]], similarity, np.zeros(2, bool))
+                    ]
+                else:
+                    pairs = set_links(sets, similarity, known)
+                a += [units[at[x]] for x, _ in pairs]
+                b += [units[at[y]] for _, y in pairs]
+            return pa.table({"a": pa.array(a, pa.binary()), "b": pa.array(b, pa.binary())})
+
+        rows = rows.select("task", "group", "unit", "text", "joined")
+        return rows.groupBy("task").applyInArrow(run, "a binary, b binary")
+
+    groups = cut(
+        texts.groupBy("group")
+        .agg(F.count("*").alias("n"), F.sum(size).alias("bytes"), F.min("unit").alias("pivot"))
+        .where("n > 1")
+        .withColumn("blocks", blocks(F.col("n"), F.col("bytes"))),
+        "near-groups",
+    )
+    small = groups.where("blocks = 1").agg(F.sum("n"), F.sum("bytes")).first()
+    buckets = max(1, math.ceil((small[0] or 0) / block_texts), math.ceil((small[1] or 0) / block_bytes))
+    grouped = texts.join(groups, "group")
+    no = F.lit(False)
+    alone = grouped.where("blocks = 1").select(
+        F.pmod(F.xxhash64("group"), F.lit(buckets)).cast("string").alias("task"), "group", "unit", "text", no.alias("joined")
+    )
+    each = F.when(
+        F.col("unit") == F.col("pivot"), F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)
+    ).otherwise(F.array(block("blocks")))
+    large = grouped.where("blocks > 1")
+    by_pivot = large.withColumn("x", F.explode(each)).select(
+        F.concat_ws("-", F.hex("group"), "x").alias("task"),
+        "group", "unit", "text", (F.col("unit") == F.col("pivot")).alias("joined"),
+    )
+    links = found(alone, False)
+    if not groups.where("blocks > 1").isEmpty():
+        near = cut(found(by_pivot, True), "near-pivots")
+        reached = near.select(F.col("b").alias("unit"), F.lit(True).alias("hit"))
+        large = cut(
+            large.join(reached, "unit", "left").select(
+                "group", "unit", "text", (F.col("hit").isNotNull() | (F.col("unit") == F.col("pivot"))).alias("joined")
+            ),
+            "near-large",
+        )
+        shape = large.groupBy("group").agg(
+            *[
+                F.when(F.count(F.when(c, 1)) > 0, blocks(F.count(F.when(c, 1)), F.sum(F.when(c, size))))
+                .otherwise(F.lit(0)).alias(n)
+                for c, n in ((F.col("joined"), "reached"), (~F.col("joined"), "others"))
+            ]
+        )
+        # Blocks of others are numbered after the blocks of reached texts; each pair has one of others.
+        last = F.col("reached") + F.col("others") - 1
+        own = F.when(F.col("joined"), block("reached")).otherwise(F.col("reached") + block("others"))
+        partners = F.when(F.col("joined"), F.sequence(F.col("reached"), last)).otherwise(
+            F.sequence(F.lit(0).cast("long"), last)
+        )
+        pairs = (
+            large.join(shape.where("others > 0"), "group")
+            .withColumn("own", own)
+            .withColumn("other", F.explode(partners))
+            .withColumn("task", F.concat_ws("-", F.hex("group"), F.least("own", "other"), F.greatest("own", "other")))
+        )
+        links = links.union(near).union(found(pairs, False))
+    return links.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
 def near_duplicates(
     docs: DataFrame,
     shingle: int = 5,
@@ -315,11 +467,14 @@ def near_duplicates(
     entry_rows: int = ENTRY_ROWS,
     id_col: str = "doc_id",
     text_col: str = "text",
+    similarity: float | None = None,
 ) -> DataFrame:
     """doc_id, text_key (MD5 of the text), fp (big-endian bytes), component_id, keeper of every row.
 
     Texts link if their fingerprints of ``64 * words`` bits differ in at most ``distance``
-    bits; ``component_id`` is the smallest id that links reach. ``keeper`` is true for the
+    bits. With ``similarity`` every distinct shingle votes once and such links only propose
+    groups; texts link if the exact Jaccard similarity of their sets of shingles, within a
+    group, is at least ``similarity``. ``component_id`` is the smallest id that links reach. ``keeper`` is true for the
     one (id, text) of the component that stays in a deduplicated corpus: the smallest id,
     then the smallest text_key. Letters A-Z are lower-cased.
     A text with fewer words than a shingle is one shingle; null, empty and blank texts have
@@ -331,7 +486,7 @@ def near_duplicates(
     @F.pandas_udf("binary")
     def fingerprints(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for texts in batches:
-            yield pd.Series([fingerprint(t, shingle, words) for t in texts])
+            yield pd.Series([fingerprint(t, shingle, words, similarity is not None) for t in texts])
 
     text = F.col(f"`{text_col}`")
     rows = cut(
@@ -341,15 +496,30 @@ def near_duplicates(
         "simhash",
     )
     place = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "text_key")
-    first = cut(rows.groupBy("fp").agg(F.min(place).alias("first")), "fingerprints")
-    roots = components(links(first, distance, words, segments, entry_rows))
-    rooted = first.join(roots, F.col("fp") == F.col("node"), "left").select(
-        "fp", "first", F.coalesce("root", "fp").alias("root")
+    if similarity is None:
+        first = cut(rows.groupBy("fp").agg(F.min(place).alias("first")), "fingerprints").withColumn("unit", F.col("fp"))
+        roots = components(links(first, distance, words, segments, entry_rows))
+    else:
+        rows = rows.withColumn("unit", text_unit(F.col("text_key")))
+        first = cut(rows.groupBy("unit").agg(F.first("fp").alias("fp"), F.min(place).alias("first")), "fingerprints")
+        proposed = components(links(first.select("fp").distinct(), distance, words, segments, entry_rows))
+        groups = first.join(proposed, F.col("fp") == F.col("node"), "left").select(
+            "unit", F.coalesce("root", "fp").alias("group")
+        )
+        several = groups.groupBy("group").agg(F.count("*").alias("n")).where("n > 1").select("group")
+        # Copies of a text fall together before it travels.
+        texts = docs.select(text_unit(text_key(text)).alias("unit"), text.alias("text"))
+        texts = texts.groupBy("unit").agg(F.first("text").alias("text")).join(groups.join(several, "group"), "unit")
+        roots = components(text_links(cut(texts, "near-texts"), shingle, similarity))
+    rooted = first.join(roots, F.col("unit") == F.col("node"), "left").select(
+        "unit", "first", F.coalesce("root", "unit").alias("root")
     )
-    # One row per fingerprint: its component's first row.
+    # One row per linked unit: its component's first row.
     least = rooted.groupBy("root").agg(F.min("first").alias("head"))
-    named = rooted.join(least, "root").select("fp", "head")
-    return rows.join(named, "fp").select(
+    named = rooted.join(least, "root").select("unit", "head")
+    if similarity is None:
+        rows = rows.withColumn("unit", F.col("fp"))
+    return rows.join(named, "unit").select(
         "doc_id",
         "text_key",
         "fp",
@@ -363,9 +533,16 @@ def text_key(text: Column) -> Column:
     return F.unhex(F.md5(text.cast("binary")))
 
 
-def similarity_distance(similarity: float, bits: int) -> int:
+def text_unit(key: Column) -> Column:
+    """Names a distinct text; a null text has a name of its own."""
+    return F.coalesce(key, F.lit(b""))
+
+
+def similarity_distance(similarity: float, bits: int, errors: float = 0) -> int:
     """Differing bits expected between texts whose shingle sets have this Jaccard similarity.
 
     Sets of similarity s have cosine 2s / (1 + s); a bit differs with the angle over pi.
+    ``errors`` standard errors of that number are added.
     """
-    return round(bits * math.acos(2 * similarity / (1 + similarity)) / math.pi)
+    chance = math.acos(2 * similarity / (1 + similarity)) / math.pi
+    return round(bits * chance + errors * math.sqrt(bits * chance * (1 - chance)))
