@@ -114,4 +114,42 @@ SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hi
 FROM doc LEFT JOIN hit ON doc.row = hit.row LEFT JOIN named ON doc.row = named.row
 """
 
-ORACLES = {"op1_mixing": MIX, "op3_quality": QUALITY, "op8_decontamination": LEAKS}
+TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+
+
+def terms_sql(columns: str, source: str) -> str:
+    text = f"translate(text, '{UPPER}', '{UPPER.lower()}')"
+    return f"SELECT {columns}, unnest(regexp_extract_all({text}, '{TERM}')) AS term FROM {source}"
+
+
+SEARCH = f"""
+WITH doc AS ({terms_sql("row_number() OVER () AS row, doc_id", "documents")}),
+tf AS (SELECT row, doc_id, term, count(*) AS tf FROM doc GROUP BY ALL),
+len AS (SELECT row, CAST(sum(tf) AS BIGINT) AS n FROM tf GROUP BY 1),
+corpus AS (SELECT count(*) AS N, CAST(sum(n) AS BIGINT) AS L FROM len),
+df AS (SELECT term, CAST(floor(1000 * ln((2 * N + 2) / (2 * count(*) + 1))) AS BIGINT) AS w FROM tf, corpus GROUP BY term, N),
+asked AS (SELECT item_id, term, count(*) AS times FROM ({terms_sql("item_id", "benchmark")}) AS q GROUP BY ALL),
+scored AS (SELECT item_id, doc_id, tf.row, CAST(sum(times * w * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 75 + (75 * n * N) // L)))) AS BIGINT) AS score
+  FROM asked JOIN df ON asked.term = df.term JOIN tf ON asked.term = tf.term JOIN len ON tf.row = len.row, corpus GROUP BY 1, 2, 3)
+SELECT item_id, rank, doc_id, score FROM (
+  SELECT *, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST) AS INTEGER) AS rank FROM scored WHERE score > 0) AS r
+WHERE rank <= 10
+"""
+
+NEAREST = """
+WITH v AS (SELECT vec_id, [floor(256 * CAST(x AS DOUBLE)) for x in embedding] AS f FROM embeddings
+  WHERE embedding IS NOT NULL AND len([x for x in embedding if x IS NULL OR NOT isfinite(x)]) = 0),
+scored AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.f, c.f) AS BIGINT) AS score
+  FROM v AS q JOIN v AS c ON q.vec_id IS DISTINCT FROM c.vec_id AND len(q.f) = len(c.f) WHERE q.vec_id % 50 = 0)
+SELECT query_id, rank, vec_id, score FROM (
+  SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id NULLS LAST) AS INTEGER) AS rank FROM scored) AS r
+WHERE rank <= 5
+"""
+
+ORACLES = {
+    "op1_mixing": MIX,
+    "op3_quality": QUALITY,
+    "op8_decontamination": LEAKS,
+    "op11_lexical_search": SEARCH,
+    "op12_vector_search": NEAREST,
+}

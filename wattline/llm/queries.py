@@ -10,7 +10,21 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wattline.llm import decontamination, html_text, mixing, pii, quality, repeats, secret_scan, sharding, simhash, tokens
+from wattline.llm import (
+    decontamination,
+    html_text,
+    lexical_search,
+    mixing,
+    pii,
+    quality,
+    repeats,
+    secret_scan,
+    sharding,
+    simhash,
+    spelling,
+    tokens,
+    vector_search,
+)
 from wattline.llm.common import table
 from wattline.llm.oracles import ORACLES
 
@@ -133,6 +147,18 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.count_tokens(table(spark, sf_dir, "documents"), tokens.default_model())
 
 
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search.rank_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op12_vector_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_search.search(table(spark, sf_dir, "embeddings"), lambda vec_id: vec_id % 50 == 0)
+
+
+def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.group_variants(table(spark, sf_dir, "documents"), every=199)
+
+
 QUERIES: dict[str, Query] = {
     "op1_mixing": op1_mixing,
     "op2_repeats": op2_repeats,
@@ -144,6 +170,9 @@ QUERIES: dict[str, Query] = {
     "op8_decontamination": op8_decontamination,
     "op9_html_text": op9_html_text,
     "op10_token_counts": op10_token_counts,
+    "op11_lexical_search": op11_lexical_search,
+    "op12_vector_search": op12_vector_search,
+    "op13_spelling": op13_spelling,
 }
 
 __all__ = ["ORACLES", "QUERIES"]
