@@ -26,7 +26,7 @@ from wattline.session import cut
 ITEM_BYTES = 8 << 20
 #: Postings of a segment; a segment holds one document at least.
 SEGMENT_POSTINGS = 1 << 20
-#: Documents that are scored together; groups are taken whole.
+#: Documents that are scored together: whole groups up to this number, one group at least.
 SCORED = 256
 #: Bytes of text that are split into terms at a time.
 SLICE = 1 << 20
@@ -172,7 +172,7 @@ def searched(segment: Segment, terms: np.ndarray, weights: np.ndarray, best: lis
     docs, ends, bounds = segment.groups(terms, weights)
     start = group = 0
     while group < len(ends) and bounds[group] > 0 and (len(best) < k or bounds[group] >= -best[-1][0]):
-        last = min(int(np.searchsorted(ends, start + SCORED)), len(ends) - 1)
+        last = max(group, int(np.searchsorted(ends, start + SCORED, "right")) - 1)
         mine = docs[start : ends[last]]
         scores = segment.scores(mine, terms, weights)
         top = np.lexsort((segment.by_id[mine], -scores))[:k]

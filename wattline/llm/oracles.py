@@ -126,10 +126,10 @@ SEARCH = f"""
 WITH doc AS ({terms_sql("row_number() OVER () AS row, doc_id", "documents")}),
 tf AS (SELECT row, doc_id, term, count(*) AS tf FROM doc GROUP BY ALL),
 len AS (SELECT row, CAST(sum(tf) AS BIGINT) AS n FROM tf GROUP BY 1),
-corpus AS (SELECT count(*) AS N, CAST(sum(n) AS BIGINT) AS L FROM len),
-df AS (SELECT term, CAST(floor(1000 * ln((2 * N + 2) / (2 * count(*) + 1))) AS BIGINT) AS w FROM tf, corpus GROUP BY term, N),
+corpus AS (SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS words FROM len),
+df AS (SELECT term, CAST(floor(1000 * ln((2 * docs + 2) / (2 * count(*) + 1))) AS BIGINT) AS w FROM tf, corpus GROUP BY term, docs),
 asked AS (SELECT item_id, term, count(*) AS times FROM ({terms_sql("item_id", "benchmark")}) AS q GROUP BY ALL),
-scored AS (SELECT item_id, doc_id, tf.row, CAST(sum(times * w * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 75 + (75 * n * N) // L)))) AS BIGINT) AS score
+scored AS (SELECT item_id, doc_id, tf.row, CAST(sum(times * w * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 75 + (75 * n * docs) // words)))) AS BIGINT) AS score
   FROM asked JOIN df ON asked.term = df.term JOIN tf ON asked.term = tf.term JOIN len ON tf.row = len.row, corpus GROUP BY 1, 2, 3)
 SELECT item_id, rank, doc_id, score FROM (
   SELECT *, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST) AS INTEGER) AS rank FROM scored WHERE score > 0) AS r
