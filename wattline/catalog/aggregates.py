@@ -81,6 +81,18 @@ def a06_keyed(spark, sf):
     return rounded(rounded(out, 4, "mean", "std"), 5, "q25", "q50", "q75")
 
 
+@query("a06_null_key", f"SELECT nullif(l_returnflag, 'R') AS k, {STATS} GROUP BY 1")
+def a06_null(spark, sf):
+    """A group whose key is null is a group like any other, here and in the queries of this name below."""
+    out = profile.describe(with_null_key(spark, sf), "l_extendedprice", ["k"])
+    return rounded(rounded(out, 4, "mean", "std"), 5, "q25", "q50", "q75")
+
+
+def with_null_key(spark, sf):
+    rows = src.table(spark, sf, "lineitem")
+    return rows.select(F.nullif("l_returnflag", F.lit("R")).alias("k"), "l_extendedprice")
+
+
 CORR = ["Consommation", "Prévision J-1", "Fioul", "Gaz", "Nucléaire"]
 
 
@@ -203,6 +215,17 @@ def a14_keyed(spark, sf):
     return metrics.residual_statistics(r, "residual", ["model", "horizon"])
 
 
+@query(
+    "a14_null_key",
+    RESIDUAL_SQL.replace("{k} actual - predicted AS r", "k, r").replace("stddev_samp(actual - predicted)", "stddev_samp(r)").format(
+        k="k,", p="PARTITION BY k", t="(SELECT nullif(l_returnflag, 'R') AS k, l_extendedprice - 30000 AS r FROM lineitem) AS l", g="GROUP BY 1"
+    ),
+)
+def a14_null(spark, sf):
+    rows = with_null_key(spark, sf).withColumn("residual", F.col("l_extendedprice") - 30000)
+    return metrics.residual_statistics(rows, "residual", ["k"])
+
+
 @query(
     "a15_peak_detection",
     """
@@ -340,6 +363,20 @@ def a21_keyed(spark, sf):
     return rounded(rounded(out, 6, "left_edge"), 10, "density")
 
 
+@query(
+    "a21_null_key",
+    "SELECT nullif(k, '~') AS k, bin, left_edge, n, density FROM ("
+    + ("WITH base AS (SELECT coalesce(nullif(l_returnflag, 'R'), '~') AS k, l_extendedprice AS v FROM lineitem)" + HIST).format(
+        k="k,", sk="s.k,", ek="edges.k,", n=60, t="SELECT * FROM base", g="GROUP BY k",
+        j="JOIN ends ON ends.k = s.k", jk="AND counts.k = edges.k",
+    )
+    + ") AS h",
+)
+def a21_null(spark, sf):
+    out = distribution.histogram(with_null_key(spark, sf), "l_extendedprice", 60, ["k"])
+    return rounded(rounded(out, 6, "left_edge"), 10, "density")
+
+
 @query(
     "a22_box_statistics",
     """
@@ -357,6 +394,23 @@ def a22(spark, sf):
     return rounded(out, 5, "q1", "median", "q3")
 
 
+@query(
+    "a22_null_key",
+    """
+SELECT k, round(any_value(q1), 5) AS q1, round(any_value(q2), 5) AS median, round(any_value(q3), 5) AS q3,
+  min(l_extendedprice) FILTER (l_extendedprice BETWEEN q1 - 1.5 * (q3 - q1) AND q3 + 1.5 * (q3 - q1)) AS whisker_low,
+  max(l_extendedprice) FILTER (l_extendedprice BETWEEN q1 - 1.5 * (q3 - q1) AND q3 + 1.5 * (q3 - q1)) AS whisker_high,
+  count(*) FILTER (NOT l_extendedprice BETWEEN q1 - 1.5 * (q3 - q1) AND q3 + 1.5 * (q3 - q1)) AS n_outliers
+FROM (SELECT l.*, nullif(l_returnflag, 'R') AS k, q1, q2, q3 FROM lineitem l JOIN (SELECT nullif(l_returnflag, 'R') AS f, quantile_cont(l_extendedprice, 0.25) AS q1,
+  quantile_cont(l_extendedprice, 0.5) AS q2, quantile_cont(l_extendedprice, 0.75) AS q3 FROM lineitem GROUP BY 1) q ON f IS NOT DISTINCT FROM nullif(l_returnflag, 'R')) AS x
+GROUP BY 1
+""",
+)
+def a22_null(spark, sf):
+    out = distribution.box_statistics(with_null_key(spark, sf), "l_extendedprice", ["k"])
+    return rounded(out, 5, "q1", "median", "q3")
+
+
 @query(
     "a23_kernel_density",
     """

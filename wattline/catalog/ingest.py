@@ -371,6 +371,33 @@ def m16_default(spark, sf):
     return both.select("asked", "run_id", "n_training_days")
 
 
+@query(
+    "m16_late_backfill",
+    """
+SELECT run_id, n_training_days::INTEGER AS n_training_days, (SELECT run_id FROM latest_run) AS latest_run_id
+FROM runs WHERE run_id = (SELECT run_id FROM latest_run)
+""",
+    "latest_run",
+)
+def m16_late(spark, sf):
+    """The default run is the one that the registry document names."""
+    runs = src.late_backfill(run_structs(spark, sf))
+    path = work_path(spark, "registry")
+    registry.registry_document(runs, 8).write.text(path)
+    named = registry.read_registry(spark, path).select("run_id", "latest_run_id")
+    return registry.run_metadata(runs).join(named, "run_id").select("run_id", "n_training_days", "latest_run_id")
+
+
+@query(
+    "m17_late_backfill",
+    "SELECT 'ok' AS status, true AS model_loaded, run_id AS latest_run_id, 'SARIMAX(2, 0, 1)x(2, 1, 0, 7)' AS model_name FROM latest_run",
+    "latest_run",
+)
+def m17_late(spark, sf):
+    runs = src.late_backfill(run_structs(spark, sf))
+    return registry.latest_status(runs, runs.select("run_id"))
+
+
 GRID_COLUMNS = ["Consommation", "Prévision J-1", "Prévision J", *src.PRODUCTION]
 
 

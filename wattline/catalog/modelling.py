@@ -585,6 +585,24 @@ def m15_line(spark, sf):
     return rounded(out.select("date", "run_id", "prediction", "error"), 4, "prediction")
 
 
+@query(
+    "m15_late_backfill",
+    """
+, asked AS (SELECT date, production_mw_lag1 AS x, coalesce(run_id, (SELECT run_id FROM latest_run)) AS run_id FROM requests)
+SELECT a.date, a.run_id, round(p.y - p.w + b * (a.x - (p.x - p.z)), 4) AS prediction
+FROM asked a LEFT JOIN mruns r ON r.run_id = a.run_id LEFT JOIN md p ON p.date = r.checkpoint + 1
+""",
+    "requests latest_run mruns md",
+)
+def m15_late(spark, sf):
+    """Scoring by default takes the run appended last, not the one trained last."""
+    table = line_gold(spark, sf)
+    _, fits, rows = training.historical_runs(table, LINE, src.FIRST_CHECKPOINT)
+    runs = training.with_scaler(training.scoring_state(rows, fits, LINE), table.table, LINE)
+    out = training.score_requests(src.requests(spark, sf), cut(src.late_backfill(runs), "scoring-state"), None)
+    return rounded(out.select("date", "run_id", "prediction"), 4, "prediction")
+
+
 VIEWS["kx"] = (
     "keyed_filled",
     "SELECT series, row_number() OVER (PARTITION BY series ORDER BY date) AS pos, count(*) OVER (PARTITION BY series) AS n,"

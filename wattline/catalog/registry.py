@@ -235,6 +235,15 @@ VIEWS: dict[str, tuple[str, str]] = {
         " round(sqrt(se / n), 2) AS rmse, round(pe / n * 100, 4) AS mape, round(ll, 2) AS llf,"
         " round(-2 * ll + 4, 2) AS aic, round(-2 * ll + 2 * ln(n), 2) AS bic FROM run_llf",
     ),
+    # Old June windows were backfilled behind all other runs, so the registry points at one of them.
+    "late_runs": (
+        "runs",
+        "SELECT *, month(trained_at) = 6 AND year(trained_at) < 2000 AS late FROM runs",
+    ),
+    "latest_run": (
+        "late_runs",
+        "SELECT run_id FROM late_runs ORDER BY late DESC, run_id DESC LIMIT 1",
+    ),
     "fc_peaks": (
         "fc",
         PEAKS.format(k="horizon", t="fc"),

@@ -62,6 +62,20 @@ def f05(spark, sf):
     return out.select("date", "run_id", "mae", "found")
 
 
+@query(
+    "f05_late_backfill",
+    """
+SELECT r.date, coalesce(r.run_id, (SELECT run_id FROM latest_run)) AS run_id, runs.mae, runs.run_id IS NOT NULL AS found
+FROM requests r LEFT JOIN runs ON runs.run_id = coalesce(r.run_id, (SELECT run_id FROM latest_run))
+""",
+    "requests latest_run",
+)
+def f05_late(spark, sf):
+    """Requests that name no run get the one appended last, though others were trained on later days."""
+    out = joins.resolve_runs(src.requests(spark, sf), src.late_backfill(src.runs(spark, sf)))
+    return out.select("date", "run_id", "mae", "found")
+
+
 @query(
     "f06_last_rows",
     "SELECT horizon, date, error FROM (SELECT *, row_number() OVER (PARTITION BY horizon ORDER BY date DESC) AS n FROM fc) AS x WHERE n <= 180",

@@ -272,9 +272,7 @@ FROM (SELECT run_id, trained_at, month(trained_at) = 6 AND year(trained_at) < 20
 )
 def l05(spark, sf):
     """Old June windows were backfilled after all other runs, so they count as the newest."""
-    late = (F.month("trained_at") == 6) & (F.year("trained_at") < 2000)
-    day = F.when(late, "2030-01-02").otherwise("2030-01-01").cast("timestamp")
-    runs = src.runs(spark, sf).select("run_id", "trained_at", day.alias(APPENDED))
+    runs = src.late_backfill(src.runs(spark, sf).select("run_id", "trained_at"))
     return capped(runs, 7).drop(APPENDED)
 
 

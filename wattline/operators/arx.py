@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wattline.functions.columns import errors
-from wattline.operators.frames import attach, by_date
+from wattline.operators.frames import attach, by_date, meet
 from wattline.operators.regression import key_schema, p_value, solve
 
 LONG_AR = 28
@@ -197,7 +197,7 @@ def fitted(rows: DataFrame, fits: DataFrame, spec: Spec, keys: Sequence[str] = (
     """In-sample frame: actual, fitted and error columns for every day the design covers."""
     known = fits.select(*keys, "model", "predictor")
     if keys:
-        joined = rows.join(known, list(keys))
+        joined = meet(rows, known, keys)
     else:
         listed = known.agg(F.collect_list(F.struct("model", "predictor")).alias("__fits"))
         joined = attach(rows, listed).select(*rows.columns, F.inline("__fits"))

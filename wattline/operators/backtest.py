@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from wattline.operators import arx
 from wattline.operators.checkpoints import half_year_end, half_year_ends
-from wattline.operators.frames import attach, grouped
+from wattline.operators.frames import attach, grouped, meet
 from wattline.operators.metrics import error_metrics
 from wattline.operators.regression import cross_products, fit_quality, key_schema
 from wattline.session import cut
@@ -87,7 +87,7 @@ def walk_forward(
         use = (F.col("pos") + 1 >= f) & (F.col("pos") + h < F.col("n_days"))
         starts = starts.where(use).withColumn("step", F.floor((F.col("pos") + 1 - f) / every))
         mine = fits.where(F.col("lead") == h).select(*keys, "step", "model", "coef", "innovation")
-        log = arx.forecast(starts.join(mine, [*keys, "step"]), spec, h, specs, keys)
+        log = arx.forecast(meet(starts, mine, [*keys, "step"]), spec, h, specs, keys)
         logs.append(log.where(F.col("horizon") == h))
     return reduce(DataFrame.unionByName, logs)
 
@@ -131,11 +131,11 @@ def backfill_runs(
     known = rows.where(F.col("w0").isNotNull())
     parts = cross_products(known.withColumn("checkpoint", closes), [*keys, "checkpoint"], spec.names)
     plan = half_year_ends(grouped(known, keys, F.max("date").alias("last")), "last", first, keys)
-    full = plan.join(parts, [*keys, "checkpoint"], "left")
+    full = meet(plan, parts, [*keys, "checkpoint"], "left")
     fits = arx.fit(running_sums(full, keys, "checkpoint", len(spec.names)), {"final": spec}, [*keys, "checkpoint"])
     named = fits.withColumn("run_id", F.concat(F.date_format("checkpoint", "yyyyMMdd"), F.lit("T000000Z")))
     if existing is not None:
-        named = named.join(existing.select(*keys, "run_id"), [*keys, "run_id"], "left_anti")
+        named = meet(named, existing.select(*keys, "run_id"), [*keys, "run_id"], "left_anti")
     return fit_quality(named)
 
 
@@ -167,9 +167,8 @@ def run_metrics(rows: DataFrame, runs: DataFrame, spec: arx.Spec, keys: Sequence
     used = attach(days, listed, keys).select(*keys, "date", "actual", F.inline(fits))
     found = error_metrics(used, [*keys, "run_id"], count="n_training_days")
     spans = used.where(F.col("predicted").isNotNull()).groupBy(*keys, "run_id")
-    return found.join(
-        spans.agg(F.min("date").alias("training_start"), F.max("date").alias("training_end")), [*keys, "run_id"]
-    )
+    ends = spans.agg(F.min("date").alias("training_start"), F.max("date").alias("training_end"))
+    return meet(found, ends, [*keys, "run_id"])
 
 
 def recursive_evaluation(
@@ -190,7 +189,7 @@ def recursive_evaluation(
     starts = starts.where(chosen & (F.pmod(F.col("pos") - first, F.lit(step)) == 0))
     models = fits.select(*keys, "model", "coef", "innovation")
     if keys:
-        joined = starts.join(models, keys)
+        joined = meet(starts, models, keys)
     else:
         listed = models.agg(F.collect_list(F.struct("model", "coef", "innovation")).alias("__fits"))
         joined = attach(starts, listed).select(*starts.columns, F.inline("__fits"))

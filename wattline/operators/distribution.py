@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from wattline.operators.frames import attach_stats, grouped
+from wattline.operators.frames import attach_stats, grouped, meet
 from wattline.operators.quantiles import exact_quantiles
 
 
@@ -32,7 +32,7 @@ def histogram(df: DataFrame, value: str, bins: int, keys: Sequence[str] = ()) ->
     )
     edges = ends.select(*keys, "lo", "width", "total", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"))
     n = F.coalesce(F.col("n"), F.lit(0))
-    return edges.join(counts, [*keys, "bin"], "left").select(
+    return meet(edges, counts, [*keys, "bin"], "left").select(
         *keys,
         "bin",
         (F.col("lo") + F.col("width") * F.col("bin")).alias("left_edge"),

@@ -24,14 +24,28 @@ def by_date(keys: Sequence[str] = (), date: str = "date") -> WindowSpec:
     return Window.partitionBy(*keys).orderBy(date)
 
 
+def meet(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """Equi-join by keys in which a null key meets a null key, as it does in ``groupBy``.
+
+    ``left`` and ``right`` share no columns but the keys, which come from ``left``.
+    """
+    named = {k: f"__meet_{i}" for i, k in enumerate(keys)}
+    other = right.withColumnsRenamed(named)
+    same = F.lit(True)
+    for k, n in named.items():
+        same = same & ref(k).eqNullSafe(ref(n))
+    return left.join(other, same, how).drop(*named.values())
+
+
 def attach(df: DataFrame, stats: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     """Add the columns of ``stats`` (one row per key) to every row of ``df``.
 
-    With keys this is an equi-join. Without keys ``stats`` is a single row and
-    becomes a scalar subquery, evaluated once, so no cross join is planned.
+    With keys this is an equi-join; rows whose key is null belong to the null group.
+    Without keys ``stats`` is a single row and becomes a scalar subquery, evaluated once,
+    so no cross join is planned.
     """
     if keys:
-        return df.join(stats, list(keys), "left")
+        return meet(df, stats, keys, "left")
     names = stats.columns
     one = stats.select(F.struct(*names)).scalar()
     return df.withColumn("__one", one).select(

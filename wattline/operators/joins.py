@@ -7,7 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from wattline.operators.frames import grouped, ref
+from wattline.operators.frames import grouped, meet, ref
+from wattline.sources.registry import append_order
 
 
 def within_span(df: DataFrame, other: DataFrame, date: str = "date") -> DataFrame:
@@ -86,7 +87,7 @@ def with_targets(
     fan = starts.select("*", F.explode(F.sequence(F.lit(1), F.lit(horizon))).alias("horizon"))
     fan = fan.withColumn("date", F.date_add("start_date", F.col("horizon")))
     actual = series.select(*keys, "date", F.col(value).alias("actual"))
-    return fan.join(actual, [*keys, "date"]).withColumnRenamed("date", "target_date")
+    return meet(fan, actual, [*keys, "date"]).withColumnRenamed("date", "target_date")
 
 
 def spread_national(requests: DataFrame, columns: DataFrame, name: str = "column") -> DataFrame:
@@ -101,12 +102,12 @@ def spread_national(requests: DataFrame, columns: DataFrame, name: str = "column
     return rows.withColumn("value", value)
 
 
-def resolve_runs(requests: DataFrame, runs: DataFrame, order: str = "trained_at") -> DataFrame:
-    """Requests with the run they ask for, the latest when they name none.
+def resolve_runs(requests: DataFrame, runs: DataFrame) -> DataFrame:
+    """Requests with the run they ask for, the one appended last when they name none.
 
     ``found`` is false for an unknown run.
     """
-    latest = runs.agg(F.max_by("run_id", order)).scalar()
+    latest = runs.agg(F.max_by("run_id", append_order(runs))).scalar()
     asked = requests.withColumn("run_id", F.coalesce(F.col("run_id"), latest))
     known = runs.withColumn("found", F.lit(True))
     return asked.join(known, "run_id", "left").withColumn("found", F.coalesce("found", F.lit(False)))

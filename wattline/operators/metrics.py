@@ -78,7 +78,7 @@ def residual_statistics(
             for k in (1, 2)
         ],
     )
-    out = attach(within, moments, keys) if not keys else within.join(moments, list(keys))
+    out = attach(within, moments, keys)
     if digits is None:
         return out
     d2, d4, d1 = digits

@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from wattline.operators.frames import ref
+from wattline.operators.frames import meet, ref
 
 CHUNK_ROWS = 1 << 18
 
@@ -35,7 +35,7 @@ def positions(
     )
     inside = Window.partitionBy(*keys, chunk).orderBy(order)
     return (
-        df.join(starts, [*keys, chunk])
+        meet(df, starts, [*keys, chunk])
         .withColumn(name, F.col("__start") + F.row_number().over(inside) - 1)
         .drop("__start")
     )
@@ -66,7 +66,7 @@ def fill(
     seen = inside.rowsBetween(Window.unboundedPreceding, 0)
     filled = {c: F.coalesce(F.last(ref(c), True).over(seen), ref(f"__edge_{c}")) for c in columns}
     return (
-        df.join(carried, [*keys, chunk], "left")
+        meet(df, carried, [*keys, chunk], "left")
         .withColumns(filled)
         .drop(*[f"__edge_{c}" for c in columns])
     )

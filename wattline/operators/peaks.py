@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from wattline.operators import metrics as m
-from wattline.operators.frames import attach, grouped
+from wattline.operators.frames import attach, grouped, meet
 from wattline.operators.topk import top_per_group
 
 PEAK_QUANTILE = 0.9
@@ -34,7 +34,7 @@ def context_stats(log: DataFrame, keys: Sequence[str], q: float = PEAK_QUANTILE)
         F.count("actual").alias("context_count"),
         F.percentile("actual", F.lit(q)).alias("threshold_context"),
     )
-    return rows.join(stats, by)
+    return meet(rows, stats, by)
 
 
 def with_peaks(

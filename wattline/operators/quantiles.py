@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from wattline.operators.frames import attach, grouped
+from wattline.operators.frames import attach, grouped, meet
 from wattline.session import cut
 
 ACCURACY = 10_000
@@ -59,7 +59,7 @@ def exact_quantiles(
         holds = holds | ((F.col("__before") <= r) & (r < F.col("__before") + F.col("__n")))
     needed = cut(placed.where(holds).select(*keys, "__slice", "__before", "__total"), "slices")
 
-    values = sliced.join(needed, [*keys, "__slice"])
+    values = meet(sliced, needed, [*keys, "__slice"])
     freq = values.groupBy(*keys, "__slice", "__v").agg(
         F.count(F.lit(1)).alias("__n"), F.first("__before").alias("__before"), F.first("__total").alias("__total")
     )
@@ -79,5 +79,5 @@ def exact_quantiles(
         return quantiles
     own = base.drop("__cuts")
     if keys:
-        return own.join(quantiles, keys, "left")
+        return meet(own, quantiles, keys, "left")
     return own.withColumn(name, quantiles.select(name).scalar())

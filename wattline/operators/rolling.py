@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from wattline.operators.frames import attach, by_date, grouped
+from wattline.operators.frames import attach, by_date, grouped, meet
 
 
 def moving_mean(c: Column, keys: Sequence[str], rows: int, min_rows: int, date: str = "date") -> Column:
@@ -130,7 +130,7 @@ def decompose(df: DataFrame, value: str, period: int = 7, keys: Sequence[str] =
     phase = F.col("pos") % period
     by_phase = flat.groupBy(*keys, phase.alias("phase")).agg(F.avg(F.col("observed") - F.col("trend")).alias("__a"))
     centre = by_phase.withColumn("seasonal", F.col("__a") - F.avg("__a").over(Window.partitionBy(*keys)))
-    out = flat.withColumn("phase", phase).join(centre.drop("__a"), [*keys, "phase"])
+    out = meet(flat.withColumn("phase", phase), centre.drop("__a"), [*keys, "phase"])
     residual = F.col("observed") - F.col("trend") - F.col("seasonal")
     return out.select(*keys, "date", "observed", "trend", "seasonal", residual.alias("residual"))
 

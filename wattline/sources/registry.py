@@ -11,6 +11,15 @@ from wattline.functions.columns import model_name, order_text
 APPENDED = "appended_at"
 
 
+def append_order(runs: DataFrame) -> Column:
+    """Sort value that puts the run the registry points at last: the one appended last.
+
+    Everything that speaks of the latest run goes by this, whatever window a run was
+    trained on. A table without append stamps goes by training date.
+    """
+    return F.struct(APPENDED if APPENDED in runs.columns else "trained_at", "run_id")
+
+
 def capped(runs: DataFrame, cap: int) -> DataFrame:
     """The ``cap`` runs appended last, with the latest id and the count kept.
 
@@ -18,11 +27,11 @@ def capped(runs: DataFrame, cap: int) -> DataFrame:
     Each task keeps ``cap`` rows at most before they meet, so the window that
     follows sees no more than the cap.
     """
-    kept = runs.orderBy(F.desc(APPENDED), F.desc("run_id")).limit(cap)
+    kept = runs.orderBy(append_order(runs).desc()).limit(cap)
     everything = Window.partitionBy()
     return kept.withColumns(
         {
-            "latest_run_id": F.max_by("run_id", F.struct(APPENDED, "run_id")).over(everything),
+            "latest_run_id": F.max_by("run_id", append_order(runs)).over(everything),
             "n_runs": F.count(F.lit(1)).over(everything),
         }
     )
@@ -55,7 +64,7 @@ def registry_document(runs: DataFrame, cap: int) -> DataFrame:
     kept = capped(runs, cap).drop("latest_run_id", "n_runs")
     run = F.struct(*[c for c in kept.columns if c != APPENDED])
     listed = kept.agg(
-        F.max_by("run_id", F.struct(APPENDED, "run_id")).alias("latest_run_id"),
+        F.max_by("run_id", append_order(kept)).alias("latest_run_id"),
         F.count(F.lit(1)).cast("int").alias("n_runs"),
         # Place and id are unique, so sorting the pairs never compares the runs.
         F.sort_array(F.collect_list(F.struct(F.col(APPENDED), "run_id"))).alias("__order"),
@@ -117,13 +126,13 @@ def run_metadata(runs: DataFrame, run_id: str | None = None) -> DataFrame:
     """The row of one run, the latest one where no id is given; an unknown id gives no row."""
     if run_id is not None:
         return runs.where(F.col("run_id") == run_id)
-    return runs.orderBy(F.desc("trained_at"), F.desc("run_id")).limit(1)
+    return runs.orderBy(append_order(runs).desc()).limit(1)
 
 
 def latest_status(runs: DataFrame, artefacts: DataFrame) -> DataFrame:
     """Health of the latest run: ok when its artefacts exist, else degraded."""
     latest = runs.agg(
-        F.max_by(F.struct("run_id", "order", "seasonal_order"), "trained_at").alias("l")
+        F.max_by(F.struct("run_id", "order", "seasonal_order"), append_order(runs)).alias("l")
     ).select("l.*")
     loaded = artefacts.select("run_id").distinct().withColumn("model_loaded", F.lit(True))
     joined = latest.join(loaded, "run_id", "left")
