@@ -260,3 +260,38 @@ def test_monitoring_of_a_constant_error(spark):
     assert report["residuals", "all", "mean"] == 50 and report["residuals", "all", "skewness"] is None
     assert report["drift", "all", "n_days"] == 50 and report["drift", "all", "alert_pct"] == 100
     assert report["thresholds", "mae", "alert"] == 40 and report["horizon", "1", "mae"] == 50
+
+
+@pytest.mark.parametrize("kind", ["noise", "decay"])
+def test_components_by_passes_equal_the_dense_fit(spark, kind):
+    """Forty columns without any matrix of their products: a range that passes over the days improve."""
+    rng = np.random.default_rng(8)
+    x = rng.normal(size=(90, 40))
+    if kind == "decay":
+        x = x @ np.diag(1.0 / np.arange(1, 41)) @ np.linalg.qr(rng.normal(size=(40, 40)))[0]
+    x[:, 7] = 5.0
+    days = pd.date_range("2024-01-01", periods=90).date
+    rows = [(d, f"TN_{j:03d}", float(x[i, j])) for i, d in enumerate(days) for j in range(40)]
+    long = spark.createDataFrame(rows, "date date, column string, value double").repartition(5)
+    found = [red.fit_components(long, 3, dense_columns=c) for c in (0, 512)]
+    by_pass, dense = (f.loadings.orderBy("component", "column").toPandas() for f in found)
+    np.testing.assert_allclose(by_pass.loading, dense.loading, atol=1e-8)
+    ratios = [[r.ratio for r in f.explained.orderBy("component").collect()] for f in found]
+    np.testing.assert_allclose(*ratios, rtol=1e-9)
+    spread = np.where(x.std(0) > 0, x.std(0), 1.0)
+    want = np.linalg.svd((x - x.mean(0)) / spread, full_matrices=False)[1] ** 2
+    np.testing.assert_allclose(ratios[0], (want / want.sum())[:3], rtol=1e-9)
+
+
+def test_products_of_days_need_no_pivot(spark):
+    """The fit's plan has no pivot and no column per station; the driver gets columns by directions."""
+    rng = np.random.default_rng(3)
+    at = [[int(j) for j in sorted(rng.choice(600, 500, replace=False))] for _ in range(30)]
+    z = [[float(v) for v in rng.normal(size=500)] for _ in range(30)]
+    days = spark.createDataFrame(list(zip(at, z)), "at array<int>, z array<double>").repartition(4)
+    dense = np.zeros((30, 600))
+    for i, (a, v) in enumerate(zip(at, z)):
+        dense[i, a] = v
+    q = rng.normal(size=(600, 4))
+    np.testing.assert_allclose(red.multiply(days, 600, q), dense.T @ (dense @ q), atol=1e-9)
+    np.testing.assert_allclose(red.multiply(days, 600), dense.T @ dense, atol=1e-9)

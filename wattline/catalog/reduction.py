@@ -127,6 +127,66 @@ def p03_pair(spark, sf):
     return scores.select("date", F.round(F.abs("c01"), 6).alias("first"), F.round(F.abs("c02"), 6).alias("second"))
 
 
+# Three columns: the eigenvalues of a correlation matrix of three have a closed form
+# (Smith, 1961), and a vector is the cross product of two rows of what its value leaves.
+VIEWS["triple_z"] = (
+    "station_days",
+    "SELECT date, "
+    + ", ".join(f"({c} - avg({c}) OVER ()) / stddev_pop({c}) OVER () AS z{i}" for i, c in enumerate(("lo", "up", "hi"), 1))
+    + " FROM (SELECT date, min(TN) AS lo, max(TX) AS hi, min(TX) AS up FROM station_days GROUP BY 1) AS d",
+)
+VIEWS["triple_values"] = (
+    "triple_z",
+    """
+SELECT *, 3 - l1 - l3 AS l2 FROM (SELECT *, 1 + 2 * p * cos(phi) AS l1, 1 + 2 * p * cos(phi + 2 * pi() / 3) AS l3 FROM
+  (SELECT *, acos(greatest(-1, least(1, r12 * r13 * r23 / pow(p, 3)))) / 3 AS phi FROM
+    (SELECT *, sqrt((r12 * r12 + r13 * r13 + r23 * r23) / 3) AS p FROM
+      (SELECT corr(z1, z2) AS r12, corr(z1, z3) AS r13, corr(z2, z3) AS r23 FROM triple_z) AS a) AS b) AS c) AS d
+""",
+)
+VIEWS["triple_loadings"] = (
+    "triple_values",
+    """
+SELECT component, l / 3 AS ratio, x * s / size AS x, y * s / size AS y, z * s / size AS z FROM
+  (SELECT *, sqrt(x * x + y * y + z * z) AS size, sign(CASE WHEN abs(x) >= greatest(abs(y), abs(z)) THEN x WHEN abs(y) >= abs(z) THEN y ELSE z END) AS s FROM
+    (SELECT component, l, r12 * r23 - r13 * (1 - l) AS x, r13 * r12 - (1 - l) * r23 AS y, (1 - l) * (1 - l) - r12 * r12 AS z FROM
+      (SELECT *, 1 AS component, l1 AS l FROM triple_values UNION ALL SELECT *, 2, l2 FROM triple_values UNION ALL SELECT *, 3, l3 FROM triple_values) AS a) AS b) AS c
+""",
+)
+VIEWS["triple_scores"] = (
+    "triple_z triple_loadings",
+    "SELECT date, "
+    + ", ".join(f"round(sum(z1 * x + z2 * y + z3 * z) FILTER (component = {j}), 6) + 0.0 AS temp_pc_0{j}" for j in (1, 2, 3))
+    + " FROM triple_z, triple_loadings GROUP BY 1",
+)
+
+
+def triple_stations(spark, sf):
+    """Two stations with three columns: the lowest and highest value of a day, and the lowest of its highest."""
+    days = src.stations(spark, sf).groupBy("date").pivot("variable", ["TN", "TX"]).agg(
+        F.min("value").alias("lo"), F.max("value").alias("hi")
+    )
+    cells = [("000000000", "TN", "TN_lo"), ("000000000", "TX", "TX_lo"), ("000000001", "TX", "TX_hi")]
+    listed = [F.struct(F.lit(s).alias("station"), F.lit(v).alias("variable"), F.col(c).alias("value")) for s, v, c in cells]
+    return cut(days.select("date", F.inline(F.array(*listed))), "triple")
+
+
+@query("p03_three_columns", "SELECT * FROM triple_scores", "triple_scores")
+def p03_triple(spark, sf):
+    features, _ = temperature_features(triple_stations(spark, sf), src.prod(spark, sf))
+    return rounded(features, 6, *[f"temp_pc_0{j}" for j in (1, 2, 3)])
+
+
+@query(
+    "p04_three_columns",
+    "SELECT CAST(component AS INTEGER) AS component, round(ratio, 9) AS ratio, round(sum(ratio) OVER (ORDER BY component), 9) AS cumulative FROM triple_loadings",
+    "triple_loadings",
+)
+def p04_triple(spark, sf):
+    filled = red.impute_columns(red.station_columns(triple_stations(spark, sf)))
+    return rounded(red.fit_components(filled).explained, 9, "ratio", "cumulative")
+
+
 @query(
     "p04_components_needed",
     "SELECT CAST(t AS DOUBLE) AS threshold, CASE WHEN (1 + abs(r)) / 2 >= t THEN 1 ELSE 2 END AS components_needed"
@@ -205,8 +265,9 @@ def p04_total(spark, sf):
 @query("p05_chosen_components")
 def p05(spark, sf):
     filled = cut(region_columns(spark, sf), "region-columns")
-    k = red.choose_components(red.fit_components(filled).explained, 0.9)
-    return red.component_features(red.component_scores(filled, red.fit_components(filled, k)), k)
+    fit = red.fit_components(filled)
+    k = red.choose_components(fit.explained, 0.9)
+    return red.component_features(red.component_scores(filled, fit.first(k)), k)
 
 
 @query("p06_stored_fit")
@@ -239,6 +300,20 @@ def x03_join(spark, sf):
     return join_one_to_one(daily_grid(src.grid(spark, sf)), temperature, ["date"])
 
 
+@query(
+    "x03_silver_components",
+    f"""
+, daily_grid AS ({DAILY_GRID})
+SELECT date, consommation_mw, prevision_j1_mw, prevision_j_mw, production_mw, temp_pc_01, temp_pc_02, temp_pc_03 FROM daily_grid JOIN triple_scores USING (date)
+""",
+    "grid triple_scores",
+)
+def x03_components(spark, sf):
+    """The whole silver build with its three components, over stations that have three columns."""
+    silver, _ = build_silver(src.grid(spark, sf), triple_stations(spark, sf))
+    return rounded(silver, 6, *[f"temp_pc_0{j}" for j in (1, 2, 3)])
+
+
 @query("x03_silver")
 def x03(spark, sf):
     silver, _ = build_silver(src.grid(spark, sf), cut(src.stations(spark, sf), "stations"))

@@ -2,20 +2,31 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
-from pyspark.ml.feature import PCA
-from pyspark.ml.functions import array_to_vector
+import pyarrow as pa
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from wattline.operators.frames import attach, by_date, ref
+from wattline.operators.frames import attach, by_date
 from wattline.operators.gaps import fill_both, on_shared_dates
-from wattline.operators.joins import wide_by_station
 from wattline.session import cut
 
+#: Station columns a fit takes; the driver holds a few matrices of them by the components wanted.
+MOST_COLUMNS = 1_000_000
+#: Columns up to which the matrix of their products is summed in one pass and kept by the driver.
+DENSE_COLUMNS = 512
+#: Directions of the search beyond the components wanted.
+OVERSAMPLE = 10
+#: Residual of a component, as a share of the first eigenvalue, at which it is found; passes at most.
+TOLERANCE, PASSES = 1e-11, 500
+#: Numbers of a dense slice of days, and columns that travel as one row of a sum.
+SLICE, STRIP = 1 << 22, 256
+
 
 def with_cumulative(explained: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     """Running total of the explained ratio over components."""
@@ -41,6 +52,11 @@ class Components:
     loadings: DataFrame  # component, column, loading
     explained: DataFrame  # component, ratio, cumulative
 
+    def first(self, k: int) -> Components:
+        """The same fit with its first ``k`` components."""
+        kept = F.col("component") <= k
+        return Components(self.scaler, self.loadings.where(kept), self.explained.where(kept))
+
 
 def column_stats(long: DataFrame, keys: Sequence[str], value: str = "value") -> DataFrame:
     """Mean and population std per column; a constant column gets divisor 1."""
@@ -70,30 +86,103 @@ def station_columns(stations: DataFrame, variables: Sequence[str] = ("TN", "TX")
     return rows.select("date", name, F.col("value").cast("double").alias("value"))
 
 
-def fit_components(filled: DataFrame, k: int | None = None) -> Components:
-    """Principal components of standardised columns.
+def multiply(days: DataFrame, n: int, q: np.ndarray | None = None) -> np.ndarray:
+    """Z'Z q, or Z'Z itself: tasks sum over their days, the sums merge strip by strip.
+
+    ``days`` has a row per day with the numbers ``at`` of its columns and their values ``z``.
+    """
+    width = n if q is None else q.shape[1]
+    shared = days.sparkSession.sparkContext.broadcast(q)
+
+    def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total, directions = np.zeros((n, width)), shared.value
+        for batch in batches:
+            for start in range(0, len(batch), max(1, SLICE // n)):
+                part = batch.slice(start, max(1, SLICE // n))
+                at, z = part.column("at"), part.column("z")
+                sizes = np.diff(at.offsets.to_numpy())
+                dense = np.zeros((len(part), n))
+                dense[np.repeat(np.arange(len(part)), sizes), at.flatten().to_numpy()] = z.flatten().to_numpy()
+                total += dense.T @ (dense if directions is None else dense @ directions)
+        strips = [total[i : i + STRIP].ravel() for i in range(0, n, STRIP)]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(range(len(strips)), pa.int32()), pa.array(strips, pa.list_(pa.float64()))], names=["strip", "sums"]
+        )
+
+    parts = days.mapInArrow(partial, "strip int, sums array<double>").groupBy("strip")
+    merged = parts.agg(vector_to_array(Summarizer.sum(array_to_vector("sums"))).alias("sums")).collect()
+    return np.concatenate([np.zeros(0), *[r["sums"] for r in sorted(merged, key=lambda r: r["strip"])]]).reshape(n, width)
 
-    The standardised days are cut to a table because the fit passes over them more
-    than once. The covariance is summed by the executors; what reaches the driver is one
-    matrix of station columns squared, bounded by the station list.
+
+def fresh(w: np.ndarray, x: np.ndarray) -> np.ndarray:
+    """Orthonormal directions of ``w`` that are not in ``x``, whose columns are orthonormal."""
+    for _ in range(2):
+        w = w / np.maximum(np.linalg.norm(w, axis=0), 1e-300)
+        q, r = np.linalg.qr(w - x @ (x.T @ w))
+        turn, size, _ = np.linalg.svd(r)
+        w = q @ turn[:, : len(size)][:, size > 1e-10 * max(size.max(initial=0.0), 1e-300)]
+    return w[:, : x.shape[0] - x.shape[1]]
+
+
+def leading(times: Callable[[np.ndarray], np.ndarray], n: int, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """The ``k`` largest eigenvalues, and their vectors, of a symmetric matrix known by its products.
+
+    A random range is widened by its residuals and by its last step (block conjugate
+    gradients) and cut back to the best directions, until the residuals of the wanted
+    ones vanish. With as many directions as columns the first product is the answer.
+    """
+    width = min(n, k + OVERSAMPLE)
+    x = np.linalg.qr(np.random.default_rng(0).standard_normal((n, width)))[0]
+    image, step = times(x), np.zeros((n, 0))
+    for _ in range(PASSES):
+        small = x.T @ image
+        value, c = np.linalg.eigh((small + small.T) / 2)
+        best = np.argsort(-value)[:width]
+        value, c = value[best], c[:, best]
+        if x.shape[1] > width:
+            step = x[:, width:] @ c[width:]
+        x, image = x @ c, image @ c
+        rest = image - x * value
+        more = fresh(np.hstack([rest, step]), x)
+        if np.linalg.norm(rest[:, :k], axis=0).max() <= TOLERANCE * value[0] or not more.shape[1]:
+            return value[:k], x[:, :k]
+        x, image = np.hstack([x, more]), np.hstack([image, times(more)])
+    raise RuntimeError(f"the first {k} components were not found in {PASSES} passes")
+
+
+def fit_components(filled: DataFrame, k: int | None = None, dense_columns: int = DENSE_COLUMNS) -> Components:
+    """Principal components of standardised columns, from long rows.
+
+    Days are written once, one row with all its values each; nothing is pivoted. Up to
+    ``dense_columns`` columns one pass sums the matrix of their products; beyond, every step
+    of the search is a pass over the days, and what reaches the driver is a matrix of
+    columns by ``k`` and ten more. Both give the same components. Without ``k`` it is all of them.
     """
     spark = filled.sparkSession
     scaler = cut(column_stats(filled, ["column"]), "scaler")
-    names = [r["column"] for r in scaler.select("column").orderBy("column").collect()]
+    names = [r["column"] for r in scaler.select("column").orderBy("column").limit(MOST_COLUMNS + 1).collect()]
     if not names:
         raise ValueError("no station has a value on the dates of the grid")
-    k = len(names) if k is None else min(k, len(names))
-    z = standardise(filled, scaler, ["column"])
-    wide = wide_by_station(z, names, F.col("column")).select(F.array(*[ref(n) for n in names]).alias("v"))
-    vectors = cut(wide, "standardised").select(array_to_vector("v").alias("v"))
-    model = PCA(k=k, inputCol="v", outputCol="s").fit(vectors)
-    pc = model.pc.toArray()
+    if len(names) > MOST_COLUMNS:
+        raise ValueError(f"a fit takes {MOST_COLUMNS} station columns at most")
+    n = len(names)
+    k = n if k is None else min(k, n)
+    numbered = spark.createDataFrame(list(enumerate(names)), "at int, column string")
+    z = standardise(filled, scaler.join(numbered, "column"), ["column"])
+    days = z.groupBy("date").agg(F.collect_list(F.struct("at", F.col("value").alias("z"))).alias("c"))
+    days = cut(days.select("c.at", "c.z"), "standardised")
+    if n <= dense_columns:
+        gram = multiply(days, n)
+        value, pc = leading(lambda q: gram @ q, n, k)
+        total = float(np.trace(gram))
+    else:
+        value, pc = leading(lambda q: multiply(days, n, q), n, k)
+        squares = F.aggregate("z", F.lit(0.0), lambda acc, v: acc + v * v)
+        total = days.agg(F.sum(squares)).first()[0]
     flip = np.where(pc[np.abs(pc).argmax(axis=0), np.arange(k)] < 0, -1.0, 1.0)
-    rows = [
-        (j + 1, name, float(pc[i, j] * flip[j])) for j in range(k) for i, name in enumerate(names)
-    ]
+    rows = [(j + 1, name, float(pc[i, j] * flip[j])) for j in range(k) for i, name in enumerate(names)]
     loadings = spark.createDataFrame(rows, "component int, column string, loading double")
-    ratios = [(j + 1, float(r)) for j, r in enumerate(model.explainedVariance.toArray())]
+    ratios = [(j + 1, float(max(v, 0.0) / total) if total > 0 else 0.0) for j, v in enumerate(value)]
     explained = spark.createDataFrame(ratios, "component int, ratio double")
     return Components(scaler, loadings, with_cumulative(explained))
 
