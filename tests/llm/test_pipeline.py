@@ -6,7 +6,9 @@ import sys
 from collections import Counter
 from pathlib import Path
 
+import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 sys.path.insert(0, str(Path(__file__).parent))
 import edge  # noqa: E402
@@ -144,6 +146,43 @@ def test_stages_take_empty_and_awkward_tables(spark, documents):
         for _, stage in corpus_pipeline.STAGES:
             docs = cut(stage(spark, docs, SF))
         assert docs.count() <= 3 * start.count()
+    clashing = "text_key copies row_key copy shard slot record id key".split()
+    named = awkward.select("*", *[F.lit("x").alias(c) for c in clashing])
+    for name, stage in corpus_pipeline.STAGES:
+        out = cut(stage(spark, named, SF))
+        assert sorted(out.columns) == sorted(named.columns) and out.count() <= 3 * named.count()
+        if name != "sharding":
+            assert out.columns == named.columns
+            assert out.where(" OR ".join(f"{c} <> 'x'" for c in clashing)).count() == 0
     alone = STAGE["SimHash near-dedup"](spark, awkward, SF)
     texts = Counter(r.text for r in alone.collect())
     assert all(n == 1 for n in texts.values())
+
+
+def test_links_of_a_group_grow_with_its_rows(spark):
+    """However large a group of near copies, a fingerprint gives a link or two."""
+    rng, per_row = np.random.default_rng(7), []
+    plan = {"words": 4, "segments": corpus_pipeline.SEGMENTS}
+    for n in (100, 200, 400, 800):
+        base = rng.integers(0, 2, 256, np.uint8)
+        rows = np.array([base ^ (rng.random(256) < 0.06) for _ in range(n)], np.uint8)
+        data = [(bytearray(np.packbits(r).tobytes()),) for r in np.vstack([rows, rng.integers(0, 2, (50, 256), np.uint8)])]
+        found = simhash.links(spark.createDataFrame(data, "fp binary"), 56, **plan)
+        roots = {bytes(r.root) for r in simhash.components(found).collect()}
+        assert len(roots) == 1 and simhash.components(found).count() == n - 1
+        per_row.append(found.count() / n)
+    assert max(per_row) < 4 and max(per_row) < 2 * min(per_row) + 1
+
+
+def test_similar_documents_share_a_group(spark):
+    """Every pair of different shingle sets of similarity 0.8 or more keeps one document at most."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    kept = set(ids(STAGE["SimHash near-dedup"](spark, docs, SF)))
+    sets = {r.doc_id: frozenset(shingles(r.text)) for r in docs.collect()}
+    of = {}
+    for i in sorted(sets):
+        for s in sets[i]:
+            of.setdefault(s, []).append(i)
+    common = Counter((a, b) for who in of.values() for n, b in enumerate(who) for a in who[:n])
+    near = [(a, b) for (a, b), n in common.items() if n >= 0.8 * len(sets[a] | sets[b])]
+    assert len(near) > 20 and not [(a, b) for a, b in near if a in kept and b in kept]

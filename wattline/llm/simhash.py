@@ -29,6 +29,8 @@ SEED = 42
 ENTRY_ROWS = 20_000
 #: Entries up to this size are compared pair by pair, many entries at a time.
 SMALL_ENTRY = 48
+#: Rows whose links are thinned together to a forest.
+FOREST_ROWS = 1 << 18
 #: Rows for which a comparison of two fingerprints costs as much as filing one.
 COMPARE_COST = 1 / 30
 GOLDEN = 0x9E3779B97F4A7C15
@@ -146,6 +148,31 @@ def spanning_links(rows: np.ndarray, distance: int) -> list[tuple[int, int]]:
     return links
 
 
+def forest(rows: np.ndarray, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """As few links as connect what the links ``a``-``b`` between places of ``rows`` connect.
+
+    Equal rows are one. Every row that the links reach gets one link, to the smallest of
+    its component, so a group gives links in proportion to its rows, however many
+    entries its rows share. Returns the rows at both ends.
+    """
+    ends, place = np.unique(np.concatenate([a, b]), return_inverse=True)
+    whole = np.ascontiguousarray(rows[ends].astype(">u8")).view(f"V{8 * rows.shape[1]}").ravel()
+    _, first, name = np.unique(whole, return_index=True, return_inverse=True)
+    left, right = np.split(name[place], 2)
+    least = np.arange(len(first))
+    while True:
+        low = np.minimum(least[left], least[right])
+        before = least.copy()
+        np.minimum.at(least, left, low)
+        np.minimum.at(least, right, low)
+        while not np.array_equal(least, least[least]):
+            least = least[least]
+        if np.array_equal(before, least):
+            break
+    linked = np.flatnonzero(least != np.arange(len(first)))
+    return rows[ends[first[least[linked]]]], rows[ends[first[linked]]]
+
+
 def filed(words: int, segments: list[tuple[int, int, int, np.ndarray]]):
     """mapInArrow: a row (key, fingerprint) for each value in the ball of each segment.
 
@@ -167,13 +194,26 @@ def filed(words: int, segments: list[tuple[int, int, int, np.ndarray]]):
 
 
 def compared(words: int, distance: int, entry_rows: int):
-    """mapInArrow over rows sorted by key: verified links, and the rows of entries too large.
+    """mapInArrow over rows sorted by key: a forest of verified links, and the rows of entries too large.
 
-    A row (a, b) is a link; a row (a, null) says that ``a`` stands in an entry of more
-    than ``entry_rows`` rows. At most that many rows of an entry are held at a time.
+    Rows (a, b) connect what verified links connect, of many entries at a time; a row
+    (a, null) says that ``a`` stands in an entry of more than ``entry_rows`` rows. At most
+    that many rows of an entry are held at a time.
     """
 
+    def gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        held, n = [], 0
+        for batch in batches:
+            held.append((batch.column(0).to_numpy(), as_words(batch.column(1), words)))
+            n += len(batch)
+            if n >= FOREST_ROWS:
+                yield np.concatenate([k for k, _ in held]), np.concatenate([r for _, r in held])
+                held, n = [], 0
+        if n:
+            yield np.concatenate([k for k, _ in held]), np.concatenate([r for _, r in held])
+
     def links_of(keys: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Both ends of the forest of some whole entries."""
         start = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
         size = np.diff(np.append(start, len(keys)))
         left, right = [], []
@@ -190,16 +230,15 @@ def compared(words: int, distance: int, entry_rows: int):
             left.append(found[:, 0] + s)
             right.append(found[:, 1] + s)
         none = np.zeros(0, np.int64)
-        return np.concatenate([none, *left]), np.concatenate([none, *right])
+        return forest(rows, np.concatenate([none, *left]), np.concatenate([none, *right]))
 
     def out(a: pa.Array, b: pa.Array) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([a, b], names=["a", "b"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys, rows, overflowing = np.zeros(0, np.int64), np.zeros((0, words), np.uint64), None
-        for batch in batches:
-            keys = np.concatenate([keys, batch.column(0).to_numpy()])
-            rows = np.concatenate([rows, as_words(batch.column(1), words)])
+        for more_keys, more_rows in gathered(batches):
+            keys, rows = np.concatenate([keys, more_keys]), np.concatenate([rows, more_rows])
             if overflowing is not None:
                 more = int(np.searchsorted(keys != overflowing, True))
                 if more:
@@ -213,7 +252,7 @@ def compared(words: int, distance: int, entry_rows: int):
             if whole:
                 a, b = links_of(keys[:whole], rows[:whole])
                 if len(a):
-                    yield out(as_column(rows[a]), as_column(rows[b]))
+                    yield out(as_column(a), as_column(b))
                 keys, rows = keys[whole:], rows[whole:]
             if len(keys) > entry_rows:
                 overflowing = keys[0]
@@ -222,7 +261,7 @@ def compared(words: int, distance: int, entry_rows: int):
         if len(keys):
             a, b = links_of(keys, rows)
             if len(a):
-                yield out(as_column(rows[a]), as_column(rows[b]))
+                yield out(as_column(a), as_column(b))
 
     return run
 
