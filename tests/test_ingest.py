@@ -12,7 +12,7 @@ from wattline.plans.gold import model_ready
 from wattline.plans.silver import build_silver
 from wattline.sources import archives, registry, tables
 from wattline.sources.grid_files import read_grid_text
-from wattline.sources.lines import read_lines, with_line_number
+from wattline.sources.lines import quote_map, read_lines, with_line_number
 from wattline.sources.station_files import read_station_files
 
 NAMES = (
@@ -134,6 +134,62 @@ def test_line_numbers_over_file_blocks(spark, tmp_path):
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
 
 
+def test_lines_map_quote_states(spark):
+    """(line, ends inside if it begins outside, ends inside if it begins inside)."""
+    cases = [
+        ("plain", False, True), ("", False, True), ('"a"\t"b"', False, False), ('"a', True, False), ('a"', False, False),
+        ('a\t"b', True, False), ('""', False, True), ('"""', True, False), ('"a""', True, False), ('"a""b"c"d', False, True), ('x"y"\tz', False, False),
+        ('b"\t"c', False, True), ('5" pipe', False, False),
+    ]
+    df = spark.createDataFrame([(a,) for a, _, _ in cases], "line string")
+    got = df.select("line", *[c.alias(n) for c, n in zip(quote_map(F.col("line")), "oi")]).collect()
+
+    def automaton(line, inside):
+        i = 0
+        start = not inside
+        while i < len(line):
+            if inside:
+                if line[i] == '"' and line[i + 1 : i + 2] == '"':
+                    i += 1
+                elif line[i] == '"':
+                    inside = False
+            elif line[i] == '"' and start:
+                inside = True
+            start = line[i] == "\t" and not inside
+            i += 1
+        return inside
+
+    assert [(r.line, r.o, r.i) for r in got] == [(a, automaton(a, False), automaton(a, True)) for a, _, _ in cases]
+
+
+def test_records_over_many_blocks(spark, tmp_path):
+    """Quoted line breaks anywhere, blocks of a few lines; every record as Python's reader has it."""
+    import csv
+    import random
+
+    rng = random.Random(3)
+    want = {}
+    for year in (2021, 2022, 2023):
+        rows = [["Date", "note", 'odd "name"']]
+        for i in range(400):
+            note = "".join(rng.choice(["a", "b", " ", '"', "\n", "\t", "é"]) for _ in range(rng.choice([0, 3, 30])))
+            rows.append([f"{i}", f"x{note}y" if year < 2023 else "plain", "1"])
+        with open(tmp_path / f"g_{year}.xls", "w", newline="") as f:
+            csv.writer(f, delimiter="\t", lineterminator="\n").writerows(rows)
+        want |= {(year, r[0]): r[1] for r in rows[1:]}
+    (tmp_path / "g_2024.xls").write_text('Date\tnote\n1\t"never closed\n2\tb\n')
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "512")
+    try:
+        assert read_lines(spark, str(tmp_path)).select("path", "chunk").distinct().count() > 40
+        text = read_grid_text(spark, str(tmp_path), "g_*.xls")
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    got = {(r.source_year, r.Date): r.note for r in text.cells.collect()}
+    assert got == want and 'odd "name"' in text.columns
+    assert [r.reason for r in text.rejects.collect()] == ["a quote is never closed"]
+
+
 def test_archives(spark, tmp_path):
     for name, members in (("full", {"d/a.csv": "1", "d/": "", "b.csv": "2"}), ("empty", {})):
         with zipfile.ZipFile(tmp_path / f"{name}.zip", "w") as z:

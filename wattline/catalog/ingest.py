@@ -47,6 +47,60 @@ def s01(spark, sf):
     )
 
 
+#: Small blocks, so that quoted cells lie across their borders.
+BLOCKS = "16k"
+
+
+@query(
+    "s01_multiline_cells",
+    """
+SELECT CAST(event_id AS VARCHAR) AS row_pos, event_type AS kind, CASE event_id % 5 WHEN 0 THEN 'n' || event_id || chr(10) || '"' || event_type || '"' || chr(10) || chr(10) || 'tail' || chr(9) || 'end'
+  WHEN 1 THEN 'say "x"' WHEN 2 THEN '"' ELSE 'plain' END AS note, 2024 AS source_year FROM events
+""",
+)
+def s01_multiline(spark, sf):
+    """Cells with line breaks, tabs and quotes, in one large file that is read in many blocks."""
+    i = F.col("event_id")
+    long = F.concat(F.lit("n"), i, F.lit('\n"'), "event_type", F.lit('"\n\ntail\tend'))
+    note = F.when(i % 5 == 0, long).when(i % 5 == 1, 'say "x"').when(i % 5 == 2, '"').otherwise("plain")
+    rows = src.table(spark, sf, "events").select(i.alias("row_pos"), F.col("event_type").alias("kind"), note.alias("note"))
+    path = work_path(spark, "quoted")
+    out = rows.withColumn("year", F.lit(2024)).repartition("year").write.partitionBy("year").option("header", True)
+    out.option("sep", "\t").option("escape", '"').csv(path)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", BLOCKS)
+    try:
+        text = read_grid_text(spark, path, "*.csv", YEAR_DIR)
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    return text.cells.select("row_pos", "kind", "note", "source_year")
+
+
+@query(
+    "t05_mixed_column",
+    """
+SELECT i, CASE WHEN i % 2 = 0 AND i % 50 <> 0 THEN CAST(replace(amount, ',', '.') AS DOUBLE) END AS number,
+  CASE WHEN i % 2 = 1 THEN CASE WHEN i % 3 = 0 THEN amount ELSE 'n.c.' END END AS text FROM raw_amount
+""",
+    "raw_amount",
+)
+def t05_mixed(spark, sf):
+    """A column that holds numbers in the files of one year and text in those of another, through the bronze table."""
+    i = F.col("event_id")
+    amount = F.regexp_replace(F.col("value").cast("decimal(18,2)").cast("string"), "\\.", ",")
+    cell = F.when(i % 50 == 0, "bad").when((i % 2 == 0) | (i % 3 == 0), amount).otherwise("n.c.")
+    rows = src.table(spark, sf, "events").select(i.alias("i"), cell.alias("cell"), (2023 + i % 2).alias("year"))
+    path, text = work_path(spark, "bronze"), read_grid_text(spark, text_folder(spark, sf, rows, "grid-mixed"), "*.csv", YEAR_DIR)
+    tables.write_table(bronze.grid_bronze(text), path, ["source_year"])
+    stored = spark.read.parquet(path)
+    number = F.schema_of_variant("cell") == "DOUBLE"
+    return stored.select(
+        F.col("i").cast("long").alias("i"),
+        F.when(number, F.try_variant_get("cell", "$", "double")).alias("number"),
+        F.when(~number, F.try_variant_get("cell", "$", "string")).alias("text"),
+    )
+
+
 def station_folder(spark, sf):
     """One text file per station and variable: nine metadata lines, a header, then days."""
     rows = src.stations(spark, sf).withColumn("place", F.col("station"))

@@ -72,8 +72,8 @@ def column_facts(df: DataFrame, columns: Sequence[str], file: str) -> DataFrame:
 def coerce_per_file(df: DataFrame, facts: DataFrame, columns: Sequence[str], file: str) -> DataFrame:
     """Drop the columns no file fills and apply the typing rule decided file by file.
 
-    A column that is numeric in one file and text in another stays text here;
-    in files where the rule holds its text is the parsed number's.
+    A column that is numeric in one file and text in another becomes a struct of both, of
+    which a row fills one, or none where it has no value; ``as_variants`` makes it one value.
     """
     has, num = (lambda c: ref(f"__has_{c}")), (lambda c: ref(f"__num_{c}"))
     found = facts.agg(
@@ -88,5 +88,24 @@ def coerce_per_file(df: DataFrame, facts: DataFrame, columns: Sequence[str], fil
     if not mixed:
         return out
     joined = out.join(facts.select(file, *[num(c) for c in mixed]), file)
-    text = {c: F.when(num(c), parsed(ref(c)).cast("string")).otherwise(ref(c)) for c in mixed}
-    return joined.withColumns(text).drop(*[f"__num_{c}" for c in mixed])
+
+    def either(c: str) -> Column:
+        number, text = F.when(num(c), parsed(ref(c))), F.when(~num(c), ref(c))
+        both = F.struct(number.alias("number"), text.alias("text"))
+        return F.when(number.isNotNull() | text.isNotNull(), both)
+
+    return joined.withColumns({c: either(c) for c in mixed}).drop(*[f"__num_{c}" for c in mixed])
+
+
+def as_variants(df: DataFrame) -> DataFrame:
+    """Columns of a number or a text as VARIANT: numbers stay numbers, row by row.
+
+    Variants can't be compared, so this comes after whatever drops or orders rows.
+    """
+    kind = "struct<number:double,text:string>"
+    mixed = [c for c, t in df.dtypes if t == kind]
+
+    def value(c: str) -> Column:
+        return F.coalesce(ref(c)["number"].cast("variant"), ref(c)["text"].cast("variant"))
+
+    return df.withColumns({c: value(c) for c in mixed}) if mixed else df

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wattline.functions.columns import build_stamp
-from wattline.functions.grid_rules import alternating, coerce_per_file, column_facts
+from wattline.functions.grid_rules import alternating, as_variants, coerce_per_file, column_facts
 from wattline.operators.frames import ref
 from wattline.operators.joins import wide_by_station
 from wattline.operators.ordered import fill, positions
@@ -34,7 +34,8 @@ def grid_bronze(text: GridText) -> DataFrame:
     """Typed, back-filled, stamped and de-duplicated grid rows of all years.
 
     Two statistics jobs choose columns from the data, so the parsed text is cut
-    to a table first and read from there.
+    to a table first and read from there. A column that is numeric in some files and text
+    in others is a VARIANT column.
     """
     cells = cut(text.cells, "grid-cells")
     facts = cut(column_facts(cells, text.columns, "path"), "column-facts")
@@ -42,7 +43,7 @@ def grid_bronze(text: GridText) -> DataFrame:
     filled = backfill_alternating(typed, [c for c in text.columns if c in typed.columns])
     present = set(filled.columns)
     stamped = build_stamp(filled, *(c if c in present else None for c in (text.day, text.hour)))
-    return drop_place(stamped).dropDuplicates()
+    return as_variants(drop_place(stamped).dropDuplicates())
 
 
 def sorted_for_sink(bronze: DataFrame) -> DataFrame:

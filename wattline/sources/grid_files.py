@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import csv
+import io
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -10,7 +12,7 @@ from pyspark.sql import functions as F
 from wattline.functions.columns import GRID_NULLS, READER_NULLS, clean_name, null_tokens
 from wattline.operators.frames import ref
 from wattline.session import cut
-from wattline.sources.lines import decoded, describe_files, fail_when_all_rejected, read_lines
+from wattline.sources.lines import decoded, describe_files, fail_when_all_rejected, joined_records, read_lines
 
 YEAR_IN_NAME = r"(\d{4})\.xls$"
 PLACE = ["path", "source_file", "chunk", "row", "source_year"]
@@ -38,15 +40,26 @@ def read_grid_text(
     The text is read once, into a table of lines. One pass over that table describes the
     files (encoding, header, verdict), one more parses all layouts together: each line is
     split once, and a column takes its cell from the place that its file's header gives it.
+    Files with line breaks inside quoted cells have their lines joined to records first; one
+    whose last quote stays open is left out.
     """
     raw = cut(read_lines(spark, path, glob), "grid-lines")
+    described = cut(describe_files(raw), "grid-text")
+    spanning = described.where("spans").select("path")
+    unclosed = spanning.where("false")
+    if not spanning.isEmpty():
+        records, unclosed = joined_records(raw.join(spanning, "path", "left_semi"))
+        unclosed = cut(unclosed, "grid-unclosed")
+        raw = cut(raw.join(spanning, "path", "left_anti").unionByName(records), "grid-records")
+        described = describe_files(raw)
     year = F.regexp_extract("path", year_pattern, 1).try_cast("int")
-    reason = F.when(F.col("source_year").isNull(), "no year in file name").when(
-        ~F.col("header").contains("\t"), "fewer than two columns"
-    )
-    files = cut(
-        describe_files(raw).withColumn("source_year", year).withColumn("reason", reason), "grid-files"
+    reason = (
+        F.when(F.col("source_year").isNull(), "no year in file name")
+        .when(F.col("open"), "a quote is never closed")
+        .when(~F.col("header").contains("\t"), "fewer than two columns")
     )
+    judged = described.join(unclosed.withColumn("open", F.lit(True)), "path", "left").withColumn("source_year", year)
+    files = cut(judged.withColumn("reason", reason).drop("open", "spans"), "grid-files")
     fail_when_all_rejected(files, "yearly grid")
     good, rejects = files.where(F.col("reason").isNull()), files.where(F.col("reason").isNotNull())
     layouts = [r.header for r in good.select("header").distinct().collect()]
@@ -67,8 +80,11 @@ def clean_header(header: str) -> list[str]:
     """Trimmed names; a repeated name gets a numeric suffix."""
     seen: dict[str, int] = {}
     out = []
-    for i, cell in enumerate(header.split("\t")):
-        name = clean_name(clean_name(cell).strip('"')) or f"Unnamed: {i}"
+    for i, cell in enumerate(next(csv.reader(io.StringIO(header, newline=""), delimiter="\t"), [])):
+        name = clean_name(cell)
+        if len(name) > 1 and name[0] == name[-1] == '"':
+            name = clean_name(name[1:-1])
+        name = name or f"Unnamed: {i}"
         n = seen.get(name, 0)
         seen[name] = n + 1
         out.append(name if n == 0 else f"{name}.{n}")
@@ -82,7 +98,7 @@ def parse_layouts(body: DataFrame, layouts: dict[str, list[str]], names: list[st
     """
     width = max(map(len, layouts.values()))
     schema = ", ".join(f"`{i}` string" for i in range(width))
-    cells = F.from_csv("line", schema, {"sep": "\t", "quote": '"', "mode": "PERMISSIVE"})
+    cells = F.from_csv("line", schema, {"sep": "\t", "quote": '"', "escape": '"', "mode": "PERMISSIVE"})
     tokens = GRID_NULLS + READER_NULLS
     some = F.exists(F.split("line", "\t"), lambda c: ~F.replace(c, F.lit('"'), F.lit("")).isin(tokens))
     number = F.create_map(*[F.lit(x) for i, h in enumerate(layouts) for x in (h, i)])

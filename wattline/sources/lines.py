@@ -10,6 +10,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from wattline.operators.frames import meet
+from wattline.operators.ordered import fill
+
 # Characters windows-1252 puts at bytes 0x80 to 0x9F, and the five
 # bytes it leaves undefined.
 CP1252_BYTES = [b for b in range(0x80, 0xA0) if b not in (0x81, 0x8D, 0x8F, 0x90, 0x9D)]
@@ -75,8 +78,74 @@ def decoded(raw: Column) -> Column:
     return F.regexp_replace(text, "^\ufeff|\r$", "")
 
 
-def describe_files(lines: DataFrame) -> DataFrame:
-    """One row per file: its encoding flags and its first line that is not empty.
+def quote_map(line: Column, sep: str = "\t") -> tuple[Column, Column]:
+    """Does the line end inside quotes: if it begins outside of them, and if it begins inside.
+
+    Quotes count at the start of a cell only, and a doubled one is a character; what
+    follows a closing quote belongs to the cell as it is.
+    """
+    rest = f'[^"]*+(?:""[^"]*+)*+"[^{sep}]*+'
+
+    def opens(text: Column) -> Column:
+        return F.regexp_replace(text, f'(?:^|(?<={sep}))"{rest}', "").rlike(f'(?:^|{sep})"')
+
+    some = F.contains(line, F.lit('"'))
+    inside = F.when(some & line.rlike(f"^{rest}"), opens(F.regexp_replace(line, f"^{rest}", ""))).otherwise(True)
+    return some & opens(line), inside
+
+
+def joined_records(lines: DataFrame, sep: str = "\t") -> tuple[DataFrame, DataFrame]:
+    """Lines of one record joined by line breaks, and the files whose last quote stays open.
+
+    A line is a map from the state it begins in to the state it ends in: it keeps the state,
+    swaps it, or fixes it. Maps compose, so a block needs only its own lines to become one
+    map; the maps of a file's blocks, one row each, are scanned in order and tell every
+    block whether it begins inside a cell. A block is one task, however long its file.
+    """
+    place = ["path", "chunk"]
+    inside_block = Window.partitionBy(*place).orderBy("row")
+    so_far = inside_block.rowsBetween(Window.unboundedPreceding, 0)
+    a, b = (c.cast("int") for c in quote_map(F.col("line"), sep))
+    mapped = lines.withColumns({"__a": a, "__b": b}).withColumn(
+        "__swaps", F.sum(F.when(F.col("__a") > F.col("__b"), 1).otherwise(0)).over(so_far)
+    )
+    fixes = F.when(F.col("__a") == F.col("__b"), F.struct(F.col("__a").alias("state"), F.col("__swaps").alias("at")))
+    mapped = mapped.withColumn("__fix", F.last(fixes, True).over(so_far))
+
+    def after(fix: Column, swaps: Column, start: Column) -> Column:
+        """State after some lines: the last that was fixed, or the start, swapped as often as since then."""
+        return F.pmod(F.coalesce(fix["state"], start) + swaps - F.coalesce(fix["at"], F.lit(0)), F.lit(2))
+
+    blocks = mapped.groupBy(*place).agg(F.max_by(F.struct("__fix", "__swaps"), "row").alias("m")).select(*place, "m.*")
+    across = Window.partitionBy("path").orderBy("chunk")
+    earlier = across.rowsBetween(Window.unboundedPreceding, -1)
+    fixed = F.col("__fix").isNotNull()
+    blocks = blocks.withColumn("__turns", F.sum(F.when(fixed, 0).otherwise(F.col("__swaps"))).over(across))
+    whole = F.when(fixed, F.struct(after(F.col("__fix"), F.col("__swaps"), F.lit(0)).alias("state"), F.col("__turns").alias("at")))
+    blocks = blocks.withColumns(
+        {
+            "__last": F.last(whole, True).over(earlier),
+            "__before": F.coalesce(F.lag("__turns").over(across), F.lit(0)),
+        }
+    ).withColumn("__start", after(F.col("__last"), F.col("__before"), F.lit(0)))
+    ends = blocks.groupBy("path").agg(
+        F.max_by(after(F.col("__fix"), F.col("__swaps"), F.col("__start")), "chunk").alias("state")
+    )
+    known = meet(mapped, blocks.select(*place, "__start"), place)
+    known = known.withColumn("__end", after(F.col("__fix"), F.col("__swaps"), F.col("__start")))
+    begins = F.coalesce(F.lag("__end").over(inside_block), F.col("__start")) == 0
+    starts = known.withColumn("__first", F.when(begins, F.struct("chunk", "row"))).select(*lines.columns, "__first")
+    named = fill(starts, ["path"], "chunk", "row", ["__first"], "forward")
+    # A record is a few lines; only they meet.
+    parts = F.sort_array(F.collect_list(F.struct("chunk", "row", "line")))
+    records = named.groupBy("path", "source_file", "__first").agg(F.array_join(parts["line"], "\n").alias("line"))
+    records = records.select("path", "source_file", "__first.chunk", "__first.row", "line")
+    return records, ends.where(F.col("state") == 1).select("path")
+
+
+def describe_files(lines: DataFrame, sep: str = "\t") -> DataFrame:
+    """One row per file: its encoding flags, its first line that is not empty, and ``spans``:
+    has it a line that ends inside quotes.
 
     A file is UTF-8 when every line is, else windows-1252 unless it uses a byte
     that encoding leaves undefined, else Latin-1. All of it is one aggregate with
@@ -87,6 +156,7 @@ def describe_files(lines: DataFrame) -> DataFrame:
         F.bool_and(F.is_valid_utf8("line")).alias("utf8"),
         F.bool_or(latin1(F.col("line")).rlike(UNDEFINED)).alias("odd"),
         F.min(place).alias("first"),
+        F.bool_or(quote_map(F.col("line"), sep)[0]).alias("spans"),
     )
     return files.withColumn("header", decoded(F.col("first.line"))).withColumn(
         "first", F.struct("first.chunk", "first.row")
