@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from wattline.catalog.registry import FUELS, query
 from wattline.operators import distribution, metrics, peaks, profile, rolling
+from wattline.operators.ordered import opened, ranked_values
 from wattline.plans import adapters as src
 from wattline.plans.silver import daily_grid
 
@@ -422,10 +423,29 @@ FROM (SELECT i, lo + (hi - lo) * i / 199 AS x, n, h FROM g, s) AS p, fc1 GROUP B
     "fc1",
 )
 def a23(spark, sf):
-    out = distribution.kernel_density(src.fc1(spark, sf), "error")
+    out = distribution.kernel_density(src.fc1(spark, sf), "error", error=None)
     return rounded(rounded(out, 4, "x"), 12, "density")
 
 
+@query(
+    "a23_binned_density",
+    """
+, s AS (SELECT l_returnflag AS k, min(l_extendedprice) AS lo, max(l_extendedprice) AS hi, count(*) AS n, stddev_samp(l_extendedprice) * pow(count(*), -0.2) AS h FROM lineitem GROUP BY 1),
+p AS (SELECT k, CAST(unnest(generate_series(0, 39)) AS INTEGER) AS i, lo, hi, n, h FROM s)
+SELECT p.k, i, round(any_value(lo + (hi - lo) * i / 39), 4) AS x,
+  round(sum(exp(-pow((lo + (hi - lo) * i / 39 - l_extendedprice) / h, 2) / 2)) / any_value(n), 5) AS share
+FROM p JOIN lineitem ON l_returnflag = p.k GROUP BY 1, 2
+""".replace(", s AS", "WITH s AS", 1),
+)
+def a23_binned(spark, sf):
+    """Kernel sums over the whole table from fine bins, as shares of a kernel's peak."""
+    rows = src.table(spark, sf, "lineitem").select(F.col("l_returnflag").alias("k"), "l_extendedprice")
+    out = distribution.kernel_density(rows, "l_extendedprice", 40, ["k"], error=1e-10)
+    peak = rows.groupBy("k").agg((F.stddev_samp("l_extendedprice") * F.pow(F.count(F.lit(1)), F.lit(-0.2)) * F.sqrt(2 * F.pi())).alias("peak"))
+    share = F.round(F.col("density") * F.col("peak"), 5).alias("share")
+    return out.join(peak, "k").select("k", "i", F.round("x", 4).alias("x"), share)
+
+
 @query(
     "a24_normal_overlay",
     """
@@ -479,6 +499,20 @@ def a25_line(spark, sf):
     return rounded(rounded(line, 4, "slope", "intercept"), 9, "r")
 
 
+@query(
+    "a25_normal_qq_lineitem",
+    """
+SELECT k, CAST(i AS INTEGER) AS i, round(l_extendedprice, 2) AS observed, count(*) OVER (PARTITION BY k) AS n FROM
+  (SELECT l_returnflag AS k, l_extendedprice, row_number() OVER (PARTITION BY l_returnflag ORDER BY l_extendedprice) AS i FROM lineitem) AS r
+""",
+)
+def a25_lineitem(spark, sf):
+    """Ranks of a fact table's values per key, ranked by ranges of values."""
+    rows = src.table(spark, sf, "lineitem").select(F.col("l_returnflag").alias("k"), "l_extendedprice")
+    out = opened(ranked_values(rows, ["k"], "l_extendedprice"), "i")
+    return out.select("k", (F.col("i") + 1).cast("int").alias("i"), F.round("l_extendedprice", 2).alias("observed"), F.col("total").alias("n"))
+
+
 @query(
     "a26_worst_peak_mean",
     """

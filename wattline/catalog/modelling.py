@@ -88,6 +88,27 @@ def d04(spark, sf):
     return diagnostics.kpss(cut(keyed_filled(spark, sf), "series"), "y", ["series"])
 
 
+@query(
+    "d03_adf_fixed_lag",
+    """
+, k AS (SELECT series, date, y, y - lag(y) OVER w AS d, lag(y) OVER w AS l FROM keyed_filled WINDOW w AS (PARTITION BY series ORDER BY date)),
+d AS (SELECT *, lag(d) OVER (PARTITION BY series ORDER BY date) AS d1 FROM k),
+s AS (SELECT series, count(*) AS n, regr_sxx(d, l) AS s11, regr_sxx(d, d1) AS s22, regr_sxy(l, d1) AS s12, regr_sxy(d, l) AS s1y, regr_sxy(d, d1) AS s2y, regr_syy(d, l) AS syy
+  FROM d WHERE d1 IS NOT NULL GROUP BY 1),
+b AS (SELECT *, s11 * s22 - s12 * s12 AS det, (s1y * s22 - s2y * s12) / (s11 * s22 - s12 * s12) AS b1, (s2y * s11 - s1y * s12) / (s11 * s22 - s12 * s12) AS b2 FROM s)
+SELECT series, 0::INTEGER AS lags, count(*) AS n,
+  round(regr_slope(d, l) / sqrt((regr_syy(d, l) - regr_slope(d, l) * regr_sxy(d, l)) / (count(*) - 2) / regr_sxx(d, l)), 6) AS statistic
+FROM d WHERE l IS NOT NULL GROUP BY 1
+UNION ALL SELECT series, 1, n, round(b1 / sqrt((syy - b1 * s1y - b2 * s2y) / (n - 3) * s22 / det), 6) FROM b
+""",
+    "keyed_filled",
+)
+def d03_fixed(spark, sf):
+    series = cut(keyed_filled(spark, sf), "series")
+    found = [diagnostics.adf(series, "y", ["series"], lags=k) for k in (0, 1)]
+    return rounded(found[0].unionByName(found[1]).select("series", "lags", "n", "statistic"), 6, "statistic")
+
+
 @query("d05_residual_bundle")
 def d05(spark, sf):
     r = src.fc1(spark, sf).select("date", (F.col("actual") - F.col("predicted")).alias("residual"))
@@ -204,7 +225,7 @@ def feature_sets(features):
     wide = arx.Spec(features=tuple(features))
     return wide, {
         "full": wide,
-        "significant": wide.of(features=("production_mw_lag1",)),
+        "significant": arx.Chosen(wide),
         "parsimonious": wide.of(features=tuple(f for f in features if f not in CALENDAR)),
     }
 
@@ -316,7 +337,8 @@ def m13(spark, sf):
     keys = ["model", "horizon"]
     summary = peaks.backtest_summary(peaks.with_peaks(cut(log, "walk-forward"), keys), keys)
     picks = peaks.best_models(peaks.with_priority(peaks.with_ranks(summary)))
-    fits = reg.fit_quality(arx.fit(reg.cross_products(rows, [], wide.names), specs))
+    sums = backtest.with_probe(reg.cross_products(rows, [], wide.names), rows, specs, 730)
+    fits = reg.fit_quality(arx.fit(sums, specs))
     chosen = picks.select("horizon", F.col("best_peak_priority").alias("model"))
     return chosen.join(fits.drop("predictor", "innovation"), "model")
 
@@ -543,6 +565,135 @@ def m07_line(spark, sf):
     return rounded(log.select("target_date", "actual", "predicted"), 4, "predicted")
 
 
+# Three candidates, two of them to be chosen from: a class of the day's own level, which explains
+# it, and a price that does not. Flags turn a candidate's rows of the normal equations into zeros.
+VIEWS["mc"] = (
+    "mx station_days",
+    "SELECT *, y - lag(y, 7) OVER t AS w, x - lag(x, 7) OVER t AS z0, c1 - lag(c1, 7) OVER t AS z1, c2 - lag(c2, 7) OVER t AS z2 FROM"
+    " (SELECT mx.date, y, x, pos, n, floor(y / 20000.0) AS c1, lo AS c2 FROM mx JOIN (SELECT date, min(TN) AS lo FROM station_days GROUP BY 1) AS s ON s.date = mx.date) AS r"
+    " WINDOW t AS (ORDER BY date)",
+)
+SUMS = ", ".join(
+    [f"sum(z{i} * z{j}) AS s{i}{j}" for i in range(3) for j in range(i, 3)] + [f"sum(z{i} * w) AS r{i}" for i in range(3)]
+) + ", sum(w * w) AS ww, count(*) AS n"
+INVERSE = """*, (s11 * s22 - s12 * s12) / det AS i00, (s00 * s22 - s02 * s02) / det AS i11, (s00 * s11 - s01 * s01) / det AS i22,
+  (s02 * s12 - s01 * s22) / det AS i01, (s01 * s12 - s02 * s11) / det AS i02, (s01 * s02 - s00 * s12) / det AS i12"""
+DET = "*, s00 * (s11 * s22 - s12 * s12) - s01 * (s01 * s22 - s02 * s12) + s02 * (s01 * s12 - s02 * s11) AS det"
+BETA = "*, i00 * r0 + i01 * r1 + i02 * r2 AS b0, i01 * r0 + i11 * r1 + i12 * r2 AS b1, i02 * r0 + i12 * r1 + i22 * r2 AS b2"
+
+
+def solved(sums: str) -> str:
+    return f"SELECT {BETA} FROM (SELECT {INVERSE} FROM (SELECT {DET} FROM ({sums}) AS s) AS d) AS i"
+
+
+VIEWS["mprobe"] = (
+    "mc",
+    "SELECT n, " + ", ".join(
+        f"CASE WHEN abs(b{i}) / sqrt((ww - b0 * r0 - b1 * r1 - b2 * r2) / (n - 3) * i{i}{i}) >= 1.6448536269514722::DOUBLE THEN 1 ELSE 0 END AS f{i}" for i in (1, 2)
+    ) + f" FROM ({solved(f'SELECT {SUMS} FROM mc WHERE pos >= 8 AND pos < 730')}) AS p",
+)
+CANDIDATES = arx.Spec(
+    order=(0, 0, 0), seasonal=(0, 1, 0, 7), features=("production_mw_lag1", "temp_pc_01", "temp_pc_02"), long_ar=1
+)
+
+
+def candidate_rows(spark, sf):
+    lowest = src.stations(spark, sf).where("variable = 'TN'").groupBy("date").agg(F.min("value").alias("temp_pc_02"))
+    table = line_gold(spark, sf).table.withColumn("temp_pc_01", F.floor(F.col(TARGET) / 20000).cast("double"))
+    made = ModelReady(cut(table.join(lowest, "date"), "candidates"), list(CANDIDATES.features), [])
+    return training.design_table(made, CANDIDATES)
+
+
+@query(
+    "m07_selected_features",
+    "SELECT 'significant' AS model, n, 'production_mw_lag1' || CASE WHEN f1 = 1 THEN '|temp_pc_01' ELSE '' END || CASE WHEN f2 = 1 THEN '|temp_pc_02' ELSE '' END AS features,"
+    " 'p-value' AS method FROM mprobe",
+    "mprobe",
+)
+def m07_selected(spark, sf):
+    """What a fit of the first two years picks."""
+    found = backtest.probe_features(candidate_rows(spark, sf), {"significant": arx.Chosen(CANDIDATES)})
+    return found.select("model", "n", F.array_join("features", "|").alias("features"), "method")
+
+
+MASKED = """SELECT step, f1, f2, s00, s01 * f1 AS s01, s02 * f2 AS s02, s11 * f1 + 1 - f1 AS s11, s12 * f1 * f2 AS s12, s22 * f2 + 1 - f2 AS s22,
+  r0, r1 * f1 AS r1, r2 * f2 AS r2 FROM sums, mprobe"""
+
+
+@query(
+    "m07_walk_forward_selected",
+    f"""
+, plan AS (SELECT *, greatest(730, n - 1000) AS first, (pos - greatest(730, n - 1000)) // 30 AS step FROM mc),
+sums AS (SELECT s.step, {SUMS} FROM (SELECT DISTINCT step, first FROM plan WHERE pos >= first) s JOIN mc t ON t.pos >= 8 AND t.pos < s.first + 30 * s.step GROUP BY 1)
+SELECT date AS target_date, y AS actual, round(y - w + b0 * z0 + f1 * b1 * z1 + f2 * b2 * z2, 3) AS predicted
+FROM plan JOIN ({solved(MASKED)}) AS fits USING (step) WHERE pos >= first
+""",
+    "mc mprobe",
+)
+def m07_walk_selected(spark, sf):
+    """The backtest of the model whose features the probe picked, refitted every thirty days."""
+    rows = candidate_rows(spark, sf)
+    log = backtest.walk_forward(rows, CANDIDATES, {"significant": arx.Chosen(CANDIDATES)}, horizons=(1,))
+    return rounded(log.select("target_date", "actual", "predicted"), 3, "predicted")
+
+
+@query(
+    "m13_final_fit_selected",
+    f"""
+, sums AS (SELECT 0 AS step, {SUMS} FROM mc WHERE pos >= 8)
+SELECT round(b0, 7) AS b0, CASE WHEN f1 = 1 THEN round(b1, 3) END AS b1, CASE WHEN f2 = 1 THEN round(b2, 7) END AS b2 FROM ({solved(MASKED)}) AS fits
+""",
+    "mc mprobe",
+)
+def m13_selected(spark, sf):
+    """The chosen features fitted on everything: weights by the feature's name, null where it was left out."""
+    rows, specs = candidate_rows(spark, sf), {"significant": arx.Chosen(CANDIDATES)}
+    sums = backtest.with_probe(reg.cross_products(rows, [], CANDIDATES.names), rows, specs, 730)
+    weight = F.map_from_arrays("terms", "coef")
+    cells = [F.try_element_at(weight, F.lit(f)) for f in CANDIDATES.features]
+    return arx.fit(sums, specs).select(*[F.round(c, d).alias(f"b{i}") for i, (c, d) in enumerate(zip(cells, (7, 3, 7)))])
+
+
+# Orders up to (1, 1): the innovations are those of a first regression on one lag.
+VIEWS["mo"] = (
+    "md",
+    "SELECT * FROM (SELECT *, lag(w) OVER t AS w1, lag(w, 2) OVER t AS w2, lag(z) OVER t AS z1 FROM md WINDOW t AS (ORDER BY date)) AS m WHERE pos >= 9",
+)
+VIEWS["me"] = (
+    "mo",
+    "SELECT mo.*, w1 - b * z1 - a * w2 AS e FROM mo, (SELECT (szw * svv - svw * szv) / (szz * svv - szv * szv) AS b, (svw * szz - szw * szv) / (szz * svv - szv * szv) AS a FROM"
+    " (SELECT sum(z * z) AS szz, sum(z * w1) AS szv, sum(w1 * w1) AS svv, sum(z * w) AS szw, sum(w1 * w) AS svw FROM mo) AS s) AS f",
+)
+
+
+def order_sums(second: str, third: str) -> str:
+    """Cross products of (feature, second, third) with the target, under the names of ``solved``."""
+    return f"SELECT {SUMS} FROM (SELECT w, z AS z0, {second} AS z1, {third} AS z2 FROM me) AS c"
+
+
+def order_row(model: str, k: int, sums: str, keep: str = "1") -> str:
+    aic = f"round(n * (ln(2 * pi()) + ln(rss / n) + 1) + 2 * {k + 1}, 4)"
+    masked = f"SELECT s00, s01, s02 * {keep} AS s02, s11, s12 * {keep} AS s12, s22 * {keep} + 1 - {keep} AS s22, r0, r1, r2 * {keep} AS r2, ww, n FROM ({sums}) AS u"
+    return (
+        f"SELECT '{model}x(0, 1, 0, 7)' AS model, n, {k}::INTEGER AS k, {aic} AS aic FROM"
+        f" (SELECT *, ww - b0 * r0 - b1 * r1 - b2 * r2 AS rss FROM ({solved(masked)}) AS b) AS q"
+    )
+
+
+@query(
+    "m12_order_search_small",
+    order_row("(1, 0, 0)", 2, order_sums("w1", "e"), "0")
+    + " UNION ALL " + order_row("(0, 0, 1)", 2, order_sums("e", "w1"), "0")
+    + " UNION ALL " + order_row("(1, 0, 1)", 3, order_sums("w1", "e")),
+    "me",
+)
+def m12_small(spark, sf):
+    """Every order up to one lag of each kind, from one matrix of sums."""
+    wide, models = backtest.order_grid(LINE, 1, 1, 0, 0)
+    search = backtest.order_search(training.design_table(line_gold(spark, sf), wide), wide, models)
+    return rounded(search.select("model", "n", "k", "aic"), 4, "aic")
+
+
 BACKFILL_SQL = """
 SELECT run_id, count(*) AS n_training_days, round(avg(abs(e)), 2) AS mae, round(sqrt(avg(e * e)), 2) AS rmse, round(avg(abs(e) / y) * 100, 4) AS mape,
   min(date) AS training_start, max(date) AS training_end
@@ -603,6 +754,47 @@ def m15_late(spark, sf):
     return rounded(out.select("date", "run_id", "prediction"), 4, "prediction")
 
 
+VIEWS["mruns_lagged"] = (
+    "half_years ma",
+    "SELECT checkpoint, strftime(checkpoint, '%Y%m%d') || 'T000000Z' AS run_id, (szw * svv - svw * szv) / (szz * svv - szv * szv) AS b,"
+    " (svw * szz - szw * szv) / (szz * svv - szv * szv) AS a FROM (SELECT checkpoint, sum(z * z) AS szz, sum(z * v) AS szv, sum(v * v) AS svv,"
+    " sum(z * w) AS szw, sum(v * w) AS svw FROM half_years JOIN ma ON ma.date <= checkpoint AND pos >= 8 WHERE checkpoint <= (SELECT max(date) FROM ma) GROUP BY 1) AS s",
+)
+
+
+@query(
+    "m11_backfill_lagged",
+    """
+SELECT run_id, count(*) AS n_training_days, round(avg(abs(e)), 2) AS mae, round(sqrt(avg(e * e)), 2) AS rmse, round(avg(abs(e) / y) * 100, 4) AS mape,
+  min(date) AS training_start, max(date) AS training_end
+FROM (SELECT run_id, date, y, b * z + a * v - w AS e FROM mruns_lagged JOIN ma ON ma.date <= checkpoint AND pos >= 8) AS r GROUP BY 1
+""",
+    "mruns_lagged ma",
+)
+def m11_lagged(spark, sf):
+    """Half-year runs of a model with an autoregressive term."""
+    found, _, _ = training.historical_runs(line_gold(spark, sf), LAGGED, src.FIRST_CHECKPOINT)
+    return found.select("run_id", "n_training_days", "mae", "rmse", "mape", "training_start", "training_end")
+
+
+@query(
+    "m15_batch_scoring_lagged",
+    """
+, asked AS (SELECT date, production_mw_lag1 AS x, coalesce(run_id, (SELECT max(run_id) FROM mruns_lagged)) AS run_id FROM requests)
+SELECT q.date, q.run_id, round(p.y - p.w + b * (q.x - (p.x - p.z)) + a * p.v, 4) AS prediction
+FROM asked q LEFT JOIN mruns_lagged r ON r.run_id = q.run_id LEFT JOIN ma p ON p.date = r.checkpoint + 1
+""",
+    "requests mruns_lagged ma",
+)
+def m15_lagged(spark, sf):
+    """A run's stored level carries its autoregressive part into scoring."""
+    table = line_gold(spark, sf)
+    _, fits, rows = training.historical_runs(table, LAGGED, src.FIRST_CHECKPOINT)
+    runs = training.with_scaler(training.scoring_state(rows, fits, LAGGED), table.table, LAGGED)
+    out = training.score_requests(src.requests(spark, sf), cut(runs, "scoring-state"), None)
+    return rounded(out.select("date", "run_id", "prediction"), 4, "prediction")
+
+
 VIEWS["kx"] = (
     "keyed_filled",
     "SELECT series, row_number() OVER (PARTITION BY series ORDER BY date) AS pos, count(*) OVER (PARTITION BY series) AS n,"

@@ -117,48 +117,97 @@ def design(df: DataFrame, target: str, spec: Spec, keys: Sequence[str] = ()) ->
     )
 
 
-def estimate(gram: np.ndarray, n: int, names: list[str], spec: Spec) -> dict:
-    """Both regression stages from the cross-products of the design columns."""
+@dataclass(frozen=True)
+class Chosen:
+    """A model of ``spec``'s orders whose features a fit of ``spec`` itself picks.
+
+    Kept are those with a p-value of at most ``threshold``, and ``always``. With fewer than
+    ``fewest`` known p-values it is the ``top`` largest coefficients, each times the spread of
+    its differenced feature.
+    """
+
+    spec: Spec
+    always: str = "production_mw_lag1"
+    threshold: float = 0.10
+    fewest: int = 3
+    top: int = 4
+
+    @property
+    def names(self) -> list[str]:
+        return self.spec.names
+
+    def pick(self, fitted: dict, gram: np.ndarray, names: list[str]) -> tuple[list[str], str]:
+        """The features, in the order of the design, and what they were picked by."""
+        features = self.spec.features
+        p = {f: p_value(b, s) for f, b, s in zip(features, fitted["coef"], fitted["se"])}
+        if sum(v is not None for v in p.values()) >= self.fewest:
+            return [f for f in features if f == self.always or (p[f] is not None and p[f] <= self.threshold)], "p-value"
+        size = {f: abs(b) * np.sqrt(gram[i, i]) for f, b in zip(features, fitted["coef"]) for i in [names.index(f"z0_{f}")]}
+        largest = sorted(features, key=lambda f: (-size[f], f))[: self.top]
+        return [f for f in features if f == self.always or f in largest], "coefficient"
+
+
+def estimates(gram: np.ndarray, n: int, names: list[str], specs: dict[str, Spec]) -> dict[str, dict]:
+    """Both regression stages of every model from the cross-products of the design columns.
+
+    Models of one feature set share the long autoregression and the products of all their
+    regressors; each solves its own part of them.
+    """
     at = {c: i for i, c in enumerate(names)}
     size, y = len(names), at["w0"]
-    now = [at[f"z0_{f}"] for f in spec.features]
-    innovation = np.zeros(size)
-    stage = np.zeros((len(spec.ma), size))
-    if spec.ma:
-        lags = [at[f"w{k}"] for k in range(1, spec.long_ar + 1)]
-        first = solve(gram, n, now + lags, y)["coef"]
-        long_beta, long_phi = first[: len(now)], first[len(now) :]
-        innovation[now], innovation[lags] = long_beta, long_phi
-        for i, j in enumerate(spec.ma):
-            stage[i, at[f"w{j}"]] += 1.0
-            for f, b in zip(spec.features, long_beta):
-                stage[i, at[f"z{j}_{f}"]] -= b
-            for lag, a in enumerate(long_phi, 1):
-                stage[i, at[f"w{j + lag}"]] -= a
-    ar = [at[f"w{k}"] for k in spec.ar]
-    pick = np.zeros((len(now) + len(ar), size))
-    pick[np.arange(len(now) + len(ar)), now + ar] = 1.0
-    target = np.zeros((1, size))
-    target[0, y] = 1.0
-    basis = np.vstack([pick, stage, target])
-    small = basis @ gram @ basis.T
-    k = len(basis) - 1
-    out = solve(small, n, list(range(k)), k)
-    terms = [*spec.features, *[f"ar{j}" for j in spec.ar], *[f"ma{j}" for j in spec.ma]]
-    return out | {"terms": terms, "k": k, "predictor": out["coef"] @ basis[:k], "innovation": innovation}
+    groups: dict[tuple, list[str]] = {}
+    for model, spec in specs.items():
+        groups.setdefault((spec.features, spec.long_ar if spec.ma else 0), []).append(model)
+    found = {}
+    for (features, long_ar), models in groups.items():
+        now = [at[f"z0_{f}"] for f in features]
+        ar = sorted({k for m in models for k in specs[m].ar})
+        ma = sorted({k for m in models for k in specs[m].ma})
+        innovation = np.zeros(size)
+        stage = np.zeros((len(ma), size))
+        if ma:
+            lags = [at[f"w{k}"] for k in range(1, long_ar + 1)]
+            first = solve(gram, n, now + lags, y)["coef"]
+            long_beta, long_phi = first[: len(now)], first[len(now) :]
+            innovation[now], innovation[lags] = long_beta, long_phi
+            for i, j in enumerate(ma):
+                stage[i, at[f"w{j}"]] += 1.0
+                for f, b in zip(features, long_beta):
+                    stage[i, at[f"z{j}_{f}"]] -= b
+                for lag, a in enumerate(long_phi, 1):
+                    stage[i, at[f"w{j + lag}"]] -= a
+        direct = now + [at[f"w{k}"] for k in ar]
+        pick = np.zeros((len(direct) + 1, size))
+        pick[np.arange(len(direct) + 1), [*direct, y]] = 1.0
+        basis = np.vstack([pick[:-1], stage, pick[-1:]])
+        place = {t: i for i, t in enumerate([*features, *[f"ar{k}" for k in ar], *[f"ma{k}" for k in ma]])}
+        small = basis @ gram @ basis.T
+        for m in models:
+            terms = [*features, *[f"ar{j}" for j in specs[m].ar], *[f"ma{j}" for j in specs[m].ma]]
+            own = [place[t] for t in terms]
+            out = solve(small, n, own, len(basis) - 1)
+            found[m] = out | {"terms": terms, "k": len(terms), "predictor": out["coef"] @ basis[own], "innovation": innovation}
+    return found
 
 
 FIT_SCHEMA = (
     "model string, n long, k int, rank int, rss double, tss double, terms array<string>, coef array<double>, "
-    "se array<double>, p array<double>, predictor array<double>, innovation array<double>"
+    "se array<double>, p array<double>, predictor array<double>, innovation array<double>, features array<string>, method string"
 )
+#: Column of sums with the features a model was given, by its name.
+GIVEN = "chosen"
+
 
+def fit(sums: DataFrame, specs: dict[str, Spec | Chosen], keys: Sequence[str] = ()) -> DataFrame:
+    """One row per key and model from the cross-product sums of a shared design.
 
-def fit(sums: DataFrame, specs: dict[str, Spec], keys: Sequence[str] = ()) -> DataFrame:
-    """One row per key and model from the cross-product sums of a shared design."""
+    A ``Chosen`` model takes the features that a column ``chosen`` (model to list) gives it,
+    else those it picks from the same sums. ``features`` are the ones used.
+    """
     keys = list(keys)
     names = next(iter(specs.values())).names
     columns = [*keys, *[c.split()[0] for c in FIT_SCHEMA.split(", ")]]
+    given = [GIVEN] if GIVEN in sums.columns else []
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -166,16 +215,25 @@ def fit(sums: DataFrame, specs: dict[str, Spec], keys: Sequence[str] = ()) -> Da
             for i, (n, g) in enumerate(zip(batch["n"], batch["products"])):
                 key = tuple(batch[c].iloc[i] for c in keys)
                 gram = np.asarray(g).reshape(len(names), len(names))
-                for model, spec in specs.items():
-                    e = estimate(gram, int(n), names, spec)
+                listed = dict(batch[GIVEN].iloc[i] or {}) if given else {}
+                whole = {m: s for m, s in specs.items() if isinstance(s, Spec)}
+                ask = {m: s for m, s in specs.items() if isinstance(s, Chosen) and m not in listed}
+                probes = estimates(gram, int(n), names, {m: s.spec for m, s in ask.items()}) if ask else {}
+                picks = {m: s.pick(probes[m], gram, names) for m, s in ask.items()}
+                picks |= {m: (list(f), "given") for m, f in listed.items() if m in specs}
+                whole |= {m: specs[m].spec.of(features=tuple(f)) for m, (f, _) in picks.items()}
+                solved = estimates(gram, int(n), names, whole)
+                for model in specs:
+                    e = solved[model]
                     p = [p_value(b, s) for b, s in zip(e["coef"], e["se"])]
                     out.append(
                         (*key, model, int(n), e["k"], e["rank"], e["rss"], float(gram[0, 0]), e["terms"])
                         + (e["coef"], e["se"], p, e["predictor"], e["innovation"])
+                        + (list(whole[model].features), picks[model][1] if model in picks else None)
                     )
             yield pd.DataFrame(out, columns=columns)
 
-    return sums.select(*keys, "n", "products").mapInPandas(run, key_schema(sums, keys) + FIT_SCHEMA)
+    return sums.select(*keys, "n", "products", *given).mapInPandas(run, key_schema(sums, keys) + FIT_SCHEMA)
 
 
 def dot(names: Sequence[str], weights: str) -> Column:
@@ -234,7 +292,9 @@ def origin_rows(rows: DataFrame, spec: Spec, horizon: int, keys: Sequence[str] =
     )
 
 
-def forecast(origins: DataFrame, spec: Spec, horizon: int, specs: dict[str, Spec], keys: Sequence[str] = ()) -> DataFrame:
+def forecast(
+    origins: DataFrame, spec: Spec, horizon: int, specs: dict[str, Spec | Chosen], keys: Sequence[str] = ()
+) -> DataFrame:
     """Recursive forecast of ``horizon`` days from every origin row joined with a fit.
 
     Predictions feed the later lags; the recursion runs over the horizon for a whole
@@ -285,8 +345,10 @@ def forecast(origins: DataFrame, spec: Spec, horizon: int, specs: dict[str, Spec
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            for model, part in batch.groupby("model", sort=False):
-                predicted = predict(part, specs[model])
+            used = batch["features"].map(tuple)
+            for (model, features), part in batch.groupby(["model", used], sort=False):
+                rule = specs[model]
+                predicted = predict(part, rule.spec.of(features=features) if isinstance(rule, Chosen) else rule)
                 actual = stack(part["y_next"], horizon)
                 n = len(part)
                 out = {k: np.repeat(part[k].to_numpy(), horizon) for k in [*keys, "model", "start_date"]}
@@ -295,7 +357,7 @@ def forecast(origins: DataFrame, spec: Spec, horizon: int, specs: dict[str, Spec
                 yield pd.DataFrame(out)
 
     schema = key_schema(origins, keys) + "model string, start_date date, horizon int, actual double, predicted double"
-    needed = [*keys, "model", "start_date", "y_past", "w_past", "z_past", "z_next", "y_next", "coef", "innovation"]
+    needed = [*keys, "model", "start_date", "y_past", "w_past", "z_past", "z_next", "y_next", "coef", "innovation", "features"]
     rows = origins.select(*needed).mapInPandas(run, schema)
     clean = {c: F.when(~F.isnan(c), F.col(c)) for c in ("actual", "predicted")}
     error = F.col("predicted") - F.col("actual")

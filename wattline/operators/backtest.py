@@ -48,12 +48,13 @@ def running_sums(parts: DataFrame, keys: Sequence[str], step: str, size: int) ->
 def walk_forward(
     rows: DataFrame,
     spec: arx.Spec,
-    specs: dict[str, arx.Spec],
+    specs: dict[str, arx.Spec | arx.Chosen],
     horizons: Sequence[int] = (1, 7),
     initial: int = 730,
     every: int = 30,
     last: int = 1000,
     keys: Sequence[str] = (),
+    nested: bool = False,
 ) -> DataFrame:
     """Rolling-origin backtest: train on all days before an origin, refit every 30.
 
@@ -62,6 +63,8 @@ def walk_forward(
     at or before it. So the history is read once, however many refits, leads and models
     there are, and each lead forecasts no further than it needs.
     ``rows`` is a design table that every lead reads: pass it materialised.
+    A model that chooses its features does so once per key, from the first ``initial``
+    days; ``nested`` lets it choose anew at every refit, from that refit's own window.
     """
     keys = list(keys)
     size = grouped(rows, keys, (F.max("pos") + 1).alias("n_days"))
@@ -79,6 +82,8 @@ def walk_forward(
         .agg(F.sum("n").alias("n"), vector_to_array(Summarizer.sum(array_to_vector("products"))).alias("products"))
     )
     sums = running_sums(by_lead, [*keys, "lead"], "step", len(spec.names))
+    if not nested:
+        sums = with_probe(sums, rows, specs, initial, keys)
     fits = cut(arx.fit(sums, specs, [*keys, "lead", "step"]), "refits")
 
     logs = []
@@ -86,12 +91,33 @@ def walk_forward(
         starts = attach(arx.origin_rows(rows, spec, h, keys), size, keys)
         use = (F.col("pos") + 1 >= f) & (F.col("pos") + h < F.col("n_days"))
         starts = starts.where(use).withColumn("step", F.floor((F.col("pos") + 1 - f) / every))
-        mine = fits.where(F.col("lead") == h).select(*keys, "step", "model", "coef", "innovation")
+        mine = fits.where(F.col("lead") == h).select(*keys, "step", "model", "coef", "innovation", "features")
         log = arx.forecast(meet(starts, mine, [*keys, "step"]), spec, h, specs, keys)
         logs.append(log.where(F.col("horizon") == h))
     return reduce(DataFrame.unionByName, logs)
 
 
+def probe_features(
+    rows: DataFrame, specs: dict[str, arx.Spec | arx.Chosen], initial: int = 730, keys: Sequence[str] = ()
+) -> DataFrame:
+    """What each choosing model picks from a fit of the first ``initial`` days: model, n, features, method."""
+    rules = {m: s for m, s in specs.items() if isinstance(s, arx.Chosen)}
+    names = next(iter(rules.values())).names
+    sums = cross_products(rows.where(F.col("pos") < initial), keys, names)
+    return arx.fit(sums, rules, keys).select(*keys, "model", "n", "features", "method")
+
+
+def with_probe(
+    sums: DataFrame, rows: DataFrame, specs: dict[str, arx.Spec | arx.Chosen], initial: int, keys: Sequence[str] = ()
+) -> DataFrame:
+    """Sums with the features that the probe gives to each choosing model, where there is one."""
+    if not any(isinstance(s, arx.Chosen) for s in specs.values()):
+        return sums
+    probe = probe_features(rows, specs, initial, keys)
+    listed = F.map_from_entries(F.collect_list(F.struct("model", "features"))).alias(arx.GIVEN)
+    return attach(sums, cut(grouped(probe, keys, listed), "probe"), keys)
+
+
 def order_grid(spec: arx.Spec, p: int = 3, q: int = 3, sp: int = 2, sq: int = 2) -> tuple[arx.Spec, dict[str, arx.Spec]]:
     """The design that holds every order of the grid, and the models inside it."""
     d, (_, sd, _, m) = spec.order[1], spec.seasonal
@@ -187,11 +213,11 @@ def recursive_evaluation(
     first = F.greatest(F.lit(0), F.col("n_days") - window - horizon)
     chosen = (F.col("pos") >= first) & (F.col("pos") < F.col("n_days") - horizon)
     starts = starts.where(chosen & (F.pmod(F.col("pos") - first, F.lit(step)) == 0))
-    models = fits.select(*keys, "model", "coef", "innovation")
+    models = fits.select(*keys, "model", "coef", "innovation", "features")
     if keys:
         joined = meet(starts, models, keys)
     else:
-        listed = models.agg(F.collect_list(F.struct("model", "coef", "innovation")).alias("__fits"))
+        listed = models.agg(F.collect_list(F.struct("model", "coef", "innovation", "features")).alias("__fits"))
         joined = attach(starts, listed).select(*starts.columns, F.inline("__fits"))
     log = arx.forecast(joined, spec, horizon, {"final": spec}, keys)
     return log.where(F.col("predicted").isNotNull()), log.where(F.col("predicted").isNull())

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from wattline.operators.frames import attach, by_date, grouped, meet
+from wattline.operators.ordered import series_blocks
 
 
 def moving_mean(c: Column, keys: Sequence[str], rows: int, min_rows: int, date: str = "date") -> Column:
@@ -98,19 +99,16 @@ def decompose(df: DataFrame, value: str, period: int = 7, keys: Sequence[str] =
     Trend is the centred moving mean. Its two edges lie on the line through the
     nearest ``period`` trend points (at the end, those before the last one).
     Seasonal is the mean of the detrended values by position in the period,
-    centred to zero.
+    centred to zero. A long series is many blocks, each with half a period on both sides.
     """
     half = period // 2
-    frame = by_date(keys).rowsBetween(-half, half)
-    everything = Window.partitionBy(*keys)
-    rows = df.select(
-        *keys,
-        "date",
-        F.col(value).alias("observed"),
-        (F.row_number().over(by_date(keys)) - 1).alias("pos"),
-        F.count(F.lit(1)).over(everything).alias("n"),
-        F.when(F.count(value).over(frame) == period, F.avg(value).over(frame)).alias("ma"),
-    )
+    sizes = grouped(df, keys, F.count(F.lit(1)).alias("n"))
+    series = df.select(*keys, "date", F.col(value).alias("observed"))
+    blocks = series_blocks(series, keys, "date", half, half)
+    frame = Window.partitionBy(*keys, "block").orderBy("pos").rowsBetween(-half, half)
+    mean = F.when(F.count("observed").over(frame) == period, F.avg("observed").over(frame)).alias("ma")
+    rows = blocks.select(*keys, "date", "observed", "pos", "own", mean).where("own").drop("own")
+    rows = attach(rows, sizes, keys)
     pos, n = F.col("pos"), F.col("n")
     at_head = pos.between(half, half + period - 1)
     at_tail = pos.between(n - half - 1 - period, n - half - 2)
@@ -138,12 +136,16 @@ def decompose(df: DataFrame, value: str, period: int = 7, keys: Sequence[str] =
 def autocovariance(df: DataFrame, value: str, lags: int, keys: Sequence[str] = ()) -> DataFrame:
     """Autocovariance (divisor n) for lags 0..``lags``: one pass, one aggregate.
 
-    Returns one row per (keys, lag) with ``n``, ``autocov`` and ``acf``.
+    Returns one row per (keys, lag) with ``n``, ``autocov`` and ``acf``. A long series is
+    many blocks that overlap by ``lags`` rows.
     """
     mean = grouped(df, keys, F.avg(value).alias("__m"), F.count(value).alias("n"))
-    x = attach(df, mean, keys).select(*keys, "date", "n", (F.col(value) - F.col("__m")).alias("__x"))
-    w = by_date(keys)
-    shifted = x.select(*keys, "n", "__x", *[F.lag("__x", k).over(w).alias(f"__l{k}") for k in range(1, lags + 1)])
+    blocks = series_blocks(df.select(*keys, "date", F.col(value).alias("__v")), keys, "date", lags)
+    x = attach(blocks, mean, keys).select(*keys, "block", "pos", "own", "n", (F.col("__v") - F.col("__m")).alias("__x"))
+    w = Window.partitionBy(*keys, "block").orderBy("pos")
+    shifted = x.select(
+        *keys, "own", "n", "__x", *[F.lag("__x", k).over(w).alias(f"__l{k}") for k in range(1, lags + 1)]
+    ).where("own")
     products = [F.sum(F.col("__x") * F.col("__x"))]
     products += [F.sum(F.col("__x") * F.col(f"__l{k}")) for k in range(1, lags + 1)]
     sums = grouped(shifted, keys, F.max("n").alias("n"), F.array(*products).alias("__s"))

@@ -46,6 +46,21 @@ def grid_bronze(text: GridText) -> DataFrame:
     return as_variants(drop_place(stamped).dropDuplicates())
 
 
+def ranged_for_sink(bronze: DataFrame) -> DataFrame:
+    """Rows as a sink of one folder per year wants them: each task a stretch of one year or two, in order.
+
+    Stretches are even, so tasks follow the rows and not the years. Without a timestamp
+    rows are spread inside a year by a hash.
+    """
+    spread = F.col("timestamp") if "timestamp" in bronze.columns else F.xxhash64(*[ref(c) for c in plain_columns(bronze)])
+    order = ["source_year", *(["timestamp"] if "timestamp" in bronze.columns else [])]
+    return bronze.repartitionByRange("source_year", spread).sortWithinPartitions(*[F.asc_nulls_last(c) for c in order])
+
+
+def plain_columns(df: DataFrame) -> list[str]:
+    return [c for c, kind in df.dtypes if kind != "variant"]
+
+
 def sorted_for_sink(bronze: DataFrame) -> DataFrame:
     """Global order of the sink: timestamp (nulls last), then year; year alone without a timestamp."""
     order = [F.asc("source_year")]

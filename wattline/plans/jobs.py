@@ -25,9 +25,9 @@ def stored(df: DataFrame, path: str, partition: list[str]) -> DataFrame:
 def bronze_grid(
     spark: SparkSession, source: str, out: str, glob: str | None = None, year_pattern: str = YEAR_IN_NAME
 ) -> tuple[DataFrame, DataFrame]:
-    """Yearly grid files of one folder to the bronze table, in timestamp order, one folder per year."""
+    """Yearly grid files of one folder to the bronze table: one folder per year, timestamps in order in each file."""
     text = read_grid_text(spark, source, *([glob] if glob else []), year_pattern=year_pattern)
-    rows = bronze.sorted_for_sink(bronze.grid_bronze(text))
+    rows = bronze.ranged_for_sink(bronze.grid_bronze(text))
     return stored(rows, out, ["source_year"]), text.rejects
 
 
@@ -43,7 +43,8 @@ def bronze_stations(
     parts = {v: read_station_files(spark, p, v, glob, station_pattern) for v, p in (("TN", low), ("TX", high))}
     rows = bronze.station_bronze(parts["TN"].rows, parts["TX"].rows).withColumn("source_year", F.year("date"))
     rejects = parts["TN"].rejects.unionByName(parts["TX"].rejects)
-    return stored(rows.repartition("source_year"), out, ["source_year"]), rejects
+    ranged = rows.repartitionByRange("source_year", "date", "station").sortWithinPartitions("source_year", "date")
+    return stored(ranged, out, ["source_year"]), rejects
 
 
 def silver(spark: SparkSession, grid: str, stations: str, out: str, k: int = 3) -> DataFrame:

@@ -12,6 +12,7 @@ from wattline.operators.metrics import alert_thresholds, calibration, error_metr
 from wattline.operators.peaks import with_context
 from wattline.operators.profile import describe
 from wattline.operators.rolling import after_warmup, alerts, rolling_errors
+from wattline.session import cut
 
 
 def melted(df: DataFrame, section: str, item: list[str], values: list[str]) -> DataFrame:
@@ -31,11 +32,11 @@ def monitoring_report(
     thresholds, and the health verdict as its numbers: skewness, kurtosis, share outside two sigma.
     ``insample`` and ``recursive`` feed several sections: pass them materialised.
     """
-    warm = after_warmup(insample, 60)
+    warm = cut(after_warmup(insample, 60), "warm")
     moving = warm.select(F.avg("actual").over(by_date().rowsBetween(1 - rows, 0)).alias("mean"))
     span = moving.agg(F.min("mean").alias("lowest_moving_mean"), F.max("mean").alias("highest_moving_mean"))
     overview = describe(warm, "actual")
-    verdict = health_verdict(insample).withColumn("outside_2sigma_pct", 100 - F.col("within_2sigma_pct"))
+    verdict = health_verdict(warm).withColumn("outside_2sigma_pct", 100 - F.col("within_2sigma_pct"))
     health = verdict.withColumn("ok", (F.col("health") == "OK").cast("double"))
     unit_roots = stationarity_report(warm.select("date", "residual"), "residual")
     stats = residual_statistics(warm, "residual")
@@ -64,5 +65,5 @@ def monitoring_report(
     return out.select("section", "item", "metric", "value")
 
 
-def health_verdict(insample: DataFrame) -> DataFrame:
-    return with_health(residual_statistics(after_warmup(insample, 60), "residual", digits=None))
+def health_verdict(warm: DataFrame) -> DataFrame:
+    return with_health(residual_statistics(warm, "residual", digits=None))
