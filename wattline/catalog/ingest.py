@@ -10,10 +10,11 @@ from pyspark.sql import functions as F
 
 from wattline.catalog.registry import query
 from wattline.functions import columns as col
+from wattline.operators.frames import attach
 from wattline.plans import adapters as src
 from wattline.plans import bronze, jobs
 from wattline.session import work_path
-from wattline.sources import archives, manifest, registry, tables
+from wattline.sources import archives, commits, manifest, registry, tables
 from wattline.sources.grid_files import read_grid_text
 from wattline.sources.lines import list_files, read_lines, split_rejects
 from wattline.sources.station_files import read_station_files
@@ -283,6 +284,25 @@ def s09(spark, sf):
     return registry_rows(spark, sf).select("seq", "run_id", "n_training_days", "latest_run_id")
 
 
+@query(
+    "s10_committed_appends",
+    """
+SELECT run_id, n_training_days, mae, 1 + (year(trained_at) >= 1998)::BIGINT + (year(trained_at) >= 2000)::BIGINT AS commit_seq,
+  (SELECT max(run_id) FROM runs) AS latest_run_id FROM runs
+""",
+    "runs",
+)
+def s10_commits(spark, sf):
+    """Three appends as three versions; rows know their commit, and the latest run is of the last one."""
+    path, runs = work_path(spark, "commits"), src.runs(spark, sf).select("run_id", "trained_at", "n_training_days", "mae")
+    year = F.year("trained_at")
+    for part in (year < 1998, (year >= 1998) & (year < 2000), year >= 2000):
+        version = commits.append(runs.where(part), path)
+    table = commits.read(spark, path, runs.schema, version)
+    latest = registry.run_metadata(table).select(F.col("run_id").alias("latest_run_id"))
+    return attach(table.select("run_id", "n_training_days", "mae", "commit_seq"), latest)
+
+
 @query("s10_registry_write", "SELECT run_id, n_training_days, mae FROM runs", "runs")
 def s10(spark, sf):
     """Two appends to the runs table; a second writer loses nothing."""

@@ -18,15 +18,19 @@ from wattline.plans import training
 from wattline.plans.gold import CALENDAR, TARGET, ModelReady, model_ready
 from wattline.plans.monitoring import monitoring_report
 from wattline.plans.silver import build_silver
-from wattline.session import cut, work_path
+from wattline.session import cut, stored, work_path
 
 FEATURES = ["temp_pc_01", "temp_pc_02", "temp_pc_03", "production_mw_lag1"]
 
 
 def gold(spark, sf) -> ModelReady:
-    """Model-ready table from the silver layer: grid, both temperature variables, three components."""
-    silver, _ = build_silver(src.grid(spark, sf), cut(src.stations(spark, sf, "region"), "stations"))
-    return model_ready(cut(silver, "silver"))
+    """Model-ready table from the silver layer: grid, both temperature variables, three components; built once a session."""
+
+    def build():
+        silver, _ = build_silver(src.grid(spark, sf), cut(src.stations(spark, sf, "region"), "stations"))
+        return silver
+
+    return model_ready(stored(spark, f"silver-of-{sf}", build))
 
 
 def base_spec() -> arx.Spec:
@@ -377,7 +381,7 @@ def x05(spark, sf):
     training.register(training.train(table, base_spec(), "20010801T000000Z").run, path)
     window = model_ready_until(table, "2000-12-31")
     runs = training.register(training.train(window, base_spec(), "20001231T000000Z").run, path)
-    return runs.drop("appended_at")
+    return runs.drop("appended_at", "commit_seq")
 
 
 def model_ready_until(table: ModelReady, end: str) -> ModelReady:

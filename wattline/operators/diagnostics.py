@@ -188,7 +188,8 @@ def lag_sums(blocks: DataFrame, keys: Sequence[str]) -> DataFrame:
     def run(table: pa.Table) -> pa.Table:
         order = np.argsort(table["pos"].to_numpy())
         x, own = table["x"].to_numpy()[order], table["own"].to_numpy()[order]
-        start, top = int(np.argmax(own)), table["top"][0].as_py()
+        # The block after a series' last one holds copies only.
+        start, top = int(np.searchsorted(own, True)), table["top"][0].as_py()
         c = np.cumsum(x[start:])
         products = [float(x[max(start, k) :] @ x[max(start, k) - k : len(x) - k]) for k in range(min(top, len(x) - 1) + 1)]
         products += [0.0] * (top + 1 - len(products))

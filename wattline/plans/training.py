@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -20,9 +20,9 @@ from wattline.operators.regression import cross_products, fit_quality
 from wattline.operators.rolling import after_warmup
 from wattline.plans.gold import TARGET, ModelReady
 from wattline.session import cut
+from wattline.sources import commits
 from wattline.sources.registry import APPENDED
 
-
 #: Columns of a backfilled run.
 BACKFILLED = (
     "run_id string, checkpoint date, training_start date, training_end date, n_training_days long, mae double, "
@@ -95,10 +95,10 @@ def run_row(insample: DataFrame, fits: DataFrame, spec: arx.Spec, run_id: str) -
 
 
 def register(run: DataFrame, path: str) -> DataFrame:
-    """Append a run, stamped with its place in append order, and read the table; concurrent appends keep every run."""
+    """Append a run as one commit and read the version that has it; concurrent appends keep every run."""
     stamped = run.withColumn(APPENDED, F.current_timestamp())
-    stamped.write.mode("append").partitionBy("run_id").parquet(path)
-    return run.sparkSession.read.schema(stamped.schema).parquet(path)
+    version = commits.append(stamped, path)
+    return commits.read(run.sparkSession, path, stamped.schema, version)
 
 
 def residual_report(insample: DataFrame, warmup: int = 60) -> DataFrame:
@@ -117,14 +117,6 @@ def historical_runs(
     return found, fits, rows
 
 
-def stored_runs(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    """The runs table, empty where nothing has been appended yet."""
-    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    if not folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(folder):
-        return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).parquet(path)
-
-
 def backfill(gold: ModelReady, spec: arx.Spec, first: str, path: str, dry_run: bool = False) -> DataFrame:
     """Train every half-year run that the runs table lacks and append it; returns the table.
 
@@ -132,7 +124,8 @@ def backfill(gold: ModelReady, spec: arx.Spec, first: str, path: str, dry_run: b
     stopped. ``dry_run`` only returns the plan: run_id and checkpoint of what is missing.
     """
     spark = gold.table.sparkSession
-    existing = stored_runs(spark, path, StructType.fromDDL(BACKFILLED))
+    schema = StructType.fromDDL(BACKFILLED)
+    existing = commits.read(spark, path, schema)
     last = gold.table.agg(F.max("date").alias("last"))
     run_id = F.concat(F.date_format("checkpoint", "yyyyMMdd"), F.lit("T000000Z")).alias("run_id")
     plan = half_year_ends(last, "last", first).select(run_id, "checkpoint")
@@ -142,9 +135,9 @@ def backfill(gold: ModelReady, spec: arx.Spec, first: str, path: str, dry_run: b
     if not plan.isEmpty():
         found, _, _ = historical_runs(gold, spec, first, cut(existing.select("run_id"), "existing"))
         stamped = found.withColumn(APPENDED, F.current_timestamp())
-        wanted = [F.col(f.name).cast(f.dataType).alias(f.name) for f in existing.schema]
-        stamped.select(*wanted).write.mode("append").partitionBy("run_id").parquet(path)
-    return stored_runs(spark, path, existing.schema)
+        wanted = [F.col(f.name).cast(f.dataType).alias(f.name) for f in schema]
+        commits.append(stamped.select(*wanted), path)
+    return commits.read(spark, path, schema)
 
 
 def with_next_day(gold: ModelReady, spec: arx.Spec) -> ModelReady:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
@@ -54,6 +54,12 @@ def work_path(spark: SparkSession, name: str) -> str:
     return f"{shared_root(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def file_system(spark: SparkSession, path: str):
+    """The file system that holds a path, and the path as it names it."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), place
+
+
 @contextmanager
 def work_scope(spark: SparkSession) -> Iterator[str]:
     """Tables cut inside the scope go to a folder of their own, which is removed at its end.
@@ -70,8 +76,8 @@ def work_scope(spark: SparkSession) -> Iterator[str]:
             spark.conf.set(SCOPE_KEY, outer)
         else:
             spark.conf.unset(SCOPE_KEY)
-        folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(inner)
-        folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+        fs, folder = file_system(spark, inner)
+        fs.delete(folder, True)
 
 
 def cut(df: DataFrame, name: str = "cut") -> DataFrame:
@@ -83,3 +89,21 @@ def cut(df: DataFrame, name: str = "cut") -> DataFrame:
     path = work_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def stored(spark: SparkSession, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+    """The table of this name: written by the first who asks for it, read by those who follow.
+
+    A session remembers where it lies; where it has gone meanwhile (a closed scope), it is
+    built again.
+    """
+    key = f"wattline.stored.{name}"
+    path = spark.conf.get(key, None)
+    if path:
+        fs, place = file_system(spark, path)
+        if fs.exists(place):
+            return spark.read.parquet(path)
+    path = work_path(spark, "stored")
+    build().write.parquet(path)
+    spark.conf.set(key, path)
+    return spark.read.parquet(path)

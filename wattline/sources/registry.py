@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from wattline.functions.columns import model_name, order_text
+from wattline.sources.commits import SEQUENCE
 
 #: A run's place in the registry: when it was appended, then its id.
 APPENDED = "appended_at"
@@ -15,9 +16,11 @@ def append_order(runs: DataFrame) -> Column:
     """Sort value that puts the run the registry points at last: the one appended last.
 
     Everything that speaks of the latest run goes by this, whatever window a run was
-    trained on. A table without append stamps goes by training date.
+    trained on: by the number of its commit, else by its stamp. A table without either
+    goes by training date.
     """
-    return F.struct(APPENDED if APPENDED in runs.columns else "trained_at", "run_id")
+    known = [c for c in (SEQUENCE, APPENDED, "trained_at") if c in runs.columns]
+    return F.struct(known[0], "run_id")
 
 
 def capped(runs: DataFrame, cap: int) -> DataFrame:
@@ -62,12 +65,12 @@ def read_registry(spark: SparkSession, path: str) -> DataFrame:
 def registry_document(runs: DataFrame, cap: int) -> DataFrame:
     """The registry as one JSON document, runs in append order; the cap bounds its size."""
     kept = capped(runs, cap).drop("latest_run_id", "n_runs")
-    run = F.struct(*[c for c in kept.columns if c != APPENDED])
+    run = F.struct(*[c for c in kept.columns if c not in (APPENDED, SEQUENCE)])
     listed = kept.agg(
         F.max_by("run_id", append_order(kept)).alias("latest_run_id"),
         F.count(F.lit(1)).cast("int").alias("n_runs"),
         # Place and id are unique, so sorting the pairs never compares the runs.
-        F.sort_array(F.collect_list(F.struct(F.col(APPENDED), "run_id"))).alias("__order"),
+        F.sort_array(F.collect_list(append_order(kept))).alias("__order"),
         F.map_from_entries(F.collect_list(F.struct(F.col("run_id").alias("k"), run.alias("v")))).alias("__runs"),
     )
     runs_in_order = F.transform("__order", lambda o: F.try_element_at(F.col("__runs"), o["run_id"]))
