@@ -522,12 +522,79 @@ def test_page_layout():
 
 
 @pytest.mark.parametrize(
-    "page", ["", "<", "<![if x]>a", "</p></div>", "<td>x", "<table><table>y", "<div>" * 5000 + "deep", "&#xZ; &unknown; <a b=c", "<svg><path/></svg>z"]
+    "page", ["", "<", "<![if x]>a", "</p></div>", "<td>x", "<table><table>y", "<div>" * 5000 + "deep", "&#xZ; &unknown; <a b=c", "<svg><path/></svg>z",
+     f"&#{'9' * 5000}; &#{'0' * 5000}65; x", f"<table><td colspan={'9' * 5000}>a<td rowspan={'9' * 5000}>b", "<table><td rowspan=x colspan=0>c"]
 )
 def test_broken_pages_render(page):
     assert isinstance(html_text.render(page), str)
 
 
+def test_references_without_a_character():
+    assert html_text.render(f"a&#{'9' * 5000};b &#{'0' * 5000}65;c") == "a\ufffdb Ac"
+
+
+def test_deep_pages_take_time_in_proportion():
+    import time
+
+    for page in ("<div>" * 60_000 + "deep", "<p><button>" + "<div><span>" * 30_000 + "deep", "<ul><li>" * 30_000 + "deep"):
+        start = time.perf_counter()
+        assert html_text.render(page).strip(" -") == "deep"
+        assert time.perf_counter() - start < 8
+
+
+def test_spans_drawings_formulas_and_details():
+    page = (
+        "<table><tr><td rowspan=2>a<td>b<td>c<tr><td>d<td>e<tr><td>f<td colspan=2>long cell<tr><td>g<td>h<td>i</table>"
+        "<svg><title>no</title><desc>no</desc><g>no<text x=1>drawn <tspan>one</tspan></text><text>two</text></g></svg>"
+        "<math><mi>x</mi><mo>=</mo><mn>1</mn><annotation>no</annotation></math>"
+        "<details>no<summary>title</summary><p>no</details><details open><summary>more</summary>yes</details>"
+    )
+    assert html_text.render(page).split("\n") == [
+        "a  b  c", "   d  e", "f  long cell", "g  h  i", "", "drawn one two x=1", "title", "more", "yes",
+    ]
+
+
+def test_words_of_made_pages_come_in_order():
+    """Pages made of tables, lists, blocks and hidden parts: the words that are not hidden, in their order."""
+    import random
+
+    rng = random.Random(9)
+
+    def make(depth, hidden, seen):
+        def word():
+            w = f"w{rng.randrange(10**6)}"
+            if not hidden:
+                seen.append(w)
+            return w
+
+        kind = rng.choice("word word div p list table hide closed open svg".split()) if depth else "word"
+        if kind == "div":
+            return "<div>" + "".join(make(depth - 1, hidden, seen) for _ in range(3)) + rng.choice(["</div>", "</div>", "</span></div>"])
+        if kind == "p":
+            return f"<p>{word()} <b>{word()}</b>" + rng.choice(["</p>", "<p>"])
+        if kind == "list":
+            items = "".join(f"<li>{make(depth - 1, hidden, seen)}" for _ in range(2))
+            return f"<ul>{items}</ul>"
+        if kind == "table":
+            rows = "".join("<tr>" + "".join(f"<td>{word()} {word()}" for _ in range(rng.randrange(1, 4))) for _ in range(3))
+            return f"<table>{rows}</table>"
+        if kind == "hide":
+            style = rng.choice(["hidden", 'style="display:none"', 'style="color:red; visibility: hidden"'])
+            return f"<div {style}>" + make(depth - 1, True, seen) + "</div>"
+        if kind == "closed":
+            return f"<details><summary>{word()}</summary>" + make(depth - 1, True, seen) + "</details>"
+        if kind == "open":
+            return f"<details open><summary>{word()}</summary>" + make(depth - 1, hidden, seen) + "</details>"
+        if kind == "svg":
+            return f"<svg><text>{word()}</text><path d='M0 0'/><title>nothing</title></svg>"
+        return word() + " "
+
+    for _ in range(150):
+        seen = []
+        page = "<html><body>" + " ".join(make(5, False, seen) for _ in range(6))
+        assert re.sub(r"(?m)^ *- ", "", html_text.render(page).replace("- ", " ")).split() == seen
+
+
 def test_visible_words_match_brute_force(spark):
     import html
 

@@ -19,8 +19,13 @@ from pyspark.sql import functions as F
 # Elements of the HTML standard by role.
 VOID = set("area base br col embed hr img input link meta source track wbr".split())
 UNSEEN = set(
-    "head title meta link script style template noscript iframe object audio video canvas svg math datalist".split()
+    "head title meta link script style template noscript iframe object audio video canvas datalist"
+    # Of drawings and formulas: what describes them.
+    " desc metadata defs annotation annotation-xml".split()
 )
+FOREIGN = {"svg", "math"}
+#: Elements of a drawing whose text is drawn.
+DRAWN = {"text", "foreignobject"}
 PARAGRAPHS = set("p h1 h2 h3 h4 h5 h6 ul ol dl table pre blockquote figure hr".split())
 BLOCKS = PARAGRAPHS | set(
     "html body address article aside details dialog dd div dt fieldset figcaption footer form header hgroup legend li"
@@ -42,6 +47,9 @@ IMPLIED_ENDS = {
 ENDS_P = (BLOCKS - {"option", "tr", "caption", "thead", "tbody", "tfoot"}) | {"li", "dt", "dd"}
 #: An end tag or an implied end doesn't reach out of these.
 SCOPES = {"table", "td", "th", "caption", "button", "object"}
+#: Decimal references of more digits than a character's number has, and zeros before it.
+FAR_REFERENCE = re.compile(r"&#0*[1-9][0-9]{7,};?")
+ZEROS = re.compile(r"(?<=&#)0{8,}")
 HIDING = re.compile(r"(?:display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse))", re.I)
 SPACE = " \t\n\r\f\v"
 INDENT = 2
@@ -57,27 +65,33 @@ class Node:
 
 
 class Builder(HTMLParser):
+    """Keeps the open elements as a path, and for each tag how deep it is open: no question walks the path."""
+
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
-        self.root = self.at = Node("", {}, None)
+        self.root = Node("", {}, None)
+        self.path = [self.root]
+        self.depths: dict[str, list[int]] = {}
+
+    def depth(self, tags: set[str]) -> int:
+        """Place of the innermost open element among ``tags``, 0 if there is none."""
+        return max((self.depths[t][-1] for t in tags if self.depths.get(t)), default=0)
 
     def close_to(self, tags: set[str], stops: set[str]) -> bool:
         """Ends the innermost open element among ``tags``, unless one of ``stops`` is in between."""
-        node = self.at
-        while node.parent is not None:
-            if node.tag in tags:
-                self.at = node.parent
-                return True
-            if node.tag in stops:
-                return False
-            node = node.parent
-        return False
+        at = self.depth(tags)
+        if not at or self.depth(stops) > at:
+            return False
+        while len(self.path) > at:
+            self.depths[self.path.pop().tag].pop()
+        return True
 
     def open(self, tag: str, attributes: dict[str, str | None]) -> None:
-        node = Node(tag, attributes, self.at)
-        self.at.children.append(node)
+        node = Node(tag, attributes, self.path[-1])
+        self.path[-1].children.append(node)
         if tag not in VOID:
-            self.at = node
+            self.depths.setdefault(tag, []).append(len(self.path))
+            self.path.append(node)
 
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         if tag in ENDS_P:
@@ -85,43 +99,40 @@ class Builder(HTMLParser):
         if tag in IMPLIED_ENDS:
             self.close_to(*IMPLIED_ENDS[tag])
         # Parts of a table bring the parts around them along.
-        if tag in CELLS and not self.inside("tr", {"table"}):
+        if tag in CELLS and not self.inside({"tr"}, {"table"}):
             self.open("tr", {})
-        if tag == "body" or (tag in BLOCKS and self.inside("head", {"body"})):
+        if tag == "body" or (tag in BLOCKS and self.inside({"head"}, {"body"})):
             self.close_to({"head"}, set())
         self.open(tag, dict(attrs))
 
-    def inside(self, tag: str, stops: set[str]) -> bool:
-        node = self.at
-        while node.parent is not None and node.tag not in stops:
-            if node.tag == tag:
-                return True
-            node = node.parent
-        return False
+    def inside(self, tags: set[str], stops: set[str]) -> bool:
+        return self.depth(tags) > self.depth(stops)
 
     def handle_startendtag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         # The slash means nothing in HTML, except that foreign elements such as <path/> end there.
         self.handle_starttag(tag, attrs)
-        if tag not in VOID and self.inside("svg", set()):
+        if tag not in VOID and self.inside(FOREIGN, set()):
             self.close_to({tag}, set())
 
     def handle_endtag(self, tag: str) -> None:
         if tag == "br":
             self.open("br", {})
-        elif tag == "p" and not self.inside("p", SCOPES):
+        elif tag == "p" and not self.inside({"p"}, SCOPES):
             self.open("p", {})
-            self.at = self.at.parent
+            self.close_to({"p"}, set())
         elif tag not in VOID:
             self.close_to({tag}, set() if tag in SCOPES | {"html", "body"} else SCOPES - {tag})
 
     def handle_data(self, data: str) -> None:
-        self.at.children.append(data)
+        self.path[-1].children.append(data)
 
     def unknown_decl(self, data: str) -> None:
         pass
 
 
 def parse(html: str) -> Node:
+    # A reference to no character is the replacement character, however long its number is.
+    html = FAR_REFERENCE.sub("\ufffd", ZEROS.sub("0", html))
     builder = Builder()
     try:
         builder.feed(html)
@@ -202,33 +213,75 @@ class Page:
 
 
 class Table:
+    """Rows of cells (lines, columns, rows): a cell of several rows keeps its columns taken in those below."""
+
     def __init__(self) -> None:
-        self.rows: list[list[tuple[list[str], int]]] = []
+        self.rows: list[list[tuple[list[str], int, int]]] = []
+
+    def placed(self) -> list[list[tuple[list[str], int, int]]]:
+        """Each row's cells as (lines, first column, columns)."""
+        out, taken = [], {}
+        for row in self.rows:
+            at, cells = 0, []
+            for cell, columns, rows in row:
+                while taken.get(at, 0):
+                    at += 1
+                cells.append((cell, at, columns))
+                for k in range(at, at + columns) if rows > 1 else ():
+                    # The row itself counts, and is counted off with the others below.
+                    taken[k] = max(taken.get(k, 0), rows)
+                at += columns
+            out.append(cells)
+            taken = {k: n - 1 for k, n in taken.items() if n > 1}
+        return out
 
     def lines(self) -> list[str]:
         """Cells of a column start at the same place; a cell of several lines fills several."""
+        rows = self.placed()
         widths: dict[int, int] = {}
-        for row in self.rows:
-            at = 0
-            for cell, span in row:
-                if span == 1:
-                    widths[at] = max(widths.get(at, 0), *map(len, cell), 0)
-                at += span
+        for cell, at, columns in (c for row in rows for c in row):
+            if columns == 1:
+                widths[at] = max(widths.get(at, 0), *map(len, cell), 0)
         out = []
-        for row in self.rows:
-            for i in range(max((len(c) for c, _ in row), default=0)):
-                at, parts = 0, []
-                for cell, span in row:
-                    width = sum(widths.get(at + k, 0) for k in range(span)) + len(GUTTER) * (span - 1)
-                    parts.append((cell[i] if i < len(cell) else "").ljust(width))
-                    at += span
-                out.append(GUTTER.join(parts).rstrip())
+        for row in rows:
+            last = max((at + columns for _, at, columns in row), default=0)
+            starts = [0]
+            for k in range(last):
+                starts.append(starts[-1] + widths.get(k, 0) + len(GUTTER))
+            for i in range(max((len(c) for c, _, _ in row), default=0)):
+                line = ""
+                for cell, at, _ in row:
+                    if i < len(cell) and cell[i]:
+                        # A wide cell that reaches beyond its columns pushes the next one on.
+                        gap = GUTTER if line else ""
+                        line = max(line + gap, line.ljust(starts[at]), key=len) + cell[i]
+                out.append(line.rstrip())
         return [line for line in out if line.strip()]
 
 
-def span_of(node: Node) -> int:
-    value = node.attributes.get("colspan") or "1"
-    return min(int(value), 1000) if value.isascii() and value.isdigit() and int(value[:6]) > 0 else 1
+def span_of(node: Node, name: str = "colspan") -> int:
+    """How many columns or rows a cell takes, 1000 at most."""
+    value = (node.attributes.get(name) or "1").strip(SPACE).lstrip("0")
+    return min(int(value[:5]), 1000) if value.isascii() and value.isdigit() else 1
+
+
+def shown(node: Node) -> list[Node | str]:
+    """Children that are shown: of a closed ``details`` its summary, of a drawing its texts."""
+    if node.tag == "details" and "open" not in node.attributes:
+        return [c for c in node.children if isinstance(c, Node) and c.tag == "summary"][:1]
+    if node.tag != "svg":
+        return node.children
+    found, steps = [], [*reversed(node.children)]
+    while steps:
+        child = steps.pop()
+        if not isinstance(child, Node) or not visible(child):
+            continue
+        if child.tag in DRAWN:
+            # Texts of a drawing stand apart.
+            found += [" ", child, " "]
+        else:
+            steps.extend(reversed(child.children))
+    return found
 
 
 def render(html: str) -> str:
@@ -278,7 +331,7 @@ def render(html: str) -> str:
             elif tag in CELLS and tables:
                 pages.append(Page())
             steps.append((node, True))
-            steps.extend((child, False) for child in reversed(node.children))
+            steps.extend((child, False) for child in reversed(shown(node)))
             continue
         if tag in ("ul", "ol", "menu"):
             counters.pop()
@@ -292,7 +345,7 @@ def render(html: str) -> str:
             pre -= 1
         elif tag in CELLS and tables:
             cell = pages.pop().text().split("\n")
-            tables[-1].rows[-1].append((cell, span_of(node)))
+            tables[-1].rows[-1].append((cell, span_of(node), span_of(node, "rowspan")))
             page = pages[-1]
         elif tag == "table":
             for line in tables.pop().lines():
@@ -307,7 +360,9 @@ def extract_text(pages: DataFrame, id_col: str = "page_id", html_col: str = "htm
     """page_id and text, the visible text of every row's page.
 
     A null page has a null text, an empty one an empty text. Broken markup is read as far
-    as it makes sense; nothing is cut off. Repeated rows and null ids are ordinary rows;
+    as it makes sense; nothing is cut off. Of drawings the texts are shown, of formulas all
+    but their annotations, of a closed ``details`` its summary. Time grows with the page, however
+    deep its elements nest. Repeated rows and null ids are ordinary rows;
     extra columns are left out; an empty table gives an empty result.
     """
 
