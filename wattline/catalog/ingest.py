@@ -181,6 +181,30 @@ def s04(spark, sf):
     )
 
 
+@query(
+    "s04_rejected_files",
+    """
+SELECT station, n_rows, CASE WHEN CAST(station AS INTEGER) % 5 = 0 THEN 'value is not a number' END AS reason FROM
+  (SELECT station, CASE WHEN CAST(station AS INTEGER) % 5 <> 0 THEN count(*) END AS n_rows FROM station_days GROUP BY 1) AS s
+""",
+    "station_days",
+)
+def s04_files(spark, sf):
+    """Station files through their reader: one bad value sets a whole file aside, with its reason."""
+    folder = f"{station_folder(spark, sf)}/variable=TN"
+    path = work_path(spark, "damaged")
+    lines = read_lines(spark, folder, recursive=True)
+    place = F.regexp_extract("path", "place=([0-9]+)", 1)
+    damaged = (place.cast("int") % 5 == 0) & F.col("line").rlike("^[0-9]{6}13;")
+    text = F.when(damaged, "19960313;oops").otherwise(F.col("line"))
+    spread = lines.select(place.alias("place"), "chunk", "row", text.alias("value")).repartition("place")
+    spread.sortWithinPartitions("place", "chunk", "row").select("place", "value").write.partitionBy("place").text(path)
+    found = read_station_files(spark, path, "TN", station_pattern=STATION_DIR)
+    kept = found.rows.groupBy("station").agg(F.count(F.lit(1)).alias("n_rows"), F.lit(None).cast("string").alias("reason"))
+    gone = found.rejects.select(F.regexp_extract("path", STATION_DIR, 1).alias("station"), F.lit(None).cast("long").alias("n_rows"), "reason")
+    return kept.unionByName(gone)
+
+
 @query("s05_archives", "SELECT event_type || '.csv' AS member, count(*) AS n_lines, sum(event_id)::BIGINT AS ids FROM events GROUP BY 1")
 def s05(spark, sf):
     """Batches of readings packed into archives by the tasks, then expanded again."""

@@ -119,6 +119,32 @@ def d05(spark, sf):
     return diagnostics.residual_bundle(cut(r, "residuals"), "residual")
 
 
+# The residuals are the errors with the other sign, so their order turns round and normal quantiles change sign.
+@query(
+    "d05_residual_sections",
+    """
+, e AS (SELECT date, actual - predicted AS r FROM fc1 WHERE actual IS NOT NULL AND predicted IS NOT NULL),
+s AS (SELECT date, (r - avg(r) OVER ()) / stddev_samp(r) OVER () AS z FROM e),
+m AS (SELECT min(z) AS lo, max(z) AS hi, count(*) AS n, stddev_samp(z) * pow(count(*), -0.2) AS h, avg(z) AS mean FROM s),
+c AS (SELECT z - mean AS v, row_number() OVER (ORDER BY date) AS pos, n FROM s, m),
+acf AS (SELECT CAST(k AS DOUBLE) AS x, sum(a.v * b.v) / (SELECT sum(v * v) FROM c) AS y FROM generate_series(0, 40) AS g(k), c a JOIN c b ON b.pos = a.pos + k GROUP BY 1),
+bins AS (SELECT CAST(unnest(generate_series(0, 39)) AS INTEGER) AS i),
+held AS (SELECT CAST(least(floor((z - lo) / ((hi - lo) / 40)), 39) AS INTEGER) AS i, count(*) AS k FROM s, m GROUP BY 1),
+points AS (SELECT unnest(generate_series(0, 199)) AS i)
+SELECT 'standardised' AS section, CAST(date_diff('day', DATE '1970-01-01', date) AS DOUBLE) AS x, round(z, 5) + 0.0 AS y FROM s
+UNION ALL SELECT 'histogram', round(lo + (hi - lo) / 40 * bins.i, 5) + 0.0, round(coalesce(k, 0) / (n * (hi - lo) / 40), 5) FROM bins LEFT JOIN held ON held.i = bins.i, m
+UNION ALL SELECT 'density', round(lo + (hi - lo) * i / 199, 5) + 0.0, round(sum(exp(-pow((lo + (hi - lo) * i / 199 - z) / h, 2) / 2)) / any_value(n * h * sqrt(2 * pi())), 5) FROM points, m, s GROUP BY i, lo, hi
+UNION ALL SELECT 'correlogram', x, round(y, 5) + 0.0 FROM acf
+""",
+    "fc1",
+)
+def d05_sections(spark, sf):
+    """The bundle without its Q-Q points, which have a query of their own."""
+    r = src.fc1(spark, sf).select("date", (F.col("actual") - F.col("predicted")).alias("residual"))
+    out = diagnostics.residual_bundle(cut(r, "residuals"), "residual", error=1e-10).where("section <> 'qq'")
+    return rounded(out, 5, "x", "y")
+
+
 @query(
     "d06_residual_health",
     """
@@ -463,6 +489,43 @@ def m06_line(spark, sf):
     return rounded(log.select("start_date", "horizon", "actual", "predicted"), 4, "predicted")
 
 
+REPORTED = ["calibration", "drift", "seasonality", "horizon", "thresholds", "residuals"]
+
+
+@query(
+    "x06_report_line",
+    """
+, ins AS (SELECT date, y AS actual, y - w + b * z AS fitted, row_number() OVER (ORDER BY date) AS rn FROM md, mb WHERE pos >= 7),
+ev AS (SELECT *, fitted - actual AS error, abs(fitted - actual) AS ae FROM ins),
+run AS (SELECT round(avg(ae), 2) AS mae, round(sqrt(avg(error * error)), 2) AS rmse, round(avg(ae / actual) * 100, 4) AS mape FROM ev),
+warm AS (SELECT *, stddev_samp(-error) OVER () AS sd FROM ev WHERE rn > 60),
+roll AS (SELECT rn, CASE WHEN count(ae) OVER w >= 15 THEN avg(ae) OVER w END AS mae, row_number() OVER (ORDER BY date) AS k FROM warm WINDOW w AS (ORDER BY date ROWS BETWEEN 29 PRECEDING AND CURRENT ROW)),
+drift AS (SELECT count(*) FILTER (roll.mae > run.mae * 2) AS a, count(*) AS d FROM roll, run WHERE k > 30),
+log AS (SELECT CAST(h AS INTEGER) AS horizon, t.y AS actual, t.y - t.w + b * t.z - t.y AS error FROM md o, generate_series(1, 7) AS g(h), mb, md t
+  WHERE t.pos = o.pos + h AND o.pos >= greatest(0, o.n - 365 - 7) AND o.pos < o.n - 7 AND (o.pos - greatest(0, o.n - 365 - 7)) % 14 = 0),
+calib AS (SELECT avg(error) AS bias, stddev_samp(error) AS sigma, least(min(actual), min(fitted)) AS axis_min, greatest(max(actual), max(fitted)) AS axis_max FROM warm),
+res AS (SELECT round(avg(-error), 2) AS mean, round(stddev_samp(-error), 2) AS std, round(min(-error), 2) AS min, round(max(-error), 2) AS max, round(skewness(-error), 4) AS skewness,
+  round(kurtosis(-error), 4) AS kurtosis, round(100 * avg(CASE WHEN ae <= sd THEN 1.0 ELSE 0.0 END), 1) AS within_1sigma_pct, round(100 * avg(CASE WHEN ae <= 2 * sd THEN 1.0 ELSE 0.0 END), 1) AS within_2sigma_pct FROM warm),
+hor AS (SELECT horizon, round(avg(abs(error)), 1) AS mae, round(sqrt(avg(error * error)), 1) AS rmse, round(avg(abs(error) / actual) * 100, 3) AS mape, CAST(count(*) AS DOUBLE) AS n FROM log GROUP BY 1)
+SELECT section, item, metric, round(value, 3) + 0.0 AS value FROM (
+  SELECT 'calibration' AS section, 'all' AS item, metric, value FROM calib UNPIVOT (value FOR metric IN (bias, sigma, axis_min, axis_max))
+  UNION ALL SELECT 'residuals', 'all', metric, value FROM res UNPIVOT (value FOR metric IN (mean, std, min, max, skewness, kurtosis, within_1sigma_pct, within_2sigma_pct))
+  UNION ALL SELECT 'horizon', CAST(horizon AS VARCHAR), metric, value FROM hor UNPIVOT (value FOR metric IN (mae, rmse, mape, n))
+  UNION ALL SELECT 'drift', 'all', metric, value FROM (SELECT CAST(a AS DOUBLE) AS n_alerts, CAST(d AS DOUBLE) AS n_days, 100.0 * a / d AS alert_pct FROM drift) UNPIVOT (value FOR metric IN (n_alerts, n_days, alert_pct))
+  UNION ALL SELECT 'seasonality', month(date) || '|' || (isodow(date) - 1), 'mean_abs_error', avg(ae) FROM warm GROUP BY 2
+  UNION ALL SELECT 'thresholds', m, 'baseline', v FROM (SELECT mae, rmse, mape FROM run) UNPIVOT (v FOR m IN (mae, rmse, mape))
+  UNION ALL SELECT 'thresholds', m, 'alert', round(v * 2, 2) FROM (SELECT mae, rmse, mape FROM run) UNPIVOT (v FOR m IN (mae, rmse, mape))) AS r
+""",
+    "md mb",
+)
+def x06_line(spark, sf):
+    """Six sections of the report on a run that SQL can follow."""
+    run = line_run(spark, sf)
+    log, _ = backtest.recursive_evaluation(run.rows, run.fits, LINE, horizon=7)
+    report = monitoring_report(cut(run.insample, "insample"), cut(run.run, "run"), cut(log, "recursive"))
+    return rounded(report.where(F.col("section").isin(REPORTED)), 3, "value")
+
+
 # One feature and one lag: a system of two equations, and a forecast that recurses.
 VIEWS["ma"] = ("md", "SELECT *, lag(w) OVER (ORDER BY date) AS v FROM md")
 VIEWS["mab"] = (

@@ -265,8 +265,8 @@ def stationarity_report(df: DataFrame, value: str, keys: Sequence[str] = ()) ->
     return parts[0].unionByName(parts[1])
 
 
-def residual_bundle(df: DataFrame, residual: str, lags: int = 40) -> DataFrame:
-    """The data behind a residual diagnostic plot, as (section, x, y) rows."""
+def residual_bundle(df: DataFrame, residual: str, lags: int = 40, error: float | None = 1e-6) -> DataFrame:
+    """The data behind a residual diagnostic plot, as (section, x, y) rows; ``error`` is the density's."""
     r = df.where(F.col(residual).isNotNull())
     scale = r.agg(F.avg(residual).alias("__m"), F.stddev_samp(residual).alias("__sd"))
     z = attach(r, scale).select("date", ((F.col(residual) - F.col("__m")) / F.col("__sd")).alias("z"))
@@ -274,7 +274,7 @@ def residual_bundle(df: DataFrame, residual: str, lags: int = 40) -> DataFrame:
     parts = {
         "standardised": z.select(day.alias("x"), F.col("z").alias("y")),
         "histogram": dist.histogram(z, "z", 40).select(F.col("left_edge").alias("x"), F.col("density").alias("y")),
-        "density": dist.kernel_density(z, "z").select("x", F.col("density").alias("y")),
+        "density": dist.kernel_density(z, "z", error=error).select("x", F.col("density").alias("y")),
         "qq": dist.normal_qq(z, "z").select(F.col("theoretical").alias("x"), F.col("observed").alias("y")),
         "correlogram": acf(z, "z", lags).select(F.col("lag").cast("double").alias("x"), F.col("acf").alias("y")),
     }
