@@ -25,6 +25,11 @@ def alternating(c: str, pos: str = "pos") -> Column:
     return (F.count(F.lit(1)) >= 4) & share.between(MIN_GAP, MAX_GAP) & one_sided
 
 
+def half_missing(c: str) -> Column:
+    """Aggregate: may the column be ``alternating``? Its share of gaps allows it; no order is asked for."""
+    return F.avg(ref(c).isNull().cast("double")).between(MIN_GAP, MAX_GAP)
+
+
 def alternating_columns(df: DataFrame, columns: Sequence[str], keys: Sequence[str] = ()) -> DataFrame:
     """One row per file with a flag per column; all columns in one aggregate."""
     return df.groupBy(*keys).agg(*[alternating(c).alias(c) for c in columns])

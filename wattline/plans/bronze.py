@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wattline.functions.columns import build_stamp
-from wattline.functions.grid_rules import alternating, as_variants, coerce_per_file, column_facts
+from wattline.functions.grid_rules import alternating, as_variants, coerce_per_file, column_facts, half_missing
 from wattline.operators.frames import ref
 from wattline.operators.joins import wide_by_station
 from wattline.operators.ordered import fill, positions
@@ -15,8 +15,18 @@ from wattline.sources.grid_files import GridText, drop_place
 
 
 def backfill_alternating(df: DataFrame, columns: list[str], file: str = "path") -> DataFrame:
-    """Backward fill, file by file, of the columns missing on every other row of that file."""
-    placed = positions(df, [file], "chunk", "row")
+    """Backward fill, file by file, of the columns missing on every other row of that file.
+
+    Rows are numbered only where some file's share of gaps leaves the question open, and
+    only gaps travel with the numbers.
+    """
+    shares = df.groupBy(file).agg(*[half_missing(c).alias(c) for c in columns])
+    likely = shares.agg(*[F.bool_or(ref(c)).alias(c) for c in columns]).first() if columns else {}
+    columns = [c for c in columns if likely[c]]
+    if not columns:
+        return df
+    gaps = [F.when(ref(c).isNotNull(), True).alias(c) for c in columns]
+    placed = positions(df.select(file, "chunk", "row", *gaps), [file], "chunk", "row")
     flags = cut(placed.groupBy(file).agg(*[alternating(c).alias(f"__alt_{c}") for c in columns]), "gap-flags")
     anywhere = flags.agg(*[F.bool_or(ref(f"__alt_{c}")).alias(c) for c in columns]).first()
     chosen = [c for c in columns if anywhere[c]]
