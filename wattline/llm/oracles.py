@@ -81,10 +81,13 @@ tests(rule, cutoff) AS (VALUES {", ".join(f"('{r}', {c}::DOUBLE)" for r, c in TE
 tried AS (SELECT lang, t.rule, cutoff, count(*) FILTER (good) AS n, count(*) FILTER (good AND value > cutoff) AS lost,
     count(*) FILTER (NOT good AND value > cutoff) AS caught
   FROM long l JOIN known k ON l.doc_id = k.doc_id JOIN tests t ON l.rule = t.rule WHERE NOT base_failed GROUP BY 1, 2, 3),
-certified AS (SELECT *, caught - {quality.GOOD_WEIGHT} * lost AS gain FROM tried WHERE lost < n * {RATE}::DOUBLE AND
+tested AS (SELECT *, caught - {quality.GOOD_WEIGHT} * lost AS gain, CASE WHEN lost >= n * {RATE}::DOUBLE THEN 1 ELSE
   list_sum(list_transform(range(0, lost + 1), lambda i: exp(lgamma(n + 1) - CASE WHEN i > 0 THEN lgamma(i + 1) ELSE 0 END - lgamma(n - i + 1)
-    + i * ln({RATE}::DOUBLE) + (n - i) * ln(1 - {RATE}::DOUBLE)))) <= {quality.DELTA}::DOUBLE / ((SELECT count(DISTINCT coalesce(lang, '')) FROM tried) * {len(TESTS)})),
-chosen AS (SELECT lang, rule, max(struct_pack(gain := gain, cutoff := cutoff)).cutoff AS cutoff FROM certified WHERE gain > 0 GROUP BY 1, 2),
+    + i * ln({RATE}::DOUBLE) + (n - i) * ln(1 - {RATE}::DOUBLE)))) END AS p FROM tried),
+families AS (SELECT max(p) AS worst FROM tested GROUP BY lang, rule),
+steps AS (SELECT worst, row_number() OVER (ORDER BY worst) AS step, count(*) OVER () AS many FROM families),
+level AS (SELECT {quality.DELTA}::DOUBLE / greatest(1, any_value(many) - coalesce(min(step) FILTER (worst > {quality.DELTA}::DOUBLE / (many - step + 1)) - 1, any_value(many))) AS level FROM steps),
+chosen AS (SELECT lang, rule, max(struct_pack(gain := gain, cutoff := cutoff)).cutoff AS cutoff FROM tested, level WHERE p <= level AND gain > 0 GROUP BY 1, 2),
 broken AS (SELECT DISTINCT row FROM long l JOIN chosen c ON l.lang IS NOT DISTINCT FROM c.lang AND l.rule = c.rule WHERE value > cutoff)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND b.row IS NULL AS kept
 FROM judged j LEFT JOIN broken b ON j.row = b.row

@@ -2,8 +2,9 @@
 
 Each rule rejects a text whose statistic exceeds a cutoff. For every stratum, rule and
 candidate cutoff the labelled good texts give an exact binomial test of "it rejects more
-than alpha of the good texts". Only cutoffs that pass at a level corrected for the number
-of tests may be used; of those the one that catches most labelled bad texts is taken.
+than alpha of the good texts". A rule's cutoffs are tested from the mildest on, so only the
+rules and strata are many tests; those are corrected for by Holm's steps. Of the
+cutoffs that pass, the one that catches most labelled bad texts is taken.
 DataFrame operations only.
 """
 
@@ -127,36 +128,51 @@ def certified_cutoffs(labelled: DataFrame, alpha: float = ALPHA, delta: float =
     """One row per stratum with a cutoff for each rule, null where none is certified.
 
     ``labelled`` has ``stratum``, ``good`` and the statistics. ``alpha`` is shared by the
-    rules; ``delta`` by all tests of all strata (Bonferroni), so with probability
-    1 - delta no stratum loses more than alpha of its good texts. Counts are plain
-    aggregates with map-side sums; the result has one row per stratum.
+    rules. The cutoffs of one rule in one stratum are a family that is tested from the
+    mildest on at one level: a milder cutoff rejects no more, so only the first wrong one can
+    err. ``delta`` is shared by the families that are left: one all of whose
+    cutoffs pass hands its share on (Holm). So with probability 1 - delta no stratum loses
+    more than alpha of its good texts. Counts are plain aggregates with map-side sums; the
+    rest has a row per stratum and rule.
     """
-    tests = [(r, c) for r, (_, cutoffs) in RULES.items() for c in cutoffs]
     counts = [F.count(F.when(F.col("good"), 1)).alias("good")]
+    tests = [(r, c) for r, (_, cutoffs) in RULES.items() for c in cutoffs]
     for i, (rule, cutoff) in enumerate(tests):
         over = F.expr(RULES[rule][0]) > cutoff
         counts.append(F.count(F.when(over & F.col("good"), 1)).alias(f"lost_{i}"))
         counts.append(F.count(F.when(over & ~F.col("good"), 1)).alias(f"caught_{i}"))
     by_stratum = labelled.groupBy("stratum").agg(*counts)
-    level = F.lit(delta) / (F.count("*").over(Window.partitionBy()) * len(tests))
     rate = alpha / len(RULES)
-    by_stratum = by_stratum.withColumn("level", level)
-
-    def best(rule: str) -> Column:
-        options = [
-            F.struct(
-                (F.col(f"caught_{i}") - GOOD_WEIGHT * F.col(f"lost_{i}")).alias("gain"),
-                F.lit(cutoff).alias("cutoff"),
-                (binomial_tail(F.col(f"lost_{i}"), F.col("good"), rate) <= F.col("level")).alias("passes"),
-            )
-            for i, (r, cutoff) in enumerate(tests)
-            if r == rule
-        ]
-        usable = F.filter(F.array(*options), lambda o: o["passes"] & (o["gain"] > 0))
-        # Of equal gains the mildest cutoff.
-        return F.get(F.sort_array(usable, asc=False), 0)["cutoff"].alias(f"cut_{rule}")
-
-    return by_stratum.select("stratum", *[best(r) for r in RULES])
+
+    def options(rule: str) -> Column:
+        return F.array(
+            *[
+                F.struct(
+                    (F.col(f"caught_{i}") - GOOD_WEIGHT * F.col(f"lost_{i}")).alias("gain"),
+                    F.lit(cutoff).alias("cutoff"),
+                    binomial_tail(F.col(f"lost_{i}"), F.col("good"), rate).alias("p"),
+                )
+                for i, (r, cutoff) in enumerate(tests)
+                if r == rule
+            ]
+        )
+
+    rows = [F.struct(F.lit(r).alias("rule"), options(r).alias("options")) for r in RULES]
+    families = by_stratum.select("stratum", F.inline(F.array(*rows)))
+    families = families.withColumn("worst", F.array_max(F.transform("options", lambda o: o["p"])))
+    everything = Window.partitionBy()
+    order = everything.orderBy("worst", "stratum", "rule")
+    many = F.count("*").over(everything)
+    families = families.withColumns({"many": many, "step": F.row_number().over(order)})
+    holds = F.col("worst") <= F.lit(delta) / (F.col("many") - F.col("step") + 1)
+    families = families.withColumn("failed", F.min(F.when(~holds, F.col("step"))).over(everything))
+    left = F.col("many") - F.coalesce(F.col("failed") - 1, F.col("many"))
+    level = F.lit(delta) / F.greatest(left, F.lit(1))
+    usable = F.filter("options", lambda o: (o["p"] <= F.col("level")) & (o["gain"] > 0))
+    # Of equal gains the mildest cutoff.
+    best = F.get(F.sort_array(usable, asc=False), 0)["cutoff"]
+    chosen = families.withColumn("level", level).withColumn("best", best)
+    return chosen.groupBy("stratum").agg(*[F.max(F.when(F.col("rule") == r, F.col("best"))).alias(f"cut_{r}") for r in RULES])
 
 
 def judge(
