@@ -99,10 +99,14 @@ def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii.find_pii(table(spark, sf_dir, "documents"))
     base = [k.name for k in pii.BASE]
+    every = [k.name for k in pii.BASE + pii.ADDED]
+    # Checksums and context words of each span, in the order of ``spans``.
+    scores = F.transform(F.sort_array(F.concat(*every)), lambda s: F.round(s["score"], 2))
     return found.select(
         "doc_id",
         *[F.size(c).cast("long").alias(f"n_{c}") for c in base],
-        *digest(base, [k.name for k in pii.BASE + pii.ADDED]),
+        *digest(base, every),
+        scores.alias("scores"),
     )
 
 
