@@ -102,6 +102,17 @@ def test_run_ids_stay_text(spark, tmp_path):
     assert training.register(run, str(tmp_path / "runs")).first().run_id == "0012"
 
 
+def test_lists_of_names_have_a_bound(spark, monkeypatch):
+    monkeypatch.setattr(frames, "MOST_NAMES", 2)
+    rows = [(dt.date(2024, 1, 1 + i), f"TN_{s}", float(i * s)) for i in range(4) for s in (1, 2, 3)]
+    long = spark.createDataFrame(rows, "date date, column string, value double")
+    with pytest.raises(ValueError, match="more than 2 station columns"):
+        red.fit_components(long)
+    with pytest.raises(Exception, match="more than 2 stations"):
+        gaps.on_shared_dates(long, "column", "value").collect()
+    assert gaps.on_shared_dates(long.where("column <> 'TN_3'"), "column", "value").count() == 8
+
+
 def test_no_shared_dates_is_a_named_error(spark):
     empty = spark.createDataFrame([], "date date, column string, value double")
     with pytest.raises(ValueError, match="no station"):

@@ -84,6 +84,24 @@ def one_of_each(df: DataFrame, keys: Sequence[str], label: str) -> DataFrame:
     return checked.select(*keys, guard.alias("__row")).select(*keys, "__row.*")
 
 
+#: Names (stations, columns, header layouts) that a plan or the driver may hold as one list.
+MOST_NAMES = 100_000
+
+
+def bounded(names: Column, what: str) -> Column:
+    """A collected list of names, or an error that says which list has outgrown its bound."""
+    error = F.raise_error(F.lit(f"more than {MOST_NAMES} {what}"))
+    return F.when(F.size(names) > MOST_NAMES, error).otherwise(names)
+
+
+def listed(names: DataFrame, what: str) -> list[str]:
+    """The one column of a short frame on the driver; a named error beyond the bound."""
+    rows = names.limit(MOST_NAMES + 1).collect()
+    if len(rows) > MOST_NAMES:
+        raise ValueError(f"more than {MOST_NAMES} {what}")
+    return [r[0] for r in rows]
+
+
 def all_present(columns: Sequence[str]) -> Column:
     """Every column has a value, as one conjunct per column.
 

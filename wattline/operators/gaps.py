@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from wattline.operators.frames import by_date, grouped, ref
+from wattline.operators.frames import bounded, by_date, grouped, ref
 
 
 def calendar(df: DataFrame, keys: Sequence[str] = (), date: str = "date") -> DataFrame:
@@ -152,7 +152,7 @@ def on_shared_dates(df: DataFrame, station: str, value: str, date: str = "date")
     Stations are a bounded list, dates are calendar-bounded: each date row carries
     the list and explodes it, so the grid is built without a cross join.
     """
-    names = df.agg(F.sort_array(F.collect_set(station)).alias("__all")).scalar()
+    names = df.agg(bounded(F.sort_array(F.collect_set(station)), "stations").alias("__all")).scalar()
     grid = df.select(date).distinct().select(date, F.explode(names).alias(station))
     return grid.join(df.select(date, station, value), [date, station], "left")
 

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from wattline.operators.frames import grouped, meet, ref
+from wattline.operators.frames import bounded, grouped, meet, ref
 from wattline.sources.registry import append_order
 
 
@@ -92,7 +92,7 @@ def with_targets(
 
 def spread_national(requests: DataFrame, columns: DataFrame, name: str = "column") -> DataFrame:
     """One national (min, max) pair per request put on every station column by its prefix."""
-    names = columns.agg(F.sort_array(F.collect_set(name))).scalar()
+    names = columns.agg(bounded(F.sort_array(F.collect_set(name)), "station columns")).scalar()
     rows = requests.select("*", F.explode(names).alias(name))
     value = (
         F.when(F.col(name).startswith("TN_"), F.col("temp_min_avg"))

@@ -12,12 +12,10 @@ from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from wattline.operators.frames import attach, by_date
+from wattline.operators.frames import attach, by_date, listed
 from wattline.operators.gaps import fill_both, on_shared_dates
 from wattline.session import cut
 
-#: Station columns a fit takes; the driver holds a few matrices of them by the components wanted.
-MOST_COLUMNS = 1_000_000
 #: Columns up to which the matrix of their products is summed in one pass and kept by the driver.
 DENSE_COLUMNS = 512
 #: Directions of the search beyond the components wanted.
@@ -160,11 +158,9 @@ def fit_components(filled: DataFrame, k: int | None = None, dense_columns: int =
     """
     spark = filled.sparkSession
     scaler = cut(column_stats(filled, ["column"]), "scaler")
-    names = [r["column"] for r in scaler.select("column").orderBy("column").limit(MOST_COLUMNS + 1).collect()]
+    names = sorted(listed(scaler.select("column"), "station columns"))
     if not names:
         raise ValueError("no station has a value on the dates of the grid")
-    if len(names) > MOST_COLUMNS:
-        raise ValueError(f"a fit takes {MOST_COLUMNS} station columns at most")
     n = len(names)
     k = n if k is None else min(k, n)
     numbered = spark.createDataFrame(list(enumerate(names)), "at int, column string")

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from wattline.functions.columns import build_stamp
 from wattline.functions.grid_rules import alternating, as_variants, coerce_per_file, column_facts, half_missing
-from wattline.operators.frames import ref
+from wattline.operators.frames import listed, ref
 from wattline.operators.joins import wide_by_station
 from wattline.operators.ordered import fill, positions
 from wattline.session import cut
@@ -87,5 +87,5 @@ def station_bronze(low: DataFrame, high: DataFrame) -> DataFrame:
 def station_bronze_wide(long: DataFrame) -> DataFrame:
     """One float column per variable and station; the station list is bounded."""
     name = F.concat_ws("_", "variable", "station")
-    names = [r.n for r in long.select(name.alias("n")).distinct().orderBy("n").collect()]
-    return wide_by_station(long, names, name)
+    names = listed(long.select(name.alias("n")).distinct(), "station columns")
+    return wide_by_station(long, sorted(names), name)

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wattline.functions.columns import GRID_NULLS, READER_NULLS, clean_name, null_tokens
-from wattline.operators.frames import ref
+from wattline.operators.frames import listed, ref
 from wattline.session import cut
 from wattline.sources.lines import decoded, describe_files, fail_when_all_rejected, joined_records, read_lines
 
@@ -62,7 +62,7 @@ def read_grid_text(
     files = cut(judged.withColumn("reason", reason).drop("open", "spans"), "grid-files")
     fail_when_all_rejected(files, "yearly grid")
     good, rejects = files.where(F.col("reason").isNull()), files.where(F.col("reason").isNotNull())
-    layouts = [r.header for r in good.select("header").distinct().collect()]
+    layouts = listed(good.select("header").distinct(), "header layouts")
     after_header = F.struct("chunk", "row") > F.struct("first.chunk", "first.row")
     body = (
         raw.join(good.drop("source_file", "reason"), "path")
