@@ -16,15 +16,9 @@ from wattline.llm import decontamination, mixing, quality, sharding, simhash
 from wattline.llm.common import table
 from wattline.session import cut
 
-#: Near copies: word shingles, similarity of their sets, fingerprint of 64-bit words.
-SHINGLE = 5
-SIMILARITY = 0.8
-#: Standard errors of the bits beyond their expected number at which a link is still proposed.
-ERRORS = 3
-FINGERPRINT_WORDS = 4
-#: Six segments of 16 bits, each filed under its ball of radius 1: pairs that differ in at
-#: most two bits of any segment meet.
-SEGMENTS = ([16] * 6, [1] * 6)
+#: Near copies: words of a shingle, differing bits of a 64-bit fingerprint.
+SHINGLE = 4
+DISTANCE = 4
 
 
 def quoted(docs: DataFrame) -> list[Column]:
@@ -46,19 +40,12 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies: the one with the smallest id.
 
-    Fingerprints propose groups; two texts are near copies if the sets of their shingles are
-    exactly that similar. Of documents with one id and one text one row stays. Null, empty
+    Two texts are near copies if their fingerprints differ in few bits, and a group is what such
+    links connect. Of documents with one id and one text one row stays. Null, empty
     and blank texts are copies of each other; null ids are the last choice. Extra columns
     stay, whatever their names; an empty table gives an empty result.
     """
-    found = simhash.near_duplicates(
-        docs,
-        shingle=SHINGLE,
-        distance=simhash.similarity_distance(SIMILARITY, 64 * FINGERPRINT_WORDS, ERRORS),
-        words=FINGERPRINT_WORDS,
-        segments=SEGMENTS,
-        similarity=SIMILARITY,
-    )
+    found = simhash.near_duplicates(docs, shingle=SHINGLE, distance=DISTANCE)
     keepers = found.where("keeper").select(F.col("doc_id").alias("keeper_id"), F.col("text_key").alias("keeper_text"))
     records = docs.select(
         F.col("doc_id").alias("id"), simhash.text_key(F.col("text")).alias("key"), F.struct(*quoted(docs)).alias("record")
