@@ -3,6 +3,9 @@
 import random
 import re
 
+import numpy as np
+import xxhash
+
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 #: Names that operators use inside; as extra columns they must not get in the way.
 CLASHING = "record size key chunk bucket row fp hits shard slot place words lines record_size span hash taken target".split()
@@ -44,3 +47,35 @@ def table(spark, data=None, partitions=3):
 def plain(row_iterable):
     """Rows as sorted tuples; None sorts first."""
     return sorted(map(tuple, row_iterable), key=lambda r: [(v is not None, str(type(v)), v) for v in r])
+
+
+def lower(text):
+    return "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text)
+
+
+def brute_components(prints, distance):
+    distinct = sorted(set(prints))
+    words = np.array([np.frombuffer(p, ">u8") for p in distinct]).astype(np.uint64)
+    parent = list(range(len(distinct)))
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for i in range(len(distinct)):
+        for j in np.flatnonzero(np.bitwise_count(words ^ words[i]).sum(axis=1) <= distance):
+            a, b = find(i), find(int(j))
+            parent[max(a, b)] = min(a, b)
+    return {p: find(i) for i, p in enumerate(distinct)}
+
+
+def hand_fingerprint(text, shingle):
+    w = WORD.findall(lower(text or ""))
+    if not w:
+        return bytes(8)
+    hashes = [
+        xxhash.xxh64_intdigest(" ".join(w[i : i + shingle]).encode(), 42) for i in range(max(1, len(w) - shingle + 1))
+    ]
+    bits = sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+    return bits.to_bytes(8, "big")

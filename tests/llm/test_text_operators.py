@@ -38,10 +38,6 @@ def none(spark):
     return edge.table(spark, []).where("false")
 
 
-def lower(text):
-    return "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text)
-
-
 # ---- mixing
 
 
@@ -73,6 +69,19 @@ def test_mix_targets_and_taken(docs, none):
     assert mixing.mix(none).count() == 0
 
 
+def test_rows_without_ids_are_dealt_one_by_one(spark):
+    data = [(None if i % 3 else 7, f"w{i % 5} " * (1 + i % 4), "en", "a") for i in range(300)]
+    docs = edge.table(spark, data)
+    for carry in (None, {"hash": F.xxhash64("text")}):
+        mixed = mixing.mix(docs, block_words=4, shard_words=64, carry=carry)
+        rows = mixed.collect()
+        assert len(rows) == 300 and len({r.key for r in rows if r.doc_id is None}) == 200
+        again = mixing.mix(docs.repartition(5), block_words=4, shard_words=64, carry=carry).collect()
+        assert edge.plain(rows) == edge.plain(again)
+        shards = Counter(int(r.key[:8], 16) % 12 for r in rows)
+        assert max(shards.values()) < 3 * 300 / 12
+
+
 def test_seats_follow_the_highest_quotients(spark):
     import heapq
 
@@ -309,43 +318,11 @@ def test_personal_data_matches_brute_force(spark, none):
 # ---- SimHash
 
 
-def brute_components(prints, distance):
-    import xxhash  # noqa: F401
-
-    distinct = sorted(set(prints))
-    words = np.array([np.frombuffer(p, ">u8") for p in distinct]).astype(np.uint64)
-    parent = list(range(len(distinct)))
-
-    def find(x):
-        while parent[x] != x:
-            x = parent[x]
-        return x
-
-    for i in range(len(distinct)):
-        for j in np.flatnonzero(np.bitwise_count(words ^ words[i]).sum(axis=1) <= distance):
-            a, b = find(i), find(int(j))
-            parent[max(a, b)] = min(a, b)
-    return {p: find(i) for i, p in enumerate(distinct)}
-
-
-def hand_fingerprint(text, shingle):
-    import xxhash
-
-    w = edge.WORD.findall(lower(text or ""))
-    if not w:
-        return bytes(8)
-    hashes = [
-        xxhash.xxh64_intdigest(" ".join(w[i : i + shingle]).encode(), 42) for i in range(max(1, len(w) - shingle + 1))
-    ]
-    bits = sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
-    return bits.to_bytes(8, "big")
-
-
 def test_fingerprints_and_components(spark, docs, none):
     found = simhash.near_duplicates(docs, shingle=4, distance=4).collect()
-    want = Counter((i, hand_fingerprint(t, 4)) for i, t, _, _ in edge.rows())
+    want = Counter((i, edge.hand_fingerprint(t, 4)) for i, t, _, _ in edge.rows())
     assert Counter((r.doc_id, bytes(r.fp)) for r in found) == want
-    groups = brute_components([p for _, p in want], 4)
+    groups = edge.brute_components([p for _, p in want], 4)
     least = {}
     for (i, p), _ in want.items():
         if i is not None:
@@ -380,31 +357,33 @@ def test_dense_groups_lose_no_link(spark, options):
     prints = sorted({x.to_bytes(8, "big") for x in prints})
     frame = spark.createDataFrame([(bytearray(p),) for p in prints], "fp binary").repartition(4)
     roots = {bytes(r.node): bytes(r.root) for r in simhash.components(simhash.links(frame, 4, **options)).collect()}
-    groups = brute_components(prints, 4)
+    groups = edge.brute_components(prints, 4)
     assert all(roots.get(p, p) == prints[groups[p]] for p in prints)
 
 
-def test_wide_fingerprints_separate_near_copies(spark):
-    import random
+@pytest.mark.parametrize("distance", [1, 2, 3, 5])
+def test_crowded_entries_lose_no_link_at_any_distance(spark, distance):
+    rng = np.random.default_rng(distance)
+    prints = {int(x) for x in rng.integers(0, 1 << 63, 100)}
+    for base in sorted(prints)[:3]:
+        for _ in range(60):
+            x = base
+            for bit in rng.integers(0, 64, rng.integers(0, distance + 1)):
+                x ^= 1 << int(bit)
+            prints.add(x)
+    prints = sorted(x.to_bytes(8, "big") for x in prints)
+    frame = spark.createDataFrame([(bytearray(p),) for p in prints], "fp binary").repartition(3)
+    found = simhash.links(frame, distance, segments=([32, 32], [1, 1]), entry_rows=10)
+    roots = {bytes(r.node): bytes(r.root) for r in simhash.components(found).collect()}
+    groups = edge.brute_components(prints, distance)
+    assert all(roots.get(p, p) == prints[groups[p]] for p in prints)
 
-    rng = random.Random(2)
-    base = [[f"w{rng.randrange(10**6)}" for _ in range(400)] for _ in range(12)]
-    data = []
-    for i, words in enumerate(base):
-        data.append((i * 10, " ".join(words), "en", "s"))
-        near = list(words)
-        for k in (50, 300):  # ten of 396 shingles differ: similarity 0.95
-            near[k] = "changed"
-        data.append((i * 10 + 1, " ".join(near), "en", "s"))
-        # The first half is shared: similarity about a third.
-        data.append((i * 10 + 2, " ".join(words[:200] + [f"v{rng.randrange(10**6)}" for _ in range(200)]), "en", "s"))
-    distance = simhash.similarity_distance(0.8, 256)
-    found = simhash.near_duplicates(
-        edge.table(spark, data), distance=distance, words=4, segments=([16] * 6, [1] * 6)
-    ).collect()
-    assert {r.doc_id: r.component_id for r in found} == {
-        i * 10 + k: i * 10 + (2 if k == 2 else 0) for i in range(12) for k in range(3)
-    }
+
+def test_votes_of_a_long_text_are_summed_by_slices(monkeypatch):
+    text = " ".join(f"w{i % 700}" for i in range(5000))
+    whole = simhash.fingerprint(text, 4)
+    monkeypatch.setattr(simhash, "VOTES", 64)
+    assert simhash.fingerprint(text, 4) == whole == edge.hand_fingerprint(text, 4)
 
 
 # ---- sharding
@@ -428,6 +407,16 @@ def test_shards_are_even_gapless_and_repeatable(docs, none):
     assert sharding.shuffle_into_shards(none).count() == 0
 
 
+def test_shards_of_rows_that_share_id_and_text_agree(spark):
+    data = [(None, "one text", f"l{i % 50}", f"s{i}") for i in range(300)] + [(5, "other", "en", "s")] * 9
+    docs = edge.table(spark, data).withColumn("map", F.create_map(F.lit("k"), F.col("lang")))
+    place = lambda f: edge.plain(
+        sharding.shuffle_into_shards(f, shards=4, bucket_bytes=800).select("record.source", "shard", "slot").collect()
+    )
+    first = place(docs)
+    assert len(first) == 309 and first == place(docs.orderBy(F.desc("source")).repartition(2))
+
+
 def test_few_rows_and_written_shards(docs, tmp_path):
     few = sharding.shuffle_into_shards(docs.limit(3), shards=10)
     assert sorted((r.shard, r.slot) for r in few.select("shard", "slot").collect()) == [(0, 0), (1, 0), (2, 0)]
@@ -460,12 +449,12 @@ def test_contamination_matches_brute_force(spark, docs, none, automaton_bytes):
     norm = re.compile("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+")
     windows = defaultdict(set)
     for i, t in items:
-        w = norm.findall(lower(t or ""))
+        w = norm.findall(edge.lower(t or ""))
         for k in range(max(1, len(w) - 9) if w else 0):
             windows[tuple(w[k : k + 10])].add(i)
     want = []
     for i, t, _, _ in edge.rows():
-        w = norm.findall(lower(t or ""))
+        w = norm.findall(edge.lower(t or ""))
         hit, named = bytearray(len(w)), set()
         for n in {len(k) for k in windows}:
             for k in range(len(w) - n + 1):
@@ -478,7 +467,7 @@ def test_contamination_matches_brute_force(spark, docs, none, automaton_bytes):
     assert got == edge.plain(want)
     for r in found.select("record.text", "hits").collect():
         for h in r.hits:
-            words = norm.findall(lower(r.text[h.start : h.end]))
+            words = norm.findall(edge.lower(r.text[h.start : h.end]))
             assert len(words) == h.end_word - h.first_word
     assert decontamination.find_contamination(none, bench).count() == 0
     assert decontamination.find_contamination(docs, bench.where("false")).where("size(hits) > 0").count() == 0

@@ -5,8 +5,6 @@ Fingerprints are cut into segments. Each one is filed under every value within a
 Hamming ball of each of its segments, so that two fingerprints close enough in some segment
 meet in a table entry; there their complete distance is verified. Links become components
 by alternating star contraction. Equal fingerprints are merged before anything is compared.
-Where a similarity is asked for, these components are only proposals: within them the
-shingle sets of the texts themselves are compared.
 """
 
 from __future__ import annotations
@@ -33,25 +31,19 @@ SMALL_ENTRY = 48
 FOREST_ROWS = 1 << 18
 #: Rows for which a comparison of two fingerprints costs as much as filing one.
 COMPARE_COST = 1 / 30
-GOLDEN = 0x9E3779B97F4A7C15
-#: Texts, and their bytes, of one group that are compared in one task; larger groups are split into such blocks.
-BLOCK_TEXTS = 1000
-BLOCK_BYTES = 4 << 20
-
-
-def votes(hashes: np.ndarray, words: int) -> np.ndarray:
-    """Majority bits of the hashes and of ``words - 1`` remixes of them, as 64-bit words."""
-    out = np.zeros(words, "<u8")
-    for j in range(words):
-        h = hashes
-        if j:
-            h = hashes + np.uint64(GOLDEN * j & 0xFFFFFFFFFFFFFFFF)
-            h = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-            h = (h ^ (h >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-            h = h ^ (h >> np.uint64(31))
-        bits = np.unpackbits(h.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
-        out[j] = np.packbits(bits * 2 > len(h), bitorder="little").view("<u8")[0]
-    return out
+#: Rows of midpoints that are made at a time.
+MIDPOINT_ROWS = 1 << 19
+#: Hashes of a text whose bits are summed at a time.
+VOTES = 1 << 16
+
+
+def votes(hashes: np.ndarray) -> int:
+    """Majority bits of the hashes."""
+    ones = np.zeros(64, np.int64)
+    for start in range(0, len(hashes), VOTES):
+        part = hashes[start : start + VOTES].view(np.uint8).reshape(-1, 8)
+        ones += np.unpackbits(part, axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+    return int(np.packbits(ones * 2 > len(hashes), bitorder="little").view("<u8")[0])
 
 
 def shingle_hashes(text: str | None, shingle: int) -> np.ndarray:
@@ -66,21 +58,13 @@ def shingle_hashes(text: str | None, shingle: int) -> np.ndarray:
     return np.array([digest(joined[a : b - 1], SEED) for a, b in zip([0, *ends], ends[k - 1 :])], "<u8")
 
 
-def fingerprint(text: str | None, shingle: int, words: int = 1, distinct: bool = False) -> bytes:
-    """Big-endian bytes of the fingerprint; zero for a text without words.
-
-    With ``distinct`` every distinct shingle votes once, however often the text repeats it.
-    """
-    hashes = shingle_hashes(text, shingle)
-    if distinct:
-        hashes = np.unique(hashes)
-    if not len(hashes):
-        return bytes(8 * words)
-    return votes(hashes, words).astype(">u8").tobytes()
+def fingerprint(text: str | None, shingle: int) -> bytes:
+    """Big-endian bytes of the fingerprint; zero for a text without words."""
+    return votes(shingle_hashes(text, shingle)).to_bytes(8, "big")
 
 
 def segment_plan(bits: int, distance: int, n: int) -> tuple[list[int], list[int]]:
-    """Widths and ball radii of the segments of one 64-bit word for ``n`` fingerprints.
+    """Widths and ball radii of the segments of a 64-bit word for ``n`` fingerprints.
 
     Both sides of a link are filed under their balls, so radius r finds segments that differ
     in up to 2r bits; two fingerprints that differ in more than that in every segment differ
@@ -113,20 +97,18 @@ def ball_masks(width: int, radius: int) -> np.ndarray:
     return np.array(sorted(m for m in masks if m.bit_count() <= radius), np.uint64)
 
 
-def as_words(fingerprints: pa.Array, words: int) -> np.ndarray:
-    """Fingerprints of an Arrow column as rows of 64-bit words."""
-    raw = b"".join(fingerprints.to_pylist())
-    return np.frombuffer(raw, ">u8").astype(np.uint64).reshape(-1, words)
+def as_words(fingerprints: pa.Array) -> np.ndarray:
+    """Fingerprints of an Arrow column as 64-bit words."""
+    return np.frombuffer(b"".join(fingerprints.to_pylist()), ">u8").astype(np.uint64)
 
 
 def as_column(rows: np.ndarray) -> pa.Array:
     raw = rows.astype(">u8").tobytes()
-    width = 8 * rows.shape[1]
-    return pa.array([raw[i : i + width] for i in range(0, len(raw), width)], pa.binary())
+    return pa.array([raw[i : i + 8] for i in range(0, len(raw), 8)], pa.binary())
 
 
 def distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    return np.bitwise_count(a ^ b).sum(axis=-1, dtype=np.int64)
+    return np.bitwise_count(a ^ b)
 
 
 def spanning_links(rows: np.ndarray, distance: int) -> list[tuple[int, int]]:
@@ -156,8 +138,7 @@ def forest(rows: np.ndarray, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray,
     entries its rows share. Returns the rows at both ends.
     """
     ends, place = np.unique(np.concatenate([a, b]), return_inverse=True)
-    whole = np.ascontiguousarray(rows[ends].astype(">u8")).view(f"V{8 * rows.shape[1]}").ravel()
-    _, first, name = np.unique(whole, return_index=True, return_inverse=True)
+    _, first, name = np.unique(rows[ends], return_index=True, return_inverse=True)
     left, right = np.split(name[place], 2)
     least = np.arange(len(first))
     while True:
@@ -173,17 +154,17 @@ def forest(rows: np.ndarray, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray,
     return rows[ends[first[least[linked]]]], rows[ends[first[linked]]]
 
 
-def filed(words: int, segments: list[tuple[int, int, int, np.ndarray]]):
+def filed(segments: list[tuple[int, int, np.ndarray]]):
     """mapInArrow: a row (key, fingerprint) for each value in the ball of each segment.
 
-    A segment is (number, word, shift, masks) with the mask of its width first.
+    A segment is (number, shift, masks) with the mask of its width first.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = as_words(batch.column(0), words)
-            for number, word, shift, masks in segments:
-                value = (rows[:, word] >> np.uint64(shift)) & masks[0]
+            rows = as_words(batch.column(0))
+            for number, shift, masks in segments:
+                value = (rows >> np.uint64(shift)) & masks[0]
                 keys = ((value[:, None] ^ masks[None, 1:]) | np.uint64(number << 56)).view(np.int64)
                 repeated = np.repeat(np.arange(len(rows)), keys.shape[1])
                 yield pa.RecordBatch.from_arrays(
@@ -193,7 +174,7 @@ def filed(words: int, segments: list[tuple[int, int, int, np.ndarray]]):
     return run
 
 
-def compared(words: int, distance: int, entry_rows: int):
+def compared(distance: int, entry_rows: int):
     """mapInArrow over rows sorted by key: a forest of verified links, and the rows of entries too large.
 
     Rows (a, b) connect what verified links connect, of many entries at a time; a row
@@ -204,7 +185,7 @@ def compared(words: int, distance: int, entry_rows: int):
     def gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         held, n = [], 0
         for batch in batches:
-            held.append((batch.column(0).to_numpy(), as_words(batch.column(1), words)))
+            held.append((batch.column(0).to_numpy(), as_words(batch.column(1))))
             n += len(batch)
             if n >= FOREST_ROWS:
                 yield np.concatenate([k for k, _ in held]), np.concatenate([r for _, r in held])
@@ -236,7 +217,7 @@ def compared(words: int, distance: int, entry_rows: int):
         return pa.RecordBatch.from_arrays([a, b], names=["a", "b"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys, rows, overflowing = np.zeros(0, np.int64), np.zeros((0, words), np.uint64), None
+        keys, rows, overflowing = np.zeros(0, np.int64), np.zeros(0, np.uint64), None
         for more_keys, more_rows in gathered(batches):
             keys, rows = np.concatenate([keys, more_keys]), np.concatenate([rows, more_rows])
             if overflowing is not None:
@@ -266,19 +247,25 @@ def compared(words: int, distance: int, entry_rows: int):
     return run
 
 
-def midpoint_rows(words: int, distance: int):
-    """mapInArrow: each fingerprint under every complete word within half the distance."""
+def midpoint_rows(distance: int):
+    """mapInArrow: each fingerprint under every word within half the distance, rounded up.
+
+    ``outer`` is true where the word is further than half the distance rounded down.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        masks = ball_masks(64 * words, (distance + 1) // 2)
+        masks = ball_masks(64, (distance + 1) // 2)
+        outer = np.bitwise_count(masks) > distance // 2
+        step = max(1, MIDPOINT_ROWS // len(masks))
         for batch in batches:
-            rows = as_words(batch.column(0), words)[:, 0]
-            for s in range(0, len(rows), 256):
-                keys = (rows[s : s + 256, None] ^ masks[None, :]).view(np.int64)
-                fps = batch.column(0).slice(s, 256)
+            rows = as_words(batch.column(0))
+            for s in range(0, len(rows), step):
+                keys = (rows[s : s + step, None] ^ masks[None, :]).view(np.int64)
+                fps = batch.column(0).slice(s, step)
                 repeated = np.repeat(np.arange(len(fps)), len(masks))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(keys.ravel()), fps.take(pa.array(repeated))], names=["key", "fp"]
+                    [pa.array(keys.ravel()), fps.take(pa.array(repeated)), pa.array(np.tile(outer, len(fps)))],
+                    names=["key", "fp", "outer"],
                 )
 
     return run
@@ -287,48 +274,44 @@ def midpoint_rows(words: int, distance: int):
 def midpoint_links(crowded: DataFrame, distance: int) -> DataFrame:
     """Links among fingerprints of crowded entries, without comparing any two.
 
-    Two words differ in at most 2r bits exactly if a word lies within r bits of both. Each
-    fingerprint is linked with the smallest one at each of its midpoints, so the rows grow
-    with the fingerprints and not with their pairs. ``distance`` must be even.
+    Two words differ in at most 2r bits exactly if a word lies within r bits of both, and in
+    at most 2r + 1 if a word lies within r bits of one and r + 1 of the other. Each
+    fingerprint is linked with the smallest inner one at each of its midpoints, so the rows
+    grow with the fingerprints and not with their pairs.
     """
-    rows = crowded.mapInArrow(midpoint_rows(1, distance), "key long, fp binary")
-    least = rows.groupBy("key").agg(F.min("fp").alias("a"), F.max("fp").alias("top")).where("a < top")
-    return rows.join(least, "key").where("a < fp").select("a", F.col("fp").alias("b")).distinct()
+    rows = crowded.mapInArrow(midpoint_rows(distance), "key long, fp binary, outer boolean")
+    inner = F.min(F.when(~F.col("outer"), F.col("fp")))
+    least = rows.groupBy("key").agg(inner.alias("m"), F.count("*").alias("n")).where("n > 1 AND m IS NOT NULL")
+    return (
+        rows.join(least, "key")
+        .where("m <> fp")
+        .select(F.least("m", "fp").alias("a"), F.greatest("m", "fp").alias("b"))
+        .distinct()
+    )
 
 
 def links(
     fingerprints: DataFrame,
     distance: int,
-    words: int = 1,
     segments: tuple[list[int], list[int]] | None = None,
     entry_rows: int = ENTRY_ROWS,
 ) -> DataFrame:
     """Links (a, b) that connect all fingerprints (column ``fp``, distinct) within ``distance``.
 
-    With one word every link within the distance is found by construction (see
-    ``segment_plan``). With more words, ``segments`` are widths and radii of segments
-    taken from the front of the fingerprint, at most 16 bits each, four to a word.
+    Every link within the distance is found by construction (see ``segment_plan``).
     """
-    if words == 1:
-        widths, radii = segments or segment_plan(64, distance, max(1, fingerprints.count()))
-        shifts = [sum(widths[:i]) for i in range(len(widths))]
-        places = [(0, s) for s in shifts]
-    else:
-        widths, radii = segments
-        places = [(i // 4, 16 * (i % 4)) for i in range(len(widths))]
+    widths, radii = segments or segment_plan(64, distance, max(1, fingerprints.count()))
     plan = [
-        (i, word, shift, np.append(np.uint64((1 << w) - 1), ball_masks(w, r)))
-        for i, ((word, shift), w, r) in enumerate(zip(places, widths, radii))
+        (i, sum(widths[:i]), np.append(np.uint64((1 << w) - 1), ball_masks(w, r)))
+        for i, (w, r) in enumerate(zip(widths, radii))
     ]
-    rows = fingerprints.select("fp").mapInArrow(filed(words, plan), "key long, fp binary")
+    rows = fingerprints.select("fp").mapInArrow(filed(plan), "key long, fp binary")
     entries = rows.repartition("key").sortWithinPartitions("key")
-    midpoints = words == 1 and distance % 2 == 0
-    limit = entry_rows if midpoints else 1 << 62
-    found = cut(entries.mapInArrow(compared(words, distance, limit), "a binary, b binary"), "simhash-links")
+    found = cut(entries.mapInArrow(compared(distance, entry_rows), "a binary, b binary"), "simhash-links")
     near = found.where("b IS NOT NULL").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     near = near.where("a < b").distinct()
     crowded = found.where("b IS NULL").select(F.col("a").alias("fp")).distinct()
-    if midpoints and not crowded.isEmpty():
+    if not crowded.isEmpty():
         near = near.union(midpoint_links(crowded, distance))
     return near
 
@@ -362,170 +345,32 @@ def components(edges: DataFrame) -> DataFrame:
     return edges.select(F.col("b").alias("node"), F.col("a").alias("root"))
 
 
-def set_links(sets: list[np.ndarray], similarity: float, joined: np.ndarray) -> list[tuple[int, int]]:
-    """Links that connect the sets whose Jaccard similarity reaches ``similarity``.
-
-    A search that visits each set once, as ``spanning_links`` does; ``joined`` sets are known
-    to be connected and get no link among themselves. Two empty sets are equal.
-    """
-    sizes = np.array([len(s) for s in sets], np.int64)
-    values, ids = np.unique(np.concatenate(sets), return_inverse=True)
-    starts = np.cumsum(sizes) - sizes
-    owner = np.repeat(np.arange(len(sets)), sizes)
-    mark = np.zeros(len(values), bool)
-    left, queue, links = ~joined, np.flatnonzero(joined).tolist(), []
-    # Only sets not reached yet are searched; their shingles are picked anew as these become fewer.
-    live_ids, live_owner, held = ids, owner, len(sets)
-    while (n := int(left.sum())) > 0:
-        if 2 * n <= held:
-            keep = left[live_owner]
-            live_ids, live_owner, held = live_ids[keep], live_owner[keep], n
-        if queue:
-            at = queue.pop()
-        else:
-            at = int(left.argmax())
-            left[at] = False
-        mine = ids[starts[at] : starts[at] + sizes[at]]
-        mark[mine] = True
-        common = np.bincount(live_owner[mark[live_ids]], minlength=len(sets))
-        mark[mine] = False
-        union = sizes + sizes[at] - common
-        alike = np.where(union > 0, common / np.maximum(union, 1), 1.0) >= similarity
-        near = np.flatnonzero(left & alike).tolist()
-        links += [(at, x) for x in near]
-        queue += near
-        left[near] = False
-    return links
-
-
-def text_links(
-    texts: DataFrame, shingle: int, similarity: float, block_texts: int = BLOCK_TEXTS, block_bytes: int = BLOCK_BYTES
-) -> DataFrame:
-    """Links (a, b), a < b, that connect the texts of a group whose shingle sets reach ``similarity``.
-
-    ``texts`` has ``unit`` (names a text), ``group`` and ``text``, one row per unit. A group of one
-    block is searched in one task. A larger one is first compared with its smallest unit,
-    block by block. What that one reaches is connected; only the others are then
-    compared with every block, so a dense group costs little more than its rows.
-    """
-    size = F.coalesce(F.octet_length("text"), F.lit(0)).cast("long") + 1
-
-    def blocks(n: Column, nbytes: Column) -> Column:
-        return F.greatest(F.ceil(n / block_texts), F.ceil(nbytes / block_bytes), F.lit(1))
-
-    def block(n: str) -> Column:
-        return F.pmod(F.xxhash64("unit", F.lit(SEED)), F.col(n))
-
-    def found(rows: DataFrame, against_pivot: bool) -> DataFrame:
-        """Links within each ``task``, whose rows may be of several groups."""
-
-        def run(table: pa.Table) -> pa.Table:
-            a, b, of = [], [], {}
-            units, texts_, joined = (table[c].to_pylist() for c in ("unit", "text", "joined"))
-            for i, g in enumerate(table["group"].to_pylist()):
-                of.setdefault(g, []).append(i)
-            for at in of.values():
-                sets = [np.unique(shingle_hashes(texts_[i], shingle)) for i in at]
-                known = np.array([joined[i] for i in at], bool)
-                if against_pivot and known.any():
-                    pivot = int(known.argmax())
-                    pairs = [
-                        (pivot, x) for x in range(len(at)) if x != pivot
-                        and set_links([sets[pivot], sets[x]], similarity, np.zeros(2, bool))
-                    ]
-                else:
-                    pairs = set_links(sets, similarity, known)
-                a += [units[at[x]] for x, _ in pairs]
-                b += [units[at[y]] for _, y in pairs]
-            return pa.table({"a": pa.array(a, pa.binary()), "b": pa.array(b, pa.binary())})
-
-        rows = rows.select("task", "group", "unit", "text", "joined")
-        return rows.groupBy("task").applyInArrow(run, "a binary, b binary")
-
-    groups = cut(
-        texts.groupBy("group")
-        .agg(F.count("*").alias("n"), F.sum(size).alias("bytes"), F.min("unit").alias("pivot"))
-        .where("n > 1")
-        .withColumn("blocks", blocks(F.col("n"), F.col("bytes"))),
-        "near-groups",
-    )
-    small = groups.where("blocks = 1").agg(F.sum("n"), F.sum("bytes")).first()
-    buckets = max(1, math.ceil((small[0] or 0) / block_texts), math.ceil((small[1] or 0) / block_bytes))
-    grouped = texts.join(groups, "group")
-    no = F.lit(False)
-    alone = grouped.where("blocks = 1").select(
-        F.pmod(F.xxhash64("group"), F.lit(buckets)).cast("string").alias("task"), "group", "unit", "text", no.alias("joined")
-    )
-    each = F.when(
-        F.col("unit") == F.col("pivot"), F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)
-    ).otherwise(F.array(block("blocks")))
-    large = grouped.where("blocks > 1")
-    by_pivot = large.withColumn("x", F.explode(each)).select(
-        F.concat_ws("-", F.hex("group"), "x").alias("task"),
-        "group", "unit", "text", (F.col("unit") == F.col("pivot")).alias("joined"),
-    )
-    links = found(alone, False)
-    if not groups.where("blocks > 1").isEmpty():
-        near = cut(found(by_pivot, True), "near-pivots")
-        reached = near.select(F.col("b").alias("unit"), F.lit(True).alias("hit"))
-        large = cut(
-            large.join(reached, "unit", "left").select(
-                "group", "unit", "text", (F.col("hit").isNotNull() | (F.col("unit") == F.col("pivot"))).alias("joined")
-            ),
-            "near-large",
-        )
-        shape = large.groupBy("group").agg(
-            *[
-                F.when(F.count(F.when(c, 1)) > 0, blocks(F.count(F.when(c, 1)), F.sum(F.when(c, size))))
-                .otherwise(F.lit(0)).alias(n)
-                for c, n in ((F.col("joined"), "reached"), (~F.col("joined"), "others"))
-            ]
-        )
-        # Blocks of others are numbered after the blocks of reached texts; each pair has one of others.
-        last = F.col("reached") + F.col("others") - 1
-        own = F.when(F.col("joined"), block("reached")).otherwise(F.col("reached") + block("others"))
-        partners = F.when(F.col("joined"), F.sequence(F.col("reached"), last)).otherwise(
-            F.sequence(F.lit(0).cast("long"), last)
-        )
-        pairs = (
-            large.join(shape.where("others > 0"), "group")
-            .withColumn("own", own)
-            .withColumn("other", F.explode(partners))
-            .withColumn("task", F.concat_ws("-", F.hex("group"), F.least("own", "other"), F.greatest("own", "other")))
-        )
-        links = links.union(near).union(found(pairs, False))
-    return links.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-
-
 def near_duplicates(
     docs: DataFrame,
-    shingle: int = 5,
+    shingle: int = 4,
     distance: int = 4,
-    words: int = 1,
     segments: tuple[list[int], list[int]] | None = None,
     entry_rows: int = ENTRY_ROWS,
     id_col: str = "doc_id",
     text_col: str = "text",
-    similarity: float | None = None,
 ) -> DataFrame:
     """doc_id, text_key (MD5 of the text), fp (big-endian bytes), component_id, keeper of every row.
 
-    Texts link if their fingerprints of ``64 * words`` bits differ in at most ``distance``
-    bits. With ``similarity`` every distinct shingle votes once and such links only propose
-    groups; texts link if the exact Jaccard similarity of their sets of shingles, within a
-    group, is at least ``similarity``. ``component_id`` is the smallest id that links reach. ``keeper`` is true for the
+    Texts link if their fingerprints differ in at most ``distance`` bits. ``component_id`` is
+    the smallest id that links reach. ``keeper`` is true for the
     one (id, text) of the component that stays in a deduplicated corpus: the smallest id,
-    then the smallest text_key. Letters A-Z are lower-cased.
+    then the smallest text_key. Letters A-Z are lower-cased; repeated shingles vote each time.
     A text with fewer words than a shingle is one shingle; null, empty and blank texts have
-    the fingerprint zero, which links like any other. Rows with a null id take part but
-    give no component its id; a component without any id has a null one. Repeated rows are
-    kept; extra columns are left out; an empty table gives an empty result.
+    the fingerprint zero, which links like any other. A long text's votes are summed by slices.
+    Rows with a null id take part but give no component its id; a component without any id
+    has a null one. Repeated rows are kept; extra columns are left out; an empty table gives
+    an empty result.
     """
 
     @F.pandas_udf("binary")
     def fingerprints(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for texts in batches:
-            yield pd.Series([fingerprint(t, shingle, words, similarity is not None) for t in texts])
+            yield pd.Series([fingerprint(t, shingle) for t in texts])
 
     text = F.col(f"`{text_col}`")
     rows = cut(
@@ -535,30 +380,15 @@ def near_duplicates(
         "simhash",
     )
     place = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "text_key")
-    if similarity is None:
-        first = cut(rows.groupBy("fp").agg(F.min(place).alias("first")), "fingerprints").withColumn("unit", F.col("fp"))
-        roots = components(links(first, distance, words, segments, entry_rows))
-    else:
-        rows = rows.withColumn("unit", text_unit(F.col("text_key")))
-        first = cut(rows.groupBy("unit").agg(F.first("fp").alias("fp"), F.min(place).alias("first")), "fingerprints")
-        proposed = components(links(first.select("fp").distinct(), distance, words, segments, entry_rows))
-        groups = first.join(proposed, F.col("fp") == F.col("node"), "left").select(
-            "unit", F.coalesce("root", "fp").alias("group")
-        )
-        several = groups.groupBy("group").agg(F.count("*").alias("n")).where("n > 1").select("group")
-        # Copies of a text fall together before it travels.
-        texts = docs.select(text_unit(text_key(text)).alias("unit"), text.alias("text"))
-        texts = texts.groupBy("unit").agg(F.first("text").alias("text")).join(groups.join(several, "group"), "unit")
-        roots = components(text_links(cut(texts, "near-texts"), shingle, similarity))
-    rooted = first.join(roots, F.col("unit") == F.col("node"), "left").select(
-        "unit", "first", F.coalesce("root", "unit").alias("root")
+    first = cut(rows.groupBy("fp").agg(F.min(place).alias("first")), "fingerprints")
+    roots = components(links(first, distance, segments, entry_rows))
+    rooted = first.join(roots, F.col("fp") == F.col("node"), "left").select(
+        "fp", "first", F.coalesce("root", "fp").alias("root")
     )
-    # One row per linked unit: its component's first row.
+    # One row per fingerprint: its component's first row.
     least = rooted.groupBy("root").agg(F.min("first").alias("head"))
-    named = rooted.join(least, "root").select("unit", "head")
-    if similarity is None:
-        rows = rows.withColumn("unit", F.col("fp"))
-    return rows.join(named, "unit").select(
+    named = rooted.join(least, "root").select("fp", "head")
+    return rows.join(named, "fp").select(
         "doc_id",
         "text_key",
         "fp",
@@ -570,18 +400,3 @@ def near_duplicates(
 def text_key(text: Column) -> Column:
     """Tells texts apart where ids are missing or repeated; null for a null text."""
     return F.unhex(F.md5(text.cast("binary")))
-
-
-def text_unit(key: Column) -> Column:
-    """Names a distinct text; a null text has a name of its own."""
-    return F.coalesce(key, F.lit(b""))
-
-
-def similarity_distance(similarity: float, bits: int, errors: float = 0) -> int:
-    """Differing bits expected between texts whose shingle sets have this Jaccard similarity.
-
-    Sets of similarity s have cosine 2s / (1 + s); a bit differs with the angle over pi.
-    ``errors`` standard errors of that number are added.
-    """
-    chance = math.acos(2 * similarity / (1 + similarity)) / math.pi
-    return round(bits * chance + errors * math.sqrt(bits * chance * (1 - chance)))
