@@ -112,23 +112,31 @@ def mix(
 
     ``carry`` names further small columns to return with each row.
 
-    Returns doc_id, source, size, source_size, target and taken, one row per input row.
+    Returns doc_id, source, size, source_size, target, taken and key, one row per input row.
     ``taken`` counts repeats and is at most ``max_repeats`` times the size. A null or empty
     text has size 0 and is never taken; a null source is a source of its own, last in
     order; null and repeated ids are ordinary rows; extra columns are left out; an empty
-    table gives an empty result. Reruns agree, however the input is partitioned.
+    table gives an empty result. Reruns agree, however the input is partitioned. Rows are
+    dealt and drawn by ``key``, a seeded hash of the id and ``carry``; rows without an id, and
+    those that agree in all that is returned, are told apart by size and number.
     """
     weigh = weigh or cycle_weights((5, 2, 1))
     text, doc_id = F.col(f"`{text_col}`"), F.col(f"`{id_col}`")
     carry = carry or {}
+    carried = [F.xxhash64("carried")] if carry else []
+    again = F.when(F.col("doc_id").isNull() | (F.col("number") > 1), F.concat_ws(":", "size", "number"))
     sized = cut(
         docs.select(
             F.struct(F.lit(0).alias("_"), *[c.alias(n) for n, c in carry.items()]).alias("carried"),
             doc_id.alias("doc_id"),
             F.col(f"`{source_col}`").alias("source"),
             F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long").alias("size"),
-            F.md5(F.concat_ws(":", F.lit(seed), doc_id.cast("string")).cast("binary")).alias("key"),
-        ),
+        )
+        .groupBy("carried", "doc_id", "source", "size")
+        .agg(F.count("*").alias("equal"))
+        .withColumn("number", F.explode(F.sequence(F.lit(1).cast("long"), "equal")))
+        .withColumn("key", F.md5(F.concat_ws(":", F.lit(seed), "doc_id", *carried, again).cast("binary")))
+        .drop("equal", "number"),
         "mix-sizes",
     )
     sources = with_targets(weigh(sized.groupBy("source").agg(F.sum("size").alias("source_size"))), share, max_repeats)
@@ -184,9 +192,9 @@ def mix(
     words = F.least("end", (F.col("block") + 1) * block_words) - F.greatest("start", F.col("block") * block_words)
     return (
         pieces.withColumn("times", F.when(F.col("block").isNotNull(), times))
-        .groupBy("source", "shard", "place", "doc_id", "size", "source_size", "target", "carried")
+        .groupBy("source", "shard", "place", "key", "doc_id", "size", "source_size", "target", "carried")
         .agg(F.coalesce(F.sum(F.col("times") * words), F.lit(0)).cast("long").alias("taken"))
-        .select("doc_id", "source", "size", "source_size", "target", "taken", *[f"carried.{n}" for n in carry])
+        .select("doc_id", "source", "size", "source_size", "target", "taken", "key", *[f"carried.{n}" for n in carry])
     )
 
 
@@ -194,9 +202,9 @@ def copies(seed: str = SEED) -> Column:
     """Whole copies of a document that stand for its ``taken`` words.
 
     The remainder of ``taken`` by ``size`` becomes one more copy with that probability, by
-    a seeded hash of the id, so a source's copies come to its taken words on average.
+    a seeded hash of the row's key, so a source's copies come to its taken words on average.
     """
-    draw = F.md5(F.concat_ws(":", F.lit(seed), F.lit("copy"), F.col("doc_id").cast("string")).cast("binary"))
+    draw = F.md5(F.concat_ws(":", F.lit(seed), F.lit("copy"), "key").cast("binary"))
     chance = F.conv(F.substring(draw, 1, 8), 16, 10).cast("double") / float(1 << 32)
     part = F.try_divide(F.col("taken"), F.col("size"))
     return F.coalesce(F.floor(part) + (chance < part - F.floor(part)).cast("long"), F.lit(0))

@@ -396,7 +396,9 @@ def remove_repeats(
     matches lie within a document. "Earlier" means a smaller id: rows with equal ids don't
     remove from each other, a null id comes after all others. Null, empty and short texts
     lose nothing; repeated rows are handled each; extra columns are left out; an empty table
-    gives an empty result.
+    gives an empty result. Ids are integers; null and repeated ones spread by their texts, and
+    rows that agree in both share a chunk. A chunk holds each of its documents whole, at
+    some dozens of bytes a byte of text, so the longest text must fit a worker that often.
 
     Everything is one job: texts are dealt to chunks once, and each visit to a chunk
     reads the same shuffle files again.
@@ -405,7 +407,7 @@ def remove_repeats(
     rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), text.alias("text"))
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     chunks, buckets = max(1, math.ceil(size / chunk_bytes)), max(1, math.ceil(size / bucket_bytes))
-    dealt = rows.withColumn("chunk", F.pmod(F.xxhash64("doc_id", F.octet_length("text")), F.lit(chunks)))
+    dealt = rows.withColumn("chunk", F.pmod(F.xxhash64("doc_id", "text"), F.lit(chunks)))
     here = dealt.groupBy("chunk")
 
     def propose(table: pa.Table) -> pa.Table:

@@ -1,6 +1,6 @@
 """Sharding by a two-pass external shuffle.
 
-Pass one scatters every record into a bucket by a seeded hash of its id; a bucket is
+Pass one scatters every record into a bucket by a seeded hash of all its columns; a bucket is
 small enough for one task's memory whatever the size of the corpus. Pass two puts each
 bucket into a fixed order and Fisher-Yates shuffles it. Buckets laid end to end are one
 uniform permutation of the corpus, which is cut into shards of equal row counts.
@@ -54,7 +54,6 @@ def shuffle_into_shards(
     shards: int = 40,
     seed: int = SEED,
     bucket_bytes: int = BUCKET_BYTES,
-    id_col: str = "doc_id",
     text_col: str = "text",
 ) -> DataFrame:
     """Every row of ``docs`` with its shard and its slot in the shard.
@@ -62,13 +61,17 @@ def shuffle_into_shards(
     Returns ``record`` (the whole row as a struct, so extra columns cannot clash with
     the operator's own), ``size``, ``text_crc32``, ``shard`` and ``slot``. Shards differ by one row at
     most; slots run from 0 without gaps. Null ids, null and empty texts are ordinary
-    records (a null text has the checksum of an empty one). Rows with equal ids share a
-    bucket; equal rows are interchangeable. An empty table gives an empty result.
-    Reruns agree, however the input is partitioned.
+    records (a null text has the checksum of an empty one). Null and repeated ids spread by
+    the rest of their rows; only rows that agree in every column share a bucket, and they are
+    interchangeable. An empty table gives an empty result. Reruns agree, however the input
+    is partitioned.
     """
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    # Maps have no hash of their own.
+    hashed = [F.to_json(F.struct(c)) if "map<" in f.dataType.simpleString() else c for c, f in zip(columns, docs.schema)]
     record = docs.select(
-        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("record"),
-        F.xxhash64(F.lit(seed), F.col(f"`{id_col}`")).alias("key"),
+        F.struct(*columns).alias("record"),
+        F.xxhash64(F.lit(seed), *hashed).alias("key"),
         record_size(F.col(f"`{text_col}`")).alias("size"),
         F.crc32(F.coalesce(F.col(f"`{text_col}`").cast("binary"), F.lit(b""))).alias("text_crc32"),
     )
