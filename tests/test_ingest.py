@@ -190,6 +190,40 @@ def test_records_over_many_blocks(spark, tmp_path):
     assert [r.reason for r in text.rejects.collect()] == ["a quote is never closed"]
 
 
+def test_records_longer_than_blocks(spark, tmp_path):
+    """Records over many blocks next to short ones: blocks without a beginning, with one, with many."""
+    import csv
+    import random
+
+    rng = random.Random(5)
+    rows = [["Date", "note"]]
+    for i in range(120):
+        note = "\n".join(rng.choice(["", "a", 'b"c', '"', "d\te" * 9]) for _ in range(rng.choice([1, 2, 3, 200])))
+        rows.append([f"{i}", f"x{note}y"])
+    with open(tmp_path / "g_2021.xls", "w", newline="") as f:
+        csv.writer(f, delimiter="\t", lineterminator="\n").writerows(rows)
+    text = read_grid_text(spark, str(tmp_path), "g_*.xls", blocks="256")
+    assert sorted((int(r.Date), r.note) for r in text.cells.collect()) == [(int(a), b) for a, b in rows[1:]]
+    places = text.cells.orderBy("chunk", "row").select("Date").collect()
+    assert [r.Date for r in places] == [a for a, _ in rows[1:]]
+
+
+def test_many_small_blocks_are_few_tasks(spark, tmp_path):
+    """Tables written on the way have as many files as a shuffle has tasks, not as the file has blocks."""
+    import os
+
+    from wattline.catalog import QUERIES
+    from wattline.session import work_scope
+
+    rows = spark.range(20000).select(F.col("id").alias("event_id"), F.lit("kind").alias("event_type"))
+    rows.write.parquet(str(tmp_path / "events.parquet"))
+    with work_scope(spark) as folder:
+        assert QUERIES["s01_multiline_cells"](spark, str(tmp_path)).count() == 20000
+        files = {d: sum(n.startswith("part-") for n in names) for d, _, names in os.walk(folder)}
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert max(files.values()) <= tasks + 2, files
+
+
 def test_archives(spark, tmp_path):
     for name, members in (("full", {"d/a.csv": "1", "d/": "", "b.csv": "2"}), ("empty", {})):
         with zipfile.ZipFile(tmp_path / f"{name}.zip", "w") as z:

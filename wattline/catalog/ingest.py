@@ -68,12 +68,7 @@ def s01_multiline(spark, sf):
     path = work_path(spark, "quoted")
     out = rows.withColumn("year", F.lit(2024)).repartition("year").write.partitionBy("year").option("header", True)
     out.option("sep", "\t").option("escape", '"').csv(path)
-    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
-    spark.conf.set("spark.sql.files.maxPartitionBytes", BLOCKS)
-    try:
-        text = read_grid_text(spark, path, "*.csv", YEAR_DIR)
-    finally:
-        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    text = read_grid_text(spark, path, "*.csv", YEAR_DIR, BLOCKS)
     return text.cells.select("row_pos", "kind", "note", "source_year")
 
 

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from wattline.functions.columns import GRID_NULLS, READER_NULLS, clean_name, null_tokens
 from wattline.operators.frames import listed, ref
 from wattline.session import cut
-from wattline.sources.lines import decoded, describe_files, fail_when_all_rejected, joined_records, read_lines
+from wattline.sources.lines import blocks_of, decoded, describe_files, fail_when_all_rejected, joined_records, read_lines
 
 YEAR_IN_NAME = r"(\d{4})\.xls$"
 PLACE = ["path", "source_file", "chunk", "row", "source_year"]
@@ -34,6 +34,7 @@ def read_grid_text(
     path: str | list[str],
     glob: str | None = "eCO2mix_RTE_Annuel-Definitif_*.xls",
     year_pattern: str = YEAR_IN_NAME,
+    blocks: str | None = None,
 ) -> GridText:
     """Read every file of a folder, skipping the unreadable ones.
 
@@ -41,16 +42,18 @@ def read_grid_text(
     files (encoding, header, verdict), one more parses all layouts together: each line is
     split once, and a column takes its cell from the place that its file's header gives it.
     Files with line breaks inside quoted cells have their lines joined to records first; one
-    whose last quote stays open is left out.
+    whose last quote stays open is left out. ``blocks`` is the size of the pieces a file is
+    read in, the session's where it is not given.
     """
-    raw = cut(read_lines(spark, path, glob), "grid-lines")
+    with blocks_of(spark, blocks):
+        raw = cut(read_lines(spark, path, glob), "grid-lines")
     described = cut(describe_files(raw), "grid-text")
     spanning = described.where("spans").select("path")
     unclosed = spanning.where("false")
     if not spanning.isEmpty():
         records, unclosed = joined_records(raw.join(spanning, "path", "left_semi"))
         unclosed = cut(unclosed, "grid-unclosed")
-        raw = cut(raw.join(spanning, "path", "left_anti").unionByName(records), "grid-records")
+        raw = raw.join(spanning, "path", "left_anti").unionByName(records)
         described = describe_files(raw)
     year = F.regexp_extract("path", year_pattern, 1).try_cast("int")
     reason = (
