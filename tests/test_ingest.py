@@ -224,6 +224,52 @@ def test_many_small_blocks_are_few_tasks(spark, tmp_path):
     assert max(files.values()) <= tasks + 2, files
 
 
+@pytest.mark.parametrize("stamped", [False, True])
+def test_sink_rows_are_shuffled_once(spark, stamped):
+    """Order and de-duplication share a shuffle; equal rows are one, signed zeros, nulls and structs included."""
+    from wattline.plans.bronze import distinct_for_sink
+
+    values = [(None if i % 7 == 0 else i % 50, 0.0 if i % 3 else -0.0, None if i % 5 == 0 else f"t{i % 4}") for i in range(3000)]
+    rows = spark.createDataFrame(values, "a long, z double, text string").repartition(6).select(
+        "a", "z", F.when(F.col("text").isNotNull(), F.struct(F.lit(1.5).alias("number"), "text")).alias("mixed"),
+        (2020 + F.col("a") % 3).cast("int").alias("source_year"),
+    )
+    if stamped:
+        day = F.date_add(F.lit("2024-01-01").cast("date"), (F.col("a") % 9).cast("int"))
+        rows = rows.withColumn("timestamp", day.cast("timestamp_ntz"))
+    once = distinct_for_sink(rows)
+    plan = once._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange rangepartitioning") == 1 and "hashpartitioning" not in plan
+    assert once.columns == rows.columns and once.count() == rows.distinct().count()
+    assert once.exceptAll(rows.distinct()).isEmpty()
+    if stamped:
+        for part in once.select("source_year", "timestamp").rdd.glom().collect():
+            order = [(y is None, y or 0, t is None, t) for y, t in part]
+            assert [o[:3] for o in order] == sorted(o[:3] for o in order)
+            assert all(a[3] <= b[3] for a, b in zip(order, order[1:]) if a[:3] == b[:3] and a[3] and b[3])
+
+
+def test_bronze_reads_cells_once_for_its_choices(spark, tmp_path):
+    """The gaps that ``column_facts`` sees are those of the typed columns, file by file."""
+    from wattline.functions.grid_rules import coerce_per_file, column_facts, half_missing
+
+    cells = [["1", "2,5", "-0", None, "1e3"], ["x", "", None, "y", "z"], ["1", "2,5", "x", None, "inf"]]
+    columns = [f"c{k}" for k in range(12)]
+
+    def cell(f, i, k):
+        return cells[k % 3][(i * (k + 1) + f * k) % (1 + (k + f) % 5)] if (i + f) % (k + 1) else None
+
+    rows = [(f"f{f}", *[cell(f, i, k) for k in range(12)]) for f in range(6) for i in range(40)]
+    df = spark.createDataFrame(rows, "path string, " + ", ".join(f"{c} string" for c in columns))
+    facts = column_facts(df, columns, "path")
+    typed = coerce_per_file(df, facts, columns, "path")
+    left = [c for c in columns if c in typed.columns]
+    want = typed.groupBy("path").agg(*[half_missing(c).alias(c) for c in left])
+    got = facts.select("path", *[F.col(f"__half_{c}").alias(c) for c in left])
+    assert sorted(got.collect()) == sorted(want.collect()) and any(any(r[1:]) for r in want.collect())
+    assert {"double", "string"} <= {t for _, t in typed.select(*left).dtypes} and len(left) > 6
+
+
 def test_archives(spark, tmp_path):
     for name, members in (("full", {"d/a.csv": "1", "d/": "", "b.csv": "2"}), ("empty", {})):
         with zipfile.ZipFile(tmp_path / f"{name}.zip", "w") as z:

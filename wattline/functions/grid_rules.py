@@ -68,10 +68,17 @@ def coerce_mostly_numeric(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def column_facts(df: DataFrame, columns: Sequence[str], file: str) -> DataFrame:
-    """Per file and column: does it hold a value, and is it mostly numeric; one pass."""
+    """Per file and column: does it hold a value, is it mostly numeric, and is it ``half_missing`` once typed; one pass."""
+    numeric = {c: F.coalesce(numeric_enough(c), F.lit(False)) for c in columns}
+    rows = F.count(F.lit(1))
+
+    def half(c: str) -> Column:
+        values = F.when(numeric[c], F.count(parsed(ref(c)))).otherwise(F.count(ref(c)))
+        return ((rows - values) / rows).between(MIN_GAP, MAX_GAP)
+
     facts = [(F.count(ref(c)) > 0).alias(f"__has_{c}") for c in columns]
-    facts += [F.coalesce(numeric_enough(c), F.lit(False)).alias(f"__num_{c}") for c in columns]
-    return df.groupBy(file).agg(*facts)
+    facts += [numeric[c].alias(f"__num_{c}") for c in columns]
+    return df.groupBy(file).agg(*facts, *[half(c).alias(f"__half_{c}") for c in columns])
 
 
 def coerce_per_file(df: DataFrame, facts: DataFrame, columns: Sequence[str], file: str) -> DataFrame:

@@ -14,14 +14,18 @@ from wattline.session import cut
 from wattline.sources.grid_files import GridText, drop_place
 
 
-def backfill_alternating(df: DataFrame, columns: list[str], file: str = "path") -> DataFrame:
+def backfill_alternating(
+    df: DataFrame, columns: list[str], file: str = "path", facts: DataFrame | None = None
+) -> DataFrame:
     """Backward fill, file by file, of the columns missing on every other row of that file.
 
     Rows are numbered only where some file's share of gaps leaves the question open, and
-    only gaps travel with the numbers.
+    only gaps travel with the numbers. ``facts`` of ``column_facts`` spare the pass that
+    measures the shares.
     """
-    shares = df.groupBy(file).agg(*[half_missing(c).alias(c) for c in columns])
-    likely = shares.agg(*[F.bool_or(ref(c)).alias(c) for c in columns]).first() if columns else {}
+    if facts is None:
+        facts = df.groupBy(file).agg(*[half_missing(c).alias(f"__half_{c}") for c in columns])
+    likely = facts.agg(*[F.bool_or(ref(f"__half_{c}")).alias(c) for c in columns]).first() if columns else {}
     columns = [c for c in columns if likely[c]]
     if not columns:
         return df
@@ -40,35 +44,51 @@ def backfill_alternating(df: DataFrame, columns: list[str], file: str = "path")
     return filled.withColumns(back).select(*[ref(c) for c in df.columns])
 
 
-def grid_bronze(text: GridText) -> DataFrame:
-    """Typed, back-filled, stamped and de-duplicated grid rows of all years.
+def grid_rows(text: GridText) -> DataFrame:
+    """Typed, back-filled and stamped grid rows of all years; equal rows are all there.
 
-    Two statistics jobs choose columns from the data, so the parsed text is cut
-    to a table first and read from there. A column that is numeric in some files and text
-    in others is a VARIANT column.
+    A statistics job chooses columns from the data, so the parsed text is cut
+    to a table first and read from there.
     """
-    cells = cut(text.cells, "grid-cells")
+    cells = cut(text.cells, "grid-cells", "zstd")
     facts = cut(column_facts(cells, text.columns, "path"), "column-facts")
     typed = coerce_per_file(cells, facts, text.columns, "path")
-    filled = backfill_alternating(typed, [c for c in text.columns if c in typed.columns])
+    filled = backfill_alternating(typed, [c for c in text.columns if c in typed.columns], "path", facts)
     present = set(filled.columns)
     stamped = build_stamp(filled, *(c if c in present else None for c in (text.day, text.hour)))
-    return as_variants(drop_place(stamped).dropDuplicates())
+    return drop_place(stamped)
 
 
-def ranged_for_sink(bronze: DataFrame) -> DataFrame:
-    """Rows as a sink of one folder per year wants them: each task a stretch of one year or two, in order.
+def grid_bronze(text: GridText) -> DataFrame:
+    """Typed, back-filled, stamped and de-duplicated grid rows of all years.
 
-    Stretches are even, so tasks follow the rows and not the years. Without a timestamp
-    rows are spread inside a year by a hash.
+    A column that is numeric in some files and text in others is a VARIANT column.
     """
-    spread = F.col("timestamp") if "timestamp" in bronze.columns else F.xxhash64(*[ref(c) for c in plain_columns(bronze)])
-    order = ["source_year", *(["timestamp"] if "timestamp" in bronze.columns else [])]
-    return bronze.repartitionByRange("source_year", spread).sortWithinPartitions(*[F.asc_nulls_last(c) for c in order])
+    return as_variants(grid_rows(text).dropDuplicates())
+
 
+#: Values that rows of one year, or of one timestamp, are spread by.
+SPREAD = 1 << 16
 
-def plain_columns(df: DataFrame) -> list[str]:
-    return [c for c, kind in df.dtypes if kind != "variant"]
+
+def grid_bronze_for_sink(text: GridText) -> DataFrame:
+    """``grid_bronze`` as a sink of one folder per year wants it."""
+    return as_variants(distinct_for_sink(grid_rows(text)))
+
+
+def distinct_for_sink(rows: DataFrame) -> DataFrame:
+    """Each row once, as a sink of one folder per year wants them: each task a stretch of one year or two, in order.
+
+    Stretches are even, so tasks follow the rows and not the years. Inside a year, and
+    inside a timestamp, rows are spread by a hash. All of it is equal in equal rows, which
+    so come together in one stretch: rows are shuffled once, for both the order and the
+    de-duplication. Copies of a row meet in one task, which keeps one of them as they pass.
+    """
+    stamp = ["timestamp"] if "timestamp" in rows.columns else []
+    spread = F.pmod(F.hash(*[ref(c) for c in rows.columns]), F.lit(SPREAD))
+    ranged = rows.withColumn("__spread", spread).repartitionByRange("source_year", *stamp, "__spread")
+    order = [F.asc_nulls_last(c) for c in ("source_year", *stamp)]
+    return ranged.dropDuplicates().sortWithinPartitions(*order).drop("__spread")
 
 
 def sorted_for_sink(bronze: DataFrame) -> DataFrame:

@@ -27,8 +27,7 @@ def bronze_grid(
 ) -> tuple[DataFrame, DataFrame]:
     """Yearly grid files of one folder to the bronze table: one folder per year, timestamps in order in each file."""
     text = read_grid_text(spark, source, *([glob] if glob else []), year_pattern=year_pattern)
-    rows = bronze.ranged_for_sink(bronze.grid_bronze(text))
-    return stored(rows, out, ["source_year"]), text.rejects
+    return stored(bronze.grid_bronze_for_sink(text), out, ["source_year"]), text.rejects
 
 
 def bronze_stations(

@@ -46,7 +46,7 @@ def read_grid_text(
     read in, the session's where it is not given.
     """
     with blocks_of(spark, blocks):
-        raw = cut(read_lines(spark, path, glob), "grid-lines")
+        raw = cut(read_lines(spark, path, glob), "grid-lines", "zstd")
     described = cut(describe_files(raw), "grid-text")
     spanning = described.where("spans").select("path")
     unclosed = spanning.where("false")
